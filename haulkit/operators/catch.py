@@ -162,10 +162,9 @@ def category_counts(rows: DataFrame, keys: Sequence[str], category_col: str,
 
 def reconcile_catch(estimated: DataFrame, reported: DataFrame, keys: Sequence[str],
                     est_col: str = "NUMBER_CRAB", rep_col: str = "N_ENTRIES") -> DataFrame:
-    """Reported catch rows with the expanded count (right join on NULL-matching
-    keys), incomplete rows dropped as the reference's `na.omit`, plus a
-    mismatch flag (Q23)."""
-    j = null_safe_join(estimated.select(*keys, est_col), reported.select(*keys, rep_col),
-                       list(keys), "right")
+    """Reported catch rows (all their columns) with the expanded count: right
+    join on NULL-matching keys, incomplete rows dropped as the reference's
+    `na.omit`, plus a mismatch flag (Q23)."""
+    j = null_safe_join(estimated.select(*keys, est_col), reported, list(keys), "right")
     j = j.dropna(how="any")
     return j.withColumn("MISMATCH", F.col(est_col) != F.col(rep_col))

@@ -131,3 +131,90 @@ LEFT JOIN pos p ON p.SPN = l.SPN AND p.MAT_SEX = c.MAT_SEX
 ORACLE = {
     "zero_filled_catch": ZERO_FILLED_CATCH,
 }
+
+
+ORACLE["sampling_factor"] = f"""
+WITH specimens AS ({SPECIMENS}), sf AS ({SF_ROWS})
+SELECT SPN, SPECIMEN_ID, PART, SPECIES_CODE, SEX, TOSSED, KEPT, {fx('SAMPLING_FACTOR', 6)} AS SAMPLING_FACTOR
+FROM sf"""
+
+ORACLE["tossed_totals"] = """
+WITH v AS (SELECT l_orderkey AS HAUL_ID, l_suppkey % 10 AS CATCH_SAMPLE_ID, l_linestatus AS RECORDING_DEVICE,
+                  CASE WHEN l_linenumber <> 1 THEN l_linenumber - 1 END AS COUNT FROM lineitem)
+SELECT HAUL_ID, CATCH_SAMPLE_ID, RECORDING_DEVICE, CAST(sum(coalesce(COUNT, 0)) AS BIGINT) AS TOSSED
+FROM v GROUP BY HAUL_ID, CATCH_SAMPLE_ID, RECORDING_DEVICE"""
+
+ORACLE["expanded_catch_reconcile"] = f"""
+WITH {BASE_CTES}, sf AS ({SF_ROWS}),
+est AS (SELECT SPN, SPECIES_CODE, {fx('sum(SAMPLING_FACTOR)')} AS NUMBER_CRAB FROM sf GROUP BY SPN, SPECIES_CODE),
+rep AS (SELECT SPN, SPECIES_CODE, count(*) AS N_ENTRIES FROM specimens WHERE LINESTATUS = 'O' GROUP BY SPN, SPECIES_CODE),
+repl AS (SELECT r.SPN, r.SPECIES_CODE, r.N_ENTRIES, l.VESSEL, l.POT_ID FROM rep r LEFT JOIN lifts l ON l.SPN = r.SPN)
+SELECT r.SPN, r.SPECIES_CODE, e.NUMBER_CRAB, r.N_ENTRIES, r.VESSEL, r.POT_ID, e.NUMBER_CRAB <> r.N_ENTRIES AS MISMATCH
+FROM est e RIGHT JOIN repl r ON e.SPN = r.SPN AND e.SPECIES_CODE = r.SPECIES_CODE
+WHERE e.NUMBER_CRAB IS NOT NULL AND r.N_ENTRIES IS NOT NULL AND r.VESSEL IS NOT NULL AND r.POT_ID IS NOT NULL"""
+
+ORACLE["strict_sum"] = f"""
+WITH x AS (SELECT l_orderkey AS SPN, nullif(l_tax, 0.0::DOUBLE) AS X FROM lineitem)
+SELECT SPN, count(*) AS N, count(*) FILTER (WHERE X IS NULL) AS N_NULL,
+       {fx('CASE WHEN count(X) = count(*) THEN sum(X) END')} AS STRICT_SUM,
+       {fx('sum(X)')} AS LENIENT_SUM,
+       CASE WHEN count(X) = count(*) THEN min(X) END AS STRICT_MIN,
+       CASE WHEN count(X) = count(*) THEN max(X) END AS STRICT_MAX,
+       {fx('CASE WHEN count(X) = count(*) THEN avg(X) END', 6)} AS STRICT_AVG
+FROM x GROUP BY SPN"""
+
+ORACLE["null_safe_left"] = """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS CUSTKEY FROM orders),
+c AS (SELECT nullif(c_custkey, 0) AS CUSTKEY, c_name, c_mktsegment FROM customer)
+SELECT o.CUSTKEY, o.o_orderkey, c.c_name, c.c_mktsegment
+FROM o LEFT JOIN c ON o.CUSTKEY IS NOT DISTINCT FROM c.CUSTKEY"""
+
+ORACLE["not_in_keep_null"] = """
+SELECT p_partkey, NAME, p_type FROM (
+  SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS NAME, p_type FROM part)
+WHERE NAME IS NULL OR NAME NOT IN ('red plate', 'small widget', 'hot ring')"""
+
+ORACLE["valid_units"] = f"""
+WITH raw_lifts AS ({RAW_LIFTS}),
+r AS (SELECT SPN, VESSEL_CODE, POT_ID,
+             CASE WHEN SPN % 17 = 0 THEN '' ELSE DATE_HAUL END AS DATE_HAUL,
+             CASE WHEN SPN % 13 <> 0 THEN TIME_HAUL END AS TIME_HAUL,
+             CASE substr(GEAR_NOTE, 1, 1) WHEN '1' THEN '44' WHEN '2' THEN '42' WHEN '3' THEN NULL
+                  WHEN '4' THEN '' ELSE '7' END AS G0
+      FROM raw_lifts),
+g AS (SELECT *, CASE WHEN SPN % 2 = 1 THEN (CASE WHEN G0 = '42' THEN '42' WHEN G0 IS NOT NULL THEN '' END)
+                     ELSE G0 END AS GEAR_CODE FROM r)
+SELECT SPN, VESSEL_CODE, POT_ID, GEAR_CODE, DATE_HAUL, {hhmm('TIME_HAUL')} AS TIME_HAUL FROM g
+WHERE TIME_HAUL IS NOT NULL AND CAST(TIME_HAUL AS VARCHAR) <> '' AND DATE_HAUL IS NOT NULL AND DATE_HAUL <> ''
+  AND SPN <> 215
+  AND ((VESSEL_CODE IS NOT NULL AND GEAR_CODE IS NULL) OR GEAR_CODE = '44' OR GEAR_CODE = '')
+  AND length(POT_ID) <= 3"""
+
+
+def _wall_epoch(date_expr: str, time_hhmm: str) -> str:
+    return f"epoch(CAST({date_expr} AS DATE) + CAST({time_hhmm} AS TIME))"
+
+
+ORACLE["soak_hours"] = f"""
+WITH raw_lifts AS ({RAW_LIFTS})
+SELECT SPN, DATE_SET, {hhmm('TIME_SET')} AS TIME_SET, DATE_HAUL, {hhmm('TIME_HAUL')} AS TIME_HAUL,
+       {fx('LAT_DEG + LAT_MIN / 60.0::DOUBLE', 6)} AS LAT_DD,
+       {fx('(LON_DEG + LON_MIN / 60.0::DOUBLE) * -1.0::DOUBLE', 6)} AS LON_DD,
+       {fx('(' + local_epoch('D_HAUL', hhmm('TIME_HAUL')) + ' - ' + local_epoch('D_SET', hhmm('TIME_SET')) + ') / 3600.0::DOUBLE')} AS SOAK_TIME,
+       {fx('(' + _wall_epoch('D_HAUL', hhmm('TIME_HAUL')) + ' - ' + _wall_epoch('D_SET', hhmm('TIME_SET')) + ') / 3600.0::DOUBLE')} AS SOAK_WALL
+FROM raw_lifts"""
+
+ORACLE["hhmm"] = f"""
+WITH e AS (SELECT event_id AS EVENT_ID,
+                  CASE WHEN event_id % 11 <> 0 THEN CAST(CAST(floor(value * 10) AS BIGINT) % 2500 AS INTEGER) END AS RAW
+           FROM events)
+SELECT EVENT_ID, RAW, {hhmm('RAW')} AS HHMM FROM e"""
+
+_BIO = ["click", "error", "purchase", "signup", "view"]
+ORACLE["biometrics_wide"] = (
+    "SELECT user_id AS USER_ID, CAST(ts AS DATE) AS DAY, "
+    + ", ".join(f"CASE WHEN count(*) FILTER (WHERE event_type = {q(n)}) = 1 "
+                f"THEN max(value) FILTER (WHERE event_type = {q(n)}) END AS {n}" for n in _BIO)
+    + ", CAST(" + " + ".join(f"(CASE WHEN count(*) FILTER (WHERE event_type = {q(n)}) > 1 THEN 1 ELSE 0 END)"
+                             for n in _BIO)
+    + " AS INTEGER) AS N_DUP FROM events GROUP BY user_id, CAST(ts AS DATE)")

@@ -40,3 +40,137 @@ def zero_filled_catch(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "zero_filled_catch": zero_filled_catch,
 }
+
+
+def sampling_factor(spark: SparkSession, d: str) -> DataFrame:
+    """Row-level factor (KEPT + TOSSED) / KEPT per (lift, species, sex)."""
+    sp = B.specimens(spark, d)
+    out = C.sampling_factor(sp, ["SPN", "SPECIES_CODE", "SEX"], "TOSSED", kept="KEPT")
+    return out.select("SPN", "SPECIMEN_ID", "PART", "SPECIES_CODE", "SEX", "TOSSED", "KEPT",
+                      fix("SAMPLING_FACTOR", 6).alias("SAMPLING_FACTOR"))
+
+
+def tossed_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Tossed count per haul x sample x device; NULL counts are 0."""
+    li = B.table(spark, d, "lineitem")
+    ln = F.col("l_linenumber")
+    vals = li.select(F.col("l_orderkey").alias("HAUL_ID"),
+                     (F.col("l_suppkey") % 10).alias("CATCH_SAMPLE_ID"),
+                     F.col("l_linestatus").alias("RECORDING_DEVICE"),
+                     F.when(ln != 1, ln - 1).alias("COUNT"))
+    return C.tossed_totals(vals).withColumn("TOSSED", F.col("TOSSED").cast("bigint"))
+
+
+def expanded_catch_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    """Expanded crab count per lift x species against the reported
+    entries (right join, incomplete rows dropped, mismatch flag)."""
+    sp = B.specimens(spark, d)
+    est = C.class_totals(sp, ["SPN", "SPECIES_CODE"], ["SEX"], "TOSSED", {"NUMBER_CRAB": F.lit(True)})
+    est = est.withColumn("NUMBER_CRAB", fix("NUMBER_CRAB", 4))
+    rep = (sp.where(F.col("LINESTATUS") == "O").groupBy("SPN", "SPECIES_CODE")
+             .agg(F.count(F.lit(1)).alias("N_ENTRIES")))
+    rep = rep.join(B.lifts(spark, d).select("SPN", "VESSEL", "POT_ID"), "SPN", "left")
+    out = C.reconcile_catch(est, rep, ["SPN", "SPECIES_CODE"])
+    return out.select("SPN", "SPECIES_CODE", "NUMBER_CRAB", "N_ENTRIES", "VESSEL", "POT_ID", "MISMATCH")
+
+
+def strict_sum(spark: SparkSession, d: str) -> DataFrame:
+    """R-style aggregates (any NULL input -> NULL) next to SQL's."""
+    from ..functions import nulls as N
+    li = B.table(spark, d, "lineitem")
+    x = F.nullif(F.col("l_tax"), F.lit(0.0))
+    g = li.select(F.col("l_orderkey").alias("SPN"), x.alias("X")).groupBy("SPN")
+    return g.agg(F.count(F.lit(1)).alias("N"), F.count_if(F.col("X").isNull()).alias("N_NULL"),
+                 fix(N.strict_sum("X"), 4).alias("STRICT_SUM"), fix(F.sum("X"), 4).alias("LENIENT_SUM"),
+                 N.strict_min("X").alias("STRICT_MIN"), N.strict_max("X").alias("STRICT_MAX"),
+                 fix(N.strict_avg("X"), 6).alias("STRICT_AVG"))
+
+
+def null_safe_left(spark: SparkSession, d: str) -> DataFrame:
+    """Left join where a NULL key matches a NULL key."""
+    from ..operators.joins import null_safe_join
+    o = B.table(spark, d, "orders").select(
+        "o_orderkey", F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("CUSTKEY"))
+    c = B.table(spark, d, "customer").select(
+        F.nullif(F.col("c_custkey"), F.lit(0)).alias("CUSTKEY"), "c_name", "c_mktsegment")
+    return null_safe_join(o, c, ["CUSTKEY"], "left")
+
+
+def not_in_keep_null(spark: SparkSession, d: str) -> DataFrame:
+    """NOT IN that keeps rows whose value is NULL."""
+    from ..functions.nulls import not_in
+    p = B.table(spark, d, "part").select(
+        "p_partkey", F.when(F.col("p_partkey") % 7 != 0, F.col("p_name")).alias("NAME"), "p_type")
+    return p.where(not_in("NAME", ["red plate", "small widget", "hot ring"]))
+
+
+def _gear(note) -> F.Column:
+    h = F.substring(F.col(note), 1, 1)
+    return (F.when(h == "1", "44").when(h == "2", "42").when(h == "3", F.lit(None).cast("string"))
+             .when(h == "4", "").otherwise("7"))
+
+
+def valid_units(spark: SparkSession, d: str) -> DataFrame:
+    """Incomplete lifts, one excluded lift, gear filter with
+    the second sheet's recode, camera/bait pots dropped."""
+    from ..operators import lifts as L
+    r = B.raw_lifts(spark, d)
+    spn = F.col("SPN")
+    r = r.select("SPN", "VESSEL_CODE", "POT_ID",
+                 F.when(spn % 17 == 0, F.lit("")).otherwise(F.col("DATE_HAUL")).alias("DATE_HAUL"),
+                 F.when(spn % 13 != 0, F.col("TIME_HAUL")).alias("TIME_HAUL"),
+                 _gear("GEAR_NOTE").alias("GEAR_CODE"))
+    r = L.recode_gear(r, "GEAR_CODE", "42", where=(spn % 2 == 1))
+    r = L.valid_lifts(r, "TIME_HAUL", "DATE_HAUL", exclude={"SPN": 215})
+    r = L.gear_filter(r, "GEAR_CODE", "VESSEL_CODE", ("44",))
+    r = L.regular_stations(r, "POT_ID")
+    from ..functions.scalar import hhmm
+    return r.select("SPN", "VESSEL_CODE", "POT_ID", "GEAR_CODE", "DATE_HAUL",
+                    hhmm("TIME_HAUL").alias("TIME_HAUL"))
+
+
+def soak_hours(spark: SparkSession, d: str) -> DataFrame:
+    """Soak hours in the survey's zone and as naive wall clock."""
+    from ..functions import scalar as S
+    r = B.raw_lifts(spark, d)
+    t_set, t_haul = S.hhmm("TIME_SET"), S.hhmm("TIME_HAUL")
+    local = S.soak_hours(S.lift_ts("DATE_SET", t_set, B.TZ), S.lift_ts("DATE_HAUL", t_haul, B.TZ))
+    wall = S.soak_hours(S.lift_ts("DATE_SET", t_set, "UTC"), S.lift_ts("DATE_HAUL", t_haul, "UTC"))
+    return r.select("SPN", "DATE_SET", t_set.alias("TIME_SET"), "DATE_HAUL", t_haul.alias("TIME_HAUL"),
+                    fix(S.dm_to_dd("LAT_DEG", "LAT_MIN"), 6).alias("LAT_DD"),
+                    fix(S.dm_to_dd("LON_DEG", "LON_MIN", -1.0), 6).alias("LON_DD"),
+                    fix(local, 4).alias("SOAK_TIME"), fix(wall, 4).alias("SOAK_WALL"))
+
+
+def hhmm_times(spark: SparkSession, d: str) -> DataFrame:
+    """H1: HHMM with lost leading zeros -> 'HH:MM', invalid -> NULL."""
+    from ..functions.scalar import hhmm
+    e = B.table(spark, d, "events")
+    raw = F.when(F.col("event_id") % 11 != 0,
+                 (F.floor(F.col("value") * 10).cast("bigint") % 2500).cast("int"))
+    return e.select(F.col("event_id").alias("EVENT_ID"), raw.alias("RAW"), hhmm(raw).alias("HHMM"))
+
+
+BIOMETRIC_NAMES = ["click", "error", "purchase", "signup", "view"]
+
+
+def biometrics_wide(spark: SparkSession, d: str) -> DataFrame:
+    """Long (id, name, value) -> wide; duplicated cells NULL + counted."""
+    from ..operators.specimens import widen
+    e = B.table(spark, d, "events").select(F.col("user_id").alias("USER_ID"),
+                                           F.to_date("ts").alias("DAY"), "event_type", "value")
+    return widen(e, ["USER_ID", "DAY"], "event_type", "value", BIOMETRIC_NAMES)
+
+
+QUERIES.update({
+    "sampling_factor": sampling_factor,
+    "tossed_totals": tossed_totals,
+    "expanded_catch_reconcile": expanded_catch_reconcile,
+    "strict_sum": strict_sum,
+    "null_safe_left": null_safe_left,
+    "not_in_keep_null": not_in_keep_null,
+    "valid_units": valid_units,
+    "soak_hours": soak_hours,
+    "hhmm": hhmm_times,
+    "biometrics_wide": biometrics_wide,
+})
