@@ -91,10 +91,68 @@ def specimens(spark: SparkSession, d: str) -> DataFrame:
         species_of_part("l_partkey").alias("SPECIES_CODE"),
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).alias("SEX"),
         (F.col("l_quantity") * 4).alias("LENGTH"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("CLUTCH_SIZE"),
+        F.when((F.col("l_returnflag") != "A") | (F.col("l_partkey") % 9 == 0),
+               F.round(F.col("l_discount") * 100).cast("int")).alias("CLUTCH_SIZE"),
         (F.round(F.col("l_tax") * 100).cast("int") % 6).alias("SHELL_CONDITION"),
         (F.col("l_linenumber") - 1).alias("TOSSED"),
         F.col("l_extendedprice").alias("WEIGHT"),
         F.col("l_linestatus").alias("LINESTATUS"),
         F.col("l_shipdate").alias("SHIPDATE"),
+        # data-quality fields
+        F.when(F.col("l_orderkey") % 101 == 0, 202301).otherwise(202401).alias("CRUISE"),
+        F.when((F.col("l_returnflag") == "N") | (F.col("l_partkey") % 9 == 0),
+               ((F.col("l_linenumber") + F.round(F.col("l_discount") * 100).cast("int")) % 7)).alias("EGG_COLOR"),
+        F.when(F.col("l_returnflag") == "N", F.round(F.col("l_tax") * 100).cast("int") % 7).alias("EGG_CONDITION"),
+        F.when(F.col("l_partkey") % 13 == 0, F.col("l_quantity") * 3).alias("WIDTH"),
+        F.when(F.col("l_orderkey") % 5 == 0, (F.col("l_partkey") % 12).cast("int")).alias("DISEASE_CODE"),
+        F.when(F.col("l_orderkey") % 3 == 0, F.col("l_tax") * 100).alias("DISEASE_DORSAL"),
+        F.when(F.col("l_orderkey") % 4 == 0, F.col("l_discount") * 100).alias("DISEASE_VENTRAL"),
+        F.when(F.col("l_orderkey") % 6 == 0, F.col("l_quantity")).alias("DISEASE_LEGS"),
     )
+
+
+def stations(spark: SparkSession, d: str) -> DataFrame:
+    """Trawl hauls: one supplier = one station, position inside the map window,
+    bottom temperature from the account balance; unsampled stations dropped (B20)."""
+    s = table(spark, d, "supplier")
+    k = F.col("s_suppkey")
+    return (s.select(k.alias("STATION"),
+                     S.fix(F.lit(54.5) + (k * 37) % 400 / F.lit(100.0), 6).alias("LAT_DD"),
+                     S.fix(F.lit(-164.8) + (k * 53) % 580 / F.lit(100.0), 6).alias("LON_DD"),
+                     (F.col("s_acctbal") / 1000.0).alias("TEMP"),
+                     F.when(F.col("s_nationkey") % 7 == 0, 0).otherwise(1).alias("SAMPLED"))
+             .where(F.col("SAMPLED") == 1).drop("SAMPLED"))
+
+
+# Groundfish species bound to part types (code, name); FIXED binding values.
+FISH_SPECIES = [("ECONOMY", 10210, "yellowfin sole"), ("LARGE", 10110, "arrowtooth flounder"),
+                ("MEDIUM", 21722, "Pacific cod (adult)"), ("PROMO", 10001, "flatfish unid."),
+                ("SMALL", 21740, "walleye pollock"), ("STANDARD", 10285, "starry flounder")]
+
+
+def fish_samples(spark: SparkSession, d: str) -> DataFrame:
+    """Groundfish sample values: lineitem weights/counts with the species of
+    their part.  Large parts are crab (removed later, B8); every 11th part has
+    no species code (a weight correction, dropped by B9)."""
+    li = table(spark, d, "lineitem")
+    p = table(spark, d, "part")
+    code = F.when(F.col("p_partkey") % 11 == 0, F.lit(None).cast("int"))
+    for t, c, _ in FISH_SPECIES:
+        code = code.when(F.col("p_type") == t, F.when(F.col("p_size") > 45, K.TANNER_CRAB).otherwise(c))
+    code = code.otherwise(F.lit(None).cast("int"))
+    sp = p.select(F.col("p_partkey").alias("PART"), code.alias("SPECIES_CODE"))
+    w = F.when((F.col("l_orderkey") % 997 == 0) & (F.col("l_linenumber") == 1), F.lit(None).cast("double")) \
+         .otherwise(F.col("l_extendedprice") / 1000.0)
+    # baskets 1-3 counted, basket 4 counted as 0 (a weight with no fish), rest not counted
+    ln = F.col("l_linenumber")
+    cnt = F.when(ln <= 3, F.col("l_quantity").cast("int")).when(ln == 4, F.lit(0))
+    rows = li.select(F.col("l_suppkey").alias("STATION"), F.col("l_orderkey").alias("CATCH_SAMPLE_ID"),
+                     F.col("l_linenumber").alias("SAMPLE_VALUE_ID"), F.col("l_partkey").alias("PART"),
+                     w.alias("SAMPLE_VALUE_WEIGHT"), cnt.alias("SAMPLE_VALUE_COUNT"))
+    return rows.join(sp, "PART", "left")
+
+
+def fish_names(spark: SparkSession) -> DataFrame:
+    """Species-name lookup (C21): a fixed, bounded table -> broadcast."""
+    return spark.createDataFrame([(c, n) for _, c, n in FISH_SPECIES], "SPECIES_CODE int, SPECIES_NAME string")
+

@@ -83,12 +83,46 @@ SPECIMENS = f"""
          {species_of_part('l_partkey')} AS SPECIES_CODE,
          CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 END AS SEX,
          l_quantity * 4 AS LENGTH,
-         CAST(round(l_discount * 100) AS INTEGER) AS CLUTCH_SIZE,
+         CASE WHEN l_returnflag <> 'A' OR l_partkey % 9 = 0 THEN CAST(round(l_discount * 100) AS INTEGER) END AS CLUTCH_SIZE,
          CAST(round(l_tax * 100) AS INTEGER) % 6 AS SHELL_CONDITION,
          l_linenumber - 1 AS TOSSED,
-         l_extendedprice AS WEIGHT, l_linestatus AS LINESTATUS, l_shipdate AS SHIPDATE
+         l_extendedprice AS WEIGHT, l_linestatus AS LINESTATUS, l_shipdate AS SHIPDATE,
+         CASE WHEN l_orderkey % 101 = 0 THEN 202301 ELSE 202401 END AS CRUISE,
+         CASE WHEN l_returnflag = 'N' OR l_partkey % 9 = 0 THEN (l_linenumber + CAST(round(l_discount * 100) AS INTEGER)) % 7 END AS EGG_COLOR,
+         CASE WHEN l_returnflag = 'N' THEN CAST(round(l_tax * 100) AS INTEGER) % 7 END AS EGG_CONDITION,
+         CASE WHEN l_partkey % 13 = 0 THEN l_quantity * 3 END AS WIDTH,
+         CASE WHEN l_orderkey % 5 = 0 THEN CAST(l_partkey % 12 AS INTEGER) END AS DISEASE_CODE,
+         CASE WHEN l_orderkey % 3 = 0 THEN l_tax * 100 END AS DISEASE_DORSAL,
+         CASE WHEN l_orderkey % 4 = 0 THEN l_discount * 100 END AS DISEASE_VENTRAL,
+         CASE WHEN l_orderkey % 6 = 0 THEN l_quantity END AS DISEASE_LEGS
   FROM lineitem"""
 
+STATIONS = f"""
+  SELECT STATION, LAT_DD, LON_DD, TEMP FROM (
+    SELECT s_suppkey AS STATION,
+           {fx('54.5::DOUBLE + ((s_suppkey * 37) % 400) / 100.0::DOUBLE', 6)} AS LAT_DD,
+           {fx('-164.8::DOUBLE + ((s_suppkey * 53) % 580) / 100.0::DOUBLE', 6)} AS LON_DD,
+           s_acctbal / 1000.0::DOUBLE AS TEMP,
+           CASE WHEN s_nationkey % 7 = 0 THEN 0 ELSE 1 END AS SAMPLED
+    FROM supplier) WHERE SAMPLED = 1"""
+
+FISH_SPECIES = [("ECONOMY", 10210, "yellowfin sole"), ("LARGE", 10110, "arrowtooth flounder"),
+                ("MEDIUM", 21722, "Pacific cod (adult)"), ("PROMO", 10001, "flatfish unid."),
+                ("SMALL", 21740, "walleye pollock"), ("STANDARD", 10285, "starry flounder")]
+
+FISH_SAMPLES = ("""
+  SELECT l.l_suppkey AS STATION, l.l_orderkey AS CATCH_SAMPLE_ID, l.l_linenumber AS SAMPLE_VALUE_ID,
+         l.l_partkey AS PART,
+         CASE WHEN l.l_orderkey % 997 = 0 AND l.l_linenumber = 1 THEN NULL ELSE l.l_extendedprice / 1000.0::DOUBLE END AS SAMPLE_VALUE_WEIGHT,
+         CASE WHEN l.l_linenumber <= 3 THEN CAST(trunc(l.l_quantity) AS INTEGER) WHEN l.l_linenumber = 4 THEN 0 END AS SAMPLE_VALUE_COUNT,
+         sp.SPECIES_CODE
+  FROM lineitem l LEFT JOIN (
+    SELECT p_partkey AS PART, CASE WHEN p_partkey % 11 = 0 THEN NULL """
+    + " ".join(f"WHEN p_type = {q(t)} THEN (CASE WHEN p_size > 45 THEN {K.TANNER_CRAB} ELSE {c} END)" for t, c, _ in FISH_SPECIES)
+    + """ END AS SPECIES_CODE FROM part) sp ON sp.PART = l.l_partkey""")
+
+FISH_NAMES = "(SELECT * FROM (VALUES " + ", ".join(f"({c}, {q(n)})" for _, c, n in FISH_SPECIES) + ") t(SPECIES_CODE, SPECIES_NAME))"
+
 
 def categories_values(name: str, cats) -> str:
     return f"(SELECT * FROM (VALUES {', '.join('(' + q(c) + ')' for c in cats)}) t({name}))"
@@ -218,3 +252,259 @@ ORACLE["biometrics_wide"] = (
     + ", CAST(" + " + ".join(f"(CASE WHEN count(*) FILTER (WHERE event_type = {q(n)}) > 1 THEN 1 ELSE 0 END)"
                              for n in _BIO)
     + " AS INTEGER) AS N_DUP FROM events GROUP BY user_id, CAST(ts AS DATE)")
+
+
+# ---------------------------------------------------------------- specimen joins
+
+ORACLE["specimen_join_out"] = f"""
+WITH {BASE_CTES}
+SELECT s.SPN, s.SPECIMEN_ID, l.VESSEL, l.POT_ID, l.LAT_DD, l.LON_DD, s.SPECIES_CODE,
+       p.p_type AS SPECIES_NAME, s.SEX, s.LENGTH
+FROM specimens s LEFT JOIN part p ON p.p_partkey = s.PART
+LEFT JOIN lifts l ON l.SPN = s.SPN
+WHERE NOT (l.LAT_DD IS NULL AND l.LON_DD IS NULL AND s.SPN IS NULL)"""
+
+ORACLE["basket_weight"] = f"""
+WITH specimens AS ({SPECIMENS}),
+sp AS (SELECT SPN, SPECIES_CODE, SEX, LINESTATUS,
+              CASE WHEN SPN % 211 = 0 AND SPECIMEN_ID = 2 THEN NULL ELSE WEIGHT END AS WEIGHT FROM specimens),
+tot AS (SELECT SPN, SPECIES_CODE, SEX, {fx('CASE WHEN count(WEIGHT) = count(*) THEN sum(WEIGHT) END', 2)} AS WEIGHT
+        FROM sp GROUP BY SPN, SPECIES_CODE, SEX),
+attrs AS (SELECT DISTINCT SPN, SPECIES_CODE, SEX, LINESTATUS FROM sp)
+SELECT t.SPN, t.SPECIES_CODE, t.SEX, a.LINESTATUS, t.WEIGHT
+FROM tot t LEFT JOIN attrs a ON t.SPN = a.SPN AND t.SPECIES_CODE = a.SPECIES_CODE AND t.SEX IS NOT DISTINCT FROM a.SEX"""
+
+
+# ---------------------------------------------------------------- groundfish
+
+_FLAT = f"SPECIES_CODE IN ({in_list(K.FLATFISH_CODES)})"
+_UNID = f"coalesce(SPECIES_NAME = {q(K.UNID_FLATFISH_NAME)}, false)"
+
+FISH_CTES = f"""fs AS ({FISH_SAMPLES}),
+f0 AS (SELECT fs.*, n.SPECIES_NAME FROM fs LEFT JOIN {FISH_NAMES} n ON n.SPECIES_CODE = fs.SPECIES_CODE
+       WHERE fs.SPECIES_CODE IS NULL OR fs.SPECIES_CODE NOT IN ({in_list(K.CRAB_CODES)})),
+f1 AS (SELECT STATION, CATCH_SAMPLE_ID, SAMPLE_VALUE_ID, SAMPLE_VALUE_WEIGHT, SAMPLE_VALUE_COUNT,
+              CASE WHEN SPECIES_CODE = 21722 THEN 21720 ELSE SPECIES_CODE END AS SPECIES_CODE,
+              CASE WHEN SPECIES_NAME = 'Pacific cod (adult)' THEN 'Pacific cod' ELSE SPECIES_NAME END AS SPECIES_NAME
+       FROM f0),
+f2 AS (SELECT * FROM f1 WHERE STATION IS NOT NULL AND SPECIES_CODE IS NOT NULL),
+st AS (SELECT STATION,
+         CASE WHEN count(*) FILTER (WHERE {_FLAT} AND SAMPLE_VALUE_WEIGHT IS NULL) = 0
+              THEN coalesce(sum(SAMPLE_VALUE_WEIGHT) FILTER (WHERE {_FLAT}), 0.0::DOUBLE) END AS I,
+         CASE WHEN count(*) FILTER (WHERE {_UNID} AND SAMPLE_VALUE_WEIGHT IS NULL) = 0
+              THEN coalesce(sum(SAMPLE_VALUE_WEIGHT) FILTER (WHERE {_UNID}), 0.0::DOUBLE) END AS U
+       FROM f2 GROUP BY STATION),
+f3 AS (SELECT f2.*, CASE WHEN NOT ({_FLAT.replace('SPECIES_CODE', 'f2.SPECIES_CODE')}) THEN 1.0::DOUBLE
+                         ELSE (st.I + st.U) / nullif(st.I, 0) END AS SAMPLING_FACTOR
+       FROM f2 JOIN st ON st.STATION = f2.STATION WHERE NOT (f2.SPECIES_CODE = {K.UNID_FLATFISH_CODE})),
+ind AS (SELECT STATION, CATCH_SAMPLE_ID, SPECIES_CODE, SPECIES_NAME, SAMPLING_FACTOR,
+               avg(DISTINCT SAMPLE_VALUE_WEIGHT / nullif(SAMPLE_VALUE_COUNT, 0)) AS IND_WEIGHT
+        FROM f3 GROUP BY ALL),
+rowc AS (SELECT f3.*, ind.IND_WEIGHT, f3.SAMPLE_VALUE_WEIGHT / ind.IND_WEIGHT AS COUNT
+         FROM f3 JOIN ind ON f3.STATION = ind.STATION AND f3.CATCH_SAMPLE_ID = ind.CATCH_SAMPLE_ID
+              AND f3.SPECIES_CODE = ind.SPECIES_CODE AND f3.SPECIES_NAME IS NOT DISTINCT FROM ind.SPECIES_NAME
+              AND f3.SAMPLING_FACTOR IS NOT DISTINCT FROM ind.SAMPLING_FACTOR),
+est AS (SELECT STATION, CATCH_SAMPLE_ID, SPECIES_CODE, SPECIES_NAME, SAMPLING_FACTOR,
+               CASE WHEN count(IND_WEIGHT) = count(*) THEN avg(IND_WEIGHT) END AS IND_WEIGHT,
+               CASE WHEN count(SAMPLE_VALUE_WEIGHT) = count(*) THEN sum(SAMPLE_VALUE_WEIGHT) END AS WEIGHT,
+               CASE WHEN count(COUNT) = count(*) THEN sum(COUNT) END AS COUNT
+        FROM rowc GROUP BY ALL),
+catch AS (SELECT *, WEIGHT * SAMPLING_FACTOR AS CALC_WEIGHT, COUNT * SAMPLING_FACTOR AS CALC_COUNT FROM est)"""
+
+ORACLE["flatfish_expand"] = f"""
+WITH {FISH_CTES}
+SELECT STATION, CATCH_SAMPLE_ID, SAMPLE_VALUE_ID, SPECIES_CODE, SPECIES_NAME, SAMPLE_VALUE_WEIGHT,
+       {fx('SAMPLING_FACTOR', 6)} AS SAMPLING_FACTOR, {fx('SAMPLE_VALUE_WEIGHT * SAMPLING_FACTOR', 6)} AS CALC_WEIGHT
+FROM f3"""
+
+ORACLE["estimate_counts"] = f"""
+WITH {FISH_CTES}
+SELECT STATION, CATCH_SAMPLE_ID, SPECIES_CODE, SPECIES_NAME, {fx('SAMPLING_FACTOR', 6)} AS SAMPLING_FACTOR,
+       {fx('IND_WEIGHT', 6)} AS IND_WEIGHT, {fx('WEIGHT', 6)} AS WEIGHT, {fx('COUNT', 4)} AS COUNT,
+       {fx('CALC_WEIGHT', 6)} AS CALC_WEIGHT, {fx('CALC_COUNT', 4)} AS CALC_COUNT
+FROM catch"""
+
+_FISH_LAB = "CASE SPECIES_NAME " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in K.FISH_LABELS.items()) + " ELSE 'Other' END"
+
+ORACLE["station_species_weights"] = f"""
+WITH {FISH_CTES},
+stations AS ({STATIONS}),
+lab AS (SELECT STATION, {_FISH_LAB} AS SPP_LABS, CALC_WEIGHT FROM catch
+        WHERE SPECIES_NAME IS NULL OR SPECIES_NAME NOT IN ({in_list(K.NON_FISH_NAMES)})),
+fsum AS (SELECT STATION, SPP_LABS, CASE WHEN count(CALC_WEIGHT) = count(*) THEN sum(CALC_WEIGHT) END AS WEIGHT
+         FROM lab GROUP BY STATION, SPP_LABS),
+cats AS {categories_values('SPP_LABS', K.FISH_BYCATCH_COLUMNS)},
+z AS (SELECT s.STATION, s.LAT_DD, s.LON_DD, c.SPP_LABS, coalesce(f.WEIGHT, 0.0::DOUBLE) AS WEIGHT
+      FROM stations s CROSS JOIN cats c LEFT JOIN fsum f ON f.STATION = s.STATION AND f.SPP_LABS = c.SPP_LABS)
+SELECT STATION, LAT_DD, LON_DD, """ + ", ".join(
+    f"{fx('max(WEIGHT) FILTER (WHERE SPP_LABS = ' + q(c) + ')', 6)} AS {c}" for c in K.FISH_BYCATCH_COLUMNS) + """
+FROM z GROUP BY STATION, LAT_DD, LON_DD"""
+
+
+# ---------------------------------------------------------------- crab bycatch / station layers
+
+_SPP_SEX = (f"CASE WHEN SPECIES_CODE = {K.HAIR_CRAB} AND (SEX = 1 OR SEX = 2) THEN 'HairCrab' "
+            f"WHEN SPECIES_CODE = {K.TANNER_CRAB} AND SEX = 1 THEN 'MaleTanner' "
+            f"WHEN SPECIES_CODE = {K.TANNER_CRAB} AND SEX = 2 THEN 'FemaleTanner' END")
+
+
+def _crab_long(unit_col: str, units_sql: str, unit_extra: str) -> str:
+    """units x 7 categories, zero-filled counts (R: right_join(expand_grid))."""
+    return f"""
+  SELECT u.UNIT, {unit_extra} c.SPP_SEX, coalesce(p.COUNT, 0.0::DOUBLE) AS COUNT
+  FROM ({units_sql}) u CROSS JOIN {categories_values('SPP_SEX', K.SPP_SEX_CATEGORIES)} c
+  LEFT JOIN (SELECT {unit_col} AS UNIT, SPP_SEX, sum(1.0::DOUBLE) AS COUNT
+             FROM (SELECT *, {_SPP_SEX} AS SPP_SEX FROM specimens
+                   WHERE SPECIES_CODE IS NULL OR SPECIES_CODE NOT IN ({K.RED_KING_CRAB}))
+             GROUP BY {unit_col}, SPP_SEX) p
+    ON p.UNIT = u.UNIT AND p.SPP_SEX = c.SPP_SEX"""
+
+
+ORACLE["crab_bycatch"] = f"""
+WITH specimens AS ({SPECIMENS}), stations AS ({STATIONS}),
+z AS ({_crab_long('STATION_KEY', 'SELECT STATION AS UNIT, LAT_DD, LON_DD FROM stations', 'u.LAT_DD, u.LON_DD,')}),
+w AS (SELECT UNIT AS STATION, LAT_DD, LON_DD, """ + ", ".join(
+    f"max(COUNT) FILTER (WHERE SPP_SEX = {q(c)}) AS {c}" for c in K.SPP_SEX_CATEGORIES) + """
+      FROM z GROUP BY UNIT, LAT_DD, LON_DD)
+SELECT *, MaleTanner + FemaleTanner AS Tanner, MaleSnow + FemaleSnow AS Snow, MaleHybrid + FemaleHybrid AS Hybrid
+FROM w"""
+
+_TRAWL_MAT = f"""
+sp AS (SELECT STATION_KEY AS STATION, SPECIES_CODE, SEX, LENGTH, CLUTCH_SIZE, SHELL_CONDITION,
+              1.0::DOUBLE AS SAMPLING_FACTOR FROM specimens),
+mat_spec AS (
+  SELECT STATION, SAMPLING_FACTOR, {MATURITY_CASE} AS MAT_SEX FROM sp
+  UNION ALL
+  SELECT * FROM (SELECT STATION, SAMPLING_FACTOR, {LEGAL_CASE} AS MAT_SEX FROM sp) WHERE MAT_SEX IS NOT NULL),
+pos AS (SELECT STATION, MAT_SEX, sum(SAMPLING_FACTOR) AS C FROM mat_spec GROUP BY STATION, MAT_SEX),
+cpue AS (SELECT s.STATION, s.LAT_DD, s.LON_DD, c.MAT_SEX, coalesce(p.C, 0.0::DOUBLE) AS COUNT
+         FROM stations s CROSS JOIN {categories_values('MAT_SEX', K.MAT_SEX_CATEGORIES)} c
+         LEFT JOIN pos p ON p.STATION = s.STATION AND p.MAT_SEX = c.MAT_SEX)"""
+
+ORACLE["station_total"] = f"""
+WITH specimens AS ({SPECIMENS}), stations AS ({STATIONS}), {_TRAWL_MAT}
+SELECT STATION, LAT_DD, LON_DD, {fx('sum(COUNT)', 4)} AS COUNT FROM cpue
+WHERE MAT_SEX IN ({in_list(K.MATURITY_TOTAL_CATEGORIES)}) GROUP BY STATION, LAT_DD, LON_DD"""
+
+_SHELL_CASE = "CASE " + " ".join(
+    f"WHEN SPECIES_CODE = {K.RED_KING_CRAB} AND SEX = {sx} AND {cond} AND SHELL_CONDITION = {k} THEN '{who} SC{k}'"
+    for who, sx, cond in (("Mature male", 1, f"LENGTH >= {K.MATURE_MALE_MM}"), ("Mature female", 2, "CLUTCH_SIZE >= 1"))
+    for k in (1, 2, 3)) + " END"
+
+ORACLE["shell_counts"] = f"""
+WITH specimens AS ({SPECIMENS}), stations AS ({STATIONS}),
+sc AS (SELECT STATION_KEY AS STATION, {_SHELL_CASE} AS MAT_SEX_SC FROM specimens),
+pos AS (SELECT STATION, MAT_SEX_SC, sum(1.0::DOUBLE) AS C FROM sc WHERE MAT_SEX_SC IS NOT NULL GROUP BY ALL)
+SELECT s.STATION, s.LAT_DD, s.LON_DD, c.MAT_SEX_SC, coalesce({fx('p.C', 4)}, 0.0::DOUBLE) AS COUNT
+FROM stations s CROSS JOIN {categories_values('MAT_SEX_SC', K.SHELL_CATEGORIES)} c
+LEFT JOIN pos p ON p.STATION = s.STATION AND p.MAT_SEX_SC = c.MAT_SEX_SC"""
+
+_GEAR = ("CASE WHEN VESSEL IN ('Marahute', 'Provider') THEN 'POT' WHEN VESSEL IN ('Vesteraalen') THEN 'TRAWL' END")
+
+SPECIES_LONG = f"""
+  SELECT {_GEAR} AS GEAR, UNIT, SPP_SEX AS SPECIES, COUNT AS VALUE FROM (
+    {_crab_long('SPN', 'SELECT SPN AS UNIT, VESSEL FROM lifts', 'u.VESSEL,')})
+  UNION ALL
+  SELECT {_GEAR} AS GEAR, UNIT, SPP_SEX AS SPECIES, COUNT AS VALUE FROM (
+    {_crab_long('STATION_KEY', "SELECT STATION AS UNIT, 'Vesteraalen' AS VESSEL FROM stations", 'u.VESSEL,')})"""
+
+ORACLE["species_long"] = f"""
+WITH {BASE_CTES}, stations AS ({STATIONS})
+{SPECIES_LONG}"""
+
+ORACLE["layer_scales"] = f"""
+WITH {BASE_CTES}, stations AS ({STATIONS}), sl AS ({SPECIES_LONG}),
+lim AS (SELECT GEAR, SPECIES, max(VALUE) AS MAXV FROM sl WHERE GEAR IS NOT NULL GROUP BY GEAR, SPECIES),
+l2 AS (SELECT GEAR, SPECIES,
+              CASE WHEN SPECIES IN ({in_list(K.CRAB_LAYERS)}) THEN 'count' ELSE 'kg' END AS UNIT,
+              MAXV + 5.0::DOUBLE - (MAXV % 5.0::DOUBLE) AS SCALE_LIMIT FROM lim)
+SELECT GEAR, SPECIES, UNIT, SCALE_LIMIT, CAST(t.i AS INTEGER) AS BREAK_NO, {fx('t.i * SCALE_LIMIT / 5.0::DOUBLE', 4)} AS BREAK_VALUE
+FROM l2 CROSS JOIN range(0, 6) t(i)"""
+
+ORACLE["survey_range"] = """
+WITH u AS (SELECT '1998' AS SURVEY, o_totalprice / 100000.0::DOUBLE AS T FROM orders WHERE year(o_orderdate) = 1998
+           UNION ALL
+           SELECT '1999' AS SURVEY, o_totalprice / 100000.0::DOUBLE AS T FROM orders WHERE year(o_orderdate) = 1999)
+SELECT CASE WHEN grouping(SURVEY) = 1 THEN 'ALL' ELSE SURVEY END AS SURVEY,
+       min(T) AS T_MIN, max(T) AS T_MAX, count(*) AS N
+FROM u GROUP BY ROLLUP (SURVEY)"""
+
+
+# ---------------------------------------------------------------- data quality
+
+SPECIMEN_TABLE = f"""{BASE_CTES}, sf AS ({SF_ROWS}),
+stab AS (SELECT sf.*, l.VESSEL, sf.SEX = 2 AS FEM FROM sf LEFT JOIN lifts l ON l.SPN = sf.SPN)"""
+
+_INV_COLS = ["VESSEL", "CRUISE", "SPECIES_CODE", "SEX", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION",
+             "CLUTCH_SIZE", "FEM"]
+_INV_SETS = {1: ["VESSEL", "CRUISE"], 2: ["VESSEL", "CRUISE", "SPECIES_CODE", "SEX"],
+             3: ["SPECIES_CODE", "SEX", "SHELL_CONDITION"],
+             4: ["SPECIES_CODE", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "FEM"]}
+_GIDS = {k: sum(1 << (len(_INV_COLS) - 1 - i) for i, c in enumerate(_INV_COLS) if c not in v)
+         for k, v in _INV_SETS.items()}
+
+ORACLE["inventory"] = f"""
+WITH {SPECIMEN_TABLE},
+g AS (SELECT {', '.join(_INV_COLS)},
+             CASE WHEN count(SAMPLING_FACTOR) = count(*) THEN sum(SAMPLING_FACTOR) END AS C, count(*) AS N,
+             grouping({', '.join(_INV_COLS)}) AS GID
+      FROM stab GROUP BY GROUPING SETS ({', '.join('(' + ', '.join(v) + ')' for v in _INV_SETS.values())})),
+h AS (SELECT *, CASE GID {' '.join(f'WHEN {g} THEN {k}' for k, g in _GIDS.items())} END AS INVENTORY FROM g)
+SELECT INVENTORY, VESSEL, CRUISE, SPECIES_CODE, SEX, SHELL_CONDITION, EGG_COLOR, EGG_CONDITION, CLUTCH_SIZE,
+       {fx('C', 4)} AS COUNT, N
+FROM h WHERE INVENTORY <> 4 OR coalesce(FEM, false)"""
+
+ORACLE["length_ranges"] = f"""
+WITH {SPECIMEN_TABLE}
+SELECT SPECIES_CODE, SEX,
+       CASE WHEN count(LENGTH) = count(*) THEN min(LENGTH) END AS MIN_LENGTH,
+       CASE WHEN count(LENGTH) = count(*) THEN max(LENGTH) END AS MAX_LENGTH,
+       {fx('CASE WHEN count(SAMPLING_FACTOR) = count(*) THEN min(SAMPLING_FACTOR) END', 6)} AS MIN_SAMPLING_FACTOR,
+       {fx('CASE WHEN count(SAMPLING_FACTOR) = count(*) THEN max(SAMPLING_FACTOR) END', 6)} AS MAX_SAMPLING_FACTOR
+FROM stab GROUP BY SPECIES_CODE, SEX"""
+
+_FEM = "SEX <> 1"
+_NOCOV = "DISEASE_DORSAL IS NULL AND DISEASE_VENTRAL IS NULL AND DISEASE_LEGS IS NULL"
+_ANYCOV = "(DISEASE_DORSAL IS NOT NULL OR DISEASE_VENTRAL IS NOT NULL OR DISEASE_LEGS IS NOT NULL)"
+QUALITY_RULES = [
+    ("Q1", "cruise not the expected one", "NOT coalesce(CRUISE IN (202401), false)", None),
+    ("Q2", "vessel not in the survey's set", "NOT coalesce(VESSEL IN ('Marahute', 'Provider'), false)", None),
+    ("Q3", "species code not expected", f"NOT coalesce(SPECIES_CODE IN ({K.RED_KING_CRAB}), false)", None),
+    ("Q4", "sex not 1 or 2", "NOT coalesce(SEX IN (1, 2), false)", None),
+    ("Q5", "female egg color not in {0, 2-6}", f"NOT coalesce(EGG_COLOR IN ({in_list(K.EGG_COLOR_CODES)}), false)", _FEM),
+    ("Q6", "female egg condition not in 0-5", f"NOT coalesce(EGG_CONDITION IN ({in_list(K.EGG_CONDITION_CODES)}), false)", _FEM),
+    ("Q7", "female clutch size not in {0-6, 999}", f"NOT coalesce(CLUTCH_SIZE IN ({in_list(K.CLUTCH_CODES)}), false)", _FEM),
+    ("Q8", "male with egg color, egg condition or clutch size",
+     "SEX = 1 AND (EGG_COLOR IS NOT NULL OR EGG_CONDITION IS NOT NULL OR CLUTCH_SIZE IS NOT NULL)", None),
+    ("Q9a", "female shell 0 with egg condition 1", f"{_FEM} AND SHELL_CONDITION = 0 AND EGG_CONDITION = 1", _FEM),
+    ("Q9b", "female shell 1 with egg condition > 1", f"{_FEM} AND SHELL_CONDITION = 1 AND EGG_CONDITION > 1", _FEM),
+    ("Q9c", "female shell 3-5 with egg condition 1", f"{_FEM} AND SHELL_CONDITION IN (3, 4, 5) AND EGG_CONDITION = 1", _FEM),
+    ("Q10", "female missing an egg code", "SEX = 2 AND (EGG_COLOR IS NULL OR EGG_CONDITION IS NULL OR CLUTCH_SIZE IS NULL)", None),
+    ("Q11", "missing length", "LENGTH IS NULL", None),
+    ("Q12", "female < 65 mm with clutch > 0", f"{_FEM} AND LENGTH < 65 AND CLUTCH_SIZE > 0", _FEM),
+    ("Q13", "length < 60 with shell condition > 2", "LENGTH < 60 AND SHELL_CONDITION > 2", None),
+    ("Q14", "width entered for a length-measured species",
+     f"coalesce(SPECIES_CODE IN ({K.RED_KING_CRAB}), false) AND WIDTH IS NOT NULL", None),
+    ("Q16", "black mat without % coverage", f"DISEASE_CODE = 1 AND {_NOCOV}", None),
+    ("Q17", "bitter crab recorded", "DISEASE_CODE = 2", None),
+    ("Q18", "coverage entered without a disease code", f"DISEASE_CODE IS NULL AND {_ANYCOV}", None),
+    ("Q19", "disease code > 9", "DISEASE_CODE > 9", None),
+    ("Q21", "sampling factor < 1", "SAMPLING_FACTOR < 1", None),
+]
+
+ORACLE["quality_report"] = f"""
+WITH {SPECIMEN_TABLE},
+a AS (SELECT """ + ", ".join(
+    f"count(*) FILTER (WHERE coalesce({ap or 'true'}, false) AND coalesce({v}, false)) AS v{i}, "
+    f"count(*) FILTER (WHERE coalesce({ap or 'true'}, false)) AS c{i}"
+    for i, (_, _, v, ap) in enumerate(QUALITY_RULES)) + """ FROM stab)
+""" + "\nUNION ALL\n".join(
+    f"SELECT {q(r)} AS RULE_ID, {q(dsc)} AS DESCRIPTION, v{i} AS VIOLATIONS, c{i} AS CHECKED FROM a"
+    for i, (r, dsc, _, _) in enumerate(QUALITY_RULES))
+
+ORACLE["orphan_units"] = """
+SELECT DISTINCT o_orderkey AS SPN, 'lifts_only' AS SIDE FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+UNION ALL
+SELECT DISTINCT l_orderkey AS SPN, 'catch_only' AS SIDE FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)"""

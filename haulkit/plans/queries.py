@@ -174,3 +174,236 @@ QUERIES.update({
     "hhmm": hhmm_times,
     "biometrics_wide": biometrics_wide,
 })
+
+
+# ---------------------------------------------------------------- specimen joins
+
+def specimen_join_out(spark: SparkSession, d: str) -> DataFrame:
+    """Specimens with species names and lift attributes
+    (right join onto the specimens, NULL-matching keys), rows with no position
+    and no lift id dropped."""
+    from ..functions.nulls import require_any
+    from ..operators.joins import null_safe_join
+    sp = B.specimens(spark, d)
+    parts = B.table(spark, d, "part").select(F.col("p_partkey").alias("PART"), F.col("p_type").alias("SPECIES_NAME"))
+    j = null_safe_join(sp, parts, ["PART"], "left")
+    lifts = B.lifts(spark, d).select("SPN", "VESSEL", "POT_ID", "LAT_DD", "LON_DD")
+    j = null_safe_join(lifts, j, ["SPN"], "right")
+    j = require_any(j, ["LAT_DD", "LON_DD", "SPN"])
+    return j.select("SPN", "SPECIMEN_ID", "VESSEL", "POT_ID", "LAT_DD", "LON_DD", "SPECIES_CODE",
+                    "SPECIES_NAME", "SEX", "LENGTH")
+
+
+def basket_weight(spark: SparkSession, d: str) -> DataFrame:
+    """Strict basket weight per sample x species x sex, joined to the
+    distinct sample attributes."""
+    from ..operators.joins import null_safe_join
+    sp = B.specimens(spark, d)
+    w = F.when((F.col("SPN") % 211 == 0) & (F.col("SPECIMEN_ID") == 2), F.lit(None).cast("double")) \
+         .otherwise(F.col("WEIGHT"))
+    sp = sp.withColumn("WEIGHT", w)
+    keys = ["SPN", "SPECIES_CODE", "SEX"]
+    tot = C.basket_weight(sp, keys, "WEIGHT").withColumn("WEIGHT", fix("WEIGHT", 2))
+    attrs = sp.select(*keys, "LINESTATUS").distinct()
+    return null_safe_join(tot, attrs, keys, "left").select(*keys, "LINESTATUS", "WEIGHT")
+
+
+# ---------------------------------------------------------------- groundfish
+
+def _fish(spark, d):
+    from ..operators import fish as FI
+    return FI.flatfish_expand(FI.clean_fish(B.fish_samples(spark, d), B.fish_names(spark)))
+
+
+def flatfish_expand(spark: SparkSession, d: str) -> DataFrame:
+    """Flatfish factor per station, expanded weight."""
+    f = _fish(spark, d)
+    return f.select("STATION", "CATCH_SAMPLE_ID", "SAMPLE_VALUE_ID", "SPECIES_CODE", "SPECIES_NAME",
+                    "SAMPLE_VALUE_WEIGHT", fix("SAMPLING_FACTOR", 6).alias("SAMPLING_FACTOR"),
+                    fix(F.col("SAMPLE_VALUE_WEIGHT") * F.col("SAMPLING_FACTOR"), 6).alias("CALC_WEIGHT"))
+
+
+FISH_KEYS = ["STATION", "CATCH_SAMPLE_ID", "SPECIES_CODE", "SPECIES_NAME", "SAMPLING_FACTOR"]
+
+
+def _fish_catch(spark, d):
+    from ..operators import fish as FI
+    return FI.estimate_counts(_fish(spark, d), FISH_KEYS)
+
+
+def estimate_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Individual weight from distinct basket weights/counts,
+    estimated counts, expanded weight and count per sample x species."""
+    e = _fish_catch(spark, d)
+    return e.select("STATION", "CATCH_SAMPLE_ID", "SPECIES_CODE", "SPECIES_NAME",
+                    fix("SAMPLING_FACTOR", 6).alias("SAMPLING_FACTOR"), fix("IND_WEIGHT", 6).alias("IND_WEIGHT"),
+                    fix("WEIGHT", 6).alias("WEIGHT"), fix("COUNT", 4).alias("COUNT"),
+                    fix("CALC_WEIGHT", 6).alias("CALC_WEIGHT"), fix("CALC_COUNT", 4).alias("CALC_COUNT"))
+
+
+def station_species_weights(spark: SparkSession, d: str) -> DataFrame:
+    """Expanded fish weight per station and bycatch label,
+    every sampled station and label present (0 where none)."""
+    from ..operators import bycatch as BY
+    from ..operators import fish as FI
+    wide = FI.station_label_weights(_fish_catch(spark, d), ["STATION"])
+    st = B.stations(spark, d).drop("TEMP")
+    sheet = BY.zero_filled_sheet(st, wide, ["STATION"], K.FISH_BYCATCH_COLUMNS)
+    return sheet.select("STATION", "LAT_DD", "LON_DD", *[fix(c, 6).alias(c) for c in K.FISH_BYCATCH_COLUMNS])
+
+
+# ---------------------------------------------------------------- crab bycatch / station layers
+
+def _trawl_specimens(spark, d):
+    return B.specimens(spark, d).withColumns({"STATION": F.col("STATION_KEY"),
+                                              "SAMPLING_FACTOR": F.lit(1.0)})
+
+
+def _crab_sheet(units, unit_keys, sp):
+    from ..operators import bycatch as BY
+    wide = BY.crab_bycatch_wide(sp, unit_keys)
+    sheet = BY.zero_filled_sheet(units, wide, unit_keys, K.SPP_SEX_CATEGORIES)
+    return BY.add_species_totals(sheet)
+
+
+def crab_bycatch(spark: SparkSession, d: str) -> DataFrame:
+    """Trawl crab bycatch per station, 7 species x
+    sex columns zero-filled, species totals."""
+    st = B.stations(spark, d).drop("TEMP")
+    sheet = _crab_sheet(st, ["STATION"], _trawl_specimens(spark, d))
+    return sheet.select("STATION", "LAT_DD", "LON_DD", *K.SPP_SEX_CATEGORIES, *K.SEX_SUMS)
+
+
+def _station_classes(spark, d, flags, category_col):
+    st = B.stations(spark, d).drop("TEMP")
+    sp = _trawl_specimens(spark, d).withColumn("__zero", F.lit(0))
+    totals = C.class_totals(sp, ["STATION"], [], "__zero", flags)
+    return C.zero_fill_wide(st, totals, ["STATION"], category_col, list(flags), "__pos")
+
+
+def station_total(spark: SparkSession, d: str) -> DataFrame:
+    """Trawl CPUE per station x maturity class, zero-filled, then
+    the station total over the four maturity classes."""
+    flags = C.maturity_flags("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE",
+                             K.RED_KING_CRAB, K.MATURE_MALE_MM, K.LEGAL_MALE_MM)
+    long = _station_classes(spark, d, flags, "MAT_SEX").withColumn("COUNT", F.coalesce("__pos", F.lit(0.0)))
+    tot = C.station_total(long, ["STATION", "LAT_DD", "LON_DD"], "MAT_SEX", K.MATURITY_TOTAL_CATEGORIES)
+    return tot.select("STATION", "LAT_DD", "LON_DD", fix("COUNT", 4).alias("COUNT"))
+
+
+def shell_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Mature crab per station x sex x shell condition 1-3, zero-filled."""
+    from .. import constants as KK
+    sp, sx, ln, cl, sc = (F.col(c) for c in ("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE", "SHELL_CONDITION"))
+    mm = (sp == KK.RED_KING_CRAB) & (sx == KK.MALE) & (ln >= KK.MATURE_MALE_MM)
+    mf = (sp == KK.RED_KING_CRAB) & (sx == KK.FEMALE) & (cl >= 1)
+    flags = {f"Mature male SC{k}": mm & (sc == k) for k in (1, 2, 3)}
+    flags.update({f"Mature female SC{k}": mf & (sc == k) for k in (1, 2, 3)})
+    long = _station_classes(spark, d, flags, "MAT_SEX_SC")
+    return long.select("STATION", "LAT_DD", "LON_DD", "MAT_SEX_SC",
+                       F.coalesce(fix("__pos", 4), F.lit(0.0)).alias("COUNT"))
+
+
+def _species_long(spark, d):
+    from ..functions.scalar import gear_of
+    from ..operators.specimens import lengthen
+    sp = B.specimens(spark, d).withColumn("SAMPLING_FACTOR", F.lit(1.0))
+    lifts = B.lifts(spark, d).select("SPN", "VESSEL")
+    pot = _crab_sheet(lifts, ["SPN"], sp).select(gear_of("VESSEL").alias("GEAR"), F.col("SPN").alias("UNIT"),
+                                                 *K.SPP_SEX_CATEGORIES)
+    st = B.stations(spark, d).select("STATION", F.lit("Vesteraalen").alias("VESSEL"))
+    trawl = _crab_sheet(st, ["STATION"], _trawl_specimens(spark, d)).select(
+        gear_of("VESSEL").alias("GEAR"), F.col("STATION").alias("UNIT"), *K.SPP_SEX_CATEGORIES)
+    both = pot.unionByName(trawl)
+    return lengthen(both, ["GEAR", "UNIT"], K.SPP_SEX_CATEGORIES, "SPECIES", "VALUE")
+
+
+def species_long(spark: SparkSession, d: str) -> DataFrame:
+    """Pot (per lift) and trawl (per station) crab bycatch sheets,
+    unioned by name with a gear class, wide -> long."""
+    return _species_long(spark, d)
+
+
+def layer_scales(spark: SparkSession, d: str) -> DataFrame:
+    """Per gear x species legend limit (max rounded up to the
+    next multiple of 5) and its five equal breaks, one row per break."""
+    from ..functions import scalar as S
+    sl = _species_long(spark, d).where(F.col("GEAR").isNotNull())
+    lim = sl.groupBy("GEAR", "SPECIES").agg(F.max("VALUE").alias("MAXV"))
+    lim = lim.withColumns({"SCALE_LIMIT": S.round_up("MAXV", K.SCALE_ROUND_TO), "UNIT": S.measure_of("SPECIES")})
+    out = lim.select("GEAR", "SPECIES", "UNIT", "SCALE_LIMIT",
+                     F.posexplode(S.breaks("SCALE_LIMIT", K.SCALE_N_BREAKS)).alias("BREAK_NO", "BREAK_VALUE"))
+    return out.select("GEAR", "SPECIES", "UNIT", "SCALE_LIMIT", "BREAK_NO", fix("BREAK_VALUE", 4).alias("BREAK_VALUE"))
+
+
+def survey_range(spark: SparkSession, d: str) -> DataFrame:
+    """Two surveys' surfaces on one scale: per-survey and joint
+    min/max (ROLLUP: one pass)."""
+    o = B.table(spark, d, "orders")
+    y = F.year("o_orderdate")
+    t = (F.col("o_totalprice") / 100000.0).alias("T")
+    a = o.where(y == 1998).select(F.lit("1998").alias("SURVEY"), t)
+    b = o.where(y == 1999).select(F.lit("1999").alias("SURVEY"), t)
+    r = a.unionByName(b).rollup("SURVEY").agg(F.min("T").alias("T_MIN"), F.max("T").alias("T_MAX"),
+                                              F.count(F.lit(1)).alias("N"), F.grouping("SURVEY").alias("__g"))
+    return r.select(F.when(F.col("__g") == 1, "ALL").otherwise(F.col("SURVEY")).alias("SURVEY"),
+                    "T_MIN", "T_MAX", "N")
+
+
+# ---------------------------------------------------------------- data quality
+
+def _specimen_table(spark, d):
+    """Specimens with row-level sampling factor and vessel (the reference's
+    specimen product)."""
+    sp = C.sampling_factor(B.specimens(spark, d), ["SPN", "SPECIES_CODE", "SEX"], "TOSSED")
+    return sp.join(B.lifts(spark, d).select("SPN", "VESSEL"), "SPN", "left")
+
+
+def inventory(spark: SparkSession, d: str) -> DataFrame:
+    """Four inventories (Σ factor, rows) in one GROUPING SETS pass."""
+    from ..operators.quality import inventories
+    inv = inventories(_specimen_table(spark, d))
+    return inv.select("INVENTORY", "VESSEL", "CRUISE", "SPECIES_CODE", "SEX", "SHELL_CONDITION", "EGG_COLOR",
+                      "EGG_CONDITION", "CLUTCH_SIZE", fix("COUNT", 4).alias("COUNT"), "N")
+
+
+def length_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Strict min/max length and sampling factor by species x sex."""
+    from ..operators.quality import ranges
+    r = ranges(_specimen_table(spark, d))
+    return r.select("SPECIES_CODE", "SEX", "MIN_LENGTH", "MAX_LENGTH",
+                    fix("MIN_SAMPLING_FACTOR", 6).alias("MIN_SAMPLING_FACTOR"),
+                    fix("MAX_SAMPLING_FACTOR", 6).alias("MAX_SAMPLING_FACTOR"))
+
+
+def quality_report(spark: SparkSession, d: str) -> DataFrame:
+    """Q1-Q21: every specimen rule counted in one aggregation."""
+    from ..operators.quality import quality_report as report
+    return report(_specimen_table(spark, d))
+
+
+def orphan_units(spark: SparkSession, d: str) -> DataFrame:
+    """Lift ids present in the lift table only, or in the catch only."""
+    from ..operators.quality import orphan_units as orphans
+    lifts = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("SPN"))
+    catch = B.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("SPN"))
+    return orphans(lifts, catch, ["SPN"], "lifts_only", "catch_only")
+
+
+QUERIES.update({
+    "specimen_join_out": specimen_join_out,
+    "basket_weight": basket_weight,
+    "flatfish_expand": flatfish_expand,
+    "estimate_counts": estimate_counts,
+    "station_species_weights": station_species_weights,
+    "crab_bycatch": crab_bycatch,
+    "station_total": station_total,
+    "shell_counts": shell_counts,
+    "species_long": species_long,
+    "layer_scales": layer_scales,
+    "survey_range": survey_range,
+    "inventory": inventory,
+    "length_ranges": length_ranges,
+    "quality_report": quality_report,
+    "orphan_units": orphan_units,
+})
