@@ -508,3 +508,54 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 UNION ALL
 SELECT DISTINCT l_orderkey AS SPN, 'catch_only' AS SIDE FROM lineitem l
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)"""
+
+
+# ---------------------------------------------------------------- geometry
+
+def _stations_xy():
+    from ..functions.geo import ALASKA_ALBERS as A
+    x, y = A.forward_sql("LON_DD", "LAT_DD")
+    return f"SELECT STATION, LON_DD, LAT_DD, TEMP, {fx(x, 2)} AS X, {fx(y, 2)} AS Y FROM ({STATIONS})"
+
+
+def _window():
+    from ..functions.geo import window_corners
+    (x0, x1), (y0, y1) = window_corners()
+    return f"X BETWEEN {x0!r} AND {x1!r} AND Y BETWEEN {y0!r} AND {y1!r}"
+
+
+def _pip_sql():
+    from ..operators.spatial import layer_edges_sql
+    return f"""
+  SELECT p.STATION, e.poly_id AS POLY_ID FROM pts p, {layer_edges_sql()} e
+  WHERE (e.y1 > p.Y) <> (e.y2 > p.Y) AND p.X < e.x1 + (p.Y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+  GROUP BY p.STATION, e.poly_id HAVING count(*) % 2 = 1"""
+
+
+ORACLE["albers"] = f"""
+WITH pts AS ({_stations_xy()})
+SELECT STATION, LON_DD, LAT_DD, X, Y, ({_window()}) AS IN_WINDOW FROM pts"""
+
+ORACLE["points_in_polygon"] = f"WITH pts AS ({_stations_xy()}) {_pip_sql()}"
+
+ORACLE["outside_areas"] = f"""
+WITH pts AS ({_stations_xy()}), inside AS ({_pip_sql()})
+SELECT STATION, X, Y FROM pts WHERE STATION NOT IN (SELECT STATION FROM inside)"""
+
+ORACLE["grid"] = f"""
+WITH pts AS ({_stations_xy()}),
+bb AS (SELECT CAST(floor(min(X) / 1000.0::DOUBLE) AS BIGINT) AS ix0, CAST(floor(max(X) / 1000.0::DOUBLE) AS BIGINT) AS ix1,
+              CAST(floor(min(Y) / 1000.0::DOUBLE) AS BIGINT) AS iy0, CAST(floor(max(Y) / 1000.0::DOUBLE) AS BIGINT) AS iy1
+       FROM pts),
+xs AS (SELECT unnest(range(ix0, ix1 + 1)) AS IX FROM bb),
+ys AS (SELECT unnest(range(iy0, iy1 + 1)) AS IY FROM bb)
+SELECT IX, IY, (IX + 0.5::DOUBLE) * 1000.0::DOUBLE AS X, (IY + 0.5::DOUBLE) * 1000.0::DOUBLE AS Y FROM xs CROSS JOIN ys"""
+
+ORACLE["empirical_variogram"] = f"""
+WITH pts AS (SELECT X, Y, avg(TEMP) AS Z FROM (SELECT DISTINCT X, Y, TEMP FROM ({_stations_xy()})) GROUP BY X, Y),
+n AS (SELECT *, row_number() OVER (ORDER BY X, Y) AS ID FROM pts),
+pr AS (SELECT sqrt((a.X - b.X) ** 2 + (a.Y - b.Y) ** 2) AS DIST, 0.5::DOUBLE * (a.Z - b.Z) ** 2 AS G
+       FROM n a JOIN n b ON a.ID < b.ID)
+SELECT CAST(floor(DIST / 10000.0::DOUBLE) AS INTEGER) AS BIN, count(*) AS NP, {fx('avg(DIST)', 2)} AS DIST,
+       {fx('avg(G)', 6)} AS GAMMA
+FROM pr WHERE DIST <= 150000.0::DOUBLE GROUP BY BIN"""

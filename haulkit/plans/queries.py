@@ -407,3 +407,93 @@ QUERIES.update({
     "quality_report": quality_report,
     "orphan_units": orphan_units,
 })
+
+
+# ---------------------------------------------------------------- geometry and interpolation
+
+VARIO_CUTOFF = 150_000.0
+VARIO_WIDTH = 10_000.0
+
+
+def _projected_stations(spark, d):
+    from ..operators.spatial import project
+    return project(B.stations(spark, d))
+
+
+def albers(spark: SparkSession, d: str) -> DataFrame:
+    """Stations projected to Alaska Albers (cm), in-window flag."""
+    from ..functions.geo import in_window
+    p = _projected_stations(spark, d)
+    return p.select("STATION", "LON_DD", "LAT_DD", "X", "Y", in_window("X", "Y").alias("IN_WINDOW"))
+
+
+def _layers(spark):
+    from ..operators.spatial import TEST_LAYERS, polygon_vertices
+    return polygon_vertices(spark, TEST_LAYERS)
+
+
+def points_in_polygon(spark: SparkSession, d: str) -> DataFrame:
+    """Stations inside each polygon layer (square, square with hole, concave)."""
+    from ..operators.spatial import points_in_polygon as pip
+    r = pip(_projected_stations(spark, d), _layers(spark), "STATION")
+    return r.select("STATION", F.col("poly_id").alias("POLY_ID"))
+
+
+def outside_areas(spark: SparkSession, d: str) -> DataFrame:
+    """Stations outside every area layer (the coordinate check)."""
+    from ..operators.spatial import outside_areas as outside
+    return outside(_projected_stations(spark, d), _layers(spark), "STATION").select("STATION", "X", "Y")
+
+
+def grid(spark: SparkSession, d: str) -> DataFrame:
+    """1 km cells over the projected extent of the stations."""
+    from ..operators.spatial import extent_of, make_grid
+    return make_grid(extent_of(_projected_stations(spark, d)), K.GRID_RES_M,
+                     int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _samples(spark, d):
+    from ..operators.krige import dedupe_samples
+    return dedupe_samples(_projected_stations(spark, d).select("X", "Y", F.col("TEMP").alias("Z")))
+
+
+def empirical_variogram(spark: SparkSession, d: str) -> DataFrame:
+    """Semivariance by 10 km distance bin up to 150 km (tile equi-join)."""
+    from ..operators.krige import empirical_variogram as ev
+    v = ev(_samples(spark, d), VARIO_CUTOFF, VARIO_WIDTH)
+    return v.select("BIN", "NP", fix("DIST", 2).alias("DIST"), fix("GAMMA", 6).alias("GAMMA"))
+
+
+def variogram_fit(spark: SparkSession, d: str) -> DataFrame:
+    """Bessel model (nugget, partial sill, range) by weighted least squares."""
+    from ..operators.krige import empirical_variogram as ev
+    from ..operators.krige import fit_variogram
+    return fit_variogram(ev(_samples(spark, d), VARIO_CUTOFF, VARIO_WIDTH))
+
+
+def temp_surface(spark: SparkSession, d: str) -> DataFrame:
+    """Kriged bottom temperature on the 1 km grid inside the
+    survey boundary, with its temperature band."""
+    from ..functions.scalar import temp_band
+    from ..operators.krige import krige
+    from ..operators.spatial import extent_of, make_grid, points_in_polygon as pip, polygon_vertices, TEST_LAYERS
+    m = variogram_fit(spark, d).first()
+    samples = _samples(spark, d)
+    cells = make_grid(extent_of(_projected_stations(spark, d)), K.GRID_RES_M)
+    cells = cells.withColumn("CELL", F.col("IX") * F.lit(1 << 32) + F.col("IY"))
+    boundary = polygon_vertices(spark, {"boundary": TEST_LAYERS["strata"]})
+    inside = pip(cells, boundary, "CELL").select("CELL")
+    cells = cells.join(inside, "CELL", "left_semi")
+    pred = krige(samples, cells, float(m["NUGGET"]), float(m["PSILL"]), float(m["RANGE"]), target_id="CELL")
+    return pred.select("CELL", "X", "Y", F.col("PRED").alias("TEMPERATURE"), temp_band("PRED").alias("BAND"))
+
+
+QUERIES.update({
+    "albers": albers,
+    "points_in_polygon": points_in_polygon,
+    "outside_areas": outside_areas,
+    "grid": grid,
+    "empirical_variogram": empirical_variogram,
+    "variogram_fit": variogram_fit,
+    "temp_surface": temp_surface,
+})
