@@ -559,3 +559,37 @@ pr AS (SELECT sqrt((a.X - b.X) ** 2 + (a.Y - b.Y) ** 2) AS DIST, 0.5::DOUBLE * (
 SELECT CAST(floor(DIST / 10000.0::DOUBLE) AS INTEGER) AS BIN, count(*) AS NP, {fx('avg(DIST)', 2)} AS DIST,
        {fx('avg(G)', 6)} AS GAMMA
 FROM pr WHERE DIST <= 150000.0::DOUBLE GROUP BY BIN"""
+
+
+# ---------------------------------------------------------------- map layers and files
+
+def _map_layer_sql():
+    from ..functions.geo import ALASKA_ALBERS as A
+    x, y = A.forward_sql("LON_DD", "LAT_DD")
+    return f"""
+WITH specimens AS ({SPECIMENS}), stations AS ({STATIONS}), {_TRAWL_MAT},
+pot AS (SELECT VESSEL, POT_ID AS STATION, LAT_DD, LON_DD, MAT_SEX AS CATEGORY, COUNT
+        FROM ({ZERO_FILLED_CATCH}) WHERE length(POT_ID) <= 3),
+trawl AS (SELECT 'Vesteraalen' AS VESSEL, CAST(STATION AS VARCHAR) AS STATION, LAT_DD, LON_DD,
+                 MAT_SEX AS CATEGORY, {fx('COUNT', 4)} AS COUNT FROM cpue),
+u AS (SELECT * FROM pot UNION ALL SELECT * FROM trawl)
+SELECT {_GEAR} AS GEAR, VESSEL, STATION, LAT_DD, LON_DD, CATEGORY, COUNT, {fx(x, 2)} AS X, {fx(y, 2)} AS Y,
+       COUNT = 0 AS IS_ZERO, 'count' AS UNIT
+FROM u"""
+
+
+ORACLE["map_layer"] = _map_layer_sql()
+
+ORACLE["compare_surveys"] = f"""
+WITH z AS (SELECT * FROM ({ZERO_FILLED_CATCH}) WHERE MAT_SEX = 'Mature female'),
+u AS (SELECT CAST(year(strptime(DATE_SET, '%m/%d/%Y')) AS VARCHAR) AS SURVEY, SPN, COUNT FROM z
+      WHERE year(strptime(DATE_SET, '%m/%d/%Y')) IN (1998, 1999)),
+m AS (SELECT max(COUNT) AS MX FROM u)
+SELECT SURVEY, SPN, COUNT, m.MX + 5.0::DOUBLE - (m.MX % 5.0::DOUBLE) AS SCALE_LIMIT FROM u, m"""
+
+ORACLE["csv_drop_roundtrip"] = f"""
+WITH specimens AS ({SPECIMENS})
+SELECT CAST(SPN AS INTEGER) AS HAUL, 'H' || CAST(SPN AS VARCHAR) AS HAUL_ID, SPECIES_CODE, SEX, LENGTH,
+       CASE WHEN SPN % 2 = 0 THEN WIDTH END AS WIDTH, SHELL_CONDITION, EGG_COLOR, EGG_CONDITION, CLUTCH_SIZE,
+       DISEASE_CODE, DISEASE_DORSAL
+FROM specimens"""

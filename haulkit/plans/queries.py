@@ -497,3 +497,61 @@ QUERIES.update({
     "variogram_fit": variogram_fit,
     "temp_surface": temp_surface,
 })
+
+
+# ---------------------------------------------------------------- map layers and files
+
+def map_layer(spark: SparkSession, d: str) -> DataFrame:
+    """Pot and trawl CPUE per station x class in
+    one projected layer table."""
+    from ..functions.scalar import regular_station
+    from ..operators.layers import map_layer as layer
+    pot = (zero_filled_catch(spark, d).where(regular_station("POT_ID"))
+           .select("VESSEL", F.col("POT_ID").alias("STATION"), "LAT_DD", "LON_DD",
+                   F.col("MAT_SEX").alias("CATEGORY"), "COUNT"))
+    flags = C.maturity_flags("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE",
+                             K.RED_KING_CRAB, K.MATURE_MALE_MM, K.LEGAL_MALE_MM)
+    trawl = _station_classes(spark, d, flags, "MAT_SEX").select(
+        F.lit("Vesteraalen").alias("VESSEL"), F.col("STATION").cast("string").alias("STATION"), "LAT_DD", "LON_DD",
+        F.col("MAT_SEX").alias("CATEGORY"), fix(F.coalesce("__pos", F.lit(0.0)), 4).alias("COUNT"))
+    out = layer([pot, trawl], "COUNT", "CATEGORY", unit="count")
+    return out.select("GEAR", "VESSEL", "STATION", "LAT_DD", "LON_DD", "CATEGORY", "COUNT", "X", "Y",
+                      "IS_ZERO", "UNIT")
+
+
+def compare_surveys(spark: SparkSession, d: str) -> DataFrame:
+    """Mature females per lift for two survey years on one scale."""
+    from ..operators.layers import compare_surveys as compare
+    z = zero_filled_catch(spark, d).where(F.col("MAT_SEX") == "Mature female")
+    yr = F.year(F.to_date("DATE_SET", "M/d/yyyy"))
+    a = z.where(yr == 1998).select("SPN", "COUNT")
+    b = z.where(yr == 1999).select("SPN", "COUNT")
+    return compare(a, b, "1998", "1999", "COUNT").select("SURVEY", "SPN", "COUNT", "SCALE_LIMIT")
+
+
+def csv_drop_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """A1 A2 A3 A5: specimen drops written as CSV files whose headers differ
+    (half lack WIDTH and order columns differently), read back aligned by name."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.drops import read_drop
+    from ..sources.schemas import SPECIMEN
+    sp = B.specimens(spark, d)
+    rows = sp.select(F.col("SPN").cast("int").alias("HAUL"), F.concat(F.lit("H"), F.col("SPN")).alias("HAUL_ID"),
+                     "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION",
+                     "CLUTCH_SIZE", "DISEASE_CODE", "DISEASE_DORSAL")
+    folder = scratch_path(spark, f"drops-{uuid.uuid4().hex}")
+    opts = {"header": "true", "nullValue": "NA"}
+    rows.where(F.col("HAUL") % 2 == 0).write.options(**opts).mode("append").csv(folder)
+    drift = rows.where(F.col("HAUL") % 2 == 1).drop("WIDTH")
+    drift.select(*reversed(drift.columns)).write.options(**opts).mode("append").csv(folder)
+    back = read_drop(spark, folder, r"\.csv$", SPECIMEN, by_header=True, lineage=False)
+    return back.select("HAUL", "HAUL_ID", "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SHELL_CONDITION",
+                       "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "DISEASE_CODE", "DISEASE_DORSAL")
+
+
+QUERIES.update({
+    "map_layer": map_layer,
+    "compare_surveys": compare_surveys,
+    "csv_drop_roundtrip": csv_drop_roundtrip,
+})
