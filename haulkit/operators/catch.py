@@ -68,7 +68,8 @@ def explode_classes(rows: DataFrame, labelings: Sequence[Column], out: str = "MA
 
 
 def class_totals(specimens: DataFrame, unit_keys: Sequence[str], sample_keys: Sequence[str],
-                 tossed: str, classes: Mapping[str, Column]) -> DataFrame:
+                 tossed: str, classes: Mapping[str, Column],
+                 class_samples: Mapping[str, Mapping[str, object]] | None = None) -> DataFrame:
     """Σ SAMPLING_FACTOR per unit and class in two partial-aggregated stages.
 
     SAMPLING_FACTOR = (KEPT + TOSSED) / KEPT with KEPT = rows of the sample group
@@ -78,7 +79,14 @@ def class_totals(specimens: DataFrame, unit_keys: Sequence[str], sample_keys: Se
     be in several classes (maturity and legal labelings).  A NULL TOSSED makes
     the class total NULL (R's strict sum).  Output: unit keys + one column per
     class, NULL where the unit has no row of that class.
+
+    `class_samples` (class -> sample-key values all its rows share, e.g.
+    "Mature male" -> {SPECIES_CODE: 69322, SEX: 1}) allows one aggregation by
+    unit: each class then meets one sample group per unit, whose KEPT is a
+    conditional count in the same pass.
     """
+    if class_samples is not None:
+        return _class_totals_one_pass(specimens, unit_keys, tossed, classes, class_samples)
     g = list(unit_keys) + list(sample_keys)
     t = F.col(tossed)
     s1 = [F.count(F.lit(1)).alias("__kept")]
@@ -96,6 +104,43 @@ def class_totals(specimens: DataFrame, unit_keys: Sequence[str], sample_keys: Se
     return stage1.groupBy(*unit_keys).agg(*s2)
 
 
+def _class_totals_one_pass(specimens, unit_keys, tossed, classes, class_samples):
+    t = F.col(tossed)
+    combos = []
+    for name in classes:
+        v = tuple(sorted(class_samples[name].items()))
+        if v not in combos:
+            combos.append(v)
+    aggs = []
+    for k, v in enumerate(combos):
+        cond = None
+        for col_, val in v:
+            e = F.col(col_).isNull() if val is None else (F.col(col_) == F.lit(val))
+            cond = e if cond is None else cond & e
+        aggs.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(f"__k{k}"))
+    for i, flag in enumerate(classes.values()):
+        f = F.coalesce(flag, F.lit(False))
+        aggs += [F.count_if(f).alias(f"__n{i}"), F.sum(F.when(f, t)).alias(f"__t{i}"),
+                 F.count_if(f & t.isNull()).alias(f"__z{i}")]
+    a = specimens.groupBy(*unit_keys).agg(*aggs)
+    out = []
+    for i, name in enumerate(classes):
+        k = combos.index(tuple(sorted(class_samples[name].items())))
+        n, ts, z = F.col(f"__n{i}"), F.col(f"__t{i}"), F.col(f"__z{i}")
+        val = F.when((z == 0) & (n > 0), n + F.coalesce(ts, F.lit(0)) / F.col(f"__k{k}"))
+        out.append(val.alias(name))
+    return a.select(*unit_keys, *out)
+
+
+def maturity_samples(species_code: int) -> dict[str, dict[str, object]]:
+    """Sample-key values of the six maturity/legal classes (see class_totals)."""
+    from .. import constants as K
+    m = {"SPECIES_CODE": species_code, "SEX": K.MALE}
+    f = {"SPECIES_CODE": species_code, "SEX": K.FEMALE}
+    return {"Mature male": m, "Immature male": m, "Mature female": f, "Immature female": f,
+            "Legal male": m, "Sublegal male": m}
+
+
 def maturity_flags(species, sex, length, clutch, species_code: int, mature_mm: float,
                    legal_mm: float) -> dict[str, Column]:
     """Six overlapping class memberships (U2): maturity x sex, and legal size."""

@@ -30,6 +30,17 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over `defaultParallelism` tasks when it has fewer
+    splits (a file with one row group is read by one task).  Used before
+    heavy per-row parsing only; large inputs already have many splits and are
+    returned unchanged, so no extra shuffle is added at scale."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def vessel_code(custkey) -> F.Column:
     m = F.col(custkey) % 3
     return F.when(m == 0, 162).when(m == 1, 134)
@@ -37,7 +48,8 @@ def vessel_code(custkey) -> F.Column:
 
 def raw_lifts(spark: SparkSession, d: str) -> DataFrame:
     """Potlift sheet as typed by the crew: HHMM ints, m/d/Y strings, deg + min."""
-    o = table(spark, d, "orders")
+    o = spread(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                "o_orderdate", "o_orderpriority"))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     return o.select(
         k.alias("SPN"),
@@ -59,19 +71,20 @@ def raw_lifts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lifts(spark: SparkSession, d: str, tz: str = TZ) -> DataFrame:
-    """Clean lift table: decoded vessel, HH:MM times, soak hours, decimal degrees."""
-    r = raw_lifts(spark, d)
-    ts_set = S.lift_ts(F.col("DATE_SET"), S.hhmm("TIME_SET"), tz)
-    ts_haul = S.lift_ts(F.col("DATE_HAUL"), S.hhmm("TIME_HAUL"), tz)
-    return r.select(
+    """Clean lift table: decoded vessel, HH:MM times, soak hours, decimal degrees.
+
+    Two projections: times are parsed once, then the timestamps are built
+    from the parsed columns (one nested expression would repeat the parse)."""
+    r = raw_lifts(spark, d).select(
         S.decode_vessel("VESSEL_CODE", POT_VESSEL_CODES).alias("VESSEL"),
         "SPN", "POT_ID", "BUOY",
         S.fix(S.dm_to_dd("LAT_DEG", "LAT_MIN"), 6).alias("LAT_DD"),
         S.fix(S.dm_to_dd("LON_DEG", "LON_MIN", -1.0), 6).alias("LON_DD"),
         "DATE_SET", S.hhmm("TIME_SET").alias("TIME_SET"),
-        "DATE_HAUL", S.hhmm("TIME_HAUL").alias("TIME_HAUL"),
-        S.soak_hours(ts_set, ts_haul).alias("SOAK_TIME"),
-    )
+        "DATE_HAUL", S.hhmm("TIME_HAUL").alias("TIME_HAUL"))
+    ts_set = S.lift_ts("DATE_SET", "TIME_SET", tz)
+    ts_haul = S.lift_ts("DATE_HAUL", "TIME_HAUL", tz)
+    return r.withColumn("SOAK_TIME", S.soak_hours(ts_set, ts_haul))
 
 
 def species_of_part(partkey) -> F.Column:

@@ -25,7 +25,8 @@ def zero_filled_catch(spark: SparkSession, d: str) -> DataFrame:
     sp = B.specimens(spark, d)
     flags = C.maturity_flags("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE",
                              K.RED_KING_CRAB, K.MATURE_MALE_MM, K.LEGAL_MALE_MM)
-    totals = C.class_totals(sp, ["SPN"], ["SPECIES_CODE", "SEX"], "TOSSED", flags)
+    totals = C.class_totals(sp, ["SPN"], ["SPECIES_CODE", "SEX"], "TOSSED", flags,
+                            C.maturity_samples(K.RED_KING_CRAB))
     lifts = B.lifts(spark, d)
     long = C.zero_fill_wide(lifts, totals, ["SPN"], "MAT_SEX", K.MAT_SEX_CATEGORIES, "__pos")
     pos = fix("__pos", 4)
