@@ -128,34 +128,65 @@ def empirical_variogram(points: DataFrame, cutoff: float, width: float, id_col:
 
 # ---------------------------------------------------------------- I5
 
-def fit_variogram(vario: DataFrame, n_nugget: int = 11, n_sill: int = 21, n_range: int = 40,
-                  max_range: float | None = None) -> DataFrame:
-    """I5 (re-aimed): weighted least squares (weights N_j / h_j^2, as gstat's
-    default fit method) of the Bessel model over a parameter grid, on Spark.
-
-    The bins (bounded: cutoff / width of them) become one array; the grid is
-    generated with `sequence` + `explode` and each candidate's error is an
-    `aggregate` over the array; `min_by` picks the best.  No join."""
-    b = vario.agg(F.collect_list(F.struct("NP", "DIST", "GAMMA")).alias("bins"),
-                  F.max("GAMMA").alias("gmax"), F.max("DIST").alias("dmax"))
-    mr = F.lit(max_range) if max_range else F.col("dmax")
-    g = b.select("bins", "gmax", "dmax",
-                 F.explode(F.sequence(F.lit(0), F.lit(n_nugget - 1))).alias("i"))
-    g = g.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_sill))).alias("k"))
-    g = g.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_range))).alias("r"))
-    g = g.select("bins",
-                 (F.col("gmax") * F.col("i") / F.lit(float(max(n_nugget - 1, 1))) * F.lit(0.5)).alias("NUGGET"),
-                 (F.col("gmax") * F.lit(1.5) * F.col("k") / F.lit(float(n_sill))).alias("PSILL"),
-                 (mr * F.col("r") / F.lit(float(n_range))).alias("RANGE"))
-
-    def err(acc, bin_):
+def _fit_for_ranges(b: DataFrame, ranges: Column) -> DataFrame:
+    """For each candidate range the Bessel model is linear in (nugget, psill):
+    solve the 2x2 weighted normal equations exactly (clipped to >= 0), then
+    score the fit.  `b` holds the bins as one array."""
+    g = b.select("bins", "dmax", F.explode(ranges).alias("RANGE"))
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("sw", "sf", "sff", "sg", "sfg")])
+
+    def acc(a, bin_):
+        h = bin_["DIST"]
+        w = bin_["NP"].cast("double") / F.greatest(h * h, F.lit(1e-12))
+        f = F.lit(1.0) - xk1(h / F.col("RANGE"))
+        gm = bin_["GAMMA"]
+        return F.struct((a["sw"] + w).alias("sw"), (a["sf"] + w * f).alias("sf"), (a["sff"] + w * f * f).alias("sff"),
+                        (a["sg"] + w * gm).alias("sg"), (a["sfg"] + w * f * gm).alias("sfg"))
+
+    g = g.withColumn("m", F.aggregate("bins", zero, acc))
+    sw, sf, sff, sg, sfg = (F.col("m." + k) for k in ("sw", "sf", "sff", "sg", "sfg"))
+    det = sw * sff - sf * sf
+    c0 = (sg * sff - sf * sfg) / det
+    c1 = (sw * sfg - sf * sg) / det
+    c1_only = F.greatest(sfg / sff, F.lit(0.0))
+    c0_only = F.greatest(sg / sw, F.lit(0.0))
+    g = g.withColumns({
+        "NUGGET": F.when((det > 0) & (c0 >= 0) & (c1 >= 0), c0).when((det > 0) & (c0 < 0), F.lit(0.0)).otherwise(c0_only),
+        "PSILL": F.when((det > 0) & (c0 >= 0) & (c1 >= 0), c1).when((det > 0) & (c0 < 0), c1_only).otherwise(F.lit(0.0)),
+    })
+
+    def err(a, bin_):
         h = bin_["DIST"]
-        model = F.col("NUGGET") + F.col("PSILL") * (F.lit(1.0) - xk1(h / F.col("RANGE")))
         w = bin_["NP"].cast("double") / F.greatest(h * h, F.lit(1e-12))
-        return acc + w * (bin_["GAMMA"] - model) * (bin_["GAMMA"] - model)
+        model = F.col("NUGGET") + F.col("PSILL") * (F.lit(1.0) - xk1(h / F.col("RANGE")))
+        return a + w * (bin_["GAMMA"] - model) * (bin_["GAMMA"] - model)
 
     g = g.withColumn("SSE", F.aggregate("bins", F.lit(0.0), err))
-    best = g.agg(F.min_by(F.struct("NUGGET", "PSILL", "RANGE", "SSE"), "SSE").alias("m"))
+    return g.select("bins", "dmax", "NUGGET", "PSILL", "RANGE", "SSE")
+
+
+def fit_variogram(vario: DataFrame, n_range: int = 120, refine: int = 60, min_frac: float = 0.01,
+                  max_frac: float = 3.0) -> DataFrame:
+    """I5 (re-aimed): weighted least squares (weights N_j / h_j^2, gstat's
+    default fit method) of the Bessel model.
+
+    Nugget and partial sill are solved exactly per range; the range is
+    searched on a geometric grid between `min_frac` and `max_frac` of the
+    largest lag, then refined around the best.  The bins (bounded: cutoff /
+    width of them) travel as one array; candidates are generated with
+    `sequence` + `explode`; `min_by` picks the best.  No join, no driver loop
+    over data."""
+    b = vario.agg(F.collect_list(F.struct("NP", "DIST", "GAMMA")).alias("bins"), F.max("DIST").alias("dmax"))
+    lo, hi = F.col("dmax") * F.lit(min_frac), F.col("dmax") * F.lit(max_frac)
+    ratio = F.pow(hi / lo, F.lit(1.0 / (n_range - 1)))
+    coarse = F.transform(F.sequence(F.lit(0), F.lit(n_range - 1)), lambda i: lo * F.pow(ratio, i))
+    # the bins ride along through the first aggregate (same array on every row)
+    b2 = _fit_for_ranges(b, coarse).agg(F.min_by("RANGE", "SSE").alias("best"), F.first("bins").alias("bins"),
+                                        F.first("dmax").alias("dmax"))
+    r0 = F.col("best") / ratio
+    step = (F.col("best") * ratio - r0) / F.lit(float(refine - 1))
+    fine = F.transform(F.sequence(F.lit(0), F.lit(refine - 1)), lambda i: r0 + step * i)
+    best = _fit_for_ranges(b2, fine).agg(F.min_by(F.struct("NUGGET", "PSILL", "RANGE", "SSE"), "SSE").alias("m"))
     return best.select("m.NUGGET", "m.PSILL", "m.RANGE", "m.SSE")
 
 

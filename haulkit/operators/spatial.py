@@ -41,8 +41,8 @@ def polygon_vertices(spark: SparkSession, rings: dict, proj: Albers | None = ALA
             for si, (a, b) in enumerate(ring):
                 if proj is not None:
                     xa, yb = proj.forward_np([a], [b])
-                    a, b = float(xa[0]), float(yb[0])
-                rows.append((pid, ri, si, a, b))
+                    a, b = xa[0], yb[0]
+                rows.append((pid, ri, si, float(a), float(b)))
     return spark.createDataFrame(rows, "poly_id string, ring int, seq int, x double, y double")
 
 
