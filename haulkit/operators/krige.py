@@ -53,7 +53,7 @@ def xk1(x: Column) -> Column:
     t = (x / F.lit(3.75)) * (x / F.lit(3.75))
     h2 = (x / F.lit(2.0)) * (x / F.lit(2.0))
     small = x * F.log(x / F.lit(2.0)) * (x * _poly(t, _I1_SMALL)) + _poly(h2, _K1_SMALL)
-    big = x * _poly(F.lit(2.0) / x, _K1_LARGE) / (F.sqrt(x) * F.exp(x))
+    big = F.try_divide(x * _poly(F.try_divide(F.lit(2.0), x), _K1_LARGE), F.sqrt(x) * F.exp(x))
     return F.when(x <= F.lit(0.0), F.lit(1.0)).when(x <= F.lit(2.0), small).otherwise(big)
 
 
@@ -146,10 +146,11 @@ def _fit_for_ranges(b: DataFrame, ranges: Column) -> DataFrame:
     g = g.withColumn("m", F.aggregate("bins", zero, acc))
     sw, sf, sff, sg, sfg = (F.col("m." + k) for k in ("sw", "sf", "sff", "sg", "sfg"))
     det = sw * sff - sf * sf
-    c0 = (sg * sff - sf * sfg) / det
-    c1 = (sw * sfg - sf * sg) / det
-    c1_only = F.greatest(sfg / sff, F.lit(0.0))
-    c0_only = F.greatest(sg / sw, F.lit(0.0))
+    # try_divide: Spark may evaluate shared subexpressions ahead of the `when`
+    c0 = F.try_divide(sg * sff - sf * sfg, det)
+    c1 = F.try_divide(sw * sfg - sf * sg, det)
+    c1_only = F.greatest(F.coalesce(F.try_divide(sfg, sff), F.lit(0.0)), F.lit(0.0))
+    c0_only = F.greatest(F.coalesce(F.try_divide(sg, sw), F.lit(0.0)), F.lit(0.0))
     g = g.withColumns({
         "NUGGET": F.when((det > 0) & (c0 >= 0) & (c1 >= 0), c0).when((det > 0) & (c0 < 0), F.lit(0.0)).otherwise(c0_only),
         "PSILL": F.when((det > 0) & (c0 >= 0) & (c1 >= 0), c1).when((det > 0) & (c0 < 0), c1_only).otherwise(F.lit(0.0)),
