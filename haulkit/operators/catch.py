@@ -104,15 +104,24 @@ def class_totals(specimens: DataFrame, unit_keys: Sequence[str], sample_keys: Se
     return stage1.groupBy(*unit_keys).agg(*s2)
 
 
-def _class_totals_one_pass(specimens, unit_keys, tossed, classes, class_samples):
-    t = F.col(tossed)
+def _combos(classes, class_samples):
     combos = []
     for name in classes:
         v = tuple(sorted(class_samples[name].items()))
         if v not in combos:
             combos.append(v)
+    return combos
+
+
+def class_partials(specimens: DataFrame, unit_keys: Sequence[str], tossed: str, classes: Mapping[str, Column],
+                   class_samples: Mapping[str, Mapping[str, object]]) -> DataFrame:
+    """Additive per-unit aggregates behind `class_totals` (one-pass form):
+    KEPT per sample group and, per class, rows, Σ tossed and NULL-tossed rows.
+    Partials of disjoint row sets (e.g. stream micro-batches) sum to the
+    partials of their union, so totals can be finished later."""
+    t = F.col(tossed)
     aggs = []
-    for k, v in enumerate(combos):
+    for k, v in enumerate(_combos(classes, class_samples)):
         cond = None
         for col_, val in v:
             e = F.col(col_).isNull() if val is None else (F.col(col_) == F.lit(val))
@@ -122,14 +131,29 @@ def _class_totals_one_pass(specimens, unit_keys, tossed, classes, class_samples)
         f = F.coalesce(flag, F.lit(False))
         aggs += [F.count_if(f).alias(f"__n{i}"), F.sum(F.when(f, t)).alias(f"__t{i}"),
                  F.count_if(f & t.isNull()).alias(f"__z{i}")]
-    a = specimens.groupBy(*unit_keys).agg(*aggs)
+    return specimens.groupBy(*unit_keys).agg(*aggs)
+
+
+def finish_class_totals(partials: DataFrame, unit_keys: Sequence[str], classes: Mapping[str, Column],
+                        class_samples: Mapping[str, Mapping[str, object]], combine: bool = False) -> DataFrame:
+    """Totals from `class_partials` (summing partials per unit first when
+    `combine`, e.g. over stream batches)."""
+    combos = _combos(classes, class_samples)
+    if combine:
+        cols = [c for c in partials.columns if c.startswith("__")]
+        partials = partials.groupBy(*unit_keys).agg(*[F.sum(c).alias(c) for c in cols])
     out = []
     for i, name in enumerate(classes):
         k = combos.index(tuple(sorted(class_samples[name].items())))
         n, ts, z = F.col(f"__n{i}"), F.col(f"__t{i}"), F.col(f"__z{i}")
         val = F.when((z == 0) & (n > 0), n + F.coalesce(ts, F.lit(0)) / F.col(f"__k{k}"))
         out.append(val.alias(name))
-    return a.select(*unit_keys, *out)
+    return partials.select(*unit_keys, *out)
+
+
+def _class_totals_one_pass(specimens, unit_keys, tossed, classes, class_samples):
+    return finish_class_totals(class_partials(specimens, unit_keys, tossed, classes, class_samples),
+                               unit_keys, classes, class_samples)
 
 
 def maturity_samples(species_code: int) -> dict[str, dict[str, object]]:

@@ -95,7 +95,11 @@ def species_of_part(partkey) -> F.Column:
 
 def specimens(spark: SparkSession, d: str) -> DataFrame:
     """Crab specimen rows: one lineitem = one measured crab."""
-    li = table(spark, d, "lineitem")
+    return specimens_from(table(spark, d, "lineitem"))
+
+
+def specimens_from(li: DataFrame) -> DataFrame:
+    """The specimen rules applied to lineitem rows (a batch or a stream)."""
     return li.select(
         F.col("l_orderkey").alias("SPN"),
         F.col("l_linenumber").alias("SPECIMEN_ID"),

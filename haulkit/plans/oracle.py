@@ -593,3 +593,29 @@ SELECT CAST(SPN AS INTEGER) AS HAUL, 'H' || CAST(SPN AS VARCHAR) AS HAUL_ID, SPE
        CASE WHEN SPN % 2 = 0 THEN WIDTH END AS WIDTH, SHELL_CONDITION, EGG_COLOR, EGG_CONDITION, CLUTCH_SIZE,
        DISEASE_CODE, DISEASE_DORSAL
 FROM specimens"""
+
+
+ORACLE["cpue_stream"] = ZERO_FILLED_CATCH
+
+ORACLE["pot_bycatch"] = f"""
+WITH {BASE_CTES},
+sheet AS (SELECT SPN,
+   count(*) FILTER (WHERE SPECIES_CODE = {K.TANNER_CRAB} AND SEX = 1) AS MaleTanner,
+   count(*) FILTER (WHERE SPECIES_CODE = {K.TANNER_CRAB} AND SEX = 2) AS FemaleTanner,
+   count(*) FILTER (WHERE SPECIES_CODE = {K.SNOW_CRAB} AND SEX = 1) AS MaleSnow,
+   count(*) FILTER (WHERE SPECIES_CODE = {K.SNOW_CRAB} AND SEX = 2) AS FemaleSnow,
+   CAST(0 AS BIGINT) AS MaleHybrid, CAST(0 AS BIGINT) AS FemaleHybrid,
+   count(*) FILTER (WHERE SPECIES_CODE = {K.HAIR_CRAB} AND SEX IS NOT NULL) AS HairCrab,
+   count(*) FILTER (WHERE PART % 7 = 0) AS PacificCod,
+   CASE WHEN SPN % 5 <> 0 THEN count(*) FILTER (WHERE PART % 7 = 1) END AS Other
+   FROM specimens GROUP BY SPN),
+s2 AS (SELECT s.*, CASE r.VESSEL_CODE WHEN 162 THEN 'Marahute' WHEN 134 THEN 'Provider' END AS VESSEL,
+              CASE WHEN s.SPN % 37 = 0 THEN 'SP' ELSE r.POT_ID END AS POT_ID, r.DATE_HAUL
+       FROM sheet s JOIN raw_lifts r ON r.SPN = s.SPN),
+j AS (SELECT s2.*, l.LON_DD, l.LAT_DD FROM s2 LEFT JOIN lifts l
+      ON l.VESSEL IS NOT DISTINCT FROM s2.VESSEL AND l.SPN = s2.SPN AND l.POT_ID IS NOT DISTINCT FROM s2.POT_ID
+      WHERE l.LON_DD IS NOT NULL)
+SELECT VESSEL, SPN, LAT_DD, LON_DD, POT_ID, DATE_HAUL, MaleTanner, FemaleTanner, MaleSnow, FemaleSnow,
+       MaleHybrid, FemaleHybrid, HairCrab, PacificCod, coalesce(Other, 0) AS Other,
+       MaleTanner + FemaleTanner AS Tanner, MaleSnow + FemaleSnow AS Snow, MaleHybrid + FemaleHybrid AS Hybrid
+FROM j"""

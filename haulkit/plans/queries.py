@@ -23,10 +23,18 @@ def zero_filled_catch(spark: SparkSession, d: str) -> DataFrame:
     every lift x class present (COUNT 0, rate NULL where nothing was caught).
     """
     sp = B.specimens(spark, d)
-    flags = C.maturity_flags("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE",
-                             K.RED_KING_CRAB, K.MATURE_MALE_MM, K.LEGAL_MALE_MM)
-    totals = C.class_totals(sp, ["SPN"], ["SPECIES_CODE", "SEX"], "TOSSED", flags,
+    totals = C.class_totals(sp, ["SPN"], ["SPECIES_CODE", "SEX"], "TOSSED", _mat_flags(),
                             C.maturity_samples(K.RED_KING_CRAB))
+    return _catch_table(spark, d, totals)
+
+
+def _mat_flags():
+    return C.maturity_flags("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE",
+                            K.RED_KING_CRAB, K.MATURE_MALE_MM, K.LEGAL_MALE_MM)
+
+
+def _catch_table(spark: SparkSession, d: str, totals: DataFrame) -> DataFrame:
+    """Zero-filled lift x class table from one-row-per-lift class totals."""
     lifts = B.lifts(spark, d)
     long = C.zero_fill_wide(lifts, totals, ["SPN"], "MAT_SEX", K.MAT_SEX_CATEGORIES, "__pos")
     pos = fix("__pos", 4)
@@ -551,8 +559,56 @@ def csv_drop_roundtrip(spark: SparkSession, d: str) -> DataFrame:
                        "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "DISEASE_CODE", "DISEASE_DORSAL")
 
 
+def cpue_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Streaming form of the flagship: specimen rows read as a file stream,
+    per-batch additive partials appended (idempotent per batch), totals
+    finished and zero-filled; equal to `zero_filled_catch`."""
+    import uuid
+    from ..session import scratch_path
+    from ..streaming.drops import append_partials, class_totals_from_partials, read_drop_stream
+    schema = B.table(spark, d, "lineitem").schema
+    stream = read_drop_stream(spark, d, "lineitem.parquet", schema, fmt="parquet", max_files_per_trigger=1)
+    flags, samples = _mat_flags(), C.maturity_samples(K.RED_KING_CRAB)
+    base = scratch_path(spark, f"cpue-stream-{uuid.uuid4().hex}")
+    q = append_partials(stream, lambda b: C.class_partials(B.specimens_from(b), ["SPN"], "TOSSED", flags, samples),
+                        f"{base}/partials", f"{base}/_checkpoint")
+    q.awaitTermination()
+    totals = class_totals_from_partials(spark, f"{base}/partials", ["SPN"], flags, samples)
+    return _catch_table(spark, d, totals)
+
+
 QUERIES.update({
+    "cpue_stream": cpue_stream,
     "map_layer": map_layer,
     "compare_surveys": compare_surveys,
     "csv_drop_roundtrip": csv_drop_roundtrip,
 })
+
+
+def pot_bycatch(spark: SparkSession, d: str) -> DataFrame:
+    """A per-lift bycatch tally sheet, lift positions
+    joined onto it (NULL vessel matches NULL), special-project pots without a
+    position dropped, every NULL count 0, species totals from sexes."""
+    from ..functions.nulls import fill_all0
+    from ..functions.scalar import decode_vessel
+    from ..operators import bycatch as BY
+    sp = B.specimens(spark, d)
+    sx, spc, part = F.col("SEX"), F.col("SPECIES_CODE"), F.col("PART")
+    tallies = {
+        "MaleTanner": (spc == K.TANNER_CRAB) & (sx == K.MALE), "FemaleTanner": (spc == K.TANNER_CRAB) & (sx == K.FEMALE),
+        "MaleSnow": (spc == K.SNOW_CRAB) & (sx == K.MALE), "FemaleSnow": (spc == K.SNOW_CRAB) & (sx == K.FEMALE),
+        "MaleHybrid": F.lit(False), "FemaleHybrid": F.lit(False),
+        "HairCrab": (spc == K.HAIR_CRAB) & sx.isNotNull(), "PacificCod": part % 7 == 0,
+    }
+    sheet = sp.groupBy("SPN").agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in tallies.items()],
+                                  F.when(F.first(F.col("SPN") % 5) != 0, F.count_if(part % 7 == 1)).alias("Other"))
+    raw = B.raw_lifts(spark, d).select(
+        "SPN", decode_vessel("VESSEL_CODE", B.POT_VESSEL_CODES).alias("VESSEL"),
+        F.when(F.col("SPN") % 37 == 0, F.lit("SP")).otherwise(F.col("POT_ID")).alias("POT_ID"), "DATE_HAUL")
+    sheet = sheet.join(raw, "SPN")
+    lifts = B.lifts(spark, d).select("VESSEL", "SPN", "POT_ID", "LON_DD", "LAT_DD")
+    j = BY.add_species_totals(fill_all0(BY.sheet_positions(sheet, lifts, ["VESSEL", "SPN", "POT_ID"])))
+    return j.select("VESSEL", "SPN", "LAT_DD", "LON_DD", "POT_ID", "DATE_HAUL", *tallies, "Other", *K.SEX_SUMS)
+
+
+QUERIES["pot_bycatch"] = pot_bycatch
