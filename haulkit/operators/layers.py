@@ -5,7 +5,7 @@ is a `where` on these tables."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,18 @@ def map_layer(parts: Sequence[DataFrame], value_col: str = "COUNT", category_col
         u = u.unionByName(p)
     u = project(u)
     return u.withColumns({"GEAR": S.gear_of("VESSEL"), "IS_ZERO": S.is_zero(value_col),
-                          "UNIT": F.lit(unit) if unit else S.measure_of(category_col)})
+                          "UNIT": F.lit(unit) if unit else S.measure_of(category_col),
+                          "LABEL": display_label(category_col)})
+
+
+def display_label(category, labels: Mapping[str, str] | None = None):
+    """Display name of a layer category (maturity classes and
+    bycatch species); a literal map lookup, no join.  Unknown -> the category."""
+    from itertools import chain
+    labels = labels if labels is not None else {**K.MAT_LABELS, **K.BYCATCH_LABELS}
+    m = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in labels.items()))
+    c = F.col(category) if isinstance(category, str) else category
+    return F.coalesce(m[c], c)
 
 
 def scale_limits(layer: DataFrame, by: Sequence[str] = ("GEAR", "CATEGORY"), value_col: str = "VALUE",

@@ -70,6 +70,17 @@ def raw_lifts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def lift_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Lift identity only (SPN, decoded VESSEL, POT_ID, BUOY): no time parsing,
+    no spreading; for joins that need the vessel or pot of a lift."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    return o.select(k.alias("SPN"), S.decode_vessel(vessel_code("o_custkey"), POT_VESSEL_CODES).alias("VESSEL"),
+                    F.when(k % 50 == 0, F.concat(F.lit("CAM"), (k % 7).cast("string")))
+                     .otherwise(F.concat(F.col("o_orderstatus"), (k % 100).cast("string"))).alias("POT_ID"),
+                    prefix_id(F.col("o_custkey")).alias("BUOY"))
+
+
 def lifts(spark: SparkSession, d: str, tz: str = TZ) -> DataFrame:
     """Clean lift table: decoded vessel, HH:MM times, soak hours, decimal degrees.
 

@@ -573,8 +573,10 @@ pot AS (SELECT VESSEL, POT_ID AS STATION, LAT_DD, LON_DD, MAT_SEX AS CATEGORY, C
 trawl AS (SELECT 'Vesteraalen' AS VESSEL, CAST(STATION AS VARCHAR) AS STATION, LAT_DD, LON_DD,
                  MAT_SEX AS CATEGORY, {fx('COUNT', 4)} AS COUNT FROM cpue),
 u AS (SELECT * FROM pot UNION ALL SELECT * FROM trawl)
-SELECT {_GEAR} AS GEAR, VESSEL, STATION, LAT_DD, LON_DD, CATEGORY, COUNT, {fx(x, 2)} AS X, {fx(y, 2)} AS Y,
-       COUNT = 0 AS IS_ZERO, 'count' AS UNIT
+SELECT {_GEAR} AS GEAR, VESSEL, STATION, LAT_DD, LON_DD, CATEGORY,
+       CASE CATEGORY {' '.join(f"WHEN {q(k)} THEN {q(v)}" for k, v in {**K.MAT_LABELS, **K.BYCATCH_LABELS}.items())}
+            ELSE CATEGORY END AS LABEL,
+       COUNT, {fx(x, 2)} AS X, {fx(y, 2)} AS Y, COUNT = 0 AS IS_ZERO, 'count' AS UNIT
 FROM u"""
 
 

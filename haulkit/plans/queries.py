@@ -78,7 +78,7 @@ def expanded_catch_reconcile(spark: SparkSession, d: str) -> DataFrame:
     est = est.withColumn("NUMBER_CRAB", fix("NUMBER_CRAB", 4))
     rep = (sp.where(F.col("LINESTATUS") == "O").groupBy("SPN", "SPECIES_CODE")
              .agg(F.count(F.lit(1)).alias("N_ENTRIES")))
-    rep = rep.join(B.lifts(spark, d).select("SPN", "VESSEL", "POT_ID"), "SPN", "left")
+    rep = rep.join(B.lift_ids(spark, d).select("SPN", "VESSEL", "POT_ID"), "SPN", "left")
     out = C.reconcile_catch(est, rep, ["SPN", "SPECIES_CODE"])
     return out.select("SPN", "SPECIES_CODE", "NUMBER_CRAB", "N_ENTRIES", "VESSEL", "POT_ID", "MISMATCH")
 
@@ -349,10 +349,13 @@ def survey_range(spark: SparkSession, d: str) -> DataFrame:
     """Two surveys' surfaces on one scale: per-survey and joint
     min/max (ROLLUP: one pass)."""
     o = B.table(spark, d, "orders")
-    y = F.year("o_orderdate")
     t = (F.col("o_totalprice") / 100000.0).alias("T")
-    a = o.where(y == 1998).select(F.lit("1998").alias("SURVEY"), t)
-    b = o.where(y == 1999).select(F.lit("1999").alias("SURVEY"), t)
+
+    def year(y):      # a range on the column itself, so the scan prunes row groups
+        return (F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & \
+               (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
+    a = o.where(year(1998)).select(F.lit("1998").alias("SURVEY"), t)
+    b = o.where(year(1999)).select(F.lit("1999").alias("SURVEY"), t)
     r = a.unionByName(b).rollup("SURVEY").agg(F.min("T").alias("T_MIN"), F.max("T").alias("T_MAX"),
                                               F.count(F.lit(1)).alias("N"), F.grouping("SURVEY").alias("__g"))
     return r.select(F.when(F.col("__g") == 1, "ALL").otherwise(F.col("SURVEY")).alias("SURVEY"),
@@ -365,7 +368,7 @@ def _specimen_table(spark, d):
     """Specimens with row-level sampling factor and vessel (the reference's
     specimen product)."""
     sp = C.sampling_factor(B.specimens(spark, d), ["SPN", "SPECIES_CODE", "SEX"], "TOSSED")
-    return sp.join(B.lifts(spark, d).select("SPN", "VESSEL"), "SPN", "left")
+    return sp.join(B.lift_ids(spark, d).select("SPN", "VESSEL"), "SPN", "left")
 
 
 def inventory(spark: SparkSession, d: str) -> DataFrame:
@@ -524,7 +527,7 @@ def map_layer(spark: SparkSession, d: str) -> DataFrame:
         F.lit("Vesteraalen").alias("VESSEL"), F.col("STATION").cast("string").alias("STATION"), "LAT_DD", "LON_DD",
         F.col("MAT_SEX").alias("CATEGORY"), fix(F.coalesce("__pos", F.lit(0.0)), 4).alias("COUNT"))
     out = layer([pot, trawl], "COUNT", "CATEGORY", unit="count")
-    return out.select("GEAR", "VESSEL", "STATION", "LAT_DD", "LON_DD", "CATEGORY", "COUNT", "X", "Y",
+    return out.select("GEAR", "VESSEL", "STATION", "LAT_DD", "LON_DD", "CATEGORY", "LABEL", "COUNT", "X", "Y",
                       "IS_ZERO", "UNIT")
 
 
