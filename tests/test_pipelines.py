@@ -96,3 +96,71 @@ def test_layers_from_products(spark, pot_inputs):
     assert gears == {"POT", "TRAWL"}
     lim = {(r["GEAR"], r["CATEGORY"]): r["SCALE_LIMIT"] for r in lay["cpue_scales"].collect()}
     assert lim[("TRAWL", "Mature male")] == 5.0
+
+
+@pytest.fixture(scope="module")
+def trawl_root():
+    root = tempfile.mkdtemp(prefix="trawldrops-")
+    _w(root, "VA_HAULS.csv", ["SAMPLED,STATION,LAT_DD,LON_DD", "1,S1,56.1,-161.2", "1,S2,56.3,-161.4",
+                              "0,S3,56.5,-161.6"])
+    return root
+
+
+def test_trawl_pipeline(spark, trawl_root):
+    cat, spc, raw = (os.path.join(trawl_root, d) for d in ("catch", "specimen", "raw"))
+    _w(cat, "T_CATCH_0001.csv", [
+        "HAUL,HAUL_ID,RECORDING_DEVICE,ID,CRUISE,VESSEL,STATION,SPECIES_CODE,SPECIES_NAME,NUMBER_CRAB,WEIGHT",
+        "1,t1,dev,c1,202401,176,S1,69322,red king crab,2,3.0", "1,t1,dev,c2,202401,176,S1,68560,Tanner crab,1,0.2"])
+    _w(spc, "T_SPECIMEN_0001.csv", [
+        "HAUL,HAUL_ID,SPECIES_CODE,SEX,LENGTH,WIDTH,SHELL_CONDITION,EGG_COLOR,EGG_CONDITION,CLUTCH_SIZE,DISEASE_CODE,"
+        "DISEASE_DORSAL,DISEASE_VENTRAL,DISEASE_LEGS,CHELA_HEIGHT,MERUS_LENGTH,COMMENTS,NOTES,STATION",
+        "1,t1,69322,1,140,NA,2,NA,NA,NA,NA,NA,NA,NA,NA,NA,,,S1"])
+    _w(raw, "T_SAMPLE_0001.csv", [
+        "HAUL_ID,CATCH_SAMPLE_ID,PARENT_SAMPLE_ID,MIX,SAMPLED_ALL,SPECIES_CODE,SPECIES_NAME,SEX,RECORDING_DEVICE,RECORDER",
+        "t1,s1,NA,N,Y,69322,red king crab,1,dev,me", "t1,s2,NA,N,Y,68560,Tanner crab,2,dev,me"])
+    _w(raw, "T_SAMPLE_VALUES_0001.csv", [
+        "HAUL_ID,CATCH_SAMPLE_VALUE_ID,CATCH_SAMPLE_ID,COUNT,WEIGHT,KEEP,RECORDING_DEVICE,RECORDER",
+        "t1,v1,s1,NA,1.5,Y,dev,me", "t1,v2,s1,NA,1.0,Y,dev,me", "t1,v3,s2,NA,0.2,Y,dev,me"])
+    _w(raw, "T_SPECIMEN_0001.csv", ["HAUL_ID,SPECIMEN_ID,CATCH_SAMPLE_ID,SPECIES_CODE,RECORDING_DEVICE",
+                                    "t1,a,s1,69322,dev", "t1,b,s1,69322,dev", "t1,c,s2,68560,dev"])
+    _w(raw, "T_SPECIMEN_BIOMETRICS_0001.csv", [
+        "HAUL_ID,SPECIMEN_ID,BIOMETRIC_NAME,VALUE,RECORDING_DEVICE",
+        "t1,a,SEX,1,dev", "t1,a,CARAPACE_LENGTH,140,dev", "t1,b,SEX,1,dev", "t1,b,CARAPACE_LENGTH,110,dev",
+        "t1,c,SEX,2,dev", "t1,c,CARAPACE_WIDTH,80,dev"])
+    out = P.trawl(spark, P.TrawlInputs(cat, spc, raw, os.path.join(trawl_root, "VA_HAULS.csv")))
+    st = out["specimen_table"].collect()
+    assert len(st) == 3 and {r["VESSEL"] for r in st} == {"Vesteraalen"} and {r["SAMPLING_FACTOR"] for r in st} == {1.0}
+    cpue = {(r["STATION"], r["MAT_SEX"]): r["COUNT"] for r in out["trawl_cpue"].collect()}
+    assert len(cpue) == 2 * 6                      # unsampled station S3 dropped
+    assert cpue[("S1", "Mature male")] == 1.0 and cpue[("S1", "Legal male")] == 1.0 and cpue[("S2", "Mature male")] == 0.0
+    by = {r["STATION"]: r for r in out["crab_bycatch"].collect()}
+    assert by["S1"]["FemaleTanner"] == 1.0 and by["S1"]["Tanner"] == 1.0 and by["S2"]["Tanner"] == 0.0
+    cs = {(r["SPECIES_CODE"]): (r["NUMBER_CRAB"], r["N_ENTRIES"]) for r in out["catch_summary"].collect()}
+    assert cs[69322] == (2.0, 2)
+    assert out["quality_report"].count() == 21
+
+
+def test_fish_pipeline(spark, trawl_root):
+    cat, raw = os.path.join(trawl_root, "fcatch"), os.path.join(trawl_root, "fraw")
+    _w(cat, "F_CATCH_0001.csv", [
+        "HAUL,HAUL_ID,RECORDING_DEVICE,ID,CRUISE,VESSEL,STATION,SPECIES_CODE,SPECIES_NAME,NUMBER_CRAB,WEIGHT",
+        "1,t1,dev,c1,202401,176,S1,10210,yellowfin sole,NA,1", "1,t1,dev,c2,202401,176,S1,10001,flatfish unid.,NA,1",
+        "1,t1,dev,c3,202401,176,S1,21722,Pacific cod (adult),NA,1"])
+    _w(raw, "F_SAMPLE_0001.csv", [
+        "HAUL_ID,CATCH_SAMPLE_ID,PARENT_SAMPLE_ID,MIX,SAMPLED_ALL,SPECIES_CODE,SPECIES_NAME,SEX,RECORDING_DEVICE,RECORDER",
+        "t1,a,NA,N,Y,10210,,NA,dev,me", "t1,b,NA,N,Y,10001,,NA,dev,me", "t1,c,NA,N,Y,21722,,NA,dev,me",
+        "t1,d,NA,N,Y,69322,,NA,dev,me"])
+    _w(raw, "F_CATCH_VALUE_0001.csv", [
+        "CATCH_SAMPLE_VALUE_ID,CATCH_SAMPLE_ID,SAMPLE_VALUE_WEIGHT,SAMPLE_VALUE_WEIGHT_UNITS,SAMPLE_VALUE_COUNT,KEEP_FLAG,RECORDING_DEVICE,RECORDER",
+        "v1,a,6.0,KG,3,Y,dev,me", "v2,a,4.0,KG,NA,Y,dev,me", "v3,b,5.0,KG,NA,Y,dev,me", "v4,c,9.0,KG,3,Y,dev,me",
+        "v5,d,1.0,KG,1,Y,dev,me"])
+    _w(raw, "F_HAUL_0001.csv", ["HAUL_ID,CRUISE_ID,HAUL,STATION,RECORDING_DEVICE,WEIGHT,WEIGHT_UNITS",
+                                "t1,202401,1,S1,dev,100,KG"])
+    out = P.fish(spark, P.FishInputs(cat, raw, os.path.join(trawl_root, "VA_HAULS.csv")))
+    fc = {r["SPECIES_CODE"]: r for r in out["fish_catch"].collect()}
+    assert set(fc) == {10210, 21720}                          # crab removed, unid. bin folded, cod merged
+    assert fc[10210]["SAMPLING_FACTOR"] == pytest.approx(1.5) and fc[10210]["CALC_WEIGHT"] == pytest.approx(15.0)
+    assert fc[10210]["COUNT"] == pytest.approx(5.0) and fc[21720]["SPECIES_NAME"] == "Pacific cod"
+    sheet = {r["STATION"]: r for r in out["fish_bycatch"].collect()}
+    assert sheet["S1"]["YellowfinSole"] == pytest.approx(15.0) and sheet["S1"]["PacificCod"] == pytest.approx(9.0)
+    assert sheet["S2"]["PacificCod"] == 0.0
