@@ -534,10 +534,13 @@ def map_layer(spark: SparkSession, d: str) -> DataFrame:
 def compare_surveys(spark: SparkSession, d: str) -> DataFrame:
     """Mature females per lift for two survey years on one scale."""
     from ..operators.layers import compare_surveys as compare
-    z = zero_filled_catch(spark, d).where(F.col("MAT_SEX") == "Mature female")
+    from ..session import cut_lineage
     yr = F.year(F.to_date("DATE_SET", "M/d/yyyy"))
-    a = z.where(yr == 1998).select("SPN", "COUNT")
-    b = z.where(yr == 1999).select("SPN", "COUNT")
+    z = zero_filled_catch(spark, d).where(F.col("MAT_SEX") == "Mature female")
+    # the joint scale and the rows both read z: checkpoint it once (shared dir)
+    z = cut_lineage(z.where(yr.isin(1998, 1999)).select("SPN", "COUNT", yr.alias("YEAR")))
+    a = z.where(F.col("YEAR") == 1998).select("SPN", "COUNT")
+    b = z.where(F.col("YEAR") == 1999).select("SPN", "COUNT")
     return compare(a, b, "1998", "1999", "COUNT").select("SURVEY", "SPN", "COUNT", "SCALE_LIMIT")
 
 
