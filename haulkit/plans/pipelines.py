@@ -28,6 +28,7 @@ from ..operators import quality as QU
 from ..operators.joins import natural_join, null_safe_join
 from ..operators.specimens import widen
 from ..sources import schemas as SC
+from ..session import cut_lineage
 from ..sources.drops import read_drop, read_table, write_product
 
 BIOMETRICS = ["SEX", "WEIGHT", "CRAB_SHELL_CONDITION", "CRAB_EGG_COLOR", "CRAB_EGG_CONDITION",
@@ -306,7 +307,7 @@ def fish(spark: SparkSession, inp: FishInputs) -> dict:
     s = null_safe_join(s, names, ["SPECIES_CODE"], "left")
     s = s.withColumns({"SPECIES_NAME": S.merge_species_name("SPECIES_NAME"),
                        "SPECIES_CODE": S.merge_species_code("SPECIES_CODE")})
-    s = N.require(s, ["HAUL_ID", "SPECIES_CODE"])
+    s = cut_lineage(N.require(s, ["HAUL_ID", "SPECIES_CODE"]))   # read by both flatfish branches
     s = FI.flatfish_expand(s, ["STATION"])
     keys = ["HAUL", "HAUL_ID", "CATCH_SAMPLE_ID", "RECORDING_DEVICE", "STATION", "SPECIES_CODE", "SPECIES_NAME",
             "SAMPLING_FACTOR"]
