@@ -621,3 +621,14 @@ SELECT VESSEL, SPN, LAT_DD, LON_DD, POT_ID, DATE_HAUL, MaleTanner, FemaleTanner,
        MaleHybrid, FemaleHybrid, HairCrab, PacificCod, coalesce(Other, 0) AS Other,
        MaleTanner + FemaleTanner AS Tanner, MaleSnow + FemaleSnow AS Snow, MaleHybrid + FemaleHybrid AS Hybrid
 FROM j"""
+
+ORACLE["catch_reconcile_totals"] = f"""
+WITH {BASE_CTES}, sf AS ({SF_ROWS}),
+spec AS (SELECT SPN, SPECIES_CODE, {fx('sum(SAMPLING_FACTOR)')} AS NUMBER_CRAB, count(*) AS N_ENTRIES
+         FROM sf GROUP BY SPN, SPECIES_CODE),
+cat AS ({ORACLE["expanded_catch_reconcile"]})
+SELECT coalesce(s.SPN, c.SPN) AS SPN, coalesce(s.SPECIES_CODE, c.SPECIES_CODE) AS SPECIES_CODE,
+       s.NUMBER_CRAB AS SPEC_NUMBER_CRAB, s.N_ENTRIES AS SPEC_N_ENTRIES,
+       c.NUMBER_CRAB AS CATCH_NUMBER_CRAB, c.N_ENTRIES AS CATCH_N_ENTRIES
+FROM spec s FULL OUTER JOIN cat c ON s.SPN = c.SPN AND s.SPECIES_CODE = c.SPECIES_CODE
+WHERE s.NUMBER_CRAB IS DISTINCT FROM c.NUMBER_CRAB OR s.N_ENTRIES IS DISTINCT FROM c.N_ENTRIES"""

@@ -622,3 +622,19 @@ def pot_bycatch(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES["pot_bycatch"] = pot_bycatch
+
+
+def catch_reconcile_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Specimen totals (Σ factor, entries) against the catch summary
+    (estimated counts and reported entries of `expanded_catch_reconcile`):
+    keys where either number differs or that exist on one side only."""
+    from ..functions.nulls import strict_sum
+    from ..operators.quality import reconcile_totals
+    spec = C.sampling_factor(B.specimens(spark, d), ["SPN", "SPECIES_CODE", "SEX"], "TOSSED")
+    spec_sum = spec.groupBy("SPN", "SPECIES_CODE").agg(fix(strict_sum("SAMPLING_FACTOR"), 4).alias("NUMBER_CRAB"),
+                                                      F.count(F.lit(1)).alias("N_ENTRIES"))
+    catch_sum = expanded_catch_reconcile(spark, d).select("SPN", "SPECIES_CODE", "NUMBER_CRAB", "N_ENTRIES")
+    return reconcile_totals(spec_sum, catch_sum, ["SPN", "SPECIES_CODE"])
+
+
+QUERIES["catch_reconcile_totals"] = catch_reconcile_totals
