@@ -13,7 +13,21 @@ from .nulls import _c, is_in, safe_div
 
 # --- H1: HHMM (leading zeros lost) -> "HH:MM"; anything invalid -> NULL
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _hhmm_sql(col_sql: str) -> str:
+    s = f"trim(CAST({col_sql} AS STRING))"
+    p = f"lpad({s}, 4, '0')"
+    return (f"CASE WHEN {s} RLIKE '^[0-9]{{1,4}}$' AND try_cast(substring({p}, 1, 2) AS INT) <= 23 "
+            f"AND try_cast(substring({p}, 3, 2) AS INT) <= 59 "
+            f"THEN concat(substring({p}, 1, 2), ':', substring({p}, 3, 2)) END")
+
+
 def hhmm(c) -> Column:
+    if isinstance(c, str):            # one SQL expression: one JVM call instead of dozens
+        return F.expr(_hhmm_sql(_q(c)))
     s = F.trim(_c(c).cast("string"))
     p = F.lpad(s, 4, "0")           # lpad truncates longer input, so test length first
     h = F.substring(p, 1, 2).try_cast("int")
@@ -26,6 +40,14 @@ def hhmm(c) -> Column:
 
 def lift_ts(date, time, tz: str = "America/Anchorage", date_format: str = "M/d/yyyy") -> Column:
     """Wall-clock date and time interpreted in `tz` (never the session zone, N7)."""
+    if isinstance(date, str) and isinstance(time, str):
+        d = f"try_to_date(CAST({_q(date)} AS STRING), '{date_format}')"
+        t = f"CAST({_q(time)} AS STRING)"
+        ok = f"{t} RLIKE '^[0-9]{{1,2}}:[0-9]{{2}}$'"
+        hh = f"CASE WHEN {ok} THEN try_cast(split({t}, ':')[0] AS INT) END"
+        mm = f"CASE WHEN {ok} THEN try_cast(split({t}, ':')[1] AS INT) END"
+        return F.expr(f"try_make_timestamp(year({d}), month({d}), dayofmonth({d}), {hh}, {mm}, "
+                      f"CAST(0 AS DECIMAL(16,6)), '{tz}')")
     d = F.try_to_date(_c(date).cast("string"), date_format)
     t = _c(time).cast("string")
     ok = t.rlike(r"^[0-9]{1,2}:[0-9]{2}$")

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import scalar as S
-from ..functions.nulls import prefix_id
 
 TZ = "America/Anchorage"
 POT_VESSEL_CODES = {162: "Marahute", 134: "Provider"}
@@ -41,44 +40,39 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def vessel_code(custkey) -> F.Column:
-    m = F.col(custkey) % 3
-    return F.when(m == 0, 162).when(m == 1, 134)
+# Column rules are written as SQL expressions (`selectExpr`): one JVM call per
+# column instead of one per operator when the plan is built.
+POT_ID_SQL = ("CASE WHEN o_orderkey % 50 = 0 THEN concat('CAM', CAST(o_orderkey % 7 AS STRING)) "
+              "ELSE concat(o_orderstatus, CAST(o_orderkey % 100 AS STRING)) END")
+VESSEL_CODE_SQL = "CASE o_custkey % 3 WHEN 0 THEN 162 WHEN 1 THEN 134 END"
 
 
 def raw_lifts(spark: SparkSession, d: str) -> DataFrame:
     """Potlift sheet as typed by the crew: HHMM ints, m/d/Y strings, deg + min."""
     o = spread(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                                 "o_orderdate", "o_orderpriority"))
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    return o.select(
-        k.alias("SPN"),
-        vessel_code("o_custkey").alias("VESSEL_CODE"),
-        F.when(k % 50 == 0, F.concat(F.lit("CAM"), (k % 7).cast("string")))
-         .otherwise(F.concat(F.col("o_orderstatus"), (k % 100).cast("string"))).alias("POT_ID"),
-        prefix_id(c).alias("BUOY"),
-        (F.lit(54) + k % 4).cast("int").alias("LAT_DEG"),
-        ((k * 7) % 600 / F.lit(10.0)).alias("LAT_MIN"),
-        (F.lit(159) + c % 6).cast("int").alias("LON_DEG"),
-        ((c * 13) % 600 / F.lit(10.0)).alias("LON_MIN"),
-        F.date_format("o_orderdate", "M/d/yyyy").alias("DATE_SET"),
-        (F.floor("o_totalprice").cast("bigint") % 2400).cast("int").alias("TIME_SET"),
-        F.date_format(F.date_add(F.to_date("o_orderdate"), (F.lit(1) + k % 3).cast("int")),
-                      "M/d/yyyy").alias("DATE_HAUL"),
-        (F.floor(F.col("o_totalprice") * 100).cast("bigint") % 2400).cast("int").alias("TIME_HAUL"),
-        F.col("o_orderpriority").alias("GEAR_NOTE"),
-    )
+    return o.selectExpr(
+        "o_orderkey AS SPN",
+        f"{VESSEL_CODE_SQL} AS VESSEL_CODE",
+        f"{POT_ID_SQL} AS POT_ID",
+        "concat('X', CAST(o_custkey AS STRING)) AS BUOY",
+        "CAST(54 + o_orderkey % 4 AS INT) AS LAT_DEG",
+        "(o_orderkey * 7) % 600 / 10.0D AS LAT_MIN",
+        "CAST(159 + o_custkey % 6 AS INT) AS LON_DEG",
+        "(o_custkey * 13) % 600 / 10.0D AS LON_MIN",
+        "date_format(o_orderdate, 'M/d/yyyy') AS DATE_SET",
+        "CAST(CAST(floor(o_totalprice) AS BIGINT) % 2400 AS INT) AS TIME_SET",
+        "date_format(date_add(to_date(o_orderdate), CAST(1 + o_orderkey % 3 AS INT)), 'M/d/yyyy') AS DATE_HAUL",
+        "CAST(CAST(floor(o_totalprice * 100) AS BIGINT) % 2400 AS INT) AS TIME_HAUL",
+        "o_orderpriority AS GEAR_NOTE")
 
 
 def lift_ids(spark: SparkSession, d: str) -> DataFrame:
     """Lift identity only (SPN, decoded VESSEL, POT_ID, BUOY): no time parsing,
     no spreading; for joins that need the vessel or pot of a lift."""
-    o = table(spark, d, "orders")
-    k = F.col("o_orderkey")
-    return o.select(k.alias("SPN"), S.decode_vessel(vessel_code("o_custkey"), POT_VESSEL_CODES).alias("VESSEL"),
-                    F.when(k % 50 == 0, F.concat(F.lit("CAM"), (k % 7).cast("string")))
-                     .otherwise(F.concat(F.col("o_orderstatus"), (k % 100).cast("string"))).alias("POT_ID"),
-                    prefix_id(F.col("o_custkey")).alias("BUOY"))
+    return table(spark, d, "orders").selectExpr(
+        "o_orderkey AS SPN", "CASE o_custkey % 3 WHEN 0 THEN 'Marahute' WHEN 1 THEN 'Provider' END AS VESSEL",
+        f"{POT_ID_SQL} AS POT_ID", "concat('X', CAST(o_custkey AS STRING)) AS BUOY")
 
 
 def lifts(spark: SparkSession, d: str, tz: str = TZ) -> DataFrame:
@@ -89,8 +83,8 @@ def lifts(spark: SparkSession, d: str, tz: str = TZ) -> DataFrame:
     r = raw_lifts(spark, d).select(
         S.decode_vessel("VESSEL_CODE", POT_VESSEL_CODES).alias("VESSEL"),
         "SPN", "POT_ID", "BUOY",
-        S.fix(S.dm_to_dd("LAT_DEG", "LAT_MIN"), 6).alias("LAT_DD"),
-        S.fix(S.dm_to_dd("LON_DEG", "LON_MIN", -1.0), 6).alias("LON_DD"),
+        F.expr("round((CAST(LAT_DEG AS DOUBLE) + LAT_MIN / 60.0D) * 1.0D * 1000000.0D) / 1000000.0D").alias("LAT_DD"),
+        F.expr("round((CAST(LON_DEG AS DOUBLE) + LON_MIN / 60.0D) * -1.0D * 1000000.0D) / 1000000.0D").alias("LON_DD"),
         "DATE_SET", S.hhmm("TIME_SET").alias("TIME_SET"),
         "DATE_HAUL", S.hhmm("TIME_HAUL").alias("TIME_HAUL"))
     ts_set = S.lift_ts("DATE_SET", "TIME_SET", tz)
@@ -98,58 +92,47 @@ def lifts(spark: SparkSession, d: str, tz: str = TZ) -> DataFrame:
     return r.withColumn("SOAK_TIME", S.soak_hours(ts_set, ts_haul))
 
 
-def species_of_part(partkey) -> F.Column:
-    m = F.col(partkey) % 5
-    return (F.when(m <= 1, K.RED_KING_CRAB).when(m == 2, K.TANNER_CRAB)
-             .when(m == 3, K.HAIR_CRAB).otherwise(K.SNOW_CRAB))
-
-
 def specimens(spark: SparkSession, d: str) -> DataFrame:
     """Crab specimen rows: one lineitem = one measured crab."""
     return specimens_from(table(spark, d, "lineitem"))
 
 
+SPECIES_OF_PART_SQL = (f"CASE WHEN l_partkey % 5 <= 1 THEN {K.RED_KING_CRAB} WHEN l_partkey % 5 = 2 THEN {K.TANNER_CRAB} "
+                       f"WHEN l_partkey % 5 = 3 THEN {K.HAIR_CRAB} ELSE {K.SNOW_CRAB} END")
+
+
 def specimens_from(li: DataFrame) -> DataFrame:
     """The specimen rules applied to lineitem rows (a batch or a stream)."""
-    return li.select(
-        F.col("l_orderkey").alias("SPN"),
-        F.col("l_linenumber").alias("SPECIMEN_ID"),
-        F.col("l_partkey").alias("PART"),
-        F.col("l_suppkey").alias("STATION_KEY"),
-        species_of_part("l_partkey").alias("SPECIES_CODE"),
-        F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).alias("SEX"),
-        (F.col("l_quantity") * 4).alias("LENGTH"),
-        F.when((F.col("l_returnflag") != "A") | (F.col("l_partkey") % 9 == 0),
-               F.round(F.col("l_discount") * 100).cast("int")).alias("CLUTCH_SIZE"),
-        (F.round(F.col("l_tax") * 100).cast("int") % 6).alias("SHELL_CONDITION"),
-        (F.col("l_linenumber") - 1).alias("TOSSED"),
-        F.col("l_extendedprice").alias("WEIGHT"),
-        F.col("l_linestatus").alias("LINESTATUS"),
-        F.col("l_shipdate").alias("SHIPDATE"),
+    return li.selectExpr(
+        "l_orderkey AS SPN", "l_linenumber AS SPECIMEN_ID", "l_partkey AS PART", "l_suppkey AS STATION_KEY",
+        f"{SPECIES_OF_PART_SQL} AS SPECIES_CODE",
+        "CASE WHEN l_returnflag = 'A' THEN 1 WHEN l_returnflag = 'N' THEN 2 END AS SEX",
+        "l_quantity * 4 AS LENGTH",
+        "CASE WHEN l_returnflag != 'A' OR l_partkey % 9 = 0 THEN CAST(round(l_discount * 100) AS INT) END AS CLUTCH_SIZE",
+        "CAST(round(l_tax * 100) AS INT) % 6 AS SHELL_CONDITION",
+        "l_linenumber - 1 AS TOSSED",
+        "l_extendedprice AS WEIGHT", "l_linestatus AS LINESTATUS", "l_shipdate AS SHIPDATE",
         # data-quality fields
-        F.when(F.col("l_orderkey") % 101 == 0, 202301).otherwise(202401).alias("CRUISE"),
-        F.when((F.col("l_returnflag") == "N") | (F.col("l_partkey") % 9 == 0),
-               ((F.col("l_linenumber") + F.round(F.col("l_discount") * 100).cast("int")) % 7)).alias("EGG_COLOR"),
-        F.when(F.col("l_returnflag") == "N", F.round(F.col("l_tax") * 100).cast("int") % 7).alias("EGG_CONDITION"),
-        F.when(F.col("l_partkey") % 13 == 0, F.col("l_quantity") * 3).alias("WIDTH"),
-        F.when(F.col("l_orderkey") % 5 == 0, (F.col("l_partkey") % 12).cast("int")).alias("DISEASE_CODE"),
-        F.when(F.col("l_orderkey") % 3 == 0, F.col("l_tax") * 100).alias("DISEASE_DORSAL"),
-        F.when(F.col("l_orderkey") % 4 == 0, F.col("l_discount") * 100).alias("DISEASE_VENTRAL"),
-        F.when(F.col("l_orderkey") % 6 == 0, F.col("l_quantity")).alias("DISEASE_LEGS"),
-    )
+        "CASE WHEN l_orderkey % 101 = 0 THEN 202301 ELSE 202401 END AS CRUISE",
+        "CASE WHEN l_returnflag = 'N' OR l_partkey % 9 = 0 "
+        "THEN (l_linenumber + CAST(round(l_discount * 100) AS INT)) % 7 END AS EGG_COLOR",
+        "CASE WHEN l_returnflag = 'N' THEN CAST(round(l_tax * 100) AS INT) % 7 END AS EGG_CONDITION",
+        "CASE WHEN l_partkey % 13 = 0 THEN l_quantity * 3 END AS WIDTH",
+        "CASE WHEN l_orderkey % 5 = 0 THEN CAST(l_partkey % 12 AS INT) END AS DISEASE_CODE",
+        "CASE WHEN l_orderkey % 3 = 0 THEN l_tax * 100 END AS DISEASE_DORSAL",
+        "CASE WHEN l_orderkey % 4 = 0 THEN l_discount * 100 END AS DISEASE_VENTRAL",
+        "CASE WHEN l_orderkey % 6 = 0 THEN l_quantity END AS DISEASE_LEGS")
 
 
 def stations(spark: SparkSession, d: str) -> DataFrame:
     """Trawl hauls: one supplier = one station, position inside the map window,
     bottom temperature from the account balance; unsampled stations dropped (B20)."""
     s = table(spark, d, "supplier")
-    k = F.col("s_suppkey")
-    return (s.select(k.alias("STATION"),
-                     S.fix(F.lit(54.5) + (k * 37) % 400 / F.lit(100.0), 6).alias("LAT_DD"),
-                     S.fix(F.lit(-164.8) + (k * 53) % 580 / F.lit(100.0), 6).alias("LON_DD"),
-                     (F.col("s_acctbal") / 1000.0).alias("TEMP"),
-                     F.when(F.col("s_nationkey") % 7 == 0, 0).otherwise(1).alias("SAMPLED"))
-             .where(F.col("SAMPLED") == 1).drop("SAMPLED"))
+    return (s.where("s_nationkey % 7 != 0").selectExpr(
+        "s_suppkey AS STATION",
+        "round((54.5D + (s_suppkey * 37) % 400 / 100.0D) * 1000000.0D) / 1000000.0D AS LAT_DD",
+        "round((-164.8D + (s_suppkey * 53) % 580 / 100.0D) * 1000000.0D) / 1000000.0D AS LON_DD",
+        "s_acctbal / 1000.0D AS TEMP"))
 
 
 # Groundfish species bound to part types (code, name); FIXED binding values.

@@ -85,3 +85,12 @@ def test_fix_rounds_half_away_from_zero_on_the_product(spark):
     assert _one(spark, S.fix(F.lit(x), 4)) == math.floor(x * 10000.0 + 0.5) / 10000.0
     assert _one(spark, S.fix(F.lit(2.5), 0)) == 3.0
     assert _one(spark, S.fix(F.lit(-2.5), 0)) == -3.0
+
+
+def test_sql_and_column_paths_agree(spark):
+    df = spark.createDataFrame([("930", "3/10/2001", "09:30"), ("2460", "11/4/2001", "01:30"), (None, "x", "7:05"),
+                                ("0", "4/1/2001", "02:30")], "t string, d string, h string")
+    a = df.select(S.hhmm("t"), S.hhmm(F.col("t")), S.lift_ts("d", "h", "America/Anchorage"),
+                  S.lift_ts(F.col("d"), F.col("h"), "America/Anchorage")).collect()
+    for r in a:
+        assert r[0] == r[1] and r[2] == r[3]
