@@ -25,8 +25,17 @@ TZ = "America/Anchorage"
 POT_VESSEL_CODES = {162: "Marahute", 134: "Provider"}
 
 
+_RELATIONS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """The input table as a relation resolved once per session (file listing
+    and footer read happen once, as for a catalog table); no data is cached."""
+    key = (spark.sparkContext.applicationId, id(spark), d, name)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(f"{d}/{name}.parquet")
+    return df
 
 
 def spread(df: DataFrame) -> DataFrame:
