@@ -325,9 +325,12 @@ def fish(spark: SparkSession, inp: FishInputs) -> dict:
 
 def layers(pot_cpue: DataFrame, trawl_cpue: DataFrame, pot_bycatch: DataFrame | None = None,
            trawl_crab: DataFrame | None = None, trawl_fish: DataFrame | None = None,
-           station_from: str = "POT_ID") -> dict:
+           station_from: str = "POT_ID", pot_specimens: DataFrame | None = None,
+           trawl_specimens: DataFrame | None = None) -> dict:
     """Map-ready tables: CPUE layer (pot + trawl, projected), totals over the
-    maturity classes, bycatch layer (long) with legend scales."""
+    maturity classes, bycatch layer (long) with legend scales, and (K5) the
+    mature crab by sex x shell condition per station, zero-filled over the
+    stations of the CPUE layer."""
     from ..operators.layers import map_layer, scale_limits
     from ..operators.specimens import lengthen
     pot = (pot_cpue.withColumnRenamed(station_from, "STATION").where(S.regular_station("STATION"))
@@ -350,6 +353,18 @@ def layers(pot_cpue: DataFrame, trawl_cpue: DataFrame, pot_bycatch: DataFrame |
         by = map_layer([long], "VALUE", "CATEGORY")
         out["bycatch_layer"] = by
         out["bycatch_scales"] = scale_limits(by)
+    if pot_specimens is not None and trawl_specimens is not None:
+        keep = ["VESSEL", "STATION", "SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE", "SHELL_CONDITION",
+                "SAMPLING_FACTOR"]
+        ps = pot_specimens.withColumnRenamed(station_from, "STATION").where(S.regular_station("STATION"))
+        spec = _opt(trawl_specimens.withColumn("STATION", F.col("STATION").cast("string")), keep).unionByName(
+            _opt(ps, keep))
+        spec = spec.withColumn("MAT_SEX_SC", S.shell_class("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE",
+                                                           "SHELL_CONDITION")).where(F.col("MAT_SEX_SC").isNotNull())
+        positive = C.category_counts(spec, ["VESSEL", "STATION"], "MAT_SEX_SC")
+        units = total.select("VESSEL", "STATION", "LAT_DD", "LON_DD", "X", "Y", "GEAR")
+        out["shell_layer"] = C.zero_fill(positive, units, ["VESSEL", "STATION"], "MAT_SEX_SC", K.SHELL_CATEGORIES,
+                                         {"COUNT": 0.0})
     return out
 
 

@@ -164,3 +164,18 @@ def test_fish_pipeline(spark, trawl_root):
     sheet = {r["STATION"]: r for r in out["fish_bycatch"].collect()}
     assert sheet["S1"]["YellowfinSole"] == pytest.approx(15.0) and sheet["S1"]["PacificCod"] == pytest.approx(9.0)
     assert sheet["S2"]["PacificCod"] == 0.0
+
+
+def test_shell_layer(spark, pot_inputs):
+    out = P.pot(spark, pot_inputs)
+    trawl_cpue = spark.createDataFrame([("Vesteraalen", 7, 56.0, -161.0, "Mature male", 1.0)],
+                                       "VESSEL string, STATION long, LAT_DD double, LON_DD double, MAT_SEX string, COUNT double")
+    trawl_spec = spark.createDataFrame([("Vesteraalen", 7, 69322, 1, 130.0, None, 3, 1.0)],
+                                       "VESSEL string, STATION long, SPECIES_CODE int, SEX int, LENGTH double, "
+                                       "CLUTCH_SIZE int, SHELL_CONDITION int, SAMPLING_FACTOR double")
+    lay = P.layers(out["pot_cpue"], trawl_cpue, pot_specimens=out["specimen_table"], trawl_specimens=trawl_spec)
+    sl = {(r["STATION"], r["MAT_SEX_SC"]): r["COUNT"] for r in lay["shell_layer"].collect()}
+    assert len(sl) == (3 + 1) * 6                        # every station of the CPUE layer x 6 classes
+    assert sl[("7", "Mature male SC3")] == 1.0
+    assert sl[("A1", "Mature male SC2")] == pytest.approx(10 / 3)   # two mature SC2 males, factor 5/3
+    assert sl[("A2", "Mature female SC2")] == 0.0
