@@ -209,6 +209,12 @@ class TrawlInputs:
     cruise: int = 202401
 
 
+def _trawl_vessel(inp: TrawlInputs):
+    """ifelse(VESSEL == code, name, ""): NULL code stays NULL (R's ifelse on NA)."""
+    v = F.col("VESSEL")
+    return F.when(v.isNull(), F.lit(None).cast("string")).when(v == inp.vessel_code, inp.vessel_name).otherwise("")
+
+
 def trawl_hauls(spark: SparkSession, path: str) -> DataFrame:
     """Sampled hauls only."""
     return read_table(spark, path, SC.HAULS).where(F.col("SAMPLED") == 1)
@@ -241,8 +247,7 @@ def trawl(spark: SparkSession, inp: TrawlInputs) -> dict:
                         "right")
     st = natural_join(st, specimen, "left")
     st = null_safe_join(hauls, st, ["STATION"], "right")
-    vessel = F.when(F.col("VESSEL") == inp.vessel_code, inp.vessel_name).otherwise(F.lit(""))
-    st = st.withColumns({"VESSEL": vessel, "SAMPLING_FACTOR": F.lit(1.0)})
+    st = st.withColumns({"VESSEL": _trawl_vessel(inp), "SAMPLING_FACTOR": F.lit(1.0)})
     cols = ["CRUISE", "VESSEL", "HAUL", "STATION", "LAT_DD", "LON_DD", "SPECIES_CODE", "SPECIES_NAME", "SEX", "LENGTH",
             "WIDTH", "SAMPLING_FACTOR", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "WEIGHT",
             "DISEASE_CODE", "DISEASE_DORSAL", "DISEASE_VENTRAL", "DISEASE_LEGS", "CHELA_HEIGHT", "MERUS_LENGTH",
@@ -250,8 +255,7 @@ def trawl(spark: SparkSession, inp: TrawlInputs) -> dict:
     specimen_table = _opt(st, cols)
 
     est = C.expanded_count(specimen_table, ["CRUISE", "VESSEL", "HAUL", "STATION", "SPECIES_CODE"])
-    rep = catch.withColumnRenamed("NUMBER_CRAB", "N_ENTRIES").withColumn(
-        "VESSEL", F.when(F.col("VESSEL") == inp.vessel_code, inp.vessel_name).otherwise(F.lit("")))
+    rep = catch.withColumnRenamed("NUMBER_CRAB", "N_ENTRIES").withColumn("VESSEL", _trawl_vessel(inp))
     cs = null_safe_join(est, rep, ["CRUISE", "VESSEL", "HAUL", "STATION", "SPECIES_CODE"], "right")
     catch_summary = cs.select("CRUISE", "VESSEL", "HAUL", "STATION", "SPECIES_CODE", "NUMBER_CRAB", "N_ENTRIES").dropna()
 
