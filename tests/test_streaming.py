@@ -39,3 +39,21 @@ def test_stream_partials_equal_batch_totals(spark):
             assert (got[spn][c] is None) == (ref[spn][c] is None)
             if ref[spn][c] is not None:
                 assert got[spn][c] == pytest.approx(ref[spn][c])
+
+
+def test_csv_drop_stream_totals(spark):
+    from haulkit.sources.schemas import RAW_SAMPLE_VALUES
+    root = tempfile.mkdtemp(prefix="csvstream-")
+    drops = os.path.join(root, "drops")
+    os.makedirs(drops)
+    hdr = "HAUL_ID,CATCH_SAMPLE_VALUE_ID,CATCH_SAMPLE_ID,COUNT,WEIGHT,KEEP,RECORDING_DEVICE,RECORDER"
+    for i, body in enumerate((["h1,v1,s1,2,1.0,N,d,me", "h1,v2,s1,NA,1.0,N,d,me"], ["h1,v3,s1,3,1.0,N,d,me"])):
+        with open(os.path.join(drops, f"R_SAMPLE_VALUES_{i}.csv"), "w") as f:
+            f.write("\n".join([hdr] + body) + "\n")
+    stream = read_drop_stream(spark, drops, "*_SAMPLE_VALUES_*.csv", RAW_SAMPLE_VALUES, max_files_per_trigger=1)
+    q = append_partials(stream, lambda b: C.tossed_totals(b), os.path.join(root, "tossed"), os.path.join(root, "_ck"))
+    q.awaitTermination()
+    parts = spark.read.parquet(os.path.join(root, "tossed"))
+    assert parts.select("batch_id").distinct().count() == 2
+    total = parts.groupBy("HAUL_ID", "CATCH_SAMPLE_ID", "RECORDING_DEVICE").sum("TOSSED").collect()
+    assert [tuple(r) for r in total] == [("h1", "s1", "d", 5)]
