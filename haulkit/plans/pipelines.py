@@ -26,7 +26,7 @@ from ..operators import fish as FI
 from ..operators import lifts as L
 from ..operators import quality as QU
 from ..operators.joins import natural_join, null_safe_join
-from ..operators.specimens import widen
+from ..operators.specimens import fanout, widen
 from ..sources import schemas as SC
 from ..sources.drops import read_drop, read_table, write_product
 
@@ -129,6 +129,7 @@ def pot(spark: SparkSession, inp: PotInputs, zero_rate: bool = False, literal_po
     st = null_safe_join(catch.drop("RECORDING_DEVICE", "ID"), sf, ["HAUL", "HAUL_ID", "SPECIES_CODE"], "right")
     st = natural_join(st, specimen.drop("NOTES"), "left").distinct().withColumnRenamed("HAUL", "SPN")
     lifts = pot_lifts(spark, inp)
+    lift_fanout = fanout(st.select("VESSEL", "SPN"), lifts.select("VESSEL", "SPN"), ["VESSEL", "SPN"])
     st = null_safe_join(lifts, st, ["VESSEL", "SPN"], "right")
     st = st.withColumn("VESSEL", S.decode_vessel("VESSEL", inp.vessels))
     st = (N.require_any(st, ["LAT_DD", "LON_DD", "SPN"]) if literal_position_filter
@@ -153,7 +154,12 @@ def pot(spark: SparkSession, inp: PotInputs, zero_rate: bool = False, literal_po
                     POT_CPUE_COLUMNS)
 
     out = {"specimen_table": specimen_table, "potlifts": potlifts, "catch_summary": catch_summary,
-           "catch_mismatches": mismatches, "pot_cpue": pot_cpue}
+           "catch_mismatches": mismatches, "pot_cpue": pot_cpue,
+           # many-to-many joins are reported, not hidden (keys whose right side repeats)
+           "fanout_samples": fanout(ss.select("HAUL", "HAUL_ID", "SEX", "CATCH_SAMPLE_ID", "SPECIES_CODE",
+                                              "RECORDING_DEVICE"), samples,
+                                    ["HAUL", "HAUL_ID", "SEX", "CATCH_SAMPLE_ID", "SPECIES_CODE", "RECORDING_DEVICE"]),
+           "fanout_potlifts": lift_fanout}
     if inp.bycatch_sheets:
         out["pot_bycatch"] = pot_bycatch(spark, inp, potlifts)
     out.update(quality_products("POT", specimen_table, catch_summary, potlifts, pot_cpue, inp.cruise))

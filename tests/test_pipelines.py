@@ -84,6 +84,7 @@ def test_pot_pipeline_products(spark, pot_inputs):
     rep = {r["RULE_ID"]: r["VIOLATIONS"] for r in out["quality_report"].collect()}
     assert rep["Q2"] == 0 and rep["Q21"] == 0
     assert out["orphan_units"].count() == 0
+    assert out["fanout_samples"].count() == 0 and out["fanout_potlifts"].count() == 0
 
 
 def test_layers_from_products(spark, pot_inputs):
