@@ -92,26 +92,3 @@ def station_label_weights(catch: DataFrame, keys: Sequence[str] = ("STATION",),
     return c.groupBy(*keys).agg(*aggs)
 
 
-
-def fish_catch(samples: DataFrame, keys: Sequence[str], station: str = "STATION",
-               weight: str = "SAMPLE_VALUE_WEIGHT", count: str = "SAMPLE_VALUE_COUNT",
-               flatfish_codes: Sequence[int] = K.FLATFISH_CODES, unid_name: str = K.UNID_FLATFISH_NAME,
-               unid_code: int = K.UNID_FLATFISH_CODE) -> DataFrame:
-    """W1 + D6 + D7 + H15 with one pass over the rows.
-
-    Every sample group (`keys`, which include the station and the species)
-    lies in one station and has one species, so the station's identified and
-    unidentified flatfish weights are sums of the groups' strict weights, and
-    the flatfish factor joins back per group, not per row.  Same result as
-    `estimate_counts(flatfish_expand(rows), keys + [SAMPLING_FACTOR])`."""
-    r = samples.withColumn("__iw", safe_div(F.col(weight), F.col(count)))
-    g = r.groupBy(*keys).agg(F.expr("avg(DISTINCT __iw)").alias("IND_WEIGHT"), strict_sum(weight).alias("WEIGHT"))
-    flat = is_in("SPECIES_CODE", flatfish_codes)
-    unid = F.coalesce(F.col("SPECIES_NAME") == unid_name, F.lit(False))
-    st = g.groupBy(station).agg(_subset_sum(flat, "WEIGHT").alias("__I"), _subset_sum(unid, "WEIGHT").alias("__U"))
-    g = g.where(~(F.col("SPECIES_CODE") == unid_code)).join(st, station)
-    sf = F.when(~flat, F.lit(1.0)).otherwise(safe_div(F.col("__I") + F.col("__U"), F.col("__I")))
-    g = g.withColumn("SAMPLING_FACTOR", sf).drop("__I", "__U")
-    g = g.withColumn("COUNT", safe_div(F.col("WEIGHT"), F.col("IND_WEIGHT")))
-    return g.withColumns({"CALC_WEIGHT": F.col("WEIGHT") * F.col("SAMPLING_FACTOR"),
-                          "CALC_COUNT": F.col("COUNT") * F.col("SAMPLING_FACTOR")})

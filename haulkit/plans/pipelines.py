@@ -28,6 +28,7 @@ from ..operators import quality as QU
 from ..operators.joins import natural_join, null_safe_join
 from ..operators.specimens import fanout, widen
 from ..sources import schemas as SC
+from ..session import cut_lineage
 from ..sources.drops import read_drop, read_table, write_product
 
 BIOMETRICS = ["SEX", "WEIGHT", "CRAB_SHELL_CONDITION", "CRAB_EGG_COLOR", "CRAB_EGG_CONDITION",
@@ -316,9 +317,11 @@ def fish(spark: SparkSession, inp: FishInputs) -> dict:
     s = null_safe_join(s, names, ["SPECIES_CODE"], "left")
     s = s.withColumns({"SPECIES_NAME": S.merge_species_name("SPECIES_NAME"),
                        "SPECIES_CODE": S.merge_species_code("SPECIES_CODE")})
-    s = N.require(s, ["HAUL_ID", "SPECIES_CODE"])
-    keys = ["HAUL", "HAUL_ID", "CATCH_SAMPLE_ID", "RECORDING_DEVICE", "STATION", "SPECIES_CODE", "SPECIES_NAME"]
-    est = FI.fish_catch(s, keys, "STATION")      # flatfish factor + counts in one pass over the rows
+    # the cleaned rows feed the per-station sums and the rows they scale: parse the CSV drops once
+    s = FI.flatfish_expand(cut_lineage(N.require(s, ["HAUL_ID", "SPECIES_CODE"])), ["STATION"])
+    keys = ["HAUL", "HAUL_ID", "CATCH_SAMPLE_ID", "RECORDING_DEVICE", "STATION", "SPECIES_CODE", "SPECIES_NAME",
+            "SAMPLING_FACTOR"]
+    est = FI.estimate_counts(s, keys)
     est = null_safe_join(est, hauls.select("STATION", "LAT_DD", "LON_DD"), ["STATION"], "left")
     fish_catch = est.withColumns({"VESSEL": F.lit(inp.vessel_name), "CRUISE": F.lit(inp.cruise)}).select(
         "CRUISE", "VESSEL", "HAUL", "STATION", "LAT_DD", "LON_DD", "SPECIES_CODE", "SPECIES_NAME", "IND_WEIGHT",

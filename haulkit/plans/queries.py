@@ -239,10 +239,10 @@ FISH_KEYS = ["STATION", "CATCH_SAMPLE_ID", "SPECIES_CODE", "SPECIES_NAME", "SAMP
 
 
 def _fish_catch(spark, d):
-    """Sample x species catch with the flatfish factor, in one pass over rows."""
+    """Sample x species catch: per-station flatfish factor (a small aggregate
+    joined back), then one aggregation per sample group."""
     from ..operators import fish as FI
-    rows = FI.clean_fish(B.fish_samples(spark, d), B.fish_names(spark))
-    return FI.fish_catch(rows, FISH_KEYS[:-1])
+    return FI.estimate_counts(_fish(spark, d), FISH_KEYS)
 
 
 def estimate_counts(spark: SparkSession, d: str) -> DataFrame:

@@ -99,15 +99,3 @@ def test_orphans_and_reconcile(spark):
     c = spark.createDataFrame([(1, 2.0, 2), (2, 1.0, 3), (4, 1.0, 1)], "K int, NUMBER_CRAB double, N_ENTRIES int")
     assert [r["K"] for r in QU.reconcile_totals(s, c, ["K"]).orderBy("K").collect()] == [2, 4]
 
-
-def test_one_pass_fish_catch_equals_two_pass(fish):
-    keys = ["STATION", "CATCH_SAMPLE_ID", "SPECIES_CODE", "SPECIES_NAME"]
-    two = FI.estimate_counts(FI.flatfish_expand(fish), keys + ["SAMPLING_FACTOR"])
-    one = FI.fish_catch(fish, keys)
-    cols = keys + ["SAMPLING_FACTOR", "IND_WEIGHT", "WEIGHT", "COUNT", "CALC_WEIGHT", "CALC_COUNT"]
-    a = sorted(tuple(r) for r in two.select(*cols).collect())
-    b = sorted(tuple(r) for r in one.select(*cols).collect())
-    assert len(a) == len(b)
-    for x, y in zip(a, b):
-        for u, v in zip(x, y):
-            assert (u is None and v is None) or u == pytest.approx(v)
