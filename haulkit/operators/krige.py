@@ -240,17 +240,19 @@ def krige(samples: DataFrame, targets: DataFrame, nugget: float, psill: float, r
         done_b = done_b or pqb <= 0
         al_a = 0.0 if done_a else rra / pqa
         al_b = 0.0 if done_b else rrb / pqb
-        nxt = cut_lineage(st.select(
-            "ID", (F.col("xa") + F.lit(al_a) * F.col("pa")).alias("xa"),
-            (F.col("xb") + F.lit(al_b) * F.col("pb")).alias("xb"),
-            (F.col("ra") - F.lit(al_a) * F.col("qa")).alias("ra"),
-            (F.col("rb") - F.lit(al_b) * F.col("qb")).alias("rb"), "pa", "pb"))
-        new_a, new_b = sq_norms(nxt)
+        ra_new = F.col("ra") - F.lit(al_a) * F.col("qa")
+        rb_new = F.col("rb") - F.lit(al_b) * F.col("qb")
+        nr = st.agg(F.sum(ra_new * ra_new), F.sum(rb_new * rb_new)).first()
+        new_a, new_b = float(nr[0] or 0.0), float(nr[1] or 0.0)
         be_a = 0.0 if done_a or rra == 0 else new_a / rra
         be_b = 0.0 if done_b or rrb == 0 else new_b / rrb
-        state = nxt.select("ID", "xa", "xb", "ra", "rb",
-                           (F.col("ra") + F.lit(be_a) * F.col("pa")).alias("pa"),
-                           (F.col("rb") + F.lit(be_b) * F.col("pb")).alias("pb"))
+        # next state: a projection of the checkpointed `st` (one write per iteration)
+        state = st.select(
+            "ID", (F.col("xa") + F.lit(al_a) * F.col("pa")).alias("xa"),
+            (F.col("xb") + F.lit(al_b) * F.col("pb")).alias("xb"),
+            ra_new.alias("ra"), rb_new.alias("rb"),
+            (ra_new + F.lit(be_a) * F.col("pa")).alias("pa"),
+            (rb_new + F.lit(be_b) * F.col("pb")).alias("pb"))
         if not done_a:
             rra = new_a
         if not done_b:
