@@ -72,7 +72,7 @@ def bessel_cov(h: Column, nugget: float, psill: float, rng: float) -> Column:
 
 
 def cov_radius(rng: float, eps: float = 1e-10) -> float:
-    """Distance beyond which the Bessel covariance is below eps of psill."""
+    """Distance beyond which psill * xK1(h / range) is below eps * psill."""
     t = 1.0
     while float(xk1_np(np.array([t]))[0]) > eps:
         t *= 1.25
@@ -201,7 +201,8 @@ def krige(samples: DataFrame, targets: DataFrame, nugget: float, psill: float, r
     Covariance form: with a = K^-1 z and b = K^-1 1, the mean is
     m = 1'a / 1'b and the prediction at x0 is m + sum_j C(x0, xj)(a_j - m b_j).
     """
-    R = cov_radius(rng, eps)
+    # covariance below eps of the total sill (nugget + psill) is treated as zero
+    R = cov_radius(rng, eps * (nugget + psill) / psill) if psill > 0 else rng
     s = samples.select(F.col(id_col).alias("ID"), F.col(x).alias("X"), F.col(y).alias("Y"), F.col(z).alias("Z"))
     s = cut_lineage(s)
     n = s.count()
