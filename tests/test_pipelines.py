@@ -180,3 +180,15 @@ def test_shell_layer(spark, pot_inputs):
     assert sl[("7", "Mature male SC3")] == 1.0
     assert sl[("A1", "Mature male SC2")] == pytest.approx(10 / 3)   # two mature SC2 males, factor 5/3
     assert sl[("A2", "Mature female SC2")] == 0.0
+
+
+def test_pot_options_and_written_products(spark, pot_inputs):
+    from haulkit.sources.drops import load_product
+    out = P.pot(spark, pot_inputs, zero_rate=True)
+    got = {(r["SPN"], r["MAT_SEX"]): r["CATCH_PER_HOUR"] for r in out["pot_cpue"].collect()}
+    assert got[(2, "Mature male")] == 0.0                  # N17 option: zero pots get rate 0
+    base = tempfile.mkdtemp(prefix="products-")
+    P.write_products({k: out[k] for k in ("pot_cpue", "potlifts", "quality_report")}, base, "2026")
+    back = load_product(spark, base, "pot_cpue", "2026")
+    assert back.count() == 3 * 6 and set(back.columns) >= {"SPN", "MAT_SEX", "COUNT", "survey"}
+    assert load_product(spark, base, "quality_report", "2026").count() == 21
