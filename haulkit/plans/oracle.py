@@ -632,3 +632,59 @@ SELECT coalesce(s.SPN, c.SPN) AS SPN, coalesce(s.SPECIES_CODE, c.SPECIES_CODE) A
        c.NUMBER_CRAB AS CATCH_NUMBER_CRAB, c.N_ENTRIES AS CATCH_N_ENTRIES
 FROM spec s FULL OUTER JOIN cat c ON s.SPN = c.SPN AND s.SPECIES_CODE = c.SPECIES_CODE
 WHERE s.NUMBER_CRAB IS DISTINCT FROM c.NUMBER_CRAB OR s.N_ENTRIES IS DISTINCT FROM c.N_ENTRIES"""
+
+
+def _poly_sql(t: str, coefs) -> str:
+    out = None
+    for c in reversed(coefs):
+        out = repr(float(c)) + "::DOUBLE" if out is None else f"({out} * {t} + {float(c)!r}::DOUBLE)"
+    return out
+
+
+def _xk1_sql(x: str) -> str:
+    from ..operators.krige import _I1_SMALL, _K1_LARGE, _K1_SMALL
+    x = f"({x})"
+    t = f"(({x} / 3.75::DOUBLE) * ({x} / 3.75::DOUBLE))"
+    h2 = f"(({x} / 2.0::DOUBLE) * ({x} / 2.0::DOUBLE))"
+    small = f"({x} * ln({x} / 2.0::DOUBLE) * ({x} * {_poly_sql(t, _I1_SMALL)}) + {_poly_sql(h2, _K1_SMALL)})"
+    big = f"({x} * {_poly_sql('(2.0::DOUBLE / ' + x + ')', _K1_LARGE)} / (sqrt({x}) * exp({x})))"
+    return f"(CASE WHEN {x} <= 0.0 THEN 1.0::DOUBLE WHEN {x} <= 2.0 THEN {small} ELSE {big} END)"
+
+
+def _fit_sql(cands: str) -> str:
+    """Per candidate RANGE: exact weighted least squares for nugget and psill."""
+    h = "b.DIST"
+    w = f"(b.NP::DOUBLE / greatest({h} * {h}, 1e-12::DOUBLE))"
+    f = f"(1.0::DOUBLE - {_xk1_sql(h + ' / c.RANGE')})"
+    return f"""
+  SELECT RANGE, NUGGET, PSILL,
+         (SELECT sum((b.NP::DOUBLE / greatest(b.DIST * b.DIST, 1e-12::DOUBLE))
+                     * (b.GAMMA - (NUGGET + PSILL * (1.0::DOUBLE - {_xk1_sql('b.DIST / s.RANGE')}))) ** 2)
+          FROM bins b) AS SSE
+  FROM (SELECT RANGE,
+         CASE WHEN det > 0 AND c0 >= 0 AND c1 >= 0 THEN c0 WHEN det > 0 AND c0 < 0 THEN 0.0::DOUBLE
+              ELSE greatest(coalesce(sg / nullif(sw, 0), 0.0::DOUBLE), 0.0::DOUBLE) END AS NUGGET,
+         CASE WHEN det > 0 AND c0 >= 0 AND c1 >= 0 THEN c1
+              WHEN det > 0 AND c0 < 0 THEN greatest(coalesce(sfg / nullif(sff, 0), 0.0::DOUBLE), 0.0::DOUBLE)
+              ELSE 0.0::DOUBLE END AS PSILL
+        FROM (SELECT *, (sg * sff - sf * sfg) / nullif(det, 0) AS c0, (sw * sfg - sf * sg) / nullif(det, 0) AS c1
+              FROM (SELECT *, sw * sff - sf * sf AS det FROM (
+                    SELECT c.RANGE, sum({w}) AS sw, sum({w} * {f}) AS sf, sum({w} * {f} * {f}) AS sff,
+                           sum({w} * b.GAMMA) AS sg, sum({w} * {f} * b.GAMMA) AS sfg
+                    FROM ({cands}) c CROSS JOIN bins b GROUP BY c.RANGE)))) s"""
+
+
+ORACLE["variogram_fit_rounded"] = f"""
+WITH pts AS (SELECT X, Y, avg(TEMP) AS Z FROM (SELECT DISTINCT X, Y, TEMP FROM ({_stations_xy()})) GROUP BY X, Y),
+n AS (SELECT *, row_number() OVER (ORDER BY X, Y) AS ID FROM pts),
+pr AS (SELECT sqrt((a.X - b.X) ** 2 + (a.Y - b.Y) ** 2) AS DIST, 0.5::DOUBLE * (a.Z - b.Z) ** 2 AS G
+       FROM n a JOIN n b ON a.ID < b.ID),
+bins AS (SELECT CAST(floor(DIST / 10000.0::DOUBLE) AS INTEGER) AS BIN, count(*) AS NP, avg(DIST) AS DIST, avg(G) AS GAMMA
+         FROM pr WHERE DIST <= 150000.0::DOUBLE GROUP BY BIN),
+k AS (SELECT max(DIST) * 0.01::DOUBLE AS lo, max(DIST) * 3.0::DOUBLE AS hi FROM bins),
+r AS (SELECT lo, pow(hi / lo, 1.0::DOUBLE / 119.0::DOUBLE) AS ratio FROM k),
+coarse AS ({_fit_sql("SELECT r.lo * pow(r.ratio, t.i::DOUBLE) AS RANGE FROM r, range(0, 120) t(i)")}),
+best AS (SELECT arg_min(RANGE, SSE) AS b FROM coarse),
+fine AS ({_fit_sql("SELECT b / r.ratio + ((b * r.ratio - b / r.ratio) / 59.0::DOUBLE) * t.i::DOUBLE AS RANGE FROM best, r, range(0, 60) t(i)")}),
+m AS (SELECT arg_min(NUGGET, SSE) AS NUGGET, arg_min(PSILL, SSE) AS PSILL, arg_min(RANGE, SSE) AS RANGE, min(SSE) AS SSE FROM fine)
+SELECT {fx('NUGGET', 6)} AS NUGGET, {fx('PSILL', 6)} AS PSILL, {fx('RANGE', 3)} AS RANGE, {fx('SSE * 1e9::DOUBLE', 3)} AS SSE_E9 FROM m"""

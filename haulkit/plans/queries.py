@@ -488,6 +488,13 @@ def variogram_fit(spark: SparkSession, d: str) -> DataFrame:
     return fit_variogram(ev(_samples(spark, d), VARIO_CUTOFF, VARIO_WIDTH))
 
 
+def variogram_fit_rounded(spark: SparkSession, d: str) -> DataFrame:
+    """`variogram_fit` with outputs rounded for the oracle comparison."""
+    m = variogram_fit(spark, d)
+    return m.select(fix("NUGGET", 6).alias("NUGGET"), fix("PSILL", 6).alias("PSILL"),
+                    fix("RANGE", 3).alias("RANGE"), fix(F.col("SSE") * F.lit(1e9), 3).alias("SSE_E9"))
+
+
 def temp_surface(spark: SparkSession, d: str) -> DataFrame:
     """Kriged bottom temperature on the 1 km grid inside the
     survey boundary, with its temperature band."""
@@ -506,6 +513,7 @@ def temp_surface(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES.update({
+    "variogram_fit_rounded": variogram_fit_rounded,
     "albers": albers,
     "points_in_polygon": points_in_polygon,
     "outside_areas": outside_areas,

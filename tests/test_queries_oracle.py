@@ -12,6 +12,9 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 SLOW = {"temp_surface"}
+# with 2 distance bins at sf0.001 a 3-parameter variogram fits exactly for many
+# ranges, so the argmin is arbitrary; it is compared at sf0.01 and sf0.1 instead
+DEGENERATE_HERE = {"variogram_fit_rounded"}
 
 
 def _norm(v):
@@ -38,7 +41,7 @@ def duck():
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables not present")
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW - DEGENERATE_HERE))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
