@@ -155,7 +155,7 @@ class Words(NamedTuple):
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts (null: none), and the bounds of each."""
-    texts = pc.fill_null(texts, "")
+    texts = pc.fill_null(texts, b"" if pa.types.is_binary(texts.type) else "")
     large = pa.types.is_large_string(texts.type)
     _, offsets, data = texts.buffers()
     bounds = np.frombuffer(offsets, np.int64 if large else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
@@ -211,3 +211,75 @@ def binaries(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
         raise ValueError("more than 2 GB in one batch")
     take = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], sizes)
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(data[take].tobytes())])
+
+
+# ---- windows that share their smallest gram ---------------------------------------------------------------------
+
+def window_min(values: np.ndarray, n: int) -> np.ndarray:
+    """The minimum of the n values from each place on."""
+    least, width = values, 1
+    while width * 2 <= n:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    return least if width == n else np.minimum(least[:len(least) - (n - width)], least[n - width:])
+
+
+def minimisers(grams: np.ndarray, width: int, fits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest gram of each window of ``width`` grams, grams that are the smallest of a window, once for each place).
+
+    fits: which windows count.  A gram is the smallest of some window around it if it
+    equals the largest of those windows' minima.  Equal windows at two places have two
+    such grams, also where both lie in one run.
+    """
+    least = window_min(grams, width)
+    edge = np.full(width - 1, ~np.uint64(0))
+    highest = ~window_min(np.concatenate((edge, np.where(fits, ~least, ~np.uint64(0)), edge)), width)
+    return least, grams[grams == highest]
+
+
+def runs_of(least: np.ndarray, at: np.ndarray, doc: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds, as indices of ``at``, of runs of neighbouring windows with one minimum, in one text, ``longest`` windows at most.
+
+    at: first places of the windows, ascending; least and doc: minimum and text of each.
+    """
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.ones(len(at), bool)
+    new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)
+    start = np.flatnonzero(new)
+    within = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
+    start = np.flatnonzero(within % longest == 0)
+    return start, np.append(start[1:], len(at))
+
+
+def merged(flag: np.ndarray, at: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the stretches that flagged windows of a width cover; at and doc ascend together."""
+    at, doc = at[flag], doc[flag]
+    if not len(at):
+        return doc, at, at
+    new = np.ones(len(at), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + width)
+    start = np.flatnonzero(new)
+    return doc[start], at[start], at[np.append(start[1:], len(at)) - 1] + width
+
+
+def sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches sorted by their first two columns as tables of whole buckets: what a batch
+    has of its last bucket waits for the next batch."""
+    held: list[pa.RecordBatch] = []
+    bucket = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        last = (a[-1], b[-1])
+        ended = np.flatnonzero((a != last[0]) | (b != last[1]))
+        cut = int(ended[-1]) + 1 if len(ended) else 0
+        if cut or bucket not in (None, last):
+            if ready := held + ([batch.slice(0, cut)] if cut else []):
+                yield pa.Table.from_batches(ready).combine_chunks()
+            held, batch = [], batch.slice(cut)
+        held.append(batch)
+        bucket = last
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
