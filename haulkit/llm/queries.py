@@ -4,12 +4,16 @@ from haulkit.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from haulkit.llm.minhash import op9_near_dedup
 from haulkit.llm.mixing import OP1_SQL, op1_mix_sources
 from haulkit.llm.quality import op5_quality_rules
+from haulkit.llm.sentencepiece_nbest import op3_sentencepiece
 from haulkit.llm.substring_dedup import op2_substring_dedup
 from haulkit.llm.suffix_dedup import op8_suffix_dedup
+from haulkit.llm.token_counts import op4_token_counts
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_near_dedup": op9_near_dedup,
