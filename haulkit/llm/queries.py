@@ -1,6 +1,7 @@
 """The registered queries of this package and their DuckDB SQL."""
 
 from haulkit.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from haulkit.llm.lm_scoring import op7_lm_scoring
 from haulkit.llm.minhash import op9_near_dedup
 from haulkit.llm.mixing import OP1_SQL, op1_mix_sources
 from haulkit.llm.quality import op5_quality_rules
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
