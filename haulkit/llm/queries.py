@@ -9,6 +9,7 @@ from haulkit.llm.sentencepiece_nbest import op3_sentencepiece
 from haulkit.llm.substring_dedup import op2_substring_dedup
 from haulkit.llm.suffix_dedup import op8_suffix_dedup
 from haulkit.llm.token_counts import op4_token_counts
+from haulkit.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_near_dedup": op9_near_dedup,
