@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulkit.llm.grouping import groups
-from haulkit.llm.shared import Powers, Words, blocks, filter_array, has, materialise, mix, runs_hash, spans_hash, whole, words_of
+from haulkit.llm.shared import Powers, Words, blocks, filter_array, has, materialise, mix, runs_hash, spans_hash, text_of, whole, words_of
 
 STEP_BITS = 44  # a value of the signature: the step above these bits, a random fraction in them
 
@@ -78,7 +78,7 @@ def super_minhash(docs: np.ndarray, hashes: np.ndarray, n_docs: int, m: int) ->
 
 
 def signatures(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, set_a, set_b, bands): the size of each text's set, two hashes of the set, and the keys of its bands."""
+    """(id, mark, n, set_a, set_b, bands): xxhash64 of the text, the size of each text's set, two hashes of the set, and the keys of its bands."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in blocks(batches, "text"):
@@ -97,11 +97,11 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str
                 keys[:, b] = key
             ends = np.concatenate(([0], np.cumsum(np.where(n > 0, bands, 0)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n, pa.int64()), pa.array(set_a.view(np.int64)), pa.array(set_b.view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[n > 0].ravel().view(np.int64)))], ["id", "n", "set_a", "set_b", "bands"])
+                batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(set_a.view(np.int64)), pa.array(set_b.view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[n > 0].ravel().view(np.int64)))], ["id", "mark", "n", "set_a", "set_b", "bands"])
 
-    read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return read.mapInArrow(task, "id long, n long, set_a long, set_b long, bands array<long>")
+    read = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("mark"))
+    return read.mapInArrow(task, "id long, mark long, n long, set_a long, set_b long, bands array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, filter_bits: int, id_col: str, text_col: str) -> DataFrame:
@@ -146,7 +146,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 24, rows: int = 4,
                     filter_bits: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id_col, n_shingles, component_id, kept.
+    """One row per row of ``docs``: id_col, n_shingles, component_id, kept, mark (xxhash64 of the text).
 
     A text's set has its distinct shingles of A-Z-folded words, the whole sequence
     if it has fewer words, and nothing if it has none (or is null): then it is linked
@@ -193,14 +193,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     whose = classes.select("set_a", "set_b", F.col("rep").alias("cid")).join(
         grouped.withColumnRenamed("id", "cid"), "cid", "left").select("set_a", "set_b", F.coalesce("group", "cid").alias("component_id"))
-    full = signed.filter("n > 0 and id is not null").join(whose, ["set_a", "set_b"]).select("id", "n", "component_id")
-    rest = signed.filter("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component_id"))
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("component_id"))
+    full = signed.filter("n > 0 and id is not null").join(whose, ["set_a", "set_b"]).select("id", "mark", "n", "component_id")
+    rest = signed.filter("not (n > 0 and id is not null)").select("id", "mark", "n", F.col("id").alias("component_id"))
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("component_id", "mark"))
     out = full.unionByName(rest).withColumn("nth", F.when(F.col("id").isNotNull(), nth).otherwise(1))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-                      (F.col("id").eqNullSafe(F.col("component_id")) & (F.col("nth") == 1)).alias("kept"))
+                      (F.col("id").eqNullSafe(F.col("component_id")) & (F.col("nth") == 1)).alias("kept"), "mark")
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Every row of ``documents``: shingles of four words, links from 80 %, the smallest id of its group."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=4)
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=4).drop("mark")

@@ -51,24 +51,26 @@ def source_targets(sizes: DataFrame, shares: tuple[int, ...] = (3, 1, 2), percen
 
 
 def mix_sources(docs: DataFrame, size: Column, weight: Column, id_col: str = "doc_id", source_col: str = "source",
-                shares: tuple[int, ...] = (3, 1, 2), percent: int = 150, most: int = 2) -> DataFrame:
-    """One row per row of ``docs``: id_col, source, size, source_size, target, epochs, taken.
+                shares: tuple[int, ...] = (3, 1, 2), percent: int = 150, most: int = 2, carry: dict[str, Column] | None = None) -> DataFrame:
+    """One row per row of ``docs``: id_col, source, size, source_size, target, copies, taken, and the columns of ``carry``.
 
-    ``size`` and ``weight`` are expressions over ``docs``; a weight that is null or
-    not positive counts as the smallest positive one in use, 1e-6.  ``taken`` is
-    epochs x size, plus size where the fractional part takes the document: in key
+    ``size``, ``weight`` and those of ``carry`` are expressions over ``docs``; a weight that is null or
+    not positive counts as the smallest positive one in use, 1e-6.  ``copies`` is the number of
+    epochs, and one more where the fractional part takes the document, and taken is copies x
+    size.  The fractional part takes documents in key
     order (ties by id) as long as at least half of it fits the rest, so a source
     misses its target by at most half a document.  Null sources are a source; a
     source of size 0 has target 0.  Reruns agree, as keys depend on ids only.
     """
+    carry = carry or {}
     clean = F.when(weight > 0, weight).otherwise(F.lit(1e-6))
     key = -F.log(uniform("id")) / F.col("weight")
     place = (1 - F.exp(-key)) * BINS  # grows with the key: from 0 to BINS
     fine = F.floor((place - F.floor(place)) * BINS).cast("int")
     rows = materialise(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-                    clean.cast("double").alias("weight"))
-        .select("id", "source", "size", key.alias("key"), F.floor(place).cast("int").alias("bin"), fine.alias("fine")), "mix-keys")
+                    clean.cast("double").alias("weight"), *(c.alias(n) for n, c in carry.items()))
+        .select("id", "source", "size", *carry, key.alias("key"), F.floor(place).cast("int").alias("bin"), fine.alias("fine")), "mix-keys")
 
     coarse = materialise(rows.groupBy("source", "bin").agg(F.sum("size").alias("size")), "mix-bins")
     targets = source_targets(coarse.groupBy("source").agg(F.sum("size").alias("source_size")), shares, percent, most)
@@ -102,8 +104,9 @@ def mix_sources(docs: DataFrame, size: Column, weight: Column, id_col: str = "do
     below = (F.col("bin") < F.col("edge_bin")) | (F.col("bin") == F.col("edge_bin")) & (F.col("fine") < F.col("edge_fine"))
     others = placed.filter(~F.coalesce(edged, F.lit(False))).withColumn("in", F.coalesce(below, F.lit(False)))
     out = sorted_.unionByName(others)
-    taken = F.col("epochs") * F.col("size") + F.when(F.col("in"), F.col("size")).otherwise(0)
-    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "epochs", taken.cast("long").alias("taken"))
+    copies = (F.col("epochs") + F.when(F.col("in"), 1).otherwise(0)).cast("int")
+    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", copies.alias("copies"),
+                      (copies * F.col("size")).cast("long").alias("taken"), *carry)
 
 
 def clean_share(size: Column) -> Column:

@@ -60,7 +60,7 @@ def repeated(words: Column, n: int = 3) -> Column:
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """Per row of ``docs``: id_col, stratum, counts, and the measures of RULES in steps (0 to STEPS); one pass over the texts.
+    """Per row of ``docs``: id_col, mark (xxhash64 of the text), stratum, counts, and the measures of RULES in steps (0 to STEPS); one pass over the texts.
 
     A null text counts as empty, all its counts and measures are 0.  Languages
     other than LANGS, null among them, form the stratum ''.
@@ -72,7 +72,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
 
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     counted = docs.select(
-        F.col(id_col), F.when(F.col(stratum_col).isin(*LANGS), F.col(stratum_col)).otherwise("").alias("stratum"),
+        F.col(id_col), F.xxhash64(text).alias("mark"), F.when(F.col(stratum_col).isin(*LANGS), F.col(stratum_col)).otherwise("").alias("stratum"),
         let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
             lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated(w).alias("n_repeat_words"))).alias("w"),
         without(r"[\x20\x09-\x0D]+").alias("word_chars"), (F.length(text) - without("[#*$%&|<>]+")).alias("n_symbols"),
@@ -84,7 +84,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
 
     letters, chars = F.col("upper") + F.col("lower"), F.col("word_chars")
     return counted.select(
-        id_col, "stratum", "w.n_words", "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"), "w.n_repeat_words",
+        id_col, "mark", "stratum", "w.n_words", "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"), "w.n_repeat_words",
         steps(F.least(F.col("n_symbols") * 4, chars), chars).alias("symbols"), steps(F.col("l.dup"), F.col("l.n")).alias("dup_lines"),
         steps(F.col("w.n_repeat_words"), F.col("w.n_words")).alias("repeats"), steps(F.col("upper"), letters).alias("capitals"),
         steps(chars - F.least(chars, letters * 2), chars).alias("no_letters"))
@@ -126,8 +126,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta:
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, id_col: str = "doc_id",
-                  text_col: str = "text", stratum_col: str = "lang", extra: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: id_col, stratum, counts, base_failed, failed_rules and kept.
+                  text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """One row per row of ``docs``: id_col, mark, stratum, counts, base_failed, failed_rules and kept.
 
     base_failed: fewer than 50 words, or more than half of them in repeated windows
     of three.  kept: neither that nor a rule above its cutoff.  An empty table

@@ -16,7 +16,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Separators of words are \x20 and \x09-\x0D; everything else belongs to a word.
@@ -82,6 +82,27 @@ def maybe_in(df: DataFrame, hash_col: str, pages: DataFrame, bits: int, flag: st
     return joined.withColumn("__byte", byte).withColumn(flag, on).drop("__page", "__bit", "__bitmap", "__byte")
 
 
+def with_copies(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 24) -> DataFrame:
+    """The rows of ``docs`` as often as ``copies`` says: rows (id, mark, copies), one for each row of ``docs``.
+
+    mark is xxhash64 of the text (null: ''), so rows that repeat an id are told apart;
+    rows alike in both share what they get, and the first of them stands for all unless
+    each stays once.  Rows that stay once are not shuffled: a key filter finds the others.
+    """
+    changed = (copies.groupBy("id", "mark").agg(F.sum("copies").alias("__total"), F.min("copies").alias("low"), F.max("copies").alias("high"))
+               .filter("low <> 1 or high <> 1").select(F.col("id").cast(docs.schema[id_col].dataType).alias("__id"), F.col("mark").alias("__m"), "__total"))
+    changed = materialise(changed, "copies")
+    pages = filter_pages(changed.select(F.xxhash64("__id", "__m").alias("h")), "h", bits)
+    marked = docs.withColumn("__mark", F.xxhash64(text_of(text_col)))
+    marked = maybe_in(marked.withColumn("__key", F.xxhash64(F.col(id_col), F.col("__mark"))), "__key", pages, bits, "__changed")
+    same = marked.filter("not __changed").select(*docs.columns)
+    found = marked.filter("__changed").join(changed, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__m")), "left")
+    nth = F.row_number().over(Window.partitionBy("__key").orderBy("__mark"))
+    times = F.when(F.col("__total").isNull(), 1).when(nth == 1, F.col("__total")).otherwise(0).cast("int")
+    found = found.withColumn("__times", times).filter("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return same.unionByName(found.select(*docs.columns))
+
+
 def filter_array(keys: DataFrame, hash_col: str, bits: int) -> np.ndarray:
     """The key filter as one array of bytes, for a broadcast to Python tasks: 2**bits / 8 bytes, whatever the input."""
     out = np.zeros((1 << bits) // 8, np.uint8)
