@@ -96,3 +96,26 @@ TEMP_BREAKS = [float("-inf"), -1.0, 0.0, 1.0, 2.0, 3.0, 4.0, float("inf")]
 # Legend rounding
 SCALE_ROUND_TO = 5
 SCALE_N_BREAKS = 5
+
+
+# FIXED: names in the drops and columns of the products, in the products' order.
+BIOMETRICS = ["SEX", "WEIGHT", "CRAB_SHELL_CONDITION", "CRAB_EGG_COLOR", "CRAB_EGG_CONDITION",
+              "CRAB_EGG_CLUTCH_SIZE", "CARAPACE_LENGTH", "CARAPACE_WIDTH"]
+BIOMETRIC_RENAMES = {"CRAB_SHELL_CONDITION": "SHELL_CONDITION", "CRAB_EGG_COLOR": "EGG_COLOR",
+                     "CRAB_EGG_CONDITION": "EGG_CONDITION", "CRAB_EGG_CLUTCH_SIZE": "CLUTCH_SIZE",
+                     "CARAPACE_LENGTH": "LENGTH", "CARAPACE_WIDTH": "WIDTH"}
+INT_BIOMETRICS = ["SEX", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE"]
+
+POT_SPECIMEN_COLUMNS = ["CRUISE", "VESSEL", "SPN", "POT_ID", "BUOY", "LAT_DD", "LON_DD", "DATE_HAUL", "TIME_HAUL",
+                        "SOAK_TIME", "DEPTH_F", "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SAMPLING_FACTOR",
+                        "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "WEIGHT", "DISEASE_CODE",
+                        "DISEASE_DORSAL", "DISEASE_VENTRAL", "DISEASE_LEGS", "CHELA_HEIGHT", "MERUS_LENGTH",
+                        "COMMENTS", "NOTES"]
+POTLIFT_COLUMNS = ["VESSEL", "SPN", "POT_ID", "BUOY", "DATE_SET", "TIME_SET", "LAT_DD", "LON_DD", "DEPTH_F",
+                   "DATE_HAUL", "TIME_HAUL", "SOAK_TIME", "GEAR_CODE", "TEMP_LOGGER", "NOTES"]
+POT_CPUE_COLUMNS = ["VESSEL", "SPN", "POT_ID", "BUOY", "LAT_DD", "LON_DD", "DATE_SET", "TIME_SET", "DATE_HAUL",
+                    "TIME_HAUL", "SOAK_TIME", "MAT_SEX", "COUNT", "CATCH_PER_HOUR"]
+TRAWL_SPECIMEN_COLUMNS = ["CRUISE", "VESSEL", "HAUL", "STATION", "LAT_DD", "LON_DD", "SPECIES_CODE", "SPECIES_NAME",
+                          "SEX", "LENGTH", "WIDTH", "SAMPLING_FACTOR", "SHELL_CONDITION", "EGG_COLOR",
+                          "EGG_CONDITION", "CLUTCH_SIZE", "WEIGHT", "DISEASE_CODE", "DISEASE_DORSAL",
+                          "DISEASE_VENTRAL", "DISEASE_LEGS", "CHELA_HEIGHT", "MERUS_LENGTH", "COMMENTS", "NOTES"]

@@ -143,10 +143,6 @@ def is_zero(c) -> Column:
 
 # --- H13 / H14: rates and individual weights without Inf
 
-def per_hour(count, hours) -> Column:
-    return safe_div(count, hours)
-
-
 # --- H16: temperature band, right-closed intervals (a, b]
 
 def temp_band(c, edges: Sequence[float] = K.TEMP_BREAKS) -> Column:

@@ -194,12 +194,12 @@ def zero_fill_wide(units: DataFrame, totals: DataFrame, keys: Sequence[str], cat
                    categories: Sequence[str], value_col: str = "COUNT") -> DataFrame:
     """Zero-fill from a one-row-per-unit wide total table (see `class_totals`).
 
-    units LEFT JOIN totals on the unit keys, then one output row per category
-    via `stack`: the join is keyed by unit only, and `totals` is already hash
-    partitioned on those keys by its aggregation.  `value_col` keeps the raw
+    units LEFT JOIN totals on the unit keys (never NULL: a plain equality, so
+    the hash partitioning of `totals` by its aggregation serves the join too),
+    then one output row per category via `stack`.  `value_col` keeps the raw
     total (NULL when the unit had no row of the class); callers fill it.
     """
-    j = null_safe_join(units, totals, list(keys), "left")
+    j = units.join(totals, list(keys), "left")
     pairs = ", ".join(f"'{c}', `{c}`" for c in categories)
     carry = [c for c in units.columns]
     return j.selectExpr(*[f"`{c}`" for c in carry],

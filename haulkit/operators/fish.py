@@ -17,10 +17,10 @@ from .joins import with_group_stats
 def clean_fish(samples: DataFrame, names: DataFrame, species_col: str = "SPECIES_CODE",
                required: Sequence[str] = ("STATION", "SPECIES_CODE")) -> DataFrame:
     """Crab removed keeping NULL codes (B8), species names attached from a
-    bounded lookup (C21, broadcast), variant merged into its parent (B18),
+    lookup (C21; AQE broadcasts it where it is small), variant merged into its parent (B18),
     rows without station or species dropped (B9)."""
     s = samples.where(not_in(species_col, K.CRAB_CODES))
-    s = s.join(F.broadcast(names), species_col, "left")
+    s = s.join(names, species_col, "left")
     s = s.withColumns({"SPECIES_NAME": S.merge_species_name("SPECIES_NAME"),
                        species_col: S.merge_species_code(species_col)})
     return require(s, list(required))

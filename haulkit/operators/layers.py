@@ -16,15 +16,17 @@ from .spatial import project
 
 
 def map_layer(parts: Sequence[DataFrame], value_col: str = "COUNT", category_col: str = "CATEGORY",
-              unit: str | None = None) -> DataFrame:
+              unit: str | None = None, pot_vessels: Sequence[str] = K.POT_VESSELS,
+              trawl_vessels: Sequence[str] = K.TRAWL_VESSELS) -> DataFrame:
     """K1: union by name of per-gear layer frames (VESSEL, STATION, LAT_DD,
     LON_DD, category, value), projected, with gear (B21), zero flag (H12) and
-    legend unit (H18: by taxon, or fixed `unit` for crab CPUE layers)."""
+    legend unit (H18: by taxon, or fixed `unit` for crab CPUE layers).  Surveys
+    have vessels of their own: pass their names, or the gear is NULL."""
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     u = project(u)
-    return u.withColumns({"GEAR": S.gear_of("VESSEL"), "IS_ZERO": S.is_zero(value_col),
+    return u.withColumns({"GEAR": S.gear_of("VESSEL", pot_vessels, trawl_vessels), "IS_ZERO": S.is_zero(value_col),
                           "UNIT": F.lit(unit) if unit else S.measure_of(category_col),
                           "LABEL": display_label(category_col)})
 
@@ -65,9 +67,10 @@ def joint_range(frames: Sequence[DataFrame], col: str) -> DataFrame:
 def compare_surveys(a: DataFrame, b: DataFrame, survey_a: str, survey_b: str, value_col: str,
                     round_to: float = K.SCALE_ROUND_TO) -> DataFrame:
     """K7: two surveys' layer rows tagged by survey, with the joint legend
-    limit as a column.  The joint limit is one scalar computed on Spark and
-    passed back as a literal."""
+    limit as a column.  The limit is a one-row table joined to the rows by a
+    constant key, so nothing runs before the result is read."""
     u = a.withColumn("SURVEY", F.lit(survey_a)).unionByName(b.withColumn("SURVEY", F.lit(survey_b)))
-    mx = joint_range([a, b], value_col).first()["MAX"]
-    lim = None if mx is None else float(mx) + round_to - (float(mx) % round_to)
-    return u.withColumn("SCALE_LIMIT", F.lit(lim).cast("double"))
+    lim = joint_range([a, b], value_col).select(
+        F.lit(1).alias("__one"), S.round_up(F.col("MAX").cast("double"), round_to).alias("SCALE_LIMIT"))
+    # one row, whatever the input
+    return u.withColumn("__one", F.lit(1)).join(F.broadcast(lim), "__one", "left").drop("__one")

@@ -52,18 +52,18 @@ def specimen_rules(expected_cruise: int = 202401, vessels: Sequence[str] = K.POT
         Rule("Q6", "female egg condition not in 0-5", ~is_in("EGG_CONDITION", K.EGG_CONDITION_CODES), fem),
         Rule("Q7", "female clutch size not in {0-6, 999}", ~is_in("CLUTCH_SIZE", K.CLUTCH_CODES), fem),
         Rule("Q8", "male with egg color, egg condition or clutch size",
-             (sex == K.MALE) & (ec.isNotNull() | econ.isNotNull() | cl.isNotNull())),
+             ec.isNotNull() | econ.isNotNull() | cl.isNotNull(), sex == K.MALE),
         Rule("Q9a", "female shell 0 with egg condition 1", fem & (sc == 0) & (econ == 1), fem),
         Rule("Q9b", "female shell 1 with egg condition > 1", fem & (sc == 1) & (econ > 1), fem),
         Rule("Q9c", "female shell 3-5 with egg condition 1", fem & sc.isin(3, 4, 5) & (econ == 1), fem),
         Rule("Q10", "female missing an egg code",
-             (sex == K.FEMALE) & (ec.isNull() | econ.isNull() | cl.isNull())),
+             ec.isNull() | econ.isNull() | cl.isNull(), sex == K.FEMALE),
         Rule("Q11", "missing length", ln.isNull()),
         Rule("Q12", "female < 65 mm with clutch > 0", fem & (ln < K.SMALL_FEMALE_MM) & (cl > 0), fem),
         Rule("Q13", "length < 60 with shell condition > 2", (ln < K.SMALL_CRAB_MM) & (sc > 2)),
         Rule("Q14", "width entered for a length-measured species",
              is_in("SPECIES_CODE", species) & F.col("WIDTH").isNotNull()),
-        Rule("Q16", "black mat without % coverage", (dc == K.BLACK_MAT) & no_cov),
+        Rule("Q16", "black mat without % coverage", no_cov, dc == K.BLACK_MAT),
         Rule("Q17", "bitter crab recorded", dc == K.BITTER_CRAB),
         Rule("Q18", "coverage entered without a disease code",
              dc.isNull() & (any_cov if coverage_mode == "any" else all_cov)),

@@ -50,11 +50,6 @@ def lengthen(wide: DataFrame, ids: Sequence[str], cols: Sequence[str], name_col:
     return wide.unpivot(list(ids), list(cols), name_col, value_col)
 
 
-def attach(specimens: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Dplyr-style join of the specimen table to a lookup (NULL keys match)."""
-    return null_safe_join(specimens, lookup, list(keys), how)
-
-
 def fanout(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Multiplicity report for a many-to-many join: keys whose right side has
     more than one row, with the number of left rows each would multiply."""

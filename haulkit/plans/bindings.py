@@ -25,28 +25,9 @@ TZ = "America/Anchorage"
 POT_VESSEL_CODES = {162: "Marahute", 134: "Provider"}
 
 
-_RELATIONS: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """The input table as a relation resolved once per session (file listing
-    and footer read happen once, as for a catalog table); no data is cached."""
-    key = (spark.sparkContext.applicationId, id(spark), d, name)
-    df = _RELATIONS.get(key)
-    if df is None:
-        df = _RELATIONS[key] = spark.read.parquet(f"{d}/{name}.parquet")
-    return df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over `defaultParallelism` tasks when it has fewer
-    splits (a file with one row group is read by one task).  Used before
-    heavy per-row parsing only; large inputs already have many splits and are
-    returned unchanged, so no extra shuffle is added at scale."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    """An input table."""
+    return spark.read.parquet(f"{d}/{name}.parquet")
 
 
 # Column rules are written as SQL expressions (`selectExpr`): one JVM call per
@@ -58,9 +39,12 @@ VESSEL_CODE_SQL = "CASE o_custkey % 3 WHEN 0 THEN 162 WHEN 1 THEN 134 END"
 
 def raw_lifts(spark: SparkSession, d: str) -> DataFrame:
     """Potlift sheet as typed by the crew: HHMM ints, m/d/Y strings, deg + min."""
-    o = spread(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                                "o_orderdate", "o_orderpriority"))
-    return o.selectExpr(
+    return raw_lifts_from(table(spark, d, "orders"))
+
+
+def raw_lifts_from(orders: DataFrame) -> DataFrame:
+    """The lift rules applied to (a selection of) the orders rows."""
+    return orders.selectExpr(
         "o_orderkey AS SPN",
         f"{VESSEL_CODE_SQL} AS VESSEL_CODE",
         f"{POT_ID_SQL} AS POT_ID",
@@ -77,19 +61,21 @@ def raw_lifts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lift_ids(spark: SparkSession, d: str) -> DataFrame:
-    """Lift identity only (SPN, decoded VESSEL, POT_ID, BUOY): no time parsing,
-    no spreading; for joins that need the vessel or pot of a lift."""
+    """Lift identity only (SPN, decoded VESSEL, POT_ID, BUOY), without time
+    parsing; for joins that need the vessel or pot of a lift."""
     return table(spark, d, "orders").selectExpr(
         "o_orderkey AS SPN", "CASE o_custkey % 3 WHEN 0 THEN 'Marahute' WHEN 1 THEN 'Provider' END AS VESSEL",
         f"{POT_ID_SQL} AS POT_ID", "concat('X', CAST(o_custkey AS STRING)) AS BUOY")
 
 
-def lifts(spark: SparkSession, d: str, tz: str = TZ) -> DataFrame:
+def lifts(spark: SparkSession, d: str, tz: str = TZ, where=None) -> DataFrame:
     """Clean lift table: decoded vessel, HH:MM times, soak hours, decimal degrees.
+    `where` selects orders rows before anything is parsed.
 
     Two projections: times are parsed once, then the timestamps are built
     from the parsed columns (one nested expression would repeat the parse)."""
-    r = raw_lifts(spark, d).select(
+    orders = table(spark, d, "orders")
+    r = raw_lifts_from(orders if where is None else orders.where(where)).select(
         S.decode_vessel("VESSEL_CODE", POT_VESSEL_CODES).alias("VESSEL"),
         "SPN", "POT_ID", "BUOY",
         F.expr("round((CAST(LAT_DEG AS DOUBLE) + LAT_MIN / 60.0D) * 1.0D * 1000000.0D) / 1000000.0D").alias("LAT_DD"),

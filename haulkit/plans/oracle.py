@@ -10,6 +10,7 @@ double round explicitly (DuckDB casts round, Spark's truncate).
 from __future__ import annotations
 
 from .. import constants as K
+from .bindings import FISH_SPECIES
 
 TZ = "America/Anchorage"
 
@@ -106,10 +107,6 @@ STATIONS = f"""
            CASE WHEN s_nationkey % 7 = 0 THEN 0 ELSE 1 END AS SAMPLED
     FROM supplier) WHERE SAMPLED = 1"""
 
-FISH_SPECIES = [("ECONOMY", 10210, "yellowfin sole"), ("LARGE", 10110, "arrowtooth flounder"),
-                ("MEDIUM", 21722, "Pacific cod (adult)"), ("PROMO", 10001, "flatfish unid."),
-                ("SMALL", 21740, "walleye pollock"), ("STANDARD", 10285, "starry flounder")]
-
 FISH_SAMPLES = ("""
   SELECT l.l_suppkey AS STATION, l.l_orderkey AS CATCH_SAMPLE_ID, l.l_linenumber AS SAMPLE_VALUE_ID,
          l.l_partkey AS PART,
@@ -422,9 +419,7 @@ SELECT GEAR, SPECIES, UNIT, SCALE_LIMIT, CAST(t.i AS INTEGER) AS BREAK_NO, {fx('
 FROM l2 CROSS JOIN range(0, 6) t(i)"""
 
 ORACLE["survey_range"] = """
-WITH u AS (SELECT '1998' AS SURVEY, o_totalprice / 100000.0::DOUBLE AS T FROM orders WHERE year(o_orderdate) = 1998
-           UNION ALL
-           SELECT '1999' AS SURVEY, o_totalprice / 100000.0::DOUBLE AS T FROM orders WHERE year(o_orderdate) = 1999)
+WITH u AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS SURVEY, o_totalprice / 100000.0::DOUBLE AS T FROM orders)
 SELECT CASE WHEN grouping(SURVEY) = 1 THEN 'ALL' ELSE SURVEY END AS SURVEY,
        min(T) AS T_MIN, max(T) AS T_MAX, count(*) AS N
 FROM u GROUP BY ROLLUP (SURVEY)"""
@@ -475,17 +470,17 @@ QUALITY_RULES = [
     ("Q6", "female egg condition not in 0-5", f"NOT coalesce(EGG_CONDITION IN ({in_list(K.EGG_CONDITION_CODES)}), false)", _FEM),
     ("Q7", "female clutch size not in {0-6, 999}", f"NOT coalesce(CLUTCH_SIZE IN ({in_list(K.CLUTCH_CODES)}), false)", _FEM),
     ("Q8", "male with egg color, egg condition or clutch size",
-     "SEX = 1 AND (EGG_COLOR IS NOT NULL OR EGG_CONDITION IS NOT NULL OR CLUTCH_SIZE IS NOT NULL)", None),
+     "SEX = 1 AND (EGG_COLOR IS NOT NULL OR EGG_CONDITION IS NOT NULL OR CLUTCH_SIZE IS NOT NULL)", "SEX = 1"),
     ("Q9a", "female shell 0 with egg condition 1", f"{_FEM} AND SHELL_CONDITION = 0 AND EGG_CONDITION = 1", _FEM),
     ("Q9b", "female shell 1 with egg condition > 1", f"{_FEM} AND SHELL_CONDITION = 1 AND EGG_CONDITION > 1", _FEM),
     ("Q9c", "female shell 3-5 with egg condition 1", f"{_FEM} AND SHELL_CONDITION IN (3, 4, 5) AND EGG_CONDITION = 1", _FEM),
-    ("Q10", "female missing an egg code", "SEX = 2 AND (EGG_COLOR IS NULL OR EGG_CONDITION IS NULL OR CLUTCH_SIZE IS NULL)", None),
+    ("Q10", "female missing an egg code", "SEX = 2 AND (EGG_COLOR IS NULL OR EGG_CONDITION IS NULL OR CLUTCH_SIZE IS NULL)", "SEX = 2"),
     ("Q11", "missing length", "LENGTH IS NULL", None),
     ("Q12", "female < 65 mm with clutch > 0", f"{_FEM} AND LENGTH < 65 AND CLUTCH_SIZE > 0", _FEM),
     ("Q13", "length < 60 with shell condition > 2", "LENGTH < 60 AND SHELL_CONDITION > 2", None),
     ("Q14", "width entered for a length-measured species",
      f"coalesce(SPECIES_CODE IN ({K.RED_KING_CRAB}), false) AND WIDTH IS NOT NULL", None),
-    ("Q16", "black mat without % coverage", f"DISEASE_CODE = 1 AND {_NOCOV}", None),
+    ("Q16", "black mat without % coverage", f"DISEASE_CODE = 1 AND {_NOCOV}", "DISEASE_CODE = 1"),
     ("Q17", "bitter crab recorded", "DISEASE_CODE = 2", None),
     ("Q18", "coverage entered without a disease code", f"DISEASE_CODE IS NULL AND {_ANYCOV}", None),
     ("Q19", "disease code > 9", "DISEASE_CODE > 9", None),
@@ -591,7 +586,7 @@ SELECT SURVEY, SPN, COUNT, m.MX + 5.0::DOUBLE - (m.MX % 5.0::DOUBLE) AS SCALE_LI
 
 ORACLE["csv_drop_roundtrip"] = f"""
 WITH specimens AS ({SPECIMENS})
-SELECT CAST(SPN AS INTEGER) AS HAUL, 'H' || CAST(SPN AS VARCHAR) AS HAUL_ID, SPECIES_CODE, SEX, LENGTH,
+SELECT SPN AS HAUL, 'H' || CAST(SPN AS VARCHAR) AS HAUL_ID, SPECIES_CODE, SEX, LENGTH,
        CASE WHEN SPN % 2 = 0 THEN WIDTH END AS WIDTH, SHELL_CONDITION, EGG_COLOR, EGG_CONDITION, CLUTCH_SIZE,
        DISEASE_CODE, DISEASE_DORSAL
 FROM specimens"""

@@ -26,27 +26,11 @@ from ..operators import fish as FI
 from ..operators import lifts as L
 from ..operators import quality as QU
 from ..operators.joins import natural_join, null_safe_join
-from ..operators.specimens import fanout, widen
+from ..operators.specimens import duplicates, fanout, widen
 from ..sources import schemas as SC
 from ..session import cut_lineage
 from ..sources.drops import read_drop, read_table, write_product
 
-BIOMETRICS = ["SEX", "WEIGHT", "CRAB_SHELL_CONDITION", "CRAB_EGG_COLOR", "CRAB_EGG_CONDITION",
-              "CRAB_EGG_CLUTCH_SIZE", "CARAPACE_LENGTH", "CARAPACE_WIDTH"]
-BIOMETRIC_RENAMES = {"CRAB_SHELL_CONDITION": "SHELL_CONDITION", "CRAB_EGG_COLOR": "EGG_COLOR",
-                     "CRAB_EGG_CONDITION": "EGG_CONDITION", "CRAB_EGG_CLUTCH_SIZE": "CLUTCH_SIZE",
-                     "CARAPACE_LENGTH": "LENGTH", "CARAPACE_WIDTH": "WIDTH"}
-INT_BIOMETRICS = ["SEX", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE"]
-
-POT_SPECIMEN_COLUMNS = ["CRUISE", "VESSEL", "SPN", "POT_ID", "BUOY", "LAT_DD", "LON_DD", "DATE_HAUL", "TIME_HAUL",
-                        "SOAK_TIME", "DEPTH_F", "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SAMPLING_FACTOR",
-                        "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "WEIGHT", "DISEASE_CODE",
-                        "DISEASE_DORSAL", "DISEASE_VENTRAL", "DISEASE_LEGS", "CHELA_HEIGHT", "MERUS_LENGTH",
-                        "COMMENTS", "NOTES"]
-POTLIFT_COLUMNS = ["VESSEL", "SPN", "POT_ID", "BUOY", "DATE_SET", "TIME_SET", "LAT_DD", "LON_DD", "DEPTH_F",
-                   "DATE_HAUL", "TIME_HAUL", "SOAK_TIME", "GEAR_CODE", "TEMP_LOGGER", "NOTES"]
-POT_CPUE_COLUMNS = ["VESSEL", "SPN", "POT_ID", "BUOY", "LAT_DD", "LON_DD", "DATE_SET", "TIME_SET", "DATE_HAUL",
-                    "TIME_HAUL", "SOAK_TIME", "MAT_SEX", "COUNT", "CATCH_PER_HOUR"]
 LIFT_KEYS = ["VESSEL", "SPN", "POT_ID", "BUOY", "LAT_DD", "LON_DD"]
 
 
@@ -76,21 +60,27 @@ class PotInputs:
 
 # ---------------------------------------------------------------- shared pieces
 
-def specimen_sum(spark: SparkSession, raw_dir: str, catch: DataFrame, samples: DataFrame) -> DataFrame:
-    """Biometrics long -> wide (D15), joined to raw specimens (C8) and samples
-    (C9, many-to-many on the sample keys).  The recording device stays in the
-    specimen key so ids from two tablets cannot collide."""
+def specimen_sum(spark: SparkSession, raw_dir: str, catch: DataFrame, samples: DataFrame,
+                 trawl: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(specimens, rejected biometrics): biometrics long -> wide (D15), joined to
+    raw specimens (C8) and samples (C9, many-to-many on the sample keys).  The
+    recording device stays in the specimen key so ids from two tablets cannot
+    collide.  A biometric entered twice is NULL in the table and listed in the
+    second frame.  Trawls keep every catch haul (C2) and every specimen with
+    biometrics, after dropping repeated rows; pots keep every raw specimen."""
     hauls = catch.select("HAUL", "HAUL_ID", "RECORDING_DEVICE").dropDuplicates()
+    ids = ["HAUL", "HAUL_ID", "SPECIMEN_ID", "RECORDING_DEVICE"]
     bio = _drop_lineage(read_drop(spark, raw_dir, "_SPECIMEN_BIOMETRICS", SC.RAW_SPECIMEN_BIO))
-    bio = null_safe_join(bio, hauls, ["HAUL_ID", "RECORDING_DEVICE"], "left")
-    wide = widen(bio, ["HAUL", "HAUL_ID", "SPECIMEN_ID", "RECORDING_DEVICE"], "BIOMETRIC_NAME", "VALUE", BIOMETRICS)
-    wide = wide.withColumnsRenamed(BIOMETRIC_RENAMES)
-    wide = wide.withColumns({c: F.col(c).cast("int") for c in INT_BIOMETRICS})
+    bio = null_safe_join(bio, hauls, ["HAUL_ID", "RECORDING_DEVICE"], "right" if trawl else "left")
+    bio = bio.distinct() if trawl else bio
+    wide = widen(bio, ids, "BIOMETRIC_NAME", "VALUE", K.BIOMETRICS)
+    wide = wide.withColumnsRenamed(K.BIOMETRIC_RENAMES)
+    wide = wide.withColumns({c: F.col(c).cast("int") for c in K.INT_BIOMETRICS})
     raw_spec = _drop_lineage(read_drop(spark, raw_dir, "_SPECIMEN_0", SC.RAW_SPECIMEN)).select(
         "HAUL_ID", "SPECIMEN_ID", "CATCH_SAMPLE_ID", "SPECIES_CODE", "RECORDING_DEVICE")
-    ss = null_safe_join(wide, raw_spec, ["HAUL_ID", "SPECIMEN_ID", "RECORDING_DEVICE"], "right")
+    ss = null_safe_join(wide, raw_spec, ["HAUL_ID", "SPECIMEN_ID", "RECORDING_DEVICE"], "left" if trawl else "right")
     keys = ["HAUL", "HAUL_ID", "SEX", "CATCH_SAMPLE_ID", "SPECIES_CODE", "RECORDING_DEVICE"]
-    return null_safe_join(samples, ss, keys, "right")
+    return null_safe_join(samples, ss, keys, "right"), duplicates(bio.where(F.col("SPECIMEN_ID").isNotNull()), ids, "BIOMETRIC_NAME")
 
 
 def pot_lifts(spark: SparkSession, inp: PotInputs) -> DataFrame:
@@ -101,7 +91,8 @@ def pot_lifts(spark: SparkSession, inp: PotInputs) -> DataFrame:
         s = L.valid_lifts(s, "TIME_HAUL", "DATE_HAUL")
         if i in inp.recode_gear_sheets:
             s = L.recode_gear(s, "GEAR_CODE", "42")
-            s = s.where(~N.is_in("SPN", list(inp.exclude_spn)))
+            for spn in inp.exclude_spn:
+                s = L.valid_lifts(s, "TIME_HAUL", "DATE_HAUL", {"SPN": spn})
         parts.append(s)
     lifts = parts[0]
     for p in parts[1:]:
@@ -123,7 +114,7 @@ def pot(spark: SparkSession, inp: PotInputs, zero_rate: bool = False, literal_po
     samples = null_safe_join(raw_sample, tossed, ["HAUL_ID", "CATCH_SAMPLE_ID", "RECORDING_DEVICE"], "right")
     samples = null_safe_join(samples, hauls, ["HAUL_ID", "RECORDING_DEVICE"], "right").select(
         "HAUL", "HAUL_ID", "CATCH_SAMPLE_ID", "SPECIES_CODE", "SPECIES_NAME", "SEX", "TOSSED", "RECORDING_DEVICE")
-    ss = specimen_sum(spark, inp.raw_dir, catch, samples)
+    ss, rejected = specimen_sum(spark, inp.raw_dir, catch, samples)
 
     sf = C.sampling_factor(ss, ["HAUL", "HAUL_ID", "CATCH_SAMPLE_ID", "SEX", "RECORDING_DEVICE"], "TOSSED")
     sf = sf.drop("WEIGHT")
@@ -135,10 +126,10 @@ def pot(spark: SparkSession, inp: PotInputs, zero_rate: bool = False, literal_po
     st = st.withColumn("VESSEL", S.decode_vessel("VESSEL", inp.vessels))
     st = (N.require_any(st, ["LAT_DD", "LON_DD", "SPN"]) if literal_position_filter
           else N.require(st, ["LAT_DD", "LON_DD"]))
-    specimen_table = _opt(st, POT_SPECIMEN_COLUMNS)
+    specimen_table = _opt(st, K.POT_SPECIMEN_COLUMNS)
 
     named_lifts = lifts.withColumn("VESSEL", S.decode_vessel("VESSEL", inp.vessels))
-    potlifts = _opt(named_lifts, POTLIFT_COLUMNS)
+    potlifts = _opt(named_lifts, K.POTLIFT_COLUMNS)
 
     est = C.expanded_count(specimen_table, ["CRUISE", "VESSEL", "SPN", "POT_ID", "SPECIES_CODE"])
     rep = catch.withColumnsRenamed({"HAUL": "SPN", "NUMBER_CRAB": "N_ENTRIES"}).withColumn(
@@ -152,10 +143,10 @@ def pot(spark: SparkSession, inp: PotInputs, zero_rate: bool = False, literal_po
     positive = C.cpue(C.explode_classes(specimen_table, [mat, leg]), LIFT_KEYS, "MAT_SEX")
     fills = {"COUNT": 0.0, "CATCH_PER_HOUR": 0.0} if zero_rate else {"COUNT": 0.0}
     pot_cpue = _opt(C.zero_fill(positive, potlifts, LIFT_KEYS, "MAT_SEX", K.MAT_SEX_CATEGORIES, fills),
-                    POT_CPUE_COLUMNS)
+                    K.POT_CPUE_COLUMNS)
 
     out = {"specimen_table": specimen_table, "potlifts": potlifts, "catch_summary": catch_summary,
-           "catch_mismatches": mismatches, "pot_cpue": pot_cpue,
+           "catch_mismatches": mismatches, "pot_cpue": pot_cpue, "duplicate_biometrics": rejected,
            # many-to-many joins are reported, not hidden (keys whose right side repeats)
            "fanout_samples": fanout(ss.select("HAUL", "HAUL_ID", "SEX", "CATCH_SAMPLE_ID", "SPECIES_CODE",
                                               "RECORDING_DEVICE"), samples,
@@ -174,7 +165,7 @@ def pot_bycatch(spark: SparkSession, inp: PotInputs, potlifts: DataFrame) -> Dat
         s = read_table(spark, path, SC.POT_BYCATCH)
         sheet = s if sheet is None else sheet.unionByName(s)
     sheet = sheet.where(N.present("DATE_HAUL") & F.col("VESSEL").isNotNull())
-    sheet = sheet.withColumns({"SPN": N.to_double("SPN").cast("int"),
+    sheet = sheet.withColumns({"SPN": N.to_double("SPN").cast("bigint"),
                                "VESSEL": S.decode_vessel("VESSEL", inp.vessels)})
     j = BY.sheet_positions(sheet, potlifts.select("VESSEL", "SPN", "POT_ID", "LON_DD", "LAT_DD"),
                            ["VESSEL", "SPN", "POT_ID"])
@@ -186,12 +177,16 @@ def pot_bycatch(spark: SparkSession, inp: PotInputs, potlifts: DataFrame) -> Dat
 
 def quality_products(method: str, specimen_table: DataFrame, catch_summary: DataFrame, units: DataFrame,
                      cpue: DataFrame, cruise: int) -> dict:
-    """error_chk as tables: rule report, inventories, ranges, orphan units, reconciliation."""
+    """error_chk as tables: rule report, inventories, ranges, orphan units, reconciliation.
+
+    Both sides of the reconciliation are per lift (pots) or haul (trawls).  The
+    specimen side's N_ENTRIES counts measured crab, the catch side's is the number
+    of crab that the catch file reports, tossed ones included."""
     vessels = K.POT_VESSELS if method == "POT" else K.TRAWL_VESSELS
     rules = QU.specimen_rules(expected_cruise=cruise, vessels=vessels)
     unit_keys = (["VESSEL", "SPN", "POT_ID", "BUOY", "LAT_DD", "LON_DD"] if method == "POT"
                  else ["STATION", "LAT_DD", "LON_DD"])
-    group = ["CRUISE", "VESSEL", "POT_ID", "SPECIES_CODE"] if method == "POT" else ["CRUISE", "VESSEL", "HAUL", "SPECIES_CODE"]
+    group = ["CRUISE", "VESSEL", "SPN", "POT_ID", "SPECIES_CODE"] if method == "POT" else ["CRUISE", "VESSEL", "HAUL", "SPECIES_CODE"]
     spec_sum = specimen_table.groupBy(*group).agg(N.strict_sum("SAMPLING_FACTOR").alias("NUMBER_CRAB"),
                                                    F.count(F.lit(1)).alias("N_ENTRIES"))
     cat = catch_summary.select(*group, "NUMBER_CRAB", "N_ENTRIES")
@@ -229,7 +224,11 @@ def trawl_hauls(spark: SparkSession, path: str) -> DataFrame:
 
 def trawl(spark: SparkSession, inp: TrawlInputs) -> dict:
     """Trawl crab products: specimen table (factor 1), catch summary, CPUE per
-    haul x class (zero-filled), crab bycatch sheet, quality report."""
+    haul x class (zero-filled), crab bycatch sheet, quality report.
+
+    The haul sheet is matched by station, many-to-many: where a station is towed
+    twice, the specimen table lists each crab at both positions.  Sums are per
+    position, so a crab counts once at each tow."""
     catch = _drop_lineage(read_drop(spark, inp.catch_dir, "_CATCH_", SC.CATCH))
     specimen = _drop_lineage(read_drop(spark, inp.specimen_dir, "_SPECIMEN_", SC.SPECIMEN))
     raw_sample = _drop_lineage(read_drop(spark, inp.raw_dir, "_SAMPLE_0", SC.RAW_SAMPLE))
@@ -248,18 +247,15 @@ def trawl(spark: SparkSession, inp: TrawlInputs) -> dict:
     attrs = samples.drop("WEIGHT", "CATCH_SAMPLE_VALUE_ID", "RECORDER").distinct()
     samples2 = null_safe_join(baskets, attrs, bkeys, "left").distinct()
 
-    ss = specimen_sum(spark, inp.raw_dir, catch, samples2.select(
-        "HAUL", "HAUL_ID", "CATCH_SAMPLE_ID", "SPECIES_CODE", "SPECIES_NAME", "SEX", "RECORDING_DEVICE")).distinct()
+    ss, rejected = specimen_sum(spark, inp.raw_dir, catch, samples2.select(
+        "HAUL", "HAUL_ID", "CATCH_SAMPLE_ID", "SPECIES_CODE", "SPECIES_NAME", "SEX", "RECORDING_DEVICE"), trawl=True)
+    ss = ss.distinct()
     st = null_safe_join(catch.drop("WEIGHT"), ss.drop("WEIGHT"), ["HAUL", "HAUL_ID", "SPECIES_CODE", "RECORDING_DEVICE"],
                         "right")
     st = natural_join(st, specimen, "left")
     st = null_safe_join(hauls, st, ["STATION"], "right")
     st = st.withColumns({"VESSEL": _trawl_vessel(inp), "SAMPLING_FACTOR": F.lit(1.0)})
-    cols = ["CRUISE", "VESSEL", "HAUL", "STATION", "LAT_DD", "LON_DD", "SPECIES_CODE", "SPECIES_NAME", "SEX", "LENGTH",
-            "WIDTH", "SAMPLING_FACTOR", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "WEIGHT",
-            "DISEASE_CODE", "DISEASE_DORSAL", "DISEASE_VENTRAL", "DISEASE_LEGS", "CHELA_HEIGHT", "MERUS_LENGTH",
-            "COMMENTS", "NOTES"]
-    specimen_table = _opt(st, cols)
+    specimen_table = _opt(st, K.TRAWL_SPECIMEN_COLUMNS)
 
     est = C.expanded_count(specimen_table, ["CRUISE", "VESSEL", "HAUL", "STATION", "SPECIES_CODE"])
     rep = catch.withColumnRenamed("NUMBER_CRAB", "N_ENTRIES").withColumn("VESSEL", _trawl_vessel(inp))
@@ -270,18 +266,19 @@ def trawl(spark: SparkSession, inp: TrawlInputs) -> dict:
     mat = S.maturity_class("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE")
     leg = S.legal_class("SPECIES_CODE", "SEX", "LENGTH")
     rows = C.explode_classes(rkc, [mat, leg])
-    positive = rows.groupBy("STATION", "MAT_SEX").agg(N.strict_sum("SAMPLING_FACTOR").alias("COUNT"))
-    units = hauls.select("STATION", "LAT_DD", "LON_DD").withColumn("VESSEL", F.lit(inp.vessel_name))
-    trawl_cpue = C.zero_fill(positive, units, ["STATION"], "MAT_SEX", K.MAT_SEX_CATEGORIES, {"COUNT": 0.0})
-    trawl_cpue = trawl_cpue.select("VESSEL", "STATION", "LAT_DD", "LON_DD", "MAT_SEX", "COUNT")
-
-    wide = BY.crab_bycatch_wide(specimen_table, ["STATION"])
-    sheet = BY.add_species_totals(BY.zero_filled_sheet(units, wide, ["STATION"], K.SPP_SEX_CATEGORIES))
+    place = ["STATION", "LAT_DD", "LON_DD"]
+    positive = rows.groupBy("VESSEL", "HAUL", *place, "MAT_SEX").agg(N.strict_sum("SAMPLING_FACTOR").alias("COUNT"))
+    units = hauls.select(*place)
+    trawl_cpue = C.zero_fill(positive, units, place, "MAT_SEX", K.MAT_SEX_CATEGORIES, {"COUNT": 0.0, "VESSEL": inp.vessel_name})
+    trawl_cpue = trawl_cpue.select("VESSEL", "HAUL", *place, "MAT_SEX", "COUNT")
+
+    wide = BY.crab_bycatch_wide(specimen_table, ["VESSEL", *place])
+    sheet = BY.add_species_totals(BY.zero_filled_sheet(units, wide, place, K.SPP_SEX_CATEGORIES)).fillna({"VESSEL": inp.vessel_name})
     crab_bycatch = sheet.select("VESSEL", "STATION", "LAT_DD", "LON_DD", *K.SPP_SEX_CATEGORIES, *K.SEX_SUMS)
 
     out = {"specimen_table": specimen_table, "catch_summary": catch_summary,
            "catch_mismatches": catch_summary.where(F.col("NUMBER_CRAB") != F.col("N_ENTRIES")),
-           "trawl_cpue": trawl_cpue, "crab_bycatch": crab_bycatch}
+           "trawl_cpue": trawl_cpue, "crab_bycatch": crab_bycatch, "duplicate_biometrics": rejected}
     q = quality_products("TRAWL", rkc, catch_summary.where(F.col("SPECIES_CODE") == K.RED_KING_CRAB),
                          units.select("STATION", "LAT_DD", "LON_DD"), trawl_cpue, inp.cruise)
     out.update(q)
@@ -327,9 +324,10 @@ def fish(spark: SparkSession, inp: FishInputs) -> dict:
         "CRUISE", "VESSEL", "HAUL", "STATION", "LAT_DD", "LON_DD", "SPECIES_CODE", "SPECIES_NAME", "IND_WEIGHT",
         "WEIGHT", "COUNT", "SAMPLING_FACTOR", "CALC_WEIGHT", "CALC_COUNT")
     station = FI.station_totals(fish_catch, ["VESSEL", "STATION", "LAT_DD", "LON_DD"])
-    wide = FI.station_label_weights(fish_catch, ["STATION"])
+    place = ["VESSEL", "STATION", "LAT_DD", "LON_DD"]      # one tow's position: a station may be towed twice
+    wide = FI.station_label_weights(fish_catch, place)
     units = hauls.select("STATION", "LAT_DD", "LON_DD").withColumn("VESSEL", F.lit(inp.vessel_name))
-    sheet = BY.zero_filled_sheet(units, wide, ["STATION"], K.FISH_BYCATCH_COLUMNS)
+    sheet = BY.zero_filled_sheet(units, wide, place, K.FISH_BYCATCH_COLUMNS)
     return {"fish_catch": fish_catch, "station_weight_count": station,
             "fish_bycatch": sheet.select("VESSEL", "STATION", "LAT_DD", "LON_DD", *K.FISH_BYCATCH_COLUMNS)}
 

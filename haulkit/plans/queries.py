@@ -33,9 +33,9 @@ def _mat_flags():
                             K.RED_KING_CRAB, K.MATURE_MALE_MM, K.LEGAL_MALE_MM)
 
 
-def _catch_table(spark: SparkSession, d: str, totals: DataFrame) -> DataFrame:
+def _catch_table(spark: SparkSession, d: str, totals: DataFrame, where=None) -> DataFrame:
     """Zero-filled lift x class table from one-row-per-lift class totals."""
-    lifts = B.lifts(spark, d)
+    lifts = B.lifts(spark, d, where=where)
     long = C.zero_fill_wide(lifts, totals, ["SPN"], "MAT_SEX", K.MAT_SEX_CATEGORIES, "__pos")
     pos = fix("__pos", 4)
     return long.select(
@@ -308,14 +308,13 @@ def station_total(spark: SparkSession, d: str) -> DataFrame:
 def shell_counts(spark: SparkSession, d: str) -> DataFrame:
     """Mature crab per station x sex x shell condition 1-3, zero-filled."""
     from .. import constants as KK
-    sp, sx, ln, cl, sc = (F.col(c) for c in ("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE", "SHELL_CONDITION"))
-    mm = (sp == KK.RED_KING_CRAB) & (sx == KK.MALE) & (ln >= KK.MATURE_MALE_MM)
-    mf = (sp == KK.RED_KING_CRAB) & (sx == KK.FEMALE) & (cl >= 1)
-    flags = {f"Mature male SC{k}": mm & (sc == k) for k in (1, 2, 3)}
-    flags.update({f"Mature female SC{k}": mf & (sc == k) for k in (1, 2, 3)})
-    long = _station_classes(spark, d, flags, "MAT_SEX_SC")
-    return long.select("STATION", "LAT_DD", "LON_DD", "MAT_SEX_SC",
-                       F.coalesce(fix("__pos", 4), F.lit(0.0)).alias("COUNT"))
+    from ..functions import scalar as S
+    sp = _trawl_specimens(spark, d).withColumn("MAT_SEX_SC", S.shell_class("SPECIES_CODE", "SEX", "LENGTH", "CLUTCH_SIZE",
+                                                                          "SHELL_CONDITION"))
+    positive = C.category_counts(sp.where(F.col("MAT_SEX_SC").isNotNull()), ["STATION"], "MAT_SEX_SC")
+    st = B.stations(spark, d).drop("TEMP")
+    long = C.zero_fill(positive, st, ["STATION"], "MAT_SEX_SC", KK.SHELL_CATEGORIES, {"COUNT": 0.0})
+    return long.select("STATION", "LAT_DD", "LON_DD", "MAT_SEX_SC", fix("COUNT", 4).alias("COUNT"))
 
 
 def _species_long(spark, d):
@@ -342,26 +341,18 @@ def layer_scales(spark: SparkSession, d: str) -> DataFrame:
     """Per gear x species legend limit (max rounded up to the
     next multiple of 5) and its five equal breaks, one row per break."""
     from ..functions import scalar as S
-    sl = _species_long(spark, d).where(F.col("GEAR").isNotNull())
-    lim = sl.groupBy("GEAR", "SPECIES").agg(F.max("VALUE").alias("MAXV"))
-    lim = lim.withColumns({"SCALE_LIMIT": S.round_up("MAXV", K.SCALE_ROUND_TO), "UNIT": S.measure_of("SPECIES")})
-    out = lim.select("GEAR", "SPECIES", "UNIT", "SCALE_LIMIT",
-                     F.posexplode(S.breaks("SCALE_LIMIT", K.SCALE_N_BREAKS)).alias("BREAK_NO", "BREAK_VALUE"))
-    return out.select("GEAR", "SPECIES", "UNIT", "SCALE_LIMIT", "BREAK_NO", fix("BREAK_VALUE", 4).alias("BREAK_VALUE"))
+    from ..operators.layers import scale_limits
+    out = scale_limits(_species_long(spark, d).where(F.col("GEAR").isNotNull()), ("GEAR", "SPECIES"))
+    return out.select("GEAR", "SPECIES", S.measure_of("SPECIES").alias("UNIT"), "SCALE_LIMIT", "BREAK_NO",
+                      fix("BREAK_VALUE", 4).alias("BREAK_VALUE"))
 
 
 def survey_range(spark: SparkSession, d: str) -> DataFrame:
-    """Two surveys' surfaces on one scale: per-survey and joint
-    min/max (ROLLUP: one pass)."""
-    o = B.table(spark, d, "orders")
-    t = (F.col("o_totalprice") / 100000.0).alias("T")
-
-    def year(y):      # a range on the column itself, so the scan prunes row groups
-        return (F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & \
-               (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
-    a = o.where(year(1998)).select(F.lit("1998").alias("SURVEY"), t)
-    b = o.where(year(1999)).select(F.lit("1999").alias("SURVEY"), t)
-    r = a.unionByName(b).rollup("SURVEY").agg(F.min("T").alias("T_MIN"), F.max("T").alias("T_MAX"),
+    """Every survey's surface on one scale (a survey is a year):
+    per-survey and joint min/max (ROLLUP: one pass)."""
+    o = B.table(spark, d, "orders").select(F.year("o_orderdate").cast("string").alias("SURVEY"),
+                                           (F.col("o_totalprice") / 100000.0).alias("T"))
+    r = o.rollup("SURVEY").agg(F.min("T").alias("T_MIN"), F.max("T").alias("T_MAX"),
                                               F.count(F.lit(1)).alias("N"), F.grouping("SURVEY").alias("__g"))
     return r.select(F.when(F.col("__g") == 1, "ALL").otherwise(F.col("SURVEY")).alias("SURVEY"),
                     "T_MIN", "T_MAX", "N")
@@ -503,12 +494,13 @@ def temp_surface(spark: SparkSession, d: str) -> DataFrame:
     from ..operators.spatial import extent_of, make_grid, points_in_polygon as pip, polygon_vertices, TEST_LAYERS
     m = variogram_fit(spark, d).first()
     samples = _samples(spark, d)
-    cells = make_grid(extent_of(_projected_stations(spark, d)), K.GRID_RES_M)
+    cells = make_grid(extent_of(_projected_stations(spark, d)), K.GRID_RES_M,
+                      int(spark.conf.get("spark.sql.shuffle.partitions")))
     cells = cells.withColumn("CELL", F.col("IX") * F.lit(1 << 32) + F.col("IY"))
     boundary = polygon_vertices(spark, {"boundary": TEST_LAYERS["strata"]})
     inside = pip(cells, boundary, "CELL").select("CELL")
     cells = cells.join(inside, "CELL", "left_semi")
-    pred = krige(samples, cells, float(m["NUGGET"]), float(m["PSILL"]), float(m["RANGE"]), target_id="CELL")
+    pred = krige(samples, cells, m["NUGGET"], m["PSILL"], m["RANGE"], target_id="CELL")
     return pred.select("CELL", "X", "Y", F.col("PRED").alias("TEMPERATURE"), temp_band("PRED").alias("BAND"))
 
 
@@ -544,17 +536,28 @@ def map_layer(spark: SparkSession, d: str) -> DataFrame:
                       "IS_ZERO", "UNIT")
 
 
-def compare_surveys(spark: SparkSession, d: str) -> DataFrame:
-    """Mature females per lift for two survey years on one scale."""
+def compare_surveys(spark: SparkSession, d: str, first: int = 1998, second: int = 1999) -> DataFrame:
+    """Mature females per lift for two survey years on one scale.
+
+    Comparing two surveys is the feature: the years are arguments, and they
+    select orders by a date range, which the scan prunes, before any join."""
     from ..operators.layers import compare_surveys as compare
     from ..session import cut_lineage
-    yr = F.year(F.to_date("DATE_SET", "M/d/yyyy"))
-    z = zero_filled_catch(spark, d).where(F.col("MAT_SEX") == "Mature female")
+
+    def year(y):
+        return (F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & \
+               (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
+    both = year(first) | year(second)
+    keys = B.table(spark, d, "orders").where(both).select(F.col("o_orderkey").alias("SPN"))
+    sp = B.specimens(spark, d).join(keys, "SPN", "left_semi")
+    totals = C.class_totals(sp, ["SPN"], ["SPECIES_CODE", "SEX"], "TOSSED", _mat_flags(),
+                            C.maturity_samples(K.RED_KING_CRAB))
+    z = _catch_table(spark, d, totals, both).where(F.col("MAT_SEX") == "Mature female")
     # the joint scale and the rows both read z: checkpoint it once (shared dir)
-    z = cut_lineage(z.where(yr.isin(1998, 1999)).select("SPN", "COUNT", yr.alias("YEAR")))
-    a = z.where(F.col("YEAR") == 1998).select("SPN", "COUNT")
-    b = z.where(F.col("YEAR") == 1999).select("SPN", "COUNT")
-    return compare(a, b, "1998", "1999", "COUNT").select("SURVEY", "SPN", "COUNT", "SCALE_LIMIT")
+    z = cut_lineage(z.select("SPN", "COUNT", F.year(F.to_date("DATE_SET", "M/d/yyyy")).alias("YEAR")))
+    a = z.where(F.col("YEAR") == first).select("SPN", "COUNT")
+    b = z.where(F.col("YEAR") == second).select("SPN", "COUNT")
+    return compare(a, b, str(first), str(second), "COUNT").select("SURVEY", "SPN", "COUNT", "SCALE_LIMIT")
 
 
 def csv_drop_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -565,13 +568,14 @@ def csv_drop_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     from ..sources.drops import read_drop
     from ..sources.schemas import SPECIMEN
     sp = B.specimens(spark, d)
-    rows = sp.select(F.col("SPN").cast("int").alias("HAUL"), F.concat(F.lit("H"), F.col("SPN")).alias("HAUL_ID"),
+    rows = sp.select(F.col("SPN").alias("HAUL"), F.concat(F.lit("H"), F.col("SPN")).alias("HAUL_ID"),
                      "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION",
                      "CLUTCH_SIZE", "DISEASE_CODE", "DISEASE_DORSAL")
     folder = scratch_path(spark, f"drops-{uuid.uuid4().hex}")
     opts = {"header": "true", "nullValue": "NA"}
-    rows.where(F.col("HAUL") % 2 == 0).write.options(**opts).mode("append").csv(folder)
-    drift = rows.where(F.col("HAUL") % 2 == 1).drop("WIDTH")
+    even = F.coalesce(F.col("HAUL") % 2 == 0, F.lit(False))      # NULL and negative odd hauls go with the rest
+    rows.where(even).write.options(**opts).mode("append").csv(folder)
+    drift = rows.where(~even).drop("WIDTH")
     drift.select(*reversed(drift.columns)).write.options(**opts).mode("append").csv(folder)
     back = read_drop(spark, folder, r"\.csv$", SPECIMEN, by_header=True, lineage=False)
     return back.select("HAUL", "HAUL_ID", "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SHELL_CONDITION",

@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoints that nothing refers to any more leave the shared folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
     # Python call-site capture for error messages costs ~30% of plan building
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -45,14 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; create a local one only when unset.
 
     On a cluster the setting names a shared folder every executor can reach.  A
-    machine-local temp folder is only acceptable for local test sessions, which
-    is the only case in which this function invents one.
+    machine-local temp folder is only acceptable for a local master; with any
+    other master an unset folder raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="haulkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:      # each call would make a new sub-folder
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 

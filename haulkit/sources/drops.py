@@ -1,19 +1,21 @@
 """Sources and sinks: folders of per-haul CSV drops (A1, A2), single sheets
 (A3), products by survey (A4-A6), polygon layers (A7), place names (A8).
 
-File listing and header sniffing go through the Hadoop FileSystem API of the
-session, so the same code reads local folders, HDFS or object stores; only
-file names and first lines reach the driver, never data rows.
+File listing goes through the Hadoop FileSystem API of the session, so the same
+code reads local folders, HDFS or object stores.  Header lines are read by a
+Spark job; only file names and distinct headers reach the driver.
 """
 
 from __future__ import annotations
 
+import csv
 import fnmatch
 import re
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 CSV_OPTIONS = {"header": "true", "nullValue": "NA", "mode": "PERMISSIVE", "enforceSchema": "false"}
 
@@ -26,52 +28,63 @@ def _fs(spark: SparkSession, path: str):
 
 def list_drops(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     """Files in `folder` whose name contains `pattern` (a regex, as R's
-    list.files pattern) or matches it as a glob."""
+    list.files pattern) or matches it as a glob.  A drop may also be a folder
+    of part files, as Spark writes them: then the folder's name counts."""
     p, fs = _fs(spark, folder)
     out = []
     rx = re.compile(pattern)
     for st in fs.listStatus(p):
-        if st.isDirectory():
-            continue
         name = st.getPath().getName()
-        if rx.search(name) or fnmatch.fnmatch(name, pattern):
-            out.append(st.getPath().toString())
+        if name[0] in "._" or not (rx.search(name) or fnmatch.fnmatch(name, pattern)):
+            continue
+        inner = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+        out += [f.getPath().toString() for f in inner if f.isFile() and f.getPath().getName()[0] not in "._"]
     return sorted(out)
 
 
-def _header(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    p, fs = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return (line or "").lstrip("﻿")
+def _plain(path: str) -> str:
+    """A file's path without scheme and escapes, as a key."""
+    return unquote(urlsplit(path).path)
+
+
+def headers(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
+    """Files by header line, read in one job: the first line of a file is the
+    first row of its first block.  Empty files have none and are left out."""
+    lines = spark.read.text(files).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("block")).where(F.col("block") == 0)
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    by_key = {_plain(f): f for f in files}
+    return {r["header"].lstrip("\ufeff"): [by_key[_plain(p)] for p in r["paths"]]
+            for r in first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect()}
 
 
 def _split_header(line: str) -> list[str]:
-    return [c.strip().strip('"') for c in line.split(",")]
+    """Column names of a header; quoted names may hold commas."""
+    return [c.strip() for c in next(csv.reader([line.strip()], skipinitialspace=True))]
 
 
 def read_drop(spark: SparkSession, folder: str, pattern: str, schema: StructType,
-              by_header: bool = True, lineage: bool = True) -> DataFrame:
+              by_header: bool = True, lineage: bool = True, corrupt: str | None = None) -> DataFrame:
     """A1 + A2: every drop file of one kind as one DataFrame, columns aligned
     by NAME (files may lack columns or order them differently).
 
     Files are grouped by header line; each group is read with the schema
     restricted to its columns in its order (a positional CSV read would shift
     values into the wrong columns), then groups are unioned by name with the
-    missing columns NULL.  `SOURCE_FILE` keeps per-row lineage."""
+    missing columns NULL.  `SOURCE_FILE` keeps per-row lineage.  A cell that
+    does not parse is NULL; `corrupt` names a column that then holds the whole
+    line (see `corrupt_rows`)."""
     files = list_drops(spark, folder, pattern)
     types = {f.name: f for f in schema.fields}
     if not files:
         return spark.createDataFrame([], schema)
     groups: dict[tuple, list[str]] = {}
     if by_header:
-        for f in files:
-            groups.setdefault(tuple(_split_header(_header(spark, f))), []).append(f)
+        for line, paths in headers(spark, files).items():
+            groups.setdefault(tuple(_split_header(line)), []).extend(paths)
+        if not groups:
+            return spark.createDataFrame([], schema)
     else:
         groups[tuple(schema.fieldNames())] = files
     parts = []
@@ -79,20 +92,30 @@ def read_drop(spark: SparkSession, folder: str, pattern: str, schema: StructType
         sub = StructType([types[c] for c in cols if c in types])
         known = [c for c in cols if c in types]
         if len(known) != len(cols):       # unknown columns: read as strings, then drop
-            from pyspark.sql.types import StringType, StructField
             sub = StructType([types.get(c, StructField(c, StringType(), True)) for c in cols])
-        df = spark.read.options(**CSV_OPTIONS).schema(sub).csv(paths)
+        options = CSV_OPTIONS
+        if corrupt:
+            sub, options = StructType([*sub.fields, StructField(corrupt, StringType(), True)]), CSV_OPTIONS | {"columnNameOfCorruptRecord": corrupt}
+        df = spark.read.options(**options).schema(sub).csv(paths)
         if lineage:
             df = df.withColumn("SOURCE_FILE", F.col("_metadata.file_name"))
-        parts.append(df.select(*known, *(["SOURCE_FILE"] if lineage else [])))
+        parts.append(df.select(*known, *([corrupt] if corrupt else []), *(["SOURCE_FILE"] if lineage else [])))
     out = parts[0]
     for p_ in parts[1:]:
         out = out.unionByName(p_, allowMissingColumns=True)
-    order = [c for c in schema.fieldNames() if c in out.columns] + (["SOURCE_FILE"] if lineage else [])
+    order = ([c for c in schema.fieldNames() if c in out.columns] + ([corrupt] if corrupt else [])
+             + (["SOURCE_FILE"] if lineage else []))
     missing = [F.lit(None).cast(types[c].dataType).alias(c) for c in schema.fieldNames() if c not in out.columns]
     return out.select(*order, *missing)
 
 
+def corrupt_rows(spark: SparkSession, folder: str, pattern: str, schema: StructType) -> DataFrame:
+    """Rows of the drops with a cell that does not parse, and LINE as it stands
+    in the file.  All columns are returned: Spark parses only what is read."""
+    rows = read_drop(spark, folder, pattern, schema, corrupt="LINE")
+    return rows.where(F.col("LINE").isNotNull()) if "LINE" in rows.columns else rows.limit(0)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A3: one CSV sheet with an explicit schema ("NA" is NULL)."""
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)

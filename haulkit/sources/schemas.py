@@ -1,18 +1,18 @@
 """Explicit schemas for the survey's CSV drops and products (no inference)."""
 
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 
 def _s(*cols):
     return StructType([StructField(n, t, True) for n, t in cols])
 
 
-S, I, D = StringType(), IntegerType(), DoubleType()
+S, I, L, D = StringType(), IntegerType(), LongType(), DoubleType()
 
-CATCH = _s(("HAUL", I), ("HAUL_ID", S), ("RECORDING_DEVICE", S), ("ID", S), ("CRUISE", I), ("VESSEL", I),
+CATCH = _s(("HAUL", L), ("HAUL_ID", S), ("RECORDING_DEVICE", S), ("ID", S), ("CRUISE", I), ("VESSEL", I),
            ("STATION", S), ("SPECIES_CODE", I), ("SPECIES_NAME", S), ("NUMBER_CRAB", I), ("WEIGHT", D))
 
-SPECIMEN = _s(("HAUL", I), ("HAUL_ID", S), ("SPECIES_CODE", I), ("SEX", I), ("LENGTH", D), ("WIDTH", D),
+SPECIMEN = _s(("HAUL", L), ("HAUL_ID", S), ("SPECIES_CODE", I), ("SEX", I), ("LENGTH", D), ("WIDTH", D),
               ("SHELL_CONDITION", I), ("EGG_COLOR", I), ("EGG_CONDITION", I), ("CLUTCH_SIZE", I),
               ("DISEASE_CODE", I), ("DISEASE_DORSAL", D), ("DISEASE_VENTRAL", D), ("DISEASE_LEGS", D),
               ("CHELA_HEIGHT", D), ("MERUS_LENGTH", D), ("COMMENTS", S), ("NOTES", S), ("STATION", S))
@@ -33,10 +33,10 @@ RAW_SPECIMEN = _s(("HAUL_ID", S), ("SPECIMEN_ID", S), ("CATCH_SAMPLE_ID", S), ("
 RAW_SPECIMEN_BIO = _s(("HAUL_ID", S), ("SPECIMEN_ID", S), ("BIOMETRIC_NAME", S), ("VALUE", D),
                       ("RECORDING_DEVICE", S))
 
-RAW_HAUL = _s(("HAUL_ID", S), ("CRUISE_ID", S), ("HAUL", I), ("STATION", S), ("RECORDING_DEVICE", S),
+RAW_HAUL = _s(("HAUL_ID", S), ("CRUISE_ID", S), ("HAUL", L), ("STATION", S), ("RECORDING_DEVICE", S),
               ("WEIGHT", D), ("WEIGHT_UNITS", S))
 
-POTLIFTS = _s(("VESSEL", I), ("SPN", I), ("POT_ID", S), ("BUOY", S), ("DATE_SET", S), ("TIME_SET", S),
+POTLIFTS = _s(("VESSEL", I), ("SPN", L), ("POT_ID", S), ("BUOY", S), ("DATE_SET", S), ("TIME_SET", S),
               ("DATE_HAUL", S), ("TIME_HAUL", S), ("LAT_DEG", D), ("LAT_MIN", D), ("LON_DEG", D), ("LON_MIN", D),
               ("DEPTH_F", D), ("GEAR_CODE", S), ("TEMP_LOGGER", S), ("NOTES", S))
 

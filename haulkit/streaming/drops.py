@@ -21,16 +21,39 @@ from pyspark.sql.types import StructType
 from ..operators import catch as C
 from ..sources.drops import CSV_OPTIONS
 
+# Columns of a drop file at most (the widest known kind has 19).
+MAX_COLUMNS = 64
+
 
 def read_drop_stream(spark: SparkSession, folder: str, glob: str, schema: StructType, fmt: str = "csv",
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """A1 as a stream: files in `folder` matching `glob`, with an explicit schema."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    """A1 as a stream: files in `folder` matching `glob`, with an explicit schema.
+
+    CSV drops are aligned by NAME, as in batch: each file comes as one text, its
+    first line names the cells of the others, and columns it lacks are NULL.
+    (A positional read would shift values.)  Quoted cells may hold commas but no
+    line breaks; a drop file must fit one row."""
+    r = spark.readStream.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if fmt == "csv":
-        r = r.options(**{k: v for k, v in CSV_OPTIONS.items() if k != "enforceSchema"})
-    return r.format(fmt).load(folder)
+    if fmt != "csv":
+        return r.schema(schema).format(fmt).load(folder)
+    lines = F.split(F.regexp_replace("value", "^\ufeff", ""), "\r?\n")
+    rows = (r.format("text").option("wholetext", "true").load(folder)
+            .select(F.element_at(lines, 1).alias("header"), F.explode(F.slice(lines, 2, F.size(lines))).alias("line"))
+            .where(F.col("line") != ""))
+    cells = ", ".join(f"c{i} string" for i in range(MAX_COLUMNS))
+
+    def parsed(c):
+        s = F.from_csv(c, cells, {"mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+        return F.array(*[s[f"c{i}"] for i in range(MAX_COLUMNS)])
+    rows = rows.select(parsed(F.col("header")).alias("names"), parsed(F.col("line")).alias("cells"))
+
+    def cell(field):
+        at = F.array_position("names", F.lit(field.name)).cast("int")
+        text = F.when(at > 0, F.get("cells", at - 1))
+        return F.when(text != CSV_OPTIONS["nullValue"], text).try_cast(field.dataType).alias(field.name)
+    return rows.select(*[cell(f) for f in schema.fields])
 
 
 def append_partials(stream: DataFrame, partials: Callable[[DataFrame], DataFrame], table_path: str,

@@ -87,6 +87,14 @@ def test_pot_pipeline_products(spark, pot_inputs):
     assert out["fanout_samples"].count() == 0 and out["fanout_potlifts"].count() == 0
 
 
+def test_pot_lifted_twice_reconciles_by_lift(spark, pot_inputs):
+    rows = P.pot(spark, pot_inputs)["catch_reconcile"].collect()
+    assert {"SPN", "POT_ID"} <= set(rows[0].asDict())
+    # expanded numbers agree; five crab were measured of the eight that the catch file reports
+    assert [(r["SPN"], r["SPEC_NUMBER_CRAB"], r["CATCH_NUMBER_CRAB"], r["SPEC_N_ENTRIES"], r["CATCH_N_ENTRIES"]) for r in rows] == [
+        (1, pytest.approx(8.0), pytest.approx(8.0), 5, 8)]
+
+
 def test_layers_from_products(spark, pot_inputs):
     out = P.pot(spark, pot_inputs)
     trawl_cpue = spark.createDataFrame([("Vesteraalen", 7, 56.0, -161.0, "Mature male", 4.0)],
@@ -139,6 +147,32 @@ def test_trawl_pipeline(spark, trawl_root):
     cs = {(r["SPECIES_CODE"]): (r["NUMBER_CRAB"], r["N_ENTRIES"]) for r in out["catch_summary"].collect()}
     assert cs[69322] == (2.0, 2)
     assert out["quality_report"].count() == 21
+    assert out["duplicate_biometrics"].count() == 0
+    assert {r["HAUL"] for r in out["trawl_cpue"].where("COUNT > 0").collect()} == {1}
+
+
+def test_trawl_station_towed_twice_counts_a_crab_once_at_each_tow(spark, trawl_root):
+    cat, spc, raw = (os.path.join(trawl_root, d) for d in ("catch", "specimen", "raw"))
+    _w(trawl_root, "VA_HAULS2.csv", ["SAMPLED,STATION,LAT_DD,LON_DD", "1,S1,56.1,-161.2", "1,S1,56.15,-161.2", "1,S2,56.3,-161.4"])
+    out = P.trawl(spark, P.TrawlInputs(cat, spc, raw, os.path.join(trawl_root, "VA_HAULS2.csv")))
+    cpue = {(r["STATION"], r["LAT_DD"], r["MAT_SEX"]): r["COUNT"] for r in out["trawl_cpue"].collect()}
+    assert len(cpue) == 3 * 6 and cpue[("S1", 56.1, "Mature male")] == cpue[("S1", 56.15, "Mature male")] == 1.0
+    by = {(r["STATION"], r["LAT_DD"]): r["Tanner"] for r in out["crab_bycatch"].collect()}
+    assert by == {("S1", 56.1): 1.0, ("S1", 56.15): 1.0, ("S2", 56.3): 0.0}
+
+
+def test_trawl_biometrics_entered_twice(spark, trawl_root):
+    """The same value twice is one value; two values make the cell NULL and are listed."""
+    cat, spc, raw = (os.path.join(trawl_root, d) for d in ("catch", "specimen", "raw"))
+    raw2 = os.path.join(trawl_root, "raw2")
+    for f in os.listdir(raw):
+        _w(raw2, f, open(os.path.join(raw, f)).read().rstrip("\n").split("\n"))
+    _w(raw2, "T_SPECIMEN_BIOMETRICS_0002.csv", ["HAUL_ID,SPECIMEN_ID,BIOMETRIC_NAME,VALUE,RECORDING_DEVICE",
+                                                "t1,a,SEX,1,dev", "t1,b,CARAPACE_LENGTH,115,dev"])
+    out = P.trawl(spark, P.TrawlInputs(cat, spc, raw2, os.path.join(trawl_root, "VA_HAULS.csv")))
+    assert [(r["SPECIMEN_ID"], r["BIOMETRIC_NAME"]) for r in out["duplicate_biometrics"].collect()] == [("b", "CARAPACE_LENGTH")]
+    st = sorted((r["SEX"], r["LENGTH"] or 0.0) for r in out["specimen_table"].collect())
+    assert st == [(1, 0.0), (1, 140.0), (2, 0.0)]
 
 
 def test_fish_pipeline(spark, trawl_root):
@@ -165,6 +199,9 @@ def test_fish_pipeline(spark, trawl_root):
     sheet = {r["STATION"]: r for r in out["fish_bycatch"].collect()}
     assert sheet["S1"]["YellowfinSole"] == pytest.approx(15.0) and sheet["S1"]["PacificCod"] == pytest.approx(9.0)
     assert sheet["S2"]["PacificCod"] == 0.0
+    _w(trawl_root, "VA_HAULS3.csv", ["SAMPLED,STATION,LAT_DD,LON_DD", "1,S1,56.1,-161.2", "1,S1,56.15,-161.2"])
+    twice = P.fish(spark, P.FishInputs(cat, raw, os.path.join(trawl_root, "VA_HAULS3.csv")))["fish_bycatch"].collect()
+    assert [(r["PacificCod"], r["YellowfinSole"]) for r in twice] == [(pytest.approx(9.0), pytest.approx(15.0))] * 2
 
 
 def test_shell_layer(spark, pot_inputs):

@@ -51,3 +51,19 @@ def test_placenames_and_polygons(spark):
     v = spark.createDataFrame([("a", 0, 0, 0.0, 0.0)], "poly_id string, ring int, seq int, x double, y double")
     v.write.parquet(os.path.join(d, "poly"))
     assert D.load_polygons(spark, os.path.join(d, "poly")).count() == 1
+
+
+def test_quoted_headers_folders_of_parts_and_corrupt_cells(spark):
+    d = tempfile.mkdtemp(prefix="drops-")
+    _write(d, "Q_SAMPLE_VALUES_1.csv", '"HAUL_ID","COUNT","note, free"\nh1,3,"a, b"\nh2,x,c\n')
+    spark.createDataFrame([("h3", 5)], "HAUL_ID string, COUNT int").write.option("header", True).csv(os.path.join(d, "Q_SAMPLE_VALUES_2"))
+    _write(d, "Q_SAMPLE_VALUES_3.csv", "")
+    df = D.read_drop(spark, d, "_SAMPLE_VALUES", RAW_SAMPLE_VALUES)
+    assert sorted((r["HAUL_ID"], r["COUNT"]) for r in df.select("HAUL_ID", "COUNT").fillna(-1).collect()) == [("h1", 3), ("h2", -1), ("h3", 5)]
+    bad = D.corrupt_rows(spark, d, "_SAMPLE_VALUES", RAW_SAMPLE_VALUES).collect()
+    assert [(r["SOURCE_FILE"], r["LINE"]) for r in bad] == [("Q_SAMPLE_VALUES_1.csv", "h2,x,c")]
+
+
+def test_no_drops_at_all(spark):
+    d = tempfile.mkdtemp(prefix="drops-")
+    assert D.read_drop(spark, d, "_SAMPLE_VALUES", RAW_SAMPLE_VALUES).count() == 0

@@ -10,6 +10,66 @@ from haulkit.operators import krige as KR
 from haulkit.operators import spatial as SP
 
 
+def bessel_gamma_np(h, nugget, psill, rng):
+    return np.where(h > 0, nugget + psill * (1.0 - KR.xk1_np(h / rng)), 0.0)
+
+
+def krige_np(sx, sy, sz, tx, ty, nugget, psill, rng):
+    """Dense global ordinary kriging."""
+    sx, sy, sz, tx, ty = (np.asarray(v, float) for v in (sx, sy, sz, tx, ty))
+
+    def cov(h):
+        return np.where(h > 0, psill * KR.xk1_np(h / rng), nugget + psill)
+
+    k = cov(np.hypot(sx[:, None] - sx, sy[:, None] - sy))
+    a, b = np.linalg.solve(k, sz), np.linalg.solve(k, np.ones_like(sz))
+    m = a.sum() / b.sum()
+    return m + cov(np.hypot(tx[:, None] - sx, ty[:, None] - sy)) @ (a - m * b)
+
+
+def samples(spark, n, seed, size=40000):
+    rng = np.random.default_rng(seed)
+    xs, ys, zs = rng.uniform(0, size, n), rng.uniform(0, size, n), rng.normal(3, 1, n)
+    rows = [(i, float(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(xs, ys, zs))]
+    return xs, ys, zs, spark.createDataFrame(rows, "ID long, X double, Y double, Z double")
+
+
+@pytest.mark.parametrize("n,nugget,psill,rng", [(12, 0.5, 1.0, 15000.0), (12, 10.4, 0.16, 5400.0), (300, 0.3, 1.0, 4000.0)])
+def test_krige_with_a_nugget_equals_the_dense_solution(spark, n, nugget, psill, rng):
+    xs, ys, zs, s = samples(spark, n, n)
+    at = np.random.default_rng(1).uniform(0, 40000, (2, 5))
+    cells = [(i, float(a), float(b)) for i, (a, b) in enumerate(at.T)] + [(99, float(xs[3]), float(ys[3]))]
+    t = spark.createDataFrame(cells, "CELL long, X double, Y double")
+    got = {r["CELL"]: r["PRED"] for r in KR.krige(s, t, nugget, psill, rng).collect()}
+    ref = krige_np(xs, ys, zs, [c[1] for c in cells], [c[2] for c in cells], nugget, psill, rng)
+    assert [got[c[0]] for c in cells] == pytest.approx(list(ref), abs=1e-6)
+    assert got[99] == pytest.approx(zs[3], abs=1e-6)       # a sample's own value is met
+
+
+def test_krige_that_does_not_converge_raises(spark):
+    _, _, _, s = samples(spark, 30, 8)
+    t = spark.createDataFrame([(1, 5.0, 5.0)], "CELL long, X double, Y double")
+    with pytest.raises(ArithmeticError):
+        KR.krige(s, t, 0.0, 1.0, 15000.0, max_iter=1)
+
+
+def test_krige_without_a_variogram_gives_the_mean(spark):
+    t = spark.createDataFrame([(1, 5.0, 5.0)], "CELL long, X double, Y double")
+    one = spark.createDataFrame([(1, 0.0, 0.0, 2.5)], "ID long, X double, Y double, Z double")
+    assert KR.krige(one, t, None, None, None).first()["PRED"] == 2.5
+    flat = spark.createDataFrame([(1, 0.0, 0.0, 2.0), (2, 9.0, 0.0, 2.0)], "ID long, X double, Y double, Z double")
+    assert KR.krige(flat, t, 0.0, 0.0, 100.0).first()["PRED"] == 2.0
+    assert KR.krige(one.limit(0), t, 0.0, 1.0, 100.0).first()["PRED"] is None
+
+
+def test_fit_tells_when_the_range_lies_on_a_bound(spark):
+    h = np.linspace(1000, 60000, 15)
+    for rng, at_bound in ((9000.0, False), (2000000.0, True)):
+        bins = spark.createDataFrame([(i, 100, float(a), float(b)) for i, (a, b) in enumerate(zip(h, bessel_gamma_np(h, 0.2, 1.0, rng)))],
+                                     "BIN int, NP long, DIST double, GAMMA double")
+        assert KR.fit_variogram(bins, max_frac=3.0).first()["RANGE_AT_BOUND"] is at_bound
+
+
 def test_albers_origin_and_round_trip(spark):
     df = spark.createDataFrame([(-154.0, 50.0), (-160.5, 56.25), (-164.8, 54.5)], "lon double, lat double")
     x, y = A.forward("lon", "lat")
@@ -83,7 +143,7 @@ def test_krige_equals_dense_solution_and_interpolates(spark):
     cells = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(tx, ty))] + [(99, float(xs[0]), float(ys[0]))]
     t = spark.createDataFrame(cells, "CELL long, X double, Y double")
     got = {r["CELL"]: r["PRED"] for r in KR.krige(s, t, 0.0, 1.0, 15000.0).collect()}
-    ref = KR.krige_np(xs, ys, zs, [c[1] for c in cells], [c[2] for c in cells], 0.0, 1.0, 15000.0)
+    ref = krige_np(xs, ys, zs, [c[1] for c in cells], [c[2] for c in cells], 0.0, 1.0, 15000.0)
     for i, c in enumerate(cells):
         assert got[c[0]] == pytest.approx(ref[i], abs=1e-6)
     assert got[99] == pytest.approx(zs[0], abs=1e-6)      # exact at a sample (zero nugget)
@@ -91,7 +151,7 @@ def test_krige_equals_dense_solution_and_interpolates(spark):
 
 def test_fit_recovers_model(spark):
     h = np.linspace(1000, 60000, 15)
-    g = KR.bessel_gamma_np(h, 0.2, 1.0, 9000.0)
+    g = bessel_gamma_np(h, 0.2, 1.0, 9000.0)
     bins = spark.createDataFrame([(i, 100, float(a), float(b)) for i, (a, b) in enumerate(zip(h, g))],
                                  "BIN int, NP long, DIST double, GAMMA double")
     m = KR.fit_variogram(bins).first()

@@ -57,3 +57,18 @@ def test_csv_drop_stream_totals(spark):
     assert parts.select("batch_id").distinct().count() == 2
     total = parts.groupBy("HAUL_ID", "CATCH_SAMPLE_ID", "RECORDING_DEVICE").sum("TOSSED").collect()
     assert [tuple(r) for r in total] == [("h1", "s1", "d", 5)]
+
+
+def test_streamed_drop_that_lacks_a_column_is_aligned_by_name(spark):
+    from haulkit.sources.schemas import RAW_SAMPLE_VALUES
+    root = tempfile.mkdtemp(prefix="csvstream-")
+    drops = os.path.join(root, "drops")
+    os.makedirs(drops)
+    with open(os.path.join(drops, "R_SAMPLE_VALUES_1.csv"), "w") as f:      # no COUNT, other order, a column of its own
+        f.write('WEIGHT,HAUL_ID,EXTRA,KEEP,RECORDING_DEVICE\n7,h1,"x, y",Y,dev\nNA,h2,,N,dev\n')
+    stream = read_drop_stream(spark, drops, "*_SAMPLE_VALUES_*.csv", RAW_SAMPLE_VALUES)
+    q = append_partials(stream, lambda b: b, os.path.join(root, "out"), os.path.join(root, "_ck"))
+    q.awaitTermination()
+    got = {r["HAUL_ID"]: r for r in spark.read.schema(RAW_SAMPLE_VALUES).parquet(os.path.join(root, "out")).collect()}
+    assert got["h1"]["WEIGHT"] == 7.0 and got["h1"]["COUNT"] is None and got["h1"]["KEEP"] == "Y" and got["h1"]["RECORDING_DEVICE"] == "dev"
+    assert got["h2"]["WEIGHT"] is None
