@@ -52,6 +52,27 @@ def flatfish_expand(samples: DataFrame, by: Sequence[str] = ("STATION",), weight
     return s.where(~(F.col("SPECIES_CODE") == unid_code))
 
 
+def flatfish_expand_summed(samples: DataFrame, summed: DataFrame, by: Sequence[str] = ("STATION",),
+                           weight: str = "SAMPLE_VALUE_WEIGHT", nulls: str = "N_NULL",
+                           flatfish_codes: Sequence[int] = K.FLATFISH_CODES,
+                           unid_name: str = K.UNID_FLATFISH_NAME, unid_code: int = K.UNID_FLATFISH_CODE) -> DataFrame:
+    """`flatfish_expand` where the weights come summed beforehand: `summed` has, per
+    station and anything finer, SPECIES_CODE, SPECIES_NAME, the sum of weights and the
+    number of NULL ones, so the species of the rows is looked up once for them and
+    once for the (smaller) sums."""
+    def subset(flag):
+        f = F.coalesce(flag, F.lit(False))
+        return F.when(F.sum(F.when(f, F.col(nulls)).otherwise(0)) == 0,
+                      F.coalesce(F.sum(F.when(f, F.col(weight))), F.lit(0.0)))
+
+    flat = is_in("SPECIES_CODE", flatfish_codes)
+    sums = summed.groupBy(*by).agg(subset(flat).alias("__I"), subset(F.col("SPECIES_NAME") == unid_name).alias("__U"))
+    s = samples.join(sums, list(by), "left")
+    sf = F.when(~flat, F.lit(1.0)).otherwise(safe_div(F.col("__I") + F.col("__U"), F.col("__I")))
+    s = s.withColumn("SAMPLING_FACTOR", sf).drop("__I", "__U")
+    return s.where(~(F.col("SPECIES_CODE") == unid_code))
+
+
 def estimate_counts(rows: DataFrame, keys: Sequence[str], weight: str = "SAMPLE_VALUE_WEIGHT",
                     count: str = "SAMPLE_VALUE_COUNT", factor: str = "SAMPLING_FACTOR") -> DataFrame:
     """D6 + D7 + H15 in one aggregation.

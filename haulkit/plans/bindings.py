@@ -140,22 +140,29 @@ def fish_samples(spark: SparkSession, d: str) -> DataFrame:
     """Groundfish sample values: lineitem weights/counts with the species of
     their part.  Large parts are crab (removed later, B8); every 11th part has
     no species code (a weight correction, dropped by B9)."""
-    li = table(spark, d, "lineitem")
+    return fish_rows(spark, d).join(fish_species(spark, d), "PART", "left")
+
+
+def fish_species(spark: SparkSession, d: str) -> DataFrame:
+    """(PART, SPECIES_CODE)."""
     p = table(spark, d, "part")
     code = F.when(F.col("p_partkey") % 11 == 0, F.lit(None).cast("int"))
     for t, c, _ in FISH_SPECIES:
         code = code.when(F.col("p_type") == t, F.when(F.col("p_size") > 45, K.TANNER_CRAB).otherwise(c))
     code = code.otherwise(F.lit(None).cast("int"))
-    sp = p.select(F.col("p_partkey").alias("PART"), code.alias("SPECIES_CODE"))
+    return p.select(F.col("p_partkey").alias("PART"), code.alias("SPECIES_CODE"))
+
+
+def fish_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The sample values without their species."""
     w = F.when((F.col("l_orderkey") % 997 == 0) & (F.col("l_linenumber") == 1), F.lit(None).cast("double")) \
          .otherwise(F.col("l_extendedprice") / 1000.0)
     # baskets 1-3 counted, basket 4 counted as 0 (a weight with no fish), rest not counted
     ln = F.col("l_linenumber")
     cnt = F.when(ln <= 3, F.col("l_quantity").cast("int")).when(ln == 4, F.lit(0))
-    rows = li.select(F.col("l_suppkey").alias("STATION"), F.col("l_orderkey").alias("CATCH_SAMPLE_ID"),
+    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("STATION"), F.col("l_orderkey").alias("CATCH_SAMPLE_ID"),
                      F.col("l_linenumber").alias("SAMPLE_VALUE_ID"), F.col("l_partkey").alias("PART"),
                      w.alias("SAMPLE_VALUE_WEIGHT"), cnt.alias("SAMPLE_VALUE_COUNT"))
-    return rows.join(sp, "PART", "left")
 
 
 def fish_names(spark: SparkSession) -> DataFrame:
