@@ -54,16 +54,20 @@ def groups(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """
     edges = links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter("u <> v")
     edges = materialise(edges.mapInArrow(forest, "u long, v long").distinct(), "links")
-    before = None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38)"))).first()
-        if state == before or not state[0]:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("group")).unionByName(
-                edges.select(F.col("v").alias("id"), F.col("v").alias("group")).distinct())
-        before = state
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         edges = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         found = edges.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = materialise(found.select("e.u", "e.v").filter("u <> v").distinct(), "links")
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("group")).unionByName(
+        edges.select(F.col("v").alias("id"), F.col("v").alias("group")).distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every id points to one id, which points to none."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("in")),
+                                          F.struct(F.col("v").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("in")))).alias("e"))
+    counts = ends.groupBy("e.id").agg(F.sum("e.out").alias("outs"), F.sum("e.in").alias("ins"))
+    return counts.filter("outs > 1 or outs > 0 and ins > 0").isEmpty()

@@ -8,9 +8,13 @@ a set whose places all hold values below j + 1 needs no step beyond j.
 
 Texts with equal sets are one class; only one of each class goes into the bands.
 Within a bucket of a band no list of all pairs is made: members are compared with
-the smallest and the largest id first, links are grouped, and only members that
-are still in different groups are compared further, in rounds with more and more
-pivots, until each pair in a bucket is in one group or has been compared.
+the smallest and the largest id first, and confirmed links are grouped.  Texts of
+buckets that still hold two groups are left.  A link between groups needs texts that share
+80 % of either's shingles with the other, so shingles that stand in one group only
+count for nothing, and a text with too many of those is done (most edited copies
+are).  The others are joined by prefixes: with shingles in one order, the rarest first,
+two such texts share one among the first 20 % of each, and behind the first that they
+share enough must follow in both to make up 80 %.
 """
 
 from __future__ import annotations
@@ -144,6 +148,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", "items_u", "items_v").mapInArrow(task, "u long, v long")
 
 
+def between_groups(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of ids in different groups that may be linked; left: (id, n, g).  No linked pair is missing."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(3)]
+            of = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in items]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in range(3)), pa.array(np.concatenate(items))], ["id", "n", "g", "item"])
+
+    item = materialise(left.join(sets, "id").select("id", "n", "g", "items").mapInArrow(task, "id long, n long, g long, item long"), "items")
+    for _ in range(2):  # texts that go take their shingles with them, so a second time drops more
+        common = item.groupBy("item").agg(F.count("*").alias("df"), F.min("g").alias("g0"), F.max("g").alias("g1")).filter("g0 <> g1").select("item", "df")
+        shared = item.select("id", "n", "g", "item").join(common, "item")
+        enough = shared.groupBy("id", "n").agg(F.count("*").alias("s")).filter(f"100 * s >= {percent} * n").select("id", "s")
+        item = materialise(shared.join(enough, "id"), "items")
+    # the first n - ceil(n * percent / 100) + 1 of the n shingles; those of one group only, n - s, come first and match nothing
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "item"))
+    prefix = item.withColumn("nth", rank).filter(f"nth <= s - ceil(n * {percent} / 100) + 1").selectExpr("id", "n", "g", "item", "s - nth as rest")
+    prefix = materialise(prefix, "prefixes")
+    # at the first item that two texts share, 1 + the smaller rest bounds what they share; later items may pass or not
+    other = prefix.selectExpr("item", "id as v", "n as m", "g as h", "rest as rest_v")
+    return (prefix.join(other, "item").filter(f"g < h and {100 + percent} * (1 + least(rest, rest_v)) >= {percent} * (n + m)")
+            .select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct())
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 24, rows: int = 4,
                     filter_bits: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id_col, n_shingles, component_id, kept, mark (xxhash64 of the text).
@@ -160,36 +188,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     classes = materialise(signed.filter("n > 0 and id is not null").groupBy("set_a", "set_b")
                           .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     member = classes.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "n")
-    sizes = member.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("members")).filter("members > 1")
+    end = F.struct("id", "n")
+    sizes = member.groupBy("key").agg(F.min(end).alias("low"), F.max(end).alias("high"), F.count("*").alias("members")).filter("members > 1")
     buckets = materialise(member.join(sizes, "key"), "buckets")
     sets = materialise(sets_of(docs, buckets.select("id").distinct(), shingle, filter_bits, id_col, text_col), "sets")
-    close = f"100 * least(n, m) >= {percent} * greatest(n, m)"
 
     # smallest and largest id of a bucket against its other members
-    ends = classes.select(F.col("rep").alias("u"), F.col("n").alias("m"))
-    stars = buckets.select(F.explode(F.array("low", "high")).alias("u"), F.col("id").alias("v"), "n").filter("u <> v")
-    stars = stars.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    stars = (stars.join(ends.select(F.col("u").alias("a"), "m"), "a").join(ends.select(F.col("u").alias("b"), F.col("m").alias("n")), "b")
-             .filter(close).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    stars = buckets.select(F.explode(F.array("low", "high")).alias("e"), "id", "n").filter(
+        f"e.id <> id and 100 * least(n, e.n) >= {percent} * greatest(n, e.n)")
+    stars = stars.select(F.least("id", "e.id").alias("u"), F.greatest("id", "e.id").alias("v")).distinct()
     links = materialise(confirmed(stars, sets, percent), "links-1")
     grouped = materialise(groups(links), "groups-1")
 
-    # members of a bucket that are in different groups: each against pivots, the next of the bucket's order in each round
-    pivots, done = 4, 0
-    order = Window.partitionBy("key").orderBy("id")
-    while True:
-        labelled = buckets.join(grouped, "id", "left").select("key", "id", "n", F.coalesce("group", "id").alias("g"))
-        mixed = labelled.groupBy("key").agg(F.min("g").alias("g0"), F.max("g").alias("g1"), F.count("*").alias("members")).filter("g0 <> g1").select("key", "members")
-        open_ = materialise(labelled.join(mixed.filter(F.col("members") > done), "key").withColumn("nth", F.row_number().over(order)), "open")
-        pivot = open_.filter(f"nth > {done} and nth <= {done + pivots}").select("key", F.col("id").alias("p"), F.col("n").alias("m"), F.col("g").alias("pg"), F.col("nth").alias("at"))
-        if pivot.isEmpty():
-            break
-        pairs = open_.join(pivot, "key").filter(f"g <> pg and nth > at and {close}").select(F.col("p").alias("u"), F.col("id").alias("v")).distinct()
-        more = materialise(confirmed(pairs, sets, percent), "links-n")
-        links = links.unionByName(more)
-        if not more.isEmpty():
-            grouped = materialise(groups(grouped.select(F.col("id").alias("u"), F.col("group").alias("v")).unionByName(more)), "groups-n")
-        done, pivots = done + pivots, pivots * 4
+    labelled = buckets.join(grouped, "id", "left").select("key", "id", "n", F.coalesce("group", "id").alias("g"))
+    mixed = labelled.groupBy("key").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).filter("g0 <> g1").select("key")
+    left = materialise(labelled.join(mixed, "key", "left_semi").select("id", "n", "g").distinct(), "left")
+    more = materialise(confirmed(between_groups(left, sets, percent), sets, percent), "links-2")
+    if not more.isEmpty():
+        grouped = materialise(groups(grouped.select(F.col("id").alias("u"), F.col("group").alias("v")).unionByName(more)), "groups-2")
 
     whose = classes.select("set_a", "set_b", F.col("rep").alias("cid")).join(
         grouped.withColumnRenamed("id", "cid"), "cid", "left").select("set_a", "set_b", F.coalesce("group", "cid").alias("component_id"))
