@@ -5,7 +5,7 @@ scale 1, 2, 3, 4, 6, 8, 12, 16, ...; an n-gram is inserted once for each step up
 own.  A lookup probes step by step until the filter says no, so a false "yes"
 overstates a count by one step at a time (Talbot and Osborne 2007).
 
-The filter has at most 2**MAX_BITS bits (64 MB), which bounds the broadcast.  It is cut
+The filter has at most 2**MAX_BITS bits (32 MB), which bounds the broadcast.  It is cut
 into segments by the first bits of an n-gram's hash, and each segment is made in the
 task that merges the counts of its n-grams.  Where pairs are too many for the filter to
 give each BITS_EACH bits, pairs below a count are left out of it (an estimate from one
@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 
 from haulkit.llm.shared import Powers, Words, blocks, held_back, materialise, mix, sorted_buckets, text_of, words_of
 
-MAX_BITS, BITS_EACH, PROBES = 29, 6, 3
+MAX_BITS, BITS_EACH, PROBES = 28, 5, 3
 LAMBDA = 0.15
 SAMPLE = 64
-#: Words of which the exact count is broadcast: the most frequent ones, 16 MB at most.
-HEAD = 1 << 20
+#: Words of which the exact count is broadcast: the most frequent ones, 4 MB at most.
+HEAD = 1 << 18
 #: Entries that a task merges at a time.
 ROOM = 1 << 22
 #: Entries that a segment holds at about, as far as the input tells.
