@@ -2,8 +2,8 @@
 
 The lexicon holds words, and word beginnings, that texts labelled toxic use far more
 often than others do.  Terms form a trie; a word of a text is looked up by running the
-automaton of all strings within one edit of it along the trie, so "st0pid" finds its
-term.  The words around a hit tell abuse from quotation: a hit between quotation marks
+Levenshtein automaton of strings within one edit of it along the trie, so "st0pid" finds
+its term.  The words around a hit tell abuse from quotation: a hit between quotation marks
 or after a word of saying counts apart.  A logistic regression on these counts, fitted
 on labelled rows, gives the score.
 """
@@ -37,6 +37,7 @@ FIT_ROWS = 20_000
 QUOTES = "\"“”„«»"
 SAYING = frozenset("said says wrote writes quoted quote called sagte schrieb zitat dit écrit citation dijo escribió cita".split())
 FEATURES = ("exact", "misspelt", "quoted", "most", "share")
+STEM = "begins"  # key of a trie node's weight as a beginning; that of a whole word is ""; letters are of length 1
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -47,7 +48,7 @@ def bare(word: str) -> str:
 
 def terms_of(word: str) -> list[str]:
     """A word's candidates for the lexicon: itself, and its beginnings marked by '*'."""
-    return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
+    return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)] if len(word) >= 3 and "*" not in word else []
 
 
 class Lexicon:
@@ -59,45 +60,48 @@ class Lexicon:
             node = self.root
             for c in term.removesuffix("*"):
                 node = node.setdefault(c, {})
-            node["*" if term.endswith("*") else ""] = weight
-        words = [t.removesuffix("*").encode() for t in terms]
-        self.starts, self.ends = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
-        for w, t in zip(words, terms, strict=True):
-            self.starts[int.from_bytes(w[:2].ljust(2, b"\0"))] = True
-            if not t.endswith("*"):
-                self.ends[int.from_bytes(w[-2:].rjust(2, b"\0"))] = True
+            node[STEM if term.endswith("*") else ""] = weight
+        # bytes of terms with which a word within reach begins or ends: one edit spares one half
+        self.starts, self.ends, self.short = np.zeros(1 << 24, bool), np.zeros(1 << 24, bool), np.zeros(1 << 16, bool)
+        for term in terms:
+            w = term.removesuffix("*").encode()
+            self.starts[int.from_bytes(w[:3].ljust(3, b"\0"))] = True
+            if not term.endswith("*") and len(term) >= FUZZY:
+                self.ends[int.from_bytes(w[-3:])] = True
+                if len(term) == FUZZY:
+                    self.short[int.from_bytes(w[:2])] = True
 
     def find(self, word: str) -> tuple[float, int]:
         """(weight, edits) of the best term: exact words and beginnings first, then words one edit away; (0, 0) if none."""
-        node, best = self.root, 0.0
+        path, best = [self.root], 0.0  # the automaton's states without an edit: one trie node for each letter that fits
         for i, c in enumerate(word):
-            if (node := node.get(c)) is None:
+            node = path[-1].get(c)
+            if node is None:
                 break
-            best = max(best, node.get("*", 0.0) if i + 1 < len(word) else max(node.get("", 0.0), node.get("*", 0.0)))
+            path.append(node)
+            best = max(best, node.get(STEM, 0.0), node.get("", 0.0) if i + 1 == len(word) else 0.0)
         if best:
             return best, 0
         if len(word) < FUZZY - 1:
             return 0.0, 0
-        # states of the automaton: (letters of the word used, edits); closed under leaving out a letter of the word
-        stack = [(self.root, 0, frozenset(((0, 0), (1, 1))))]
-        while stack:
-            node, depth, states = stack.pop()
-            if depth >= FUZZY and "" in node and any(len(word) - i <= 1 - e for i, e in states):
-                best = max(best, node[""])
+        for i, node in enumerate(path):  # states with one edit have one way on: the rest of the word, letter by letter
+            best = max(best, self._rest(node, word, i + 1, i))  # a letter too many
             for c, child in node.items():
-                if len(c) != 1 or c == "*":
-                    continue
-                after = set()
-                for i, e in states:
-                    if i < len(word) and word[i] == c:
-                        after.add((i + 1, e))
-                    if not e:
-                        after |= {(i, 1), (i + 1, 1)}  # a letter added, or another in its place
-                after |= {(i + 1, 1) for i, e in after if not e}
-                if after := frozenset((i, e) for i, e in after if i <= len(word)):
-                    stack.append((child, depth + 1, after))
+                if type(child) is dict:
+                    best = max(best, self._rest(child, word, i + 1, i + 1), self._rest(child, word, i, i + 1))  # another letter, one missing
         return best, 1
 
+    @staticmethod
+    def _rest(node: dict, word: str, at: int, depth: int) -> float:
+        """Weight of the whole-word term at the end of word[at:] from a node at a depth, if it is long enough."""
+        if at > len(word) or depth + len(word) - at < FUZZY:
+            return 0.0
+        for c in word[at:]:
+            node = node.get(c)
+            if node is None:
+                return 0.0
+        return node.get("", 0.0)
+
 
 def quoted(before: list[str], word: str, after: list[str]) -> bool:
     """Whether the words around a hit make it a quotation: marks on both sides of it, or a word of saying just before."""
@@ -205,22 +209,25 @@ def hits(docs: DataFrame, lexicon: dict[str, float], id_col: str, text_col: str)
 
 
 def _likely(w, first: np.ndarray, lexicon: Lexicon) -> np.ndarray:
-    """Distinct words that may have a term within one edit: the first or the last two letters (bytes, signs apart) are as in a term.
+    """Distinct words that may have a term within one edit, by their first and last bytes, signs apart.
 
-    One edit leaves one half of a word of FUZZY letters or more as it was.
+    One edit leaves the first or the last three letters of a longer term as they were, and
+    of one of FUZZY letters the first two or the last three.  Letters of Latin-1 are
+    folded as those of ASCII are; words that begin or end with other signs are looked up.
     """
     data = np.where((w.data >= 65) & (w.data <= 90), w.data + 32, w.data).astype(np.int64)
+    accented = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)) + 1
+    data[accented] += 0x20
     sign = (data < 128) & ~((data >= 97) & (data <= 122)) & ~((data >= 48) & (data <= 57)) & (data != 95)
     start, end = w.start[first].copy(), w.end[first].copy()
-    odd = (w.data[start] >= 128) | (w.data[end - 1] >= 128)  # letters beyond ASCII may change length or be signs: looked up
     for _ in range(8):
-        start += sign[np.minimum(start, len(data) - 1)] & (start < end - 1)
+        start += sign[start] & (start < end - 1)
         end -= sign[end - 1] & (end > start + 1)
-    signs = sign[start] | sign[end - 1]
-    pair = np.minimum(start + 1, end - 1)
-    front = data[start] << 8 | data[pair]
-    back = data[np.maximum(end - 2, start)] << 8 | data[end - 1]
-    return lexicon.starts[front] | lexicon.ends[back] | signs | odd
+    other = (data[start] >= 128) & (data[start] != 0xC3) | (data[end - 1] >= 128) & (data[np.maximum(end - 2, start)] != 0xC3)
+    one, two, three = data[start], data[np.minimum(start + 1, end - 1)], data[np.minimum(start + 2, end - 1)]
+    front = one << 16 | two << 8 | three
+    back = data[np.maximum(end - 3, start)] << 16 | data[np.maximum(end - 2, start)] << 8 | data[end - 1]
+    return (end - start >= 3) & (lexicon.starts[front] | lexicon.ends[back] | lexicon.short[front >> 8]) | sign[start] | sign[end - 1] | other
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
