@@ -24,7 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of one row of a key filter, as bitmap_construct_agg makes them.
 PAGE = 32768
 #: Bytes of text that a task turns into arrays at a time; a longer text makes a block of its own.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -144,7 +144,7 @@ class Powers:
 
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, BLOCK + 1)
+            n = max(n, 2 * len(self.up))
             self.up, self.down = (np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, b, np.uint64))))
                                   for b in (self.base, self.back))
         return self.up, self.down
@@ -212,14 +212,14 @@ def whole(w: Words, n: int) -> np.ndarray:
     return at + n <= last[:len(at)]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about BLOCK bytes of text, or one longer text."""
+def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``size`` bytes of text, or one longer text."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         total, at = np.concatenate(([0], np.cumsum(sizes))), 0
         while at < len(sizes):
-            to = max(at + 1, int(np.searchsorted(total, total[at] + BLOCK, "right")) - 1)
+            to = max(at + 1, int(np.searchsorted(total, total[at] + size, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
 

@@ -7,11 +7,11 @@ is small, and a task sorts a few buckets at a time (blockwise), which bounds its
 memory.  A gram that is smallest in one piece of the corpus only can't belong to
 a repeat; such pieces stay at home.
 
-Within a block, suffixes are first sorted by COVER bytes.  Ties are long (copied
+Within a block, suffixes are first sorted by eight bytes.  Ties are long (copied
 text), so they are resolved by ranks: every position whose residue modulo COVER
-lies in the difference cover is ranked once by most of the length, by doubling.  For any
-two suffixes some shift below COVER puts both on ranked positions; there, the
-first COVER bytes, the rank, and the last bytes decide whether they are equal.
+lies in the difference cover is ranked once by most of the length, by doubling.  For
+any two suffixes some shift below COVER puts both on ranked positions; there the
+rank decides, together with the few bytes before and after it (their 64-bit hash).
 """
 
 from __future__ import annotations
@@ -34,7 +34,9 @@ HOT = 2048
 #: Differences of these residues give every residue modulo 16.
 COVER, RESIDUES = 16, (0, 1, 2, 5, 8)
 #: Bytes of pieces in a block.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+#: Bytes of text that are cut into pieces at a time.
+TEXT_BYTES = 1 << 20
 
 
 def rolling(data: np.ndarray, n: int, powers: Powers) -> np.ndarray:
@@ -92,9 +94,9 @@ def first_equal(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     if not len(at):
         return first
     eight = words8(data)
-    by_start = rank(eight[at], eight[at + 8]).astype(np.int64)
+    by_start = rank(eight[at]).astype(np.int64)
     tied = np.bincount(by_start)[by_start] > 1
-    at, by_start, index = at[tied], by_start[tied].astype(np.uint64), first[tied]
+    at, index = at[tied], first[tied]
     if not len(at):
         return first
 
@@ -116,17 +118,28 @@ def first_equal(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
         size += COVER
 
     # what a ranked stretch leaves out lies in the first COVER bytes and in the last length - size
-    outer = rank(by_start, rank(*(eight[at + length - 8 * k] for k in range(1, math.ceil((length - size) / 8) + 1))))
+    outer = mix(eight[at]) + eight[at + 8]
+    for k in range(1, math.ceil((length - size) / 8) + 1):
+        outer = mix(outer) + eight[at + length - 8 * k]
+    whole_rank = np.zeros(len(data), np.uint64)
+    whole_rank[sampled] = ranked * np.uint64(0x9E3779B97F4A7C15)
+    outer = mix(outer)
+    residue = (at % COVER).astype(np.uint8)
+    by_residue = np.argsort(residue, kind="stable")
+    bounds = np.searchsorted(residue[by_residue], np.arange(COVER + 1))
     best = np.arange(len(at))
     for shift in range(COVER):
-        here = np.flatnonzero(np.isin((at + shift) % COVER, RESIDUES))
+        here = np.concatenate([by_residue[bounds[r]:bounds[r + 1]] for r in ((c - shift) % COVER for c in RESIDUES)])
         if len(here) < 2:
             continue
-        key = outer[here] << np.uint64(32) | ranked[slot[at[here] + shift]]
+        key = outer[here] + whole_rank[at[here] + shift]
         order = np.argsort(key)
-        starts = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
-        least = np.minimum.reduceat(here[order], starts)
-        best[here[order]] = np.minimum(best[here[order]], np.repeat(least, np.diff(np.append(starts, len(here)))))
+        key, here = key[order], here[order]
+        new = np.empty(len(key), bool)
+        new[0], new[1:] = True, key[1:] != key[:-1]
+        starts = np.flatnonzero(new)
+        if len(starts) < len(key):
+            best[here] = np.minimum(best[here], np.minimum.reduceat(here, starts)[np.cumsum(new) - 1])
     first[index] = index[best]
     return first
 
@@ -144,7 +157,7 @@ def repeated_stretches(docs: DataFrame, length: int = 100, id_col: str = "doc_id
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for batch in blocks(batches):
+        for batch in blocks(batches, size=TEXT_BYTES):
             key, n = np.unique(pieces(*flat(batch.column(0)), length, powers)[4], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
 
@@ -157,7 +170,7 @@ def repeated_stretches(docs: DataFrame, length: int = 100, id_col: str = "doc_id
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for batch in blocks(batches):
+        for batch in blocks(batches, size=TEXT_BYTES):
             data, bounds = flat(batch.column(2))
             doc, first, size, key, _ = pieces(data, bounds, length, powers)
             keep = has(shared.value, key)
