@@ -222,10 +222,10 @@ def repeated_stretches(docs: DataFrame, length: int = 100, id_col: str = "doc_id
     sent = rows.withColumn("turn", F.xxhash64("id")).mapInArrow(send, "key long, salt long, id long, mark long, place long, piece binary")
     found = materialise(sent.repartition("key", "salt").sortWithinPartitions("key", "salt")
                         .mapInArrow(sort, "id long, mark long, start long, stop long, string long"), "stretches")
-    # strings of dealt buckets: the first of each part meet, and all but the first of those go too
-    dealt = found.filter("string is not null")
-    firsts = dealt.groupBy("string").agg(F.min(F.struct("id", "start")).alias("f"), F.count("*").alias("parts")).filter("parts > 1").select("string", "f")
-    late = dealt.join(firsts, "string").filter("not (id <=> f.id and start = f.start)").select("id", "mark", "start", "stop")
+    # strings of dealt buckets: the first of each part meet (as many at most as there are parts), and all but the first of those go
+    dealt = found.filter("string is not null").groupBy("string").agg(F.sort_array(F.collect_list(F.struct("id", "start", "mark", "stop"))).alias("places"))
+    late = (dealt.select(F.col("places")[0].alias("f"), F.explode(F.expr("slice(places, 2, size(places))")).alias("p"))
+            .filter("not (p.id <=> f.id and p.start = f.start)").select("p.id", "p.mark", "p.start", "p.stop"))
     return found.filter("string is null").select("id", "mark", "start", "stop").unionByName(late)
 
 
