@@ -51,6 +51,11 @@ def terms_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)] if len(word) >= 3 and "*" not in word else []
 
 
+def place(letters, size, kind: int):
+    """Bit of a table of 2**24 for some bytes of a word, its size, and which bytes these are."""
+    return (letters * 0x9E3779B1 + size * 0x85EBCA6B + kind * 0xC2B2AE35 >> 8) & 0xFFFFFF
+
+
 class Lexicon:
     """Terms in a trie, searched with automata of Levenshtein distance 1."""
 
@@ -61,17 +66,20 @@ class Lexicon:
             for c in term.removesuffix("*"):
                 node = node.setdefault(c, {})
             node[STEM if term.endswith("*") else ""] = weight
-        # bytes of terms with which a word within reach begins or ends: one edit spares one half
-        self.starts, self.ends, self.short = np.zeros(1 << 24, bool), np.zeros(1 << 24, bool), np.zeros(1 << 16, bool)
+        # first bytes of terms; and, with lengths of two bytes more or less, those with which a word
+        # one edit away begins or ends: one edit spares one half
+        self.starts, self.near = np.zeros(1 << 24, bool), np.zeros(1 << 24, bool)
         for term in terms:
             w = term.removesuffix("*").encode()
             self.starts[int.from_bytes(w[:3].ljust(3, b"\0"))] = True
             if not term.endswith("*") and len(term) >= FUZZY:
-                self.ends[int.from_bytes(w[-3:])] = True
-                if len(term) == FUZZY:
-                    self.short[int.from_bytes(w[:2])] = True
+                for size in range(len(w) - 2, len(w) + 3):
+                    self.near[place(int.from_bytes(w[:3]), size, 0)] = True
+                    self.near[place(int.from_bytes(w[-3:]), size, 1)] = True
+                    if len(term) == FUZZY:
+                        self.near[place(int.from_bytes(w[:2]), size, 2)] = True
 
-    def find(self, word: str) -> tuple[float, int]:
+    def find(self, word: str, near: bool = True) -> tuple[float, int]:
         """(weight, edits) of the best term: exact words and beginnings first, then words one edit away; (0, 0) if none."""
         path, best = [self.root], 0.0  # the automaton's states without an edit: one trie node for each letter that fits
         for i, c in enumerate(word):
@@ -82,7 +90,7 @@ class Lexicon:
             best = max(best, node.get(STEM, 0.0), node.get("", 0.0) if i + 1 == len(word) else 0.0)
         if best:
             return best, 0
-        if len(word) < FUZZY - 1:
+        if not near or len(word) < FUZZY - 1:
             return 0.0, 0
         for i, node in enumerate(path):  # states with one edit have one way on: the rest of the word, letter by letter
             best = max(best, self._rest(node, word, i + 1, i))  # a letter too many
@@ -187,13 +195,15 @@ def hits(docs: DataFrame, lexicon: dict[str, float], id_col: str, text_col: str)
             if len(w.hashes) and shared.value:
                 _, first, which = np.unique(w.hashes, return_index=True, return_inverse=True)
                 found = np.zeros((len(first), 2))
-                for n in np.flatnonzero(_likely(w, first, lexicon)).tolist():
+                exact, near = _likely(w, first, lexicon)
+                for n in np.flatnonzero(exact | near).tolist():
                     word = bare(bytes(w.data[w.start[first[n]]:w.end[first[n]]]).decode())
-                    if word not in known:
+                    key = word, bool(near[n])
+                    if key not in known:
                         if len(known) > 200_000:
                             known.clear()
-                        known[word] = lexicon.find(word)
-                    found[n] = known[word]
+                        known[key] = lexicon.find(*key)
+                    found[n] = known[key]
                 doc = w.doc
                 for i in np.flatnonzero(found[which, 0]).tolist():
                     weight, edits = found[which[i]]
@@ -211,8 +221,8 @@ def hits(docs: DataFrame, lexicon: dict[str, float], id_col: str, text_col: str)
     return rows.mapInArrow(task, f"id {rows.schema['id'].dataType.simpleString()}, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def _likely(w, first: np.ndarray, lexicon: Lexicon) -> np.ndarray:
-    """Distinct words that may have a term within one edit, by their first and last bytes, signs apart.
+def _likely(w, first: np.ndarray, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """Which distinct words may be or begin with a term, and which may have one within one edit, by their first and last bytes, signs apart.
 
     One edit leaves the first or the last three letters of a longer term as they were, and
     of one of FUZZY letters the first two or the last three.  Letters of Latin-1 are
@@ -230,7 +240,9 @@ def _likely(w, first: np.ndarray, lexicon: Lexicon) -> np.ndarray:
     one, two, three = data[start], data[np.minimum(start + 1, end - 1)], data[np.minimum(start + 2, end - 1)]
     front = one << 16 | two << 8 | three
     back = data[np.maximum(end - 3, start)] << 16 | data[np.maximum(end - 2, start)] << 8 | data[end - 1]
-    return (end - start >= 3) & (lexicon.starts[front] | lexicon.ends[back] | lexicon.short[front >> 8]) | sign[start] | sign[end - 1] | other
+    size, other = end - start, sign[start] | sign[end - 1] | other
+    near = lexicon.near[place(front, size, 0)] | lexicon.near[place(back, size, 1)] | lexicon.near[place(front >> 8, size, 2)]
+    return (size >= 3) & lexicon.starts[front] | other, (size >= 3) & near | other
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
