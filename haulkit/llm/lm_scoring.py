@@ -5,11 +5,12 @@ scale 1, 2, 3, 4, 6, 8, 12, 16, ...; an n-gram is inserted once for each step up
 own.  A lookup probes step by step until the filter says no, so a false "yes"
 overstates a count by one step at a time (Talbot and Osborne 2007).
 
-The filter has at most 2**MAX_BITS bits (32 MB), which bounds the broadcast.  It is cut
-into segments by the first bits of an n-gram's hash, and each segment is made in the
-task that merges the counts of its n-grams.  Where pairs are too many for the filter to
-give each BITS_EACH bits, pairs below a count are left out of it (an estimate from one
-pair in SAMPLE, by hash, says which count); words never are.
+The filter gives each entry BITS_EACH to 4 * BITS_EACH bits, however many there are (an
+estimate from one pair in SAMPLE, by hash, says how many), and holds every word and pair.
+It is cut into segments by the first bits of an n-gram's hash, and no task holds more
+than one.  The distinct n-grams of a unit of texts are sent to the tasks of their segments
+with their counts in training texts; such a task merges the counts, makes the segment and
+sends the steps found in it back to the unit's task, which adds up the scores.
 
 The probability of a word after another is interpolated:
 LAMBDA * c(pair) / c(first) + (1 - LAMBDA) * (c(word) + 1) / (N + V + 1).
@@ -17,19 +18,19 @@ LAMBDA * c(pair) / c(first) + (1 - LAMBDA) * (c(word) + 1) / (N + V + 1).
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulkit.llm.shared import Powers, Words, blocks, held_back, materialise, mix, sorted_buckets, text_of, words_of
 
-MAX_BITS, BITS_EACH, PROBES = 28, 5, 3
+BITS_EACH, PROBES = 5, 3
 LAMBDA = 0.15
 SAMPLE = 64
 #: Words of which the exact count is broadcast: the most frequent ones, 4 MB at most.
@@ -38,9 +39,12 @@ HEAD = 1 << 18
 ROOM = 1 << 22
 #: Entries that a segment holds at about, as far as the input tells.
 SEGMENT = 1 << 19
+#: Tokens of the texts that ask the segments together, or one longer block of texts.
+UNIT = 1 << 20
 SCALE = np.array([1, 2, *(x << k for k in range(48) for x in (3, 4))], np.int64)
 #: Count that a step stands for: the middle of its range on a log scale.
 MEANT = np.sqrt(SCALE * (np.append(SCALE[1:], SCALE[-1] * 2) - 1.0).clip(SCALE))
+MEANT_FROM_0 = np.concatenate(([0.0], MEANT))
 END = np.uint64(0x5851F42D4C957F2D)  # hash of the end of a text
 START = np.uint64(0x14057B7EF767814F)
 
@@ -89,7 +93,11 @@ class LogFrequencyFilter:
         self.bits = (len(data) * 8 // segments).bit_length() - 1
 
     def count(self, keys: np.ndarray) -> np.ndarray:
-        out, left, step = np.zeros(len(keys)), np.arange(len(keys)), 0
+        return MEANT_FROM_0[self.steps(keys)]
+
+    def steps(self, keys: np.ndarray) -> np.ndarray:
+        """How many steps of each key the filter has, from the first on."""
+        out, left, step = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 0
         while len(left) and step < len(SCALE):
             segment, bits = places(keys[left], step, self.segments, self.bits)
             alive = np.arange(len(left))
@@ -97,11 +105,20 @@ class LogFrequencyFilter:
                 bit = (segment[alive] << self.bits) + bit[alive]
                 alive = alive[self.data[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1]
             left = left[alive]
-            out[left] = MEANT[step]
             step += 1
+            out[left] = step
         return out
 
 
+def segment_of(keys: np.ndarray, counts: np.ndarray, segments: int, bits: int) -> np.ndarray:
+    """The bits of a segment with these n-grams, as bytes."""
+    steps, data = step_of(counts), np.zeros(1 << bits, bool)
+    for step in range(int(steps.max(initial=-1)) + 1):
+        for bit in places(keys[steps >= step], step, segments, bits)[1]:
+            data[bit] = True
+    return np.packbits(data, bitorder="little")
+
+
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return keys, counts
@@ -126,8 +143,7 @@ def gathered(batches: Iterator[pa.RecordBatch], text: int, make: Callable) -> It
 
 
 def train(docs: DataFrame, training: Column, text_col: str = "text"):
-    """(counts of words: table (key, n), N, V, filter) from the rows for which ``training`` holds."""
-    spark = docs.sparkSession
+    """(counts of words: table (key, n), N, V, segments of the filter, log2 of the bits of each) from the rows for which ``training`` holds."""
     texts = docs.filter(training).select(text_of(text_col).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,44 +159,10 @@ def train(docs: DataFrame, training: Column, text_col: str = "text"):
     n_all, distinct, inserted = words.agg(F.sum("n"), F.count("*"), F.sum(_steps(F.col("n")))).first()
     # pairs by the step of their count: one row a step
     pairs = {r[0]: r[1] * SAMPLE for r in some.groupBy(_steps(F.col("n"))).count().collect()}
-    room = (1 << MAX_BITS) / BITS_EACH - (inserted or 0)
-    least = 1
-    while least < len(SCALE) and sum(s * c for s, c in pairs.items() if s >= least) > room:
-        least += 1
-    entries = (inserted or 0) + sum(s * c for s, c in pairs.items() if s >= least)
-    bits = min(MAX_BITS, max(17, math.ceil(math.log2(2 * BITS_EACH * (entries + 1)))))
+    entries = (inserted or 0) + sum(s * c for s, c in pairs.items())
+    bits = max(17, math.ceil(math.log2(2 * BITS_EACH * (entries + 1))))
     segments = 1 << min(bits - 12, max(4, math.ceil(math.log2(1 + (distinct + sum(pairs.values())) / SEGMENT))))
-    own_bits = bits - (segments.bit_length() - 1)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, n in gathered(batches, 0, lambda t, b: np.concatenate((words_key(t), pairs_of(t, b)))):
-            bounds = np.searchsorted(places(keys, 0, segments, own_bits)[0], np.arange(segments + 1))
-            for s in np.flatnonzero(np.diff(bounds)).tolist():
-                cut = slice(bounds[s], bounds[s + 1])
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([0], pa.int64()), pa.array([keys[cut].tobytes()], pa.binary()),
-                                                  pa.array([n[cut].astype(np.uint32).tobytes()], pa.binary())], ["segment", "part", "keys", "counts"])
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_buckets(batches):
-            for s in np.unique(table.column(0).to_numpy()).tolist():
-                rows = table.filter(pc.equal(table.column(0), s))
-                keys, n = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column(c)]) for c, kind in ((2, np.uint64), (3, np.uint32)))
-                keys, n = summed(keys, n.astype(np.int64))
-                steps = step_of(n)
-                keep = (keys & np.uint64(1) == 0) | (steps + 1 >= least)
-                keys, steps = keys[keep], steps[keep]
-                data = np.zeros(1 << own_bits, bool)
-                for step in range(int(steps.max(initial=-1)) + 1):
-                    for bit in places(keys[steps >= step], step, segments, own_bits)[1]:
-                        data[bit] = True
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([np.packbits(data, bitorder="little").tobytes()], pa.binary())], ["segment", "bits"])
-
-    sent = texts.mapInArrow(send, "segment long, part long, keys binary, counts binary")
-    made = sent.repartition("segment").sortWithinPartitions("segment", "part").mapInArrow(build, "segment long, bits binary")
-    data, size = np.zeros((1 << bits) // 8, np.uint8), (1 << own_bits) // 8
-    for s, part in materialise(made, "filter").toLocalIterator():  # 2**MAX_BITS bits in all, at most
-        data[s * size:(s + 1) * size] = np.frombuffer(part, np.uint8)
-    return words, n_all or 0, distinct, LogFrequencyFilter(data, segments)
+    return words, n_all or 0, distinct, segments, bits - (segments.bit_length() - 1)
 
 
 def _steps(n: Column) -> Column:
@@ -190,6 +172,43 @@ def _steps(n: Column) -> Column:
     return F.when(n == 1, 1).otherwise(2 * k + half)
 
 
+def packed(keys: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending keys and their counts, byte by byte: differences and counts have many bytes 0, which Spark compresses."""
+    return b"".join(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in (np.diff(keys, prepend=np.uint64(0)), n.astype(np.uint32)))
+
+
+def unpacked(data: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(data, np.uint8).reshape(12, -1)
+    gaps, n = (np.ascontiguousarray(x.T).view(t)[:, 0] for x, t in ((planes[:8], np.uint64), (planes[8:], np.uint32)))
+    return np.cumsum(gaps, dtype=np.uint64), n
+
+
+def runs(values: np.ndarray) -> Iterator[slice]:
+    """Stretches of equal neighbours."""
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return itertools.starmap(slice, itertools.pairwise([0, *cuts.tolist(), len(values)]))
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, tokens, bounds) of each UNIT tokens of texts, or of one longer block."""
+    powers, held, size = Powers(), [], 0
+
+    def joined():
+        texts = pa.Table.from_batches([x[0] for x in held]).combine_chunks().to_batches()[0]
+        ends = np.cumsum([0, *(len(x[1]) for x in held)])
+        return texts, np.concatenate([x[1] for x in held]), np.concatenate([[0], *(x[2][1:] + e for x, e in zip(held, ends[:-1], strict=True))]).astype(np.int64)
+
+    for batch in blocks(batches):
+        tokens, bounds = tokens_of(words_of(batch.column(2), powers, fold=True))
+        if held and size + len(tokens) > UNIT:
+            yield joined()
+            held, size = [], 0
+        held.append((batch, tokens, bounds))
+        size += len(tokens)
+    if held:
+        yield joined()
+
+
 def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -199,7 +218,7 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
     frequent ones are joined with their counts.  Without training rows all counts are 0.
     """
     held = held_back(id_col, folds, fold)
-    words, n_all, distinct, model = train(docs, ~held, text_col)
+    words, n_all, distinct, segments, bits = train(docs, ~held, text_col)
     floor = n_all + distinct + 1
     # the least count that at most HEAD words reach, from one row a count's step
     by_step = sorted(((r[0], r[1]) for r in words.groupBy(_steps(F.col("n"))).count().collect()), reverse=True)
@@ -211,42 +230,82 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
     head = words.filter(F.col("n") >= least).toPandas() if least else None
     keys = np.sort(head["key"].to_numpy().view(np.uint64)) if least else np.zeros(0, np.uint64)
     counts = head["n"].to_numpy()[np.argsort(head["key"].to_numpy().view(np.uint64))] if least else np.zeros(0, np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((keys, counts, model.data, model.segments))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        keys, counts, data, segments = shared.value
-        lookup = LogFrequencyFilter(data, segments)
+    shared = docs.sparkSession.sparkContext.broadcast((keys, counts))
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        return enumerate(_units(batches), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit, (texts, tokens, bounds) in numbered(batches):
+            trains = np.repeat(~texts.column(1).to_numpy(zero_copy_only=False), np.diff(bounds))
+            made = []
+            for grams in (words_key(tokens), pairs_of(tokens, bounds)):
+                grams, which = np.unique(grams, return_inverse=True)
+                made.append((grams, np.bincount(which, trains, len(grams)).astype(np.int64)))
+            keys, n = summed(*map(np.concatenate, zip(*made, strict=True)))  # in the order of the segments
+            cut = np.searchsorted(places(keys, 0, segments, bits)[0], np.arange(segments + 1))
+            some = np.flatnonzero(np.diff(cut))
+            sent = [packed(keys[cut[k]:cut[k + 1]], n[cut[k]:cut[k + 1]]) for k in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(np.zeros(len(some), np.int64)), pa.array(np.full(len(some), unit), pa.int64()),
+                                              pa.array(sent, pa.binary())], ["segment", "part", "unit", "data"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_buckets(batches):
+            for rows in map(lambda cut: table[cut], runs(table.column(0).to_numpy())):
+                parts = [unpacked(x.as_buffer()) for x in rows.column(3)]
+                keys, n = summed(*(np.concatenate([p[k] for p in parts]).astype(t) for k, t in ((0, np.uint64), (1, np.int64))))
+                lookup = LogFrequencyFilter(segment_of(keys[n > 0], n[n > 0], segments, bits), 1)
+                found = lookup.steps(keys)
+                data = [np.bitwise_xor.reduce(p).tobytes() + found[np.searchsorted(keys, p)].tobytes() for p, _ in parts]
+                yield pa.RecordBatch.from_arrays([*(rows.column(c).combine_chunks() for c in (2, 1, 0)), pa.array(data, pa.binary())], ["unit", "part", "segment", "data"])
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit, (texts, _, _) in numbered(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(texts.num_rows, unit), pa.int64()), *texts.columns], ["unit", "id", "held_out", "text"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, (keys, counts) = Powers(), shared.value
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        for batch in blocks(batches):
-            tokens, bounds = tokens_of(words_of(batch.column(2), powers, fold=True))
-            own, which = np.unique(words_key(tokens), return_inverse=True)
-            at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
-            known = keys[at] == own if len(keys) else np.zeros(len(own), bool)
-            c = np.where(known, counts[at] if len(keys) else 0, 0)
-            base = np.where(known, np.log10((c + 1) / floor), 0.0)[which]
-            one = lookup.count(own)
-            before = np.empty(len(tokens), np.int64)  # the token before, as one of own; START follows nothing counted
-            before[1:] = which[:-1]
-            before[bounds[:-1]] = -1
-            pair, back = np.unique(pairs_of(tokens, bounds), return_inverse=True)
-            two = lookup.count(pair)[back]
-            starts = max(1.0, n_all and float(lookup.count(words_key(np.array([END])))[0]))  # texts begin as often as they end
-            follows = np.where(before < 0, starts, np.maximum(one[before], two))
-            p = LAMBDA * np.minimum(two / np.maximum(follows, 1.0), 1.0) + (1 - LAMBDA) * (one[which] + 1) / floor
-            logs = np.log10(p)
-            sums = [np.add.reduceat(x, bounds[:-1]) for x in (known[which].astype(np.int64), base, logs)]
-            rare = np.flatnonzero(~known[which])
-            ends = np.searchsorted(rare, bounds)
-            tail = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(own[which[rare]].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(number + np.arange(batch.num_rows)), batch.column(0), batch.column(1), pa.array(np.diff(bounds), pa.int64()),
-                *map(pa.array, sums), tail], ["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "tail"])
-            number += batch.num_rows
+        for table in sorted_buckets(batches):
+            for rows in map(lambda cut: table[cut], runs(table.column(0).to_numpy())):
+                cut = rows.column("segment").to_numpy().searchsorted(segments)  # texts stand after the answers
+                answers, texts = rows.column("data")[:cut].to_pylist(), rows[cut:]
+                tokens, bounds = tokens_of(words_of(texts.column("text").combine_chunks(), powers, fold=True))
+                own, which = np.unique(words_key(tokens), return_inverse=True)
+                pair, first, back = np.unique(pairs_of(tokens, bounds), return_index=True, return_inverse=True)
+                asked = np.sort(np.concatenate((own, pair)))
+                steps = np.frombuffer(b"".join(x[8:] for x in answers), np.uint8)
+                told = np.bitwise_xor.reduce(np.frombuffer(b"".join(x[:8] for x in answers), np.uint64))
+                if len(steps) != len(asked) or told != np.bitwise_xor.reduce(asked):
+                    raise RuntimeError("the input gave other rows, or another order of them, when read again")
+                at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
+                known = keys[at] == own if len(keys) else np.zeros(len(own), bool)
+                c = np.where(known, counts[at] if len(keys) else 0, 0)
+                base = np.where(known, np.log10((c + 1) / floor), 0.0)[which]
+                is_pair = asked & np.uint64(1) == 1
+                one, two = MEANT_FROM_0[steps[~is_pair]], MEANT_FROM_0[steps[is_pair]]
+                begins = np.zeros(len(tokens), bool)
+                begins[bounds[:-1]] = True
+                before = np.roll(which, 1)  # the token before; texts begin as often as they end, so that of START is an END
+                begins, before, follower = begins[first], before[first], which[first]
+                follows = np.where(begins, np.maximum(1.0, one[before]), np.maximum(one[before], two))
+                p = LAMBDA * np.minimum(two / np.maximum(follows, 1.0), 1.0) + (1 - LAMBDA) * (one[follower] + 1) / floor
+                sums = [np.add.reduceat(x, bounds[:-1]) for x in (known[which].astype(np.int64), base, np.log10(p)[back])]
+                rare = np.flatnonzero(~known[which])
+                tail = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, bounds), pa.int32()), pa.array(own[which[rare]].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(number + np.arange(len(texts))), *(texts.column(c).combine_chunks() for c in ("id", "held_out")), pa.array(np.diff(bounds), pa.int64()),
+                    *map(pa.array, sums), tail], ["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "tail"])
+                number += len(texts)
 
     rows = docs.select(F.col(id_col).alias("id"), held.alias("held_out"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    scored = materialise(rows.mapInArrow(score, f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<long>"), "scores")
+    answers = (rows.mapInArrow(ask, "segment long, part long, unit long, data binary").repartition("segment").sortWithinPartitions("segment", "part")
+               .mapInArrow(answer, "unit long, part long, segment long, data binary"))
+    texts = rows.mapInArrow(carry, f"unit long, id {kind}, held_out boolean, text string").withColumns({"part": F.lit(0).cast("long"), "segment": F.lit(segments).cast("long")})
+    # texts first: their tasks keep the numbers that they have in ask
+    met = texts.unionByName(answers, allowMissingColumns=True).select("unit", "part", "segment", "data", "id", "held_out", "text").repartition("unit").sortWithinPartitions("unit", "part", "segment")
+    scored = materialise(met.mapInArrow(finish, f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<long>"), "scores")
     tail = scored.select("row", F.explode("tail").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(floor))) * F.col("times")
     late = tail.join(words, "key", "left").groupBy("row").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("late_known"), F.sum(log).alias("late_base"))

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -283,6 +284,33 @@ def test_lm_beats_the_base_on_held_out_rows(spark, small):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_lm_filter_holds_all_pairs(spark, small, monkeypatch):
+    """Every pair of the training texts counts, whatever their number: an old bound of the filter's bits has no effect."""
+    docs, rows = small
+    monkeypatch.setattr(LM, "MAX_BITS", 12, raising=False)
+    monkeypatch.setattr(LM, "SEGMENT", 500)
+    monkeypatch.setattr(LM, "UNIT", 3000, raising=False)
+    tokens = [["<s>", *(w.lower() for w in words(x)), "</s>"] for _, x in rows]
+    training = [t for (i, _), t in zip(rows, tokens, strict=True) if not held_out(i, 7, 2)]
+    one, two = Counter(w for t in training for w in t[1:]), Counter(p for t in training for p in zip(t, t[1:]))
+    floor = sum(one.values()) + len(one) + 1
+
+    def meant(n):
+        return float(LM.MEANT[LM.step_of(np.array([n]))[0]]) if n else 0.0
+
+    def score(t):
+        total = 0.0
+        for a, b in zip(t, t[1:]):
+            pair = meant(two[a, b])
+            follows = max(meant(one["</s>"]), 1.0) if a == "<s>" else max(meant(one[a]), pair, 1.0)
+            total += math.log10(LM.LAMBDA * min(pair / follows, 1.0) + (1 - LM.LAMBDA) * (meant(one[b]) + 1) / floor)
+        return total
+
+    want = {i: (score(t), len(t) - 1) for (i, _), t in zip(rows, tokens, strict=True)}
+    off = [(r.score - want[r.doc_id][0]) / want[r.doc_id][1] for r in LM.lm_scores(docs).collect() if r.doc_id is not None]
+    assert len(off) == len(want) and abs(np.median(off)) < 0.02 and np.mean(np.abs(off) < 0.1) > 0.95
+
+
 def test_lm_empty_and_without_training_rows(spark, empty):
     assert LM.lm_scores(empty).count() == 0
     held = next(k for k in range(100) if held_out(k, 7, 2))
