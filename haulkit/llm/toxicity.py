@@ -23,8 +23,6 @@ from haulkit.llm.shared import Powers, blocks, filter_array, filter_pages, has,
 
 #: Lengths of word beginnings that may become terms, besides whole words.
 STEMS = (4, 5, 6, 7, 8)
-#: Terms at most, those that tell most; a bound of the model and of its broadcast.  Candidates for them that reach the driver.
-TERMS, CANDIDATES = 400, 5000
 #: A term is in at least so many different toxic texts of the training rows, and so many times as often in those as in others.
 LEAST, TIMES = 5, 30.0
 #: Whole words of so many letters are found misspelt too.
@@ -120,7 +118,7 @@ def quoted(before: list[str], word: str, after: list[str]) -> bool:
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, filter_bits: int = 22) -> dict[str, float]:
-    """Terms and weights (log odds) from the labelled rows given; CANDIDATES at most reach the driver.
+    """Terms and weights (log odds) from the labelled rows given; every term that passes LEAST and TIMES reaches the driver and the broadcast.
 
     Candidates come from toxic texts; other texts are searched for those alone.  Texts
     are picked by a key filter on the id and joined with the labels as lists of terms.
@@ -168,7 +166,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     sizes = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}  # two rows
     odds = F.log((F.col("bad") + 0.5) / (sizes.get(1, 0) + 1)) - F.log((F.coalesce("good", F.lit(0)) + 0.5) / (sizes.get(0, 0) + 1))
     best = (bad.join(counted(0, keys, "good"), "term", "left").withColumn("weight", odds).filter(F.col("weight") >= math.log(TIMES))
-            .orderBy(F.desc(F.col("bad") * F.col("weight")), "term").limit(CANDIDATES).select("term", "weight", "bad"))
+            .select("term", "weight", "bad"))
     return pruned({r["term"]: (r["weight"], r["bad"]) for r in best.collect()})
 
 
@@ -178,9 +176,8 @@ def pruned(found: dict[str, tuple[float, int]]) -> dict[str, float]:
     for t, (_, bad) in found.items():
         word = t.removesuffix("*")
         stems -= {word[:n] + "*" for n in STEMS if n < len(word) + (not t.endswith("*")) and bad >= 0.8 * found.get(word[:n] + "*", (0.0, 0))[1]}
-    left = {t: w for t, (w, _) in found.items() if (t in stems or not t.endswith("*"))
+    return {t: w for t, (w, _) in sorted(found.items()) if (t in stems or not t.endswith("*"))
             and not any((x := t.removesuffix("*")[:n] + "*") in stems and x != t and n <= len(t.removesuffix("*")) for n in STEMS)}
-    return {t: left[t] for t in sorted(left, key=lambda t: (-left[t] * found[t][1], t))[:TERMS]}
 
 
 def hits(docs: DataFrame, lexicon: dict[str, float], id_col: str, text_col: str) -> DataFrame:

@@ -254,6 +254,15 @@ def test_toxicity_learns_from_training_rows_only(spark):
     assert {r.predicted for r in out if r.doc_id in (5000, 5001)} == {0}
 
 
+def test_toxicity_admits_every_telling_term(spark):
+    rng = random.Random(8)
+    terms = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(600)]
+    rows = [(k, " ".join([*terms[k % 20::20], f"rant{k}"]), 1) for k in range(100)] + [(k, f"plain text {k}", 0) for k in range(100, 500)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = TX.learn_lexicon(table, table.select(F.col("doc_id").alias("id"), "toxic"), "doc_id", "text")
+    assert set(terms) <= set(lexicon)
+
+
 def test_toxicity_without_labels(edge, empty, spark):
     none = spark.createDataFrame([(None, 1), (4, None)], "doc_id long, toxic int")
     out = TX.toxicity(edge, none).collect()
