@@ -171,13 +171,16 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def pruned(found: dict[str, tuple[float, int]]) -> dict[str, float]:
-    """Without beginnings that are found in hardly more texts than one longer term, and without terms that a beginning covers."""
+    """Without beginnings that are found in hardly more texts than one longer term, and without terms that a beginning covers.
+
+    Covered whole words that are long enough stay, for their misspellings.
+    """
     stems = {t for t in found if t.endswith("*")}
     for t, (_, bad) in found.items():
         word = t.removesuffix("*")
         stems -= {word[:n] + "*" for n in STEMS if n < len(word) + (not t.endswith("*")) and bad >= 0.8 * found.get(word[:n] + "*", (0.0, 0))[1]}
     return {t: w for t, (w, _) in sorted(found.items()) if (t in stems or not t.endswith("*"))
-            and not any((x := t.removesuffix("*")[:n] + "*") in stems and x != t and n <= len(t.removesuffix("*")) for n in STEMS)}
+            and (len(t) >= FUZZY and not t.endswith("*") or not any((x := t.removesuffix("*")[:n] + "*") in stems and x != t and n <= len(t.removesuffix("*")) for n in STEMS))}
 
 
 def hits(docs: DataFrame, lexicon: dict[str, float], id_col: str, text_col: str) -> DataFrame:

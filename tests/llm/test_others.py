@@ -263,6 +263,11 @@ def test_toxicity_admits_every_telling_term(spark):
     assert set(terms) <= set(lexicon)
 
 
+def test_misspelt_words_under_a_beginning_are_found():
+    lexicon = TX.Lexicon(TX.pruned({"idiot*": (5.0, 100), "idiot": (5.0, 40), "idiots": (4.5, 20), "idiotic": (4.0, 20)}))
+    assert lexicon.find("idiotism") == (5.0, 0) and lexicon.find("id1ots") == (4.5, 1) and lexicon.find("idoitic")[0] == 0.0 and lexicon.find("idi0tic") == (4.0, 1)
+
+
 def test_toxicity_without_labels(edge, empty, spark):
     none = spark.createDataFrame([(None, 1), (4, None)], "doc_id long, toxic int")
     out = TX.toxicity(edge, none).collect()
