@@ -128,7 +128,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     def texts(toxic: int) -> tuple[DataFrame, DataFrame]:
         ids = labels.filter(F.col("toxic") == toxic).select("id")
         pages = filter_pages(ids.select(F.xxhash64("id").alias("h")), "h", filter_bits)
-        return maybe_in(rows, "h", pages, filter_bits, "picked").filter("picked").select("id", "text"), ids
+        return maybe_in(rows, "h", pages, filter_bits, "picked").filter("picked").select("id", "text", F.xxhash64("text").alias("mark")), ids
 
     def listed(keys) -> callable:
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,8 +141,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
                         data = np.frombuffer("".join(terms).encode(), np.uint8)
                         ends = np.cumsum([0, *(len(t.encode()) for t in terms)])
                         terms = [t for t, yes in zip(terms, has(keys.value, spans_hash(data.astype(np.uint64), ends[:-1], ends[1:], powers)), strict=True) if yes]
-                    found.append(terms)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["id", "terms"])
+                    found.append(["", *terms])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.string()))], ["id", "mark", "terms"])
         return task
 
     def hashed(terms: DataFrame) -> DataFrame:
@@ -156,16 +156,17 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
     def counted(toxic: int, keys, name: str) -> DataFrame:
         picked, ids = texts(toxic)
-        lists = picked.mapInArrow(listed(keys), f"id {rows.schema['id'].dataType.simpleString()}, terms array<string>")
-        # texts with the same terms are copies and count once
-        found = lists.join(ids, "id").select("terms").distinct().select(F.explode("terms").alias("term"))
+        lists = picked.mapInArrow(listed(keys), f"id {rows.schema['id'].dataType.simpleString()}, mark long, terms array<string>")
+        # copies of a text count once; each text has the term "", whose count is that of the texts
+        found = lists.join(ids, "id").dropDuplicates(["mark"]).select(F.explode("terms").alias("term"))
         return found.groupBy("term").agg(F.count("*").alias(name))
 
-    bad = materialise(counted(1, None, "bad").filter(F.col("bad") >= LEAST), "terms")
-    keys = docs.sparkSession.sparkContext.broadcast(filter_array(hashed(bad), "h", filter_bits))
-    sizes = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}  # two rows
-    odds = F.log((F.col("bad") + 0.5) / (sizes.get(1, 0) + 1)) - F.log((F.coalesce("good", F.lit(0)) + 0.5) / (sizes.get(0, 0) + 1))
-    best = (bad.join(counted(0, keys, "good"), "term", "left").withColumn("weight", odds).filter(F.col("weight") >= math.log(TIMES))
+    bad = materialise(counted(1, None, "bad").filter((F.col("bad") >= LEAST) | (F.col("term") == "")), "terms")
+    keys = docs.sparkSession.sparkContext.broadcast(filter_array(hashed(bad.filter("term <> ''")), "h", filter_bits))
+    good = materialise(counted(0, keys, "good"), "good-terms")
+    sizes = {k: sum(r[0] for r in t.filter("term = ''").select(name).collect()) for k, t, name in ((1, bad, "bad"), (0, good, "good"))}  # a row each
+    odds = F.log((F.col("bad") + 0.5) / (sizes[1] + 1)) - F.log((F.coalesce("good", F.lit(0)) + 0.5) / (sizes[0] + 1))
+    best = (bad.filter("term <> ''").join(good, "term", "left").withColumn("weight", odds).filter(F.col("weight") >= math.log(TIMES))
             .select("term", "weight", "bad"))
     return pruned({r["term"]: (r["weight"], r["bad"]) for r in best.collect()})
 

@@ -268,6 +268,14 @@ def test_misspelt_words_under_a_beginning_are_found():
     assert lexicon.find("idiotism") == (5.0, 0) and lexicon.find("id1ots") == (4.5, 1) and lexicon.find("idoitic")[0] == 0.0 and lexicon.find("idi0tic") == (4.0, 1)
 
 
+def test_toxicity_counts_each_text_once(spark):
+    rows = [(k, "copied rant of many", 1) for k in range(900)] + [(k, f"rant {k} {'vexmord plainish' if k < 910 else ''}", 1) for k in range(900, 1000)]
+    rows += [(k, f"calm {k} {'plainish' if k < 1200 else ''}", 0) for k in range(1000, 2000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = TX.learn_lexicon(table, table.select(F.col("doc_id").alias("id"), "toxic"), "doc_id", "text")
+    assert lexicon["vexmord"] == pytest.approx(math.log(10.5 / 102) - math.log(0.5 / 1001)) and not any(t.startswith("plain") for t in lexicon)
+
+
 def test_toxicity_without_labels(edge, empty, spark):
     none = spark.createDataFrame([(None, 1), (4, None)], "doc_id long, toxic int")
     out = TX.toxicity(edge, none).collect()
