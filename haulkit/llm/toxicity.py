@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulkit.llm.shared import Powers, blocks, filter_array, filter_pages, has, held_back, materialise, maybe_in, spans_hash, text_of, words_of
+from haulkit.llm.shared import WORD, Powers, blocks, filter_array, filter_pages, has, held_back, materialise, maybe_in, spans_hash, text_of, words_of
 
 #: Lengths of word beginnings that may become terms, besides whole words.
 STEMS = (4, 5, 6, 7, 8)
@@ -37,6 +37,7 @@ SAYING = frozenset("said says wrote writes quoted quote called sagte schrieb zit
 FEATURES = ("exact", "misspelt", "quoted", "most", "share")
 STEM = "begins"  # key of a trie node's weight as a beginning; that of a whole word is ""; letters are of length 1
 _EDGE = re.compile(r"^\W+|\W+$")
+_WORD = re.compile(WORD)
 
 
 def bare(word: str) -> str:
@@ -64,14 +65,14 @@ class Lexicon:
             for c in term.removesuffix("*"):
                 node = node.setdefault(c, {})
             node[STEM if term.endswith("*") else ""] = weight
-        # first bytes of terms; and, with lengths of two bytes more or less, those with which a word
+        # first bytes of terms; and, with lengths of one letter's four bytes more or less, those with which a word
         # one edit away begins or ends: one edit spares one half
         self.starts, self.near = np.zeros(1 << 24, bool), np.zeros(1 << 24, bool)
         for term in terms:
             w = term.removesuffix("*").encode()
             self.starts[int.from_bytes(w[:3].ljust(3, b"\0"))] = True
             if not term.endswith("*") and len(term) >= FUZZY:
-                for size in range(len(w) - 2, len(w) + 3):
+                for size in range(len(w) - 4, len(w) + 5):
                     self.near[place(int.from_bytes(w[:3]), size, 0)] = True
                     self.near[place(int.from_bytes(w[-3:]), size, 1)] = True
                     if len(term) == FUZZY:
@@ -136,7 +137,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
             for batch in blocks(batches):
                 found = []
                 for text in batch.column(1):
-                    terms = sorted({t for w in {bare(w) for w in text.as_py().split()} if w for t in terms_of(w)})
+                    terms = sorted({t for w in {bare(w) for w in _WORD.findall(text.as_py())} if w for t in terms_of(w)})
                     if keys is not None and terms:
                         data = np.frombuffer("".join(terms).encode(), np.uint8)
                         ends = np.cumsum([0, *(len(t.encode()) for t in terms)])

@@ -276,6 +276,16 @@ def test_toxicity_counts_each_text_once(spark):
     assert lexicon["vexmord"] == pytest.approx(math.log(10.5 / 102) - math.log(0.5 / 1001)) and not any(t.startswith("plain") for t in lexicon)
 
 
+def test_toxicity_edits_of_any_letter_and_words_as_scored(spark):
+    docs = spark.createDataFrame([(1, "you stup\u200bid"), (2, "you stu\U0001f600id"), (3, "you stuffid")], "doc_id long, text string")
+    found = {r.id: r.misspelt for r in TX.hits(docs, {"stupid": 5.0}, "doc_id", "text").collect()}
+    assert found == {1: 5.0, 2: 5.0, 3: 0.0}
+    rows = [(k, f"grokel\u00a0vumpel {k}", 1) for k in range(20)] + [(k, f"calm {k}", 0) for k in range(20, 120)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = TX.learn_lexicon(table, table.select(F.col("doc_id").alias("id"), "toxic"), "doc_id", "text")
+    assert "grokel\u00a0vumpel" in lexicon and "vumpel" not in lexicon
+
+
 def test_toxicity_without_labels(edge, empty, spark):
     none = spark.createDataFrame([(None, 1), (4, None)], "doc_id long, toxic int")
     out = TX.toxicity(edge, none).collect()
