@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from ..operators import catch as C
 from ..sources.drops import CSV_OPTIONS
 
-# Columns of a drop file at most (the widest known kind has 19).
+# Columns of a drop file at most (the widest known kind has 19); a wider header raises.
 MAX_COLUMNS = 64
 
 
@@ -32,7 +32,8 @@ def read_drop_stream(spark: SparkSession, folder: str, glob: str, schema: Struct
     CSV drops are aligned by NAME, as in batch: each file comes as one text, its
     first line names the cells of the others, and columns it lacks are NULL.
     (A positional read would shift values.)  Quoted cells may hold commas but no
-    line breaks; a drop file must fit one row."""
+    line breaks; a drop file must fit one row.  A header of more than MAX_COLUMNS
+    names raises."""
     r = spark.readStream.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -47,7 +48,9 @@ def read_drop_stream(spark: SparkSession, folder: str, glob: str, schema: Struct
     def parsed(c):
         s = F.from_csv(c, cells, {"mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
         return F.array(*[s[f"c{i}"] for i in range(MAX_COLUMNS)])
-    rows = rows.select(parsed(F.col("header")).alias("names"), parsed(F.col("line")).alias("cells"))
+    width = F.size(F.split(F.regexp_replace("header", '"[^"]*"', ""), ","))
+    wide = F.raise_error(F.concat(F.lit(f"a drop has more than {MAX_COLUMNS} columns: "), width.cast("string")))
+    rows = rows.select(F.when(width > MAX_COLUMNS, wide).otherwise(parsed(F.col("header"))).alias("names"), parsed(F.col("line")).alias("cells"))
 
     def cell(field):
         at = F.array_position("names", F.lit(field.name)).cast("int")

@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql.types import IntegerType, StructType
 
 from haulkit import constants as K
 from haulkit.operators import catch as C
@@ -72,3 +73,20 @@ def test_streamed_drop_that_lacks_a_column_is_aligned_by_name(spark):
     got = {r["HAUL_ID"]: r for r in spark.read.schema(RAW_SAMPLE_VALUES).parquet(os.path.join(root, "out")).collect()}
     assert got["h1"]["WEIGHT"] == 7.0 and got["h1"]["COUNT"] is None and got["h1"]["KEEP"] == "Y" and got["h1"]["RECORDING_DEVICE"] == "dev"
     assert got["h2"]["WEIGHT"] is None
+
+
+@pytest.mark.parametrize("columns", [64, 70])
+def test_wide_drop_raises_instead_of_losing_columns(spark, columns):
+    from pyspark.errors import StreamingQueryException
+    root = tempfile.mkdtemp(prefix="widestream-")
+    os.makedirs(os.path.join(root, "drops"))
+    with open(os.path.join(root, "drops", "wide_0.csv"), "w") as f:
+        f.write(",".join(['"A,B"', *(f"X{i}" for i in range(2, columns)), "LAST"]) + "\n" + ",".join(map(str, range(columns))) + "\n")
+    stream = read_drop_stream(spark, os.path.join(root, "drops"), "*.csv", StructType().add("LAST", IntegerType()))
+    q = append_partials(stream, lambda b: b, os.path.join(root, "out"), os.path.join(root, "_ck"))
+    if columns > 64:
+        with pytest.raises(StreamingQueryException, match="more than 64 columns"):
+            q.awaitTermination()
+    else:
+        q.awaitTermination()
+        assert [r.LAST for r in spark.read.parquet(os.path.join(root, "out")).collect()] == [columns - 1]
