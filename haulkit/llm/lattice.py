@@ -12,6 +12,7 @@ last piece wins.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -81,6 +82,15 @@ def load(path: str) -> Vocabulary:
                       np.frombuffer(b"".join(spelled), np.uint8), np.cumsum([0, *map(len, spelled)]))
 
 
+def pieces(batch: pa.RecordBatch, column: int, size: int) -> Iterator[list[str]]:
+    """The texts of a block with a space in front, together; one long text in pieces one after the other."""
+    strings = [" " + t if t else "" for t in batch.column(column).to_pylist()]
+    if len(strings) != 1 or len(strings[0]) <= 2 * size:
+        yield strings
+    else:
+        yield from ([piece] for piece in cut_text(strings[0], size))
+
+
 class Pretokens(NamedTuple):
     """Pre-tokens of a block of texts: characters, bounds of pre-tokens in them, bounds of texts in pre-tokens,
     the distinct ones (by one place of each) and which of them each pre-token is."""
@@ -98,9 +108,23 @@ class Pretokens(NamedTuple):
         return "".join(map(chr, np.where(codes == OWN_MARK, ord(MARK), codes).tolist()))
 
 
-def pretokens(texts: pa.Array, vocabulary: Vocabulary, powers: Powers) -> Pretokens:
-    strings = [" " + t if t else "" for t in texts.to_pylist()]
-    codes = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32).astype(np.int64)
+def cut_text(text: str, size: int) -> Iterator[str]:
+    """Pieces of about ``size`` characters, each after the first from a bound of pre-tokens on: a space after another character."""
+    at = 0
+    while len(text) - at > size:
+        to = text.find(" ", at + size)
+        while to > 0 and text[to - 1] == " ":
+            to = text.find(" ", to + 1)
+        if to < 0:
+            break
+        yield text[at:to]
+        at = to
+    yield text[at:]
+
+
+def pretokens(strings: list[str], vocabulary: Vocabulary, powers: Powers) -> Pretokens:
+    """Pre-tokens of texts that have their space in front already, or of later pieces of texts."""
+    codes = np.frombuffer("".join(strings).encode("utf-32-le"), np.int32)
     bounds = np.cumsum([0, *map(len, strings)])
     codes = np.where(codes == SPACE, OWN_MARK, np.where(codes == 32, SPACE, codes))
     if not len(codes):

@@ -20,12 +20,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulkit.llm.lattice import Vocabulary, character_bytes, forward, load, pretokens, spell, take_ragged
-from haulkit.llm.shared import Powers, blocks, text_of
+from haulkit.llm.lattice import Vocabulary, character_bytes, forward, load, pieces, pretokens, spell, take_ragged
+from haulkit.llm.shared import SMALL, Powers, blocks, materialise, small_batches, text_of
 from haulkit.llm.token_counts import VOCABULARY, sums
 
-#: Distinct pre-tokens whose N best a task remembers.
-REMEMBERED = 100_000
+#: Characters of the distinct pre-tokens whose N best a task remembers: some 10 MB.
+REMEMBERED = 1 << 17
 
 
 def n_best(token: str, ahead: list[float], n: int, v: Vocabulary) -> list[tuple[float, tuple[int, ...]]]:
@@ -68,36 +68,58 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, n: int = 4, id_col: st
     ids and score are the best segmentation.  others lists the next n - 1, best
     first: score, and what differs, as (pre-token, ids) with pre-tokens counted from 0.
     There are fewer where the text has fewer segmentations; a null or empty text has no
-    ids, score 0 and no others.
+    ids, score 0 and no others.  A long text is encoded in pieces, cut between
+    pre-tokens.  Columns of ``carry`` must not be named as those before them.
     """
+    if clash := {"id", "text", "ids", "score", "others", id_col} & set(carry):
+        raise ValueError(f"carried columns are named as columns of the result: {sorted(clash)}")
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(vocabulary))
 
     def searched(p, t, v: Vocabulary, w: int, cache: dict) -> list[tuple[float, tuple[int, ...]]]:
         token = p.string(w)
         if token not in cache:
-            if len(cache) >= REMEMBERED:
+            if cache.get("", 0) + len(token) > REMEMBERED:  # no pre-token is empty
                 cache.clear()
+            cache[""] = cache.get("", 0) + len(token)
             cache[token] = n_best(token, ahead_of(t, int(t.leaf[w]), len(token)), n, v)
         return cache[token]
 
+    def segmented(strings: list[str], v: Vocabulary, powers: Powers, cache: dict):
+        """(ids, their bounds, scores, numbers of pre-tokens, candidates (loss, pre-token, its n best)) of texts."""
+        p = pretokens(strings, v, powers)
+        t = forward(p, v)
+        ids, bounds = take_ragged(*spell(t, v), p.which)
+        loss = (t.best - t.second)[t.leaf][p.which]
+        candidates = []
+        for a, b in zip(p.texts.tolist(), p.texts[1:].tolist()):
+            near = loss[a:b]
+            near = np.argpartition(near, n - 2)[:n - 1] if b - a >= n > 1 else np.arange(b - a if n > 1 else 0)
+            candidates.append([(float(loss[a + k]), int(k), searched(p, t, v, int(p.which[a + k]), cache)) for k in near])
+        return ids, bounds[p.texts], sums(t.best[t.leaf][p.which], p.texts), np.diff(p.texts), candidates
+
+    def joined(parts: list):
+        """The pieces of one text as one."""
+        ahead = np.cumsum([0, *(int(part[3][0]) for part in parts)]).tolist()
+        near = sorted((loss, k + first, ways) for part, first in zip(parts, ahead) for loss, k, ways in part[4][0])[:max(0, n - 1)]
+        ids = np.concatenate([part[0] for part in parts])
+        return ids, np.array([0, len(ids)]), sum(part[2] for part in parts), np.array(ahead[-1:]), [near]
+
+    def combined(score: float, near: list) -> list[dict]:
+        """The next n - 1 segmentations of a text from its candidates."""
+        near = sorted(near, key=lambda c: c[1])
+        ways = [c[2] for c in near]
+        ranked = sorted(product(*(range(len(w)) for w in ways)), key=lambda c: (sum(w[0][0] - w[i][0] for w, i in zip(ways, c, strict=True)), c))[1:n]
+        return [{"score": score - sum(w[0][0] - w[i][0] for w, i in zip(ways, c, strict=True)),
+                 "changes": [{"pretoken": k, "ids": list(w[i][1])} for (_, k, w), i in zip(near, c, strict=True) if i]} for c in ranked]
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, v, cache = Powers(), shared.value, {}
-        for batch in blocks(batches):
-            p = pretokens(batch.column(1), v, powers)
-            t = forward(p, v)
-            ids, bounds = take_ragged(*spell(t, v), p.which)
-            score = sums(t.best[t.leaf][p.which], p.texts)
-            loss = (t.best - t.second)[t.leaf][p.which]
-            others = []
-            for text in range(batch.num_rows):
-                a, b = int(p.texts[text]), int(p.texts[text + 1])
-                near = loss[a:b]
-                near = np.sort(np.argpartition(near, n - 2)[:n - 1]) if b - a >= n > 1 else np.arange(b - a if n > 1 else 0)
-                ways = [searched(p, t, v, int(p.which[a + k]), cache) for k in near]
-                ranked = sorted(product(*(range(len(w)) for w in ways)), key=lambda c: (sum(w[0][0] - w[i][0] for w, i in zip(ways, c, strict=True)), c))[1:n]
-                others.append([{"score": float(score[text]) - sum(w[0][0] - w[i][0] for w, i in zip(ways, c, strict=True)),
-                                "changes": [{"pretoken": int(k), "ids": list(w[i][1])} for k, w, i in zip(near, ways, c, strict=True) if i]} for c in ranked])
-            lists = pa.ListArray.from_arrays(pa.array(bounds[p.texts], pa.int32()), pa.array(ids))
+        for batch in blocks(batches, size=SMALL):
+            parts = [segmented(strings, v, powers, cache) for strings in pieces(batch, 1, SMALL)]
+            ids, bounds, score, _, near = parts[0] if len(parts) == 1 else joined(parts)
+            others = [combined(s, c) for s, c in zip(score.tolist(), near, strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(score), pa.array(others, kind), *batch.columns[2:]], ["id", "ids", "score", "others", *carry])
 
     kind = pa.list_(pa.struct([("score", pa.float64()), ("changes", pa.list_(pa.struct([("pretoken", pa.int32()), ("ids", pa.list_(pa.int32()))])))]))
@@ -113,6 +135,7 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids
 
     Ids outside the vocabulary raise; bytes that are not UTF-8 become U+FFFD; null gives ''.
     """
+    small_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(load(vocabulary))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +157,8 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """Every row of ``documents`` encoded (four best segmentations) and decoded again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("hash", F.xxhash64(text_of()))
-    encoded = encode(docs, carry=("hash",)).select(
+    encoded = materialise(encode(docs, carry=("hash",)).select(
         "doc_id", "ids", "hash", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
-        F.concat(F.array("score"), F.col("others.score")).alias("scores"))
+        F.concat(F.array("score"), F.col("others.score")).alias("scores")), "encoded")
     carry = ("doc_id", "hash", "n_pieces", "ids_hash", "scores")
     return decode(encoded, carry=carry).select("doc_id", "n_pieces", "ids_hash", "scores", (F.xxhash64("text") == F.col("hash")).alias("same_text"))

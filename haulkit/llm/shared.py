@@ -25,6 +25,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 PAGE = 32768
 #: Bytes of text that a task turns into arrays at a time; a longer text makes a block of its own.
 BLOCK = 2 << 20
+#: The same where a byte of text becomes many of arrays.
+SMALL = 384 << 10
+
+
+def small_batches(spark: SparkSession, size: int = 2 << 20) -> None:
+    """Send rows to Python in batches of about ``size`` bytes at most (Spark's own bound is 64 MB); the setting stays."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def shared_dir(spark: SparkSession) -> str:

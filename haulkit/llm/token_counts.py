@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulkit.llm.lattice import forward, load, pretokens
-from haulkit.llm.shared import Powers, blocks, text_of
+from haulkit.llm.lattice import forward, load, pieces, pretokens
+from haulkit.llm.shared import SMALL, Powers, blocks, small_batches, text_of
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -29,18 +29,23 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "d
     """One row per row of ``docs``: id_col, n_pretokens, n_tokens, score (of the best segmentation).
 
     A null or empty text has none and scores 0.  The vocabulary is read on the driver
-    and broadcast; its size does not depend on the data.
+    and broadcast; its size does not depend on the data.  A long text is counted in
+    pieces, cut between pre-tokens.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(vocabulary))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, v = Powers(), shared.value
-        for batch in blocks(batches):
-            p = pretokens(batch.column(1), v, powers)
-            t = forward(p, v)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(np.diff(p.texts), pa.int64()), pa.array(sums(t.tokens[t.leaf][p.which], p.texts), pa.int64()),
-                pa.array(sums(t.best[t.leaf][p.which], p.texts))], ["id", "n_pretokens", "n_tokens", "score"])
+        for batch in blocks(batches, size=SMALL):
+            n, tokens, score = 0, 0, 0.0
+            for strings in pieces(batch, 1, SMALL):
+                p = pretokens(strings, v, powers)
+                t = forward(p, v)
+                n = n + np.diff(p.texts)
+                tokens, score = tokens + sums(t.tokens[t.leaf][p.which], p.texts), score + sums(t.best[t.leaf][p.which], p.texts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(tokens, pa.int64()), pa.array(score)],
+                                             ["id", "n_pretokens", "n_tokens", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
