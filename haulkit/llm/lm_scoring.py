@@ -5,12 +5,12 @@ scale 1, 2, 3, 4, 6, 8, 12, 16, ...; an n-gram is inserted once for each step up
 own.  A lookup probes step by step until the filter says no, so a false "yes"
 overstates a count by one step at a time (Talbot and Osborne 2007).
 
-The filter gives each entry BITS_EACH to 4 * BITS_EACH bits, however many there are (an
-estimate from one pair in SAMPLE, by hash, says how many), and holds every word and pair.
-It is cut into segments by the first bits of an n-gram's hash, and no task holds more
-than one.  The distinct n-grams of a unit of texts are sent to the tasks of their segments
-with their counts in training texts; such a task merges the counts, makes the segment and
-sends the steps found in it back to the unit's task, which adds up the scores.
+``train`` counts the n-grams and writes the model: a table of segments of the filter, cut
+by the first bits of an n-gram's hash.  A segment has 2 * BITS_EACH to 4 * BITS_EACH bits for
+each entry that it holds, and all words and pairs are inserted, so the filter grows with the
+input; no task holds more than one segment.  ``score`` knows the finished segments only: the
+distinct n-grams of a unit of texts are sent, as hashes, to the tasks of their segments, and
+the steps found there by probes come back to the unit's task, which adds up the scores.
 
 The probability of a word after another is interpolated:
 LAMBDA * c(pair) / c(first) + (1 - LAMBDA) * (c(word) + 1) / (N + V + 1).
@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +29,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulkit.llm.shared import Powers, Words, blocks, held_back, materialise, mix, sorted_buckets, text_of, words_of
+from haulkit.llm.shared import SMALL, Powers, Words, blocks, held_back, materialise, mix, small_batches, sorted_buckets, text_of, words_of
 
 BITS_EACH, PROBES = 5, 3
 LAMBDA = 0.15
-SAMPLE = 64
-#: Words of which the exact count is broadcast: the most frequent ones, 4 MB at most.
+#: Words of which the exact count is broadcast for the base score: the most frequent ones, 4 MB at most.
 HEAD = 1 << 18
-#: Entries that a task merges at a time.
-ROOM = 1 << 22
-#: Entries that a segment holds at about, as far as the input tells.
-SEGMENT = 1 << 19
+#: Distinct n-grams that a task merges at a time.
+ROOM = 1 << 20
+#: Bytes of training text for one segment, about: half a million entries.
+SEGMENT = 2 << 20
 #: Tokens of the texts that ask the segments together, or one longer block of texts.
-UNIT = 1 << 20
+UNIT = 1 << 19
+#: Bits of a hash in the filter, its segment included.  Pairs of n-grams that share them are rarer than false answers.
+KEY_BITS = 48
 SCALE = np.array([1, 2, *(x << k for k in range(48) for x in (3, 4))], np.int64)
 #: Count that a step stands for: the middle of its range on a log scale.
 MEANT = np.sqrt(SCALE * (np.append(SCALE[1:], SCALE[-1] * 2) - 1.0).clip(SCALE))
@@ -49,6 +51,16 @@ END = np.uint64(0x5851F42D4C957F2D)  # hash of the end of a text
 START = np.uint64(0x14057B7EF767814F)
 
 
+class Model(NamedTuple):
+    """segments: table (segment, bits, words); words: table (key, n) of exact counts, for the base score; N and V; the number of segments."""
+
+    segments: DataFrame
+    words: DataFrame
+    n_all: int
+    distinct: int
+    cuts: int
+
+
 def tokens_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of words with an end after each text, bounds of texts)."""
     bounds = w.first + np.arange(len(w.first))
@@ -61,36 +73,55 @@ def tokens_of(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pairs_of(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before it (the first: with START); odd, those of words are made even."""
+    """Hash of each token with the one before it (the first: with START)."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[bounds[:-1]] = START
-    return mix(before * np.uint64(0x9E3779B97F4A7C15) ^ tokens) | np.uint64(1)
+    return mix(before * np.uint64(0x9E3779B97F4A7C15) ^ tokens)
 
 
 def words_key(tokens: np.ndarray) -> np.ndarray:
-    return mix(tokens) & ~np.uint64(1)
+    return mix(tokens)
+
+
+def short(keys: np.ndarray) -> np.ndarray:
+    """A hash as the filter has it."""
+    return keys >> np.uint64(64 - KEY_BITS)
+
+
+def segment_of(keys: np.ndarray, cuts: int) -> np.ndarray:
+    """The segment of each short key; cuts: their number, a power of 2."""
+    return (keys >> np.uint64(KEY_BITS + 1 - cuts.bit_length())).astype(np.int64)
 
 
 def step_of(counts: np.ndarray) -> np.ndarray:
     return np.searchsorted(SCALE, counts, "right") - 1
 
 
-def places(keys: np.ndarray, step: int, segments: int, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Segment of each key and its PROBES bits in there at a step; bits: those of a segment, as a power of 2."""
-    segment = (keys >> np.uint64(64 - max(1, segments.bit_length() - 1))).astype(np.int64) if segments > 1 else np.zeros(len(keys), np.int64)
+def places(keys: np.ndarray, step: int, bits: int) -> list[np.ndarray]:
+    """The PROBES bits of each key at a step, in a segment of 2**bits."""
     x = mix(keys + np.uint64((step + 1) * 0xD1B54A32D192ED03 & (1 << 64) - 1))
     y = mix(x) | np.uint64(1)
     room = np.uint64((1 << bits) - 1)
-    return segment, [(x + np.uint64(k) * y & room).astype(np.int64) for k in range(PROBES)]
+    return [(x + np.uint64(k) * y & room).astype(np.int64) for k in range(PROBES)]
+
+
+def filled(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A segment with these n-grams (short keys), as bytes."""
+    steps = step_of(counts)
+    bits = max(10, math.ceil(math.log2(2 * BITS_EACH * (1 + int((steps + 1).sum())))))
+    data = np.zeros(1 << bits, bool)
+    for step in range(int(steps.max(initial=-1)) + 1):
+        for bit in places(keys[steps >= step], step, bits):
+            data[bit] = True
+    return np.packbits(data, bitorder="little")
 
 
 class LogFrequencyFilter:
-    """Counts by membership probes; the n-grams are given as 64-bit keys."""
+    """Counts by membership probes in a finished segment; n-grams are given as short keys."""
 
-    def __init__(self, data: np.ndarray, segments: int):
-        self.data, self.segments = data, segments
-        self.bits = (len(data) * 8 // segments).bit_length() - 1
+    def __init__(self, data: np.ndarray):
+        self.data, self.bits = data, (len(data) * 8).bit_length() - 1
 
     def count(self, keys: np.ndarray) -> np.ndarray:
         return MEANT_FROM_0[self.steps(keys)]
@@ -99,10 +130,9 @@ class LogFrequencyFilter:
         """How many steps of each key the filter has, from the first on."""
         out, left, step = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 0
         while len(left) and step < len(SCALE):
-            segment, bits = places(keys[left], step, self.segments, self.bits)
             alive = np.arange(len(left))
-            for bit in bits:
-                bit = (segment[alive] << self.bits) + bit[alive]
+            for bit in places(keys[left], step, self.bits):
+                bit = bit[alive]
                 alive = alive[self.data[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1]
             left = left[alive]
             step += 1
@@ -110,15 +140,6 @@ class LogFrequencyFilter:
         return out
 
 
-def segment_of(keys: np.ndarray, counts: np.ndarray, segments: int, bits: int) -> np.ndarray:
-    """The bits of a segment with these n-grams, as bytes."""
-    steps, data = step_of(counts), np.zeros(1 << bits, bool)
-    for step in range(int(steps.max(initial=-1)) + 1):
-        for bit in places(keys[steps >= step], step, segments, bits)[1]:
-            data[bit] = True
-    return np.packbits(data, bitorder="little")
-
-
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return keys, counts
@@ -128,66 +149,126 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts[order], first)
 
 
-def gathered(batches: Iterator[pa.RecordBatch], text: int, make: Callable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(keys, counts) of make(tokens, bounds) over the texts of a task, ROOM at a time."""
-    powers, held, size = Powers(), [], 0
-    for batch in blocks(batches):
-        made = make(*tokens_of(words_of(batch.column(text), powers, fold=True)))
-        held.append(np.unique(made, return_counts=True))
-        size += len(held[-1][0])
-        if size >= ROOM:
-            yield summed(*map(np.concatenate, zip(*held, strict=True)))
-            held, size = [], 0
-    if held:
-        yield summed(*map(np.concatenate, zip(*held, strict=True)))
+class Counts:
+    """Counts by key that come in parts; parts are merged whenever they hold ROOM keys more than before."""
 
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size, self.limit = 0, ROOM
 
-def train(docs: DataFrame, training: Column, text_col: str = "text"):
-    """(counts of words: table (key, n), N, V, segments of the filter, log2 of the bits of each) from the rows for which ``training`` holds."""
-    texts = docs.filter(training).select(text_of(text_col).alias("text"))
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.size += len(keys)
+        if self.size >= self.limit:
+            self.parts = [self.total()]
+            self.size = len(self.parts[0][0])
+            self.limit = self.size + ROOM
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def words_and_some_pairs(tokens, bounds):
-            pairs = pairs_of(tokens, bounds)
-            return np.concatenate((words_key(tokens), pairs[pairs >> np.uint64(58) == 0]))
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return summed(*map(np.concatenate, zip(*self.parts, strict=True)))
 
-        for keys, n in gathered(batches, 0, words_and_some_pairs):
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
 
-    counts = materialise(texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "ngrams")
-    words, some = counts.filter("key & 1 = 0"), counts.filter("key & 1 = 1")
-    n_all, distinct, inserted = words.agg(F.sum("n"), F.count("*"), F.sum(_steps(F.col("n")))).first()
-    # pairs by the step of their count: one row a step
-    pairs = {r[0]: r[1] * SAMPLE for r in some.groupBy(_steps(F.col("n"))).count().collect()}
-    entries = (inserted or 0) + sum(s * c for s, c in pairs.items())
-    bits = max(17, math.ceil(math.log2(2 * BITS_EACH * (entries + 1))))
-    segments = 1 << min(bits - 12, max(4, math.ceil(math.log2(1 + (distinct + sum(pairs.values())) / SEGMENT))))
-    return words, n_all or 0, distinct, segments, bits - (segments.bit_length() - 1)
+def planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes before all second ones, without the last bytes that are 0 in all: Spark compresses these well."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()
 
 
-def _steps(n: Column) -> Column:
-    """How often a count's n-gram is inserted: the number of values of the scale up to it."""
-    k = F.length(F.bin(n)) - 1
-    half = F.when(n >= F.pow(F.lit(2.0), k) * 1.5, 1).otherwise(0)
-    return F.when(n == 1, 1).otherwise(2 * k + half)
+def unplaned(data: bytes | memoryview, n: int) -> tuple[np.ndarray, int]:
+    """(n numbers, bytes that they took)."""
+    width = data[0]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, width * n, 1).reshape(width, n).T
+    return out.view("<u8")[:, 0], 1 + width * n
 
 
-def packed(keys: np.ndarray, n: np.ndarray) -> bytes:
-    """Ascending keys and their counts, byte by byte: differences and counts have many bytes 0, which Spark compresses."""
-    return b"".join(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in (np.diff(keys, prepend=np.uint64(0)), n.astype(np.uint32)))
+def packed(keys: np.ndarray, counts: np.ndarray | None = None) -> bytes:
+    """Ascending keys as differences, and their counts."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    return len(keys).to_bytes(4, "little") + planes(gaps) + (b"" if counts is None else planes(counts))
 
 
-def unpacked(data: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(data, np.uint8).reshape(12, -1)
-    gaps, n = (np.ascontiguousarray(x.T).view(t)[:, 0] for x, t in ((planes[:8], np.uint64), (planes[8:], np.uint32)))
-    return np.cumsum(gaps, dtype=np.uint64), n
+def unpacked(data: pa.Scalar) -> tuple[np.ndarray, np.ndarray | None]:
+    data = memoryview(data.as_buffer())
+    n = int.from_bytes(data[:4], "little")
+    gaps, at = unplaned(data[4:], n)
+    rest = data[4 + at:]
+    return np.cumsum(gaps, dtype=np.uint64), unplaned(rest, n)[0].astype(np.int64) if len(rest) else None
 
 
-def runs(values: np.ndarray) -> Iterator[slice]:
-    """Stretches of equal neighbours."""
-    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-    return itertools.starmap(slice, itertools.pairwise([0, *cuts.tolist(), len(values)]))
+def by_segment(keys: np.ndarray, segment: np.ndarray, cuts: int) -> Iterator[tuple[int, slice]]:
+    """(segment, its part of the ascending keys) of those that have any."""
+    bounds = np.searchsorted(segment, np.arange(cuts + 1))
+    for k in np.flatnonzero(np.diff(bounds)).tolist():
+        yield k, slice(bounds[k], bounds[k + 1])
+
+
+# ---- training -----------------------------------------------------------------------------------------------------
 
+def train(docs: DataFrame, training: Column | None = None, text_col: str = "text") -> Model:
+    """The model of the rows for which ``training`` holds (all, by default), written to the shared folder."""
+    small_batches(docs.sparkSession)
+    texts = (docs if training is None else docs.filter(training)).select(text_of(text_col).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 1
+    cuts = 1 << min(24, max(4, math.ceil(math.log2(size / SEGMENT))))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent(kind: int, keys: np.ndarray, n: np.ndarray, segment: np.ndarray):
+            rows = [(k, packed(keys[part], n[part])) for k, part in by_segment(keys, segment, cuts)]
+            segments, data = zip(*rows) if rows else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(segments, pa.int64()), pa.array([kind] * len(rows), pa.int64()), pa.array(data, pa.binary())],
+                                              ["segment", "kind", "data"])
+
+        def emptied():
+            keys, n = words.total()
+            yield sent(0, keys, n, segment_of(short(keys), cuts))
+            keys, n = pairs.total()
+            yield sent(1, keys, n, segment_of(keys, cuts))
+
+        powers, words, pairs, room = Powers(), Counts(), Counts(), 2 * ROOM
+        for batch in blocks(batches, size=SMALL):
+            tokens, bounds = tokens_of(words_of(batch.column(0), powers, fold=True))
+            words.add(*np.unique(words_key(tokens), return_counts=True))
+            pairs.add(*np.unique(short(pairs_of(tokens, bounds)), return_counts=True))
+            if words.size + pairs.size > room:
+                words.parts, pairs.parts = [words.total()], [pairs.total()]
+                words.size, pairs.size = len(words.parts[0][0]), len(pairs.parts[0][0])
+                if words.size + pairs.size > ROOM:
+                    yield from emptied()
+                    words, pairs = Counts(), Counts()
+        yield from emptied()
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def segment():
+            keys, n = words.total()
+            grams, m = pairs.total()
+            data = filled(np.concatenate((short(keys), grams)), np.concatenate((n, m)))
+            own = [{"key": k, "n": c} for k, c in zip(keys.view(np.int64).tolist(), n.tolist())]
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([data.tobytes()], pa.binary()), pa.array([own], kind)],
+                                              ["segment", "bits", "words"])
+
+        at, words, pairs = None, Counts(), Counts()
+        for batch in batches:
+            for k, which, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if k != at:
+                    if at is not None:
+                        yield segment()
+                    at, words, pairs = k, Counts(), Counts()
+                (pairs if which else words).add(*unpacked(data))
+        if at is not None:
+            yield segment()
+
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
+    counted = texts.mapInArrow(count, "segment long, kind long, data binary").repartition("segment").sortWithinPartitions("segment")
+    segments = materialise(counted.mapInArrow(build, "segment long, bits binary, words array<struct<key:long,n:long>>"), "lm-model")
+    words = segments.select(F.explode("words").alias("w")).select("w.key", "w.n")
+    n_all, distinct = words.agg(F.sum("n"), F.count("*")).first()
+    return Model(segments, words, n_all or 0, distinct, cuts)
+
+
+# ---- scoring ------------------------------------------------------------------------------------------------------
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, tokens, bounds) of each UNIT tokens of texts, or of one longer block."""
@@ -198,7 +279,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
         ends = np.cumsum([0, *(len(x[1]) for x in held)])
         return texts, np.concatenate([x[1] for x in held]), np.concatenate([[0], *(x[2][1:] + e for x, e in zip(held, ends[:-1], strict=True))]).astype(np.int64)
 
-    for batch in blocks(batches):
+    for batch in blocks(batches, size=SMALL):
         tokens, bounds = tokens_of(words_of(batch.column(2), powers, fold=True))
         if held and size + len(tokens) > UNIT:
             yield joined()
@@ -209,17 +290,36 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
         yield joined()
 
 
-def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
+def probed(asks: DataFrame, segments: DataFrame) -> DataFrame:
+    """(unit, segment, data): for each row (segment, unit, data) of packed short keys an xor of these and the steps that the filter has of each.
 
-    Trains on rows whose crc32(id as text) modulo ``folds`` is not ``fold`` (a null id: ''), and
-    scores all.  Tokens: A-Z-folded words and one end, so a null or empty text has one
-    token.  base_score uses exact counts with one added; words beyond the HEAD most
-    frequent ones are joined with their counts.  Without training rows all counts are 0.
+    A task reads a segment and then lets the requests pass one by one.
     """
-    held = held_back(id_col, folds, fold)
-    words, n_all, distinct, segments, bits = train(docs, ~held, text_col)
-    floor = n_all + distinct + 1
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, lookup = None, None
+        for batch in batches:
+            rows = []
+            for k, unit, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if unit < 0:
+                    at, lookup = k, LogFrequencyFilter(np.frombuffer(data.as_buffer(), np.uint8))
+                    continue
+                keys = unpacked(data)[0]
+                found = lookup.steps(keys) if k == at else np.zeros(len(keys), np.uint8)
+                rows.append((unit, k, np.bitwise_xor.reduce(keys).tobytes() + found.tobytes()))
+            units, numbers, data = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(units, pa.int64()), pa.array(numbers, pa.int64()), pa.array(data, pa.binary())], ["unit", "segment", "data"])
+
+    met = asks.unionByName(segments.select("segment", F.lit(-1).cast("long").alias("unit"), F.col("bits").alias("data")))
+    return met.repartition("segment").sortWithinPartitions("segment", "unit").mapInArrow(answer, "unit long, segment long, data binary")
+
+
+def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id_col, held_out (``held``), n_tokens, n_known, train_tokens, base_score, score.
+
+    ``docs`` is read twice and must give the same rows in the same order: a table of files, not a shuffle; else it raises.
+    """
+    small_batches(docs.sparkSession)
+    words, cuts, floor = model.words, model.cuts, model.n_all + model.distinct + 1
     # the least count that at most HEAD words reach, from one row a count's step
     by_step = sorted(((r[0], r[1]) for r in words.groupBy(_steps(F.col("n"))).count().collect()), reverse=True)
     top, least = 0, None
@@ -236,28 +336,11 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
         return enumerate(_units(batches), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, (texts, tokens, bounds) in numbered(batches):
-            trains = np.repeat(~texts.column(1).to_numpy(zero_copy_only=False), np.diff(bounds))
-            made = []
-            for grams in (words_key(tokens), pairs_of(tokens, bounds)):
-                grams, which = np.unique(grams, return_inverse=True)
-                made.append((grams, np.bincount(which, trains, len(grams)).astype(np.int64)))
-            keys, n = summed(*map(np.concatenate, zip(*made, strict=True)))  # in the order of the segments
-            cut = np.searchsorted(places(keys, 0, segments, bits)[0], np.arange(segments + 1))
-            some = np.flatnonzero(np.diff(cut))
-            sent = [packed(keys[cut[k]:cut[k + 1]], n[cut[k]:cut[k + 1]]) for k in some]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(np.zeros(len(some), np.int64)), pa.array(np.full(len(some), unit), pa.int64()),
-                                              pa.array(sent, pa.binary())], ["segment", "part", "unit", "data"])
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_buckets(batches):
-            for rows in map(lambda cut: table[cut], runs(table.column(0).to_numpy())):
-                parts = [unpacked(x.as_buffer()) for x in rows.column(3)]
-                keys, n = summed(*(np.concatenate([p[k] for p in parts]).astype(t) for k, t in ((0, np.uint64), (1, np.int64))))
-                lookup = LogFrequencyFilter(segment_of(keys[n > 0], n[n > 0], segments, bits), 1)
-                found = lookup.steps(keys)
-                data = [np.bitwise_xor.reduce(p).tobytes() + found[np.searchsorted(keys, p)].tobytes() for p, _ in parts]
-                yield pa.RecordBatch.from_arrays([*(rows.column(c).combine_chunks() for c in (2, 1, 0)), pa.array(data, pa.binary())], ["unit", "part", "segment", "data"])
+        for unit, (_, tokens, bounds) in numbered(batches):
+            asked = np.sort(np.concatenate([short(np.unique(grams)) for grams in (words_key(tokens), pairs_of(tokens, bounds))]))
+            sent = [(k, packed(asked[part])) for k, part in by_segment(asked, segment_of(asked, cuts), cuts)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int64()), pa.array(np.full(len(sent), unit), pa.int64()),
+                                              pa.array([x for _, x in sent], pa.binary())], ["segment", "unit", "data"])
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit, (texts, _, _) in numbered(batches):
@@ -268,22 +351,23 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
         number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         for table in sorted_buckets(batches):
             for rows in map(lambda cut: table[cut], runs(table.column(0).to_numpy())):
-                cut = rows.column("segment").to_numpy().searchsorted(segments)  # texts stand after the answers
+                cut = rows.column("segment").to_numpy().searchsorted(cuts)  # texts stand after the answers
                 answers, texts = rows.column("data")[:cut].to_pylist(), rows[cut:]
                 tokens, bounds = tokens_of(words_of(texts.column("text").combine_chunks(), powers, fold=True))
                 own, which = np.unique(words_key(tokens), return_inverse=True)
                 pair, first, back = np.unique(pairs_of(tokens, bounds), return_index=True, return_inverse=True)
-                asked = np.sort(np.concatenate((own, pair)))
-                steps = np.frombuffer(b"".join(x[8:] for x in answers), np.uint8)
-                told = np.bitwise_xor.reduce(np.frombuffer(b"".join(x[:8] for x in answers), np.uint64))
-                if len(steps) != len(asked) or told != np.bitwise_xor.reduce(asked):
+                asked = short(np.concatenate((own, pair)))
+                told = np.frombuffer(b"".join(x[8:] for x in answers), np.uint8)
+                seen = np.bitwise_xor.reduce(np.frombuffer(b"".join(x[:8] for x in answers), np.uint64))
+                if len(told) != len(asked) or seen != np.bitwise_xor.reduce(asked):
                     raise RuntimeError("the input gave other rows, or another order of them, when read again")
+                steps = np.empty_like(told)
+                steps[np.argsort(asked, kind="stable")] = told
                 at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
                 known = keys[at] == own if len(keys) else np.zeros(len(own), bool)
                 c = np.where(known, counts[at] if len(keys) else 0, 0)
                 base = np.where(known, np.log10((c + 1) / floor), 0.0)[which]
-                is_pair = asked & np.uint64(1) == 1
-                one, two = MEANT_FROM_0[steps[~is_pair]], MEANT_FROM_0[steps[is_pair]]
+                one, two = MEANT_FROM_0[steps[:len(own)]], MEANT_FROM_0[steps[len(own):]]
                 begins = np.zeros(len(tokens), bool)
                 begins[bounds[:-1]] = True
                 before = np.roll(which, 1)  # the token before; texts begin as often as they end, so that of START is an END
@@ -300,18 +384,42 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
 
     rows = docs.select(F.col(id_col).alias("id"), held.alias("held_out"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    answers = (rows.mapInArrow(ask, "segment long, part long, unit long, data binary").repartition("segment").sortWithinPartitions("segment", "part")
-               .mapInArrow(answer, "unit long, part long, segment long, data binary"))
-    texts = rows.mapInArrow(carry, f"unit long, id {kind}, held_out boolean, text string").withColumns({"part": F.lit(0).cast("long"), "segment": F.lit(segments).cast("long")})
+    answers = probed(rows.mapInArrow(ask, "segment long, unit long, data binary"), model.segments)
+    texts = rows.mapInArrow(carry, f"unit long, id {kind}, held_out boolean, text string").withColumn("segment", F.lit(cuts).cast("long"))
     # texts first: their tasks keep the numbers that they have in ask
-    met = texts.unionByName(answers, allowMissingColumns=True).select("unit", "part", "segment", "data", "id", "held_out", "text").repartition("unit").sortWithinPartitions("unit", "part", "segment")
+    met = texts.unionByName(answers, allowMissingColumns=True).select("unit", F.lit(0).cast("long").alias("part"), "segment", "data", "id", "held_out", "text").repartition("unit").sortWithinPartitions("unit", "part", "segment")
     scored = materialise(met.mapInArrow(finish, f"row long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<long>"), "scores")
     tail = scored.select("row", F.explode("tail").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(floor))) * F.col("times")
     late = tail.join(words, "key", "left").groupBy("row").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("late_known"), F.sum(log).alias("late_base"))
     out = scored.drop("tail").join(late, "row", "left")
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("late_known", F.lit(0))).alias("n_known"),
-                      F.lit(n_all).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("late_base", F.lit(0.0))).alias("base_score"), "score")
+                      F.lit(model.n_all).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("late_base", F.lit(0.0))).alias("base_score"), "score")
+
+
+def _steps(n: Column) -> Column:
+    """How often a count's n-gram is inserted: the number of values of the scale up to it."""
+    k = F.length(F.bin(n)) - 1
+    half = F.when(n >= F.pow(F.lit(2.0), k) * 1.5, 1).otherwise(0)
+    return F.when(n == 1, 1).otherwise(2 * k + half)
+
+
+def runs(values: np.ndarray) -> Iterator[slice]:
+    """Stretches of equal neighbours."""
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return itertools.starmap(slice, itertools.pairwise([0, *cuts.tolist(), len(values)]))
+
+
+def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    Trains on rows whose crc32(id as text) modulo ``folds`` is not ``fold`` (a null id: ''), and
+    scores all.  Tokens: A-Z-folded words and one end, so a null or empty text has one
+    token.  base_score uses exact counts with one added; words beyond the HEAD most
+    frequent ones are joined with their counts.  Without training rows all counts are 0.
+    """
+    held = held_back(id_col, folds, fold)
+    return score(docs, train(docs, ~held, text_col), held, id_col, text_col)
 
 
 def op7_lm_scoring(spark, sf_dir: str) -> DataFrame:
