@@ -556,6 +556,41 @@ SELECT CAST(floor(DIST / 10000.0::DOUBLE) AS INTEGER) AS BIN, count(*) AS NP, {f
 FROM pr WHERE DIST <= 150000.0::DOUBLE GROUP BY BIN"""
 
 
+ORACLE["variogram_tree"] = f"SELECT BIN, NP, GAMMA FROM ({ORACLE['empirical_variogram']})"
+
+
+def _nearest_sql():
+    from ..operators.spatial import layer_edges_sql
+    t = ("greatest(least(((p.X - x1) * (x2 - x1) + (p.Y - y1) * (y2 - y1)) / "
+         "((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)), 1.0::DOUBLE), 0.0::DOUBLE)")
+    return f"""
+  SELECT STATION, X, Y, arg_min(poly_id, struct_pack(d := d, p := poly_id)) AS POLY_ID, min(d) AS d FROM (
+    SELECT STATION, X, Y, poly_id, sqrt((X - x1 - t * (x2 - x1)) ** 2 + (Y - y1 - t * (y2 - y1)) ** 2) AS d
+    FROM (SELECT p.STATION, p.X, p.Y, e.*, {t} AS t FROM pts p, {layer_edges_sql()} e)) GROUP BY STATION, X, Y"""
+
+
+ORACLE["nearest_area"] = f"""
+WITH pts AS ({_stations_xy()}), inside AS ({_pip_sql()}), near AS ({_nearest_sql()})
+SELECT STATION, X, Y, POLY_ID, {fx('d', 2)} AS METRES FROM near WHERE STATION NOT IN (SELECT STATION FROM inside)"""
+
+
+def _mask_sql(res: float):
+    from ..operators.spatial import layer_edges_sql
+    r = f"{float(res)!r}::DOUBLE"
+    return f"""
+WITH pts AS ({_stations_xy()}),
+bb AS (SELECT CAST(floor(min(X) / {r}) AS BIGINT) AS ix0, CAST(floor(max(X) / {r}) AS BIGINT) AS ix1,
+              CAST(floor(min(Y) / {r}) AS BIGINT) AS iy0, CAST(floor(max(Y) / {r}) AS BIGINT) AS iy1 FROM pts),
+grid AS (SELECT IX, IY, (IX + 0.5::DOUBLE) * {r} AS X, (IY + 0.5::DOUBLE) * {r} AS Y
+         FROM (SELECT unnest(range(ix0, ix1 + 1)) AS IX FROM bb) CROSS JOIN (SELECT unnest(range(iy0, iy1 + 1)) AS IY FROM bb))
+SELECT p.IX, p.IY, e.poly_id AS POLY_ID FROM grid p, {layer_edges_sql()} e
+WHERE (e.y1 > p.Y) <> (e.y2 > p.Y) AND p.X < e.x1 + (p.Y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+GROUP BY p.IX, p.IY, e.poly_id HAVING count(*) % 2 = 1"""
+
+
+ORACLE["mask"] = _mask_sql(5 * K.GRID_RES_M)
+
+
 # ---------------------------------------------------------------- map layers and files
 
 def _map_layer_sql():
@@ -669,17 +704,117 @@ def _fit_sql(cands: str) -> str:
                     FROM ({cands}) c CROSS JOIN bins b GROUP BY c.RANGE)))) s"""
 
 
-ORACLE["variogram_fit_rounded"] = f"""
-WITH pts AS (SELECT X, Y, avg(TEMP) AS Z FROM (SELECT DISTINCT X, Y, TEMP FROM ({_stations_xy()})) GROUP BY X, Y),
+_FIT_CTES = f"""
+pts AS (SELECT X, Y, avg(TEMP) AS Z FROM (SELECT DISTINCT X, Y, TEMP FROM ({_stations_xy()})) GROUP BY X, Y),
 n AS (SELECT *, row_number() OVER (ORDER BY X, Y) AS ID FROM pts),
 pr AS (SELECT sqrt((a.X - b.X) ** 2 + (a.Y - b.Y) ** 2) AS DIST, 0.5::DOUBLE * (a.Z - b.Z) ** 2 AS G
        FROM n a JOIN n b ON a.ID < b.ID),
 bins AS (SELECT CAST(floor(DIST / 10000.0::DOUBLE) AS INTEGER) AS BIN, count(*) AS NP, avg(DIST) AS DIST, avg(G) AS GAMMA
          FROM pr WHERE DIST <= 150000.0::DOUBLE GROUP BY BIN),
 k AS (SELECT max(DIST) * 0.01::DOUBLE AS lo, max(DIST) * 3.0::DOUBLE AS hi FROM bins),
-r AS (SELECT lo, pow(hi / lo, 1.0::DOUBLE / 119.0::DOUBLE) AS ratio FROM k),
+r AS (SELECT lo, hi, pow(hi / lo, 1.0::DOUBLE / 119.0::DOUBLE) AS ratio FROM k),
 coarse AS ({_fit_sql("SELECT r.lo * pow(r.ratio, t.i::DOUBLE) AS RANGE FROM r, range(0, 120) t(i)")}),
 best AS (SELECT arg_min(RANGE, SSE) AS b FROM coarse),
 fine AS ({_fit_sql("SELECT b / r.ratio + ((b * r.ratio - b / r.ratio) / 59.0::DOUBLE) * t.i::DOUBLE AS RANGE FROM best, r, range(0, 60) t(i)")}),
-m AS (SELECT arg_min(NUGGET, SSE) AS NUGGET, arg_min(PSILL, SSE) AS PSILL, arg_min(RANGE, SSE) AS RANGE, min(SSE) AS SSE FROM fine)
+m AS (SELECT arg_min(NUGGET, SSE) AS NUGGET, arg_min(PSILL, SSE) AS PSILL, arg_min(RANGE, SSE) AS RANGE, min(SSE) AS SSE FROM fine)"""
+
+ORACLE["variogram_fit_rounded"] = f"""
+WITH {_FIT_CTES}
 SELECT {fx('NUGGET', 6)} AS NUGGET, {fx('PSILL', 6)} AS PSILL, {fx('RANGE', 3)} AS RANGE, {fx('SSE * 1e9::DOUBLE', 3)} AS SSE_E9 FROM m"""
+
+ORACLE["variogram_fit"] = f"""
+WITH {_FIT_CTES}
+SELECT {fx('NUGGET', 6)} AS NUGGET, {fx('PSILL', 6)} AS PSILL, {fx('RANGE', 3)} AS RANGE,
+       RANGE <= lo * 1.0001 OR RANGE >= hi * 0.9999 AS RANGE_AT_BOUND FROM m, r"""
+
+
+ORACLE["variogram_fit_newton"] = f"""
+WITH {_FIT_CTES}
+SELECT true AS CONVERGED, true AS NO_WORSE, RANGE <= lo * 1.0001 OR RANGE >= hi * 0.9999 AS RANGE_AT_BOUND,
+       {fx('SSE * 1e9::DOUBLE', 3)} AS GRID_SSE_E9 FROM m, r"""
+
+
+# ---------------------------------------------------------------- kriging by elimination
+
+def _cells_sql(res: float) -> str:
+    from ..operators.spatial import TEST_LAYERS, layer_edges_sql
+    r = f"{float(res)!r}::DOUBLE"
+    return f"""
+bb AS (SELECT CAST(floor(min(X) / {r}) AS BIGINT) AS ix0, CAST(floor(max(X) / {r}) AS BIGINT) AS ix1,
+              CAST(floor(min(Y) / {r}) AS BIGINT) AS iy0, CAST(floor(max(Y) / {r}) AS BIGINT) AS iy1 FROM ({_stations_xy()})),
+grid AS (SELECT IX * 4294967296 + IY AS CELL, (IX + 0.5::DOUBLE) * {r} AS X, (IY + 0.5::DOUBLE) * {r} AS Y
+         FROM (SELECT unnest(range(ix0, ix1 + 1)) AS IX FROM bb) CROSS JOIN (SELECT unnest(range(iy0, iy1 + 1)) AS IY FROM bb)),
+cells AS (SELECT p.CELL, p.X, p.Y FROM grid p, {layer_edges_sql({"boundary": TEST_LAYERS["strata"]})} e
+  WHERE (e.y1 > p.Y) <> (e.y2 > p.Y) AND p.X < e.x1 + (p.Y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+  GROUP BY ALL HAVING count(*) % 2 = 1)"""
+
+
+def _cov_sql(h: str) -> str:
+    return f"CASE WHEN {h} > 0 THEN m.PSILL * {_xk1_sql(h + ' / m.RANGE')} ELSE m.NUGGET + m.PSILL END"
+
+
+def _eliminated(start: str, key: str = "") -> str:
+    """Rows (step, i, row) of Gauss-Jordan elimination of `start` (i from 1, row), one system per `key`."""
+    k, on = (f"g.{key}, ", f"p.{key} = g.{key} AND ") if key else ("", "")
+    return f"""
+  SELECT {key + ', ' if key else ''}0 AS step, i, row FROM {start}
+  UNION ALL
+  SELECT {k}g.step + 1, g.i, CASE WHEN g.i = p.i THEN list_transform(g.row, lambda v: v / p.row[p.i])
+    ELSE list_transform(list_zip(g.row, p.row), lambda t: t[1] - g.row[p.i] / p.row[p.i] * t[2]) END
+  FROM g JOIN g p ON {on}p.step = g.step AND p.i = g.step + 1"""
+
+
+_PAIR = "sqrt((a.X - b.X) * (a.X - b.X) + (a.Y - b.Y) * (a.Y - b.Y))"
+_MATRIX = f"cov AS (SELECT a.ID AS i, list({_cov_sql('h')} ORDER BY b) AS c FROM (SELECT a.ID, b.ID AS b, {_PAIR} AS h FROM n a, n b) a, m GROUP BY a.ID)"
+
+
+def _band_sql(x: str) -> str:
+    def fmt(v):
+        return "Inf" if v == float("inf") else "-Inf" if v == float("-inf") else str(int(v)) if float(v).is_integer() else str(v)
+    cases = " ".join(f"WHEN {x} > '{lo}'::DOUBLE AND {x} <= '{hi}'::DOUBLE THEN '({fmt(lo)},{fmt(hi)}]'"
+                     for lo, hi in zip(K.TEMP_BREAKS[:-1], K.TEMP_BREAKS[1:]))
+    return f"CASE {cases} END"
+
+
+ORACLE["temp_surface"] = f"""
+WITH RECURSIVE {_FIT_CTES}, {_cells_sql(K.GRID_RES_M)}, {_MATRIX},
+a0 AS (SELECT i, list_concat(c, [Z, 1.0::DOUBLE]) AS row FROM cov JOIN n ON n.ID = i),
+g AS ({_eliminated("a0")}),
+w0 AS (SELECT i, row[len(row) - 1] AS a, row[len(row)] AS b FROM g WHERE step = (SELECT count(*) FROM n)),
+mean AS (SELECT sum(a) / sum(b) AS mu FROM w0),
+w AS (SELECT n.X, n.Y, a - mu * b AS w, mu FROM w0 JOIN n ON n.ID = i, mean),
+p AS (SELECT CELL, cx, cy, mu + sum(({_cov_sql('h')}) * w) AS PRED
+      FROM (SELECT a.CELL, a.X AS cx, a.Y AS cy, b.w, b.mu, {_PAIR} AS h FROM cells a, w b) t, m GROUP BY CELL, cx, cy, mu)
+SELECT CELL, cx AS X, cy AS Y, {fx('PRED', 3)} AS TEMPERATURE, {_band_sql('PRED')} AS BAND FROM p"""
+
+ORACLE["temp_variance"] = f"""
+WITH RECURSIVE {_FIT_CTES}, {_cells_sql(5 * K.GRID_RES_M)}, {_MATRIX},
+a0 AS (SELECT i, list_concat(c, list_transform(range(1, len(c) + 1), lambda k: CASE WHEN k = i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)) AS row FROM cov),
+g AS ({_eliminated("a0")}),
+inv AS (SELECT i, row[len(row) // 2 + 1:] AS inv FROM g WHERE step = (SELECT count(*) FROM n)),
+one AS (SELECT i, list_sum(inv) AS b, list_dot_product(inv, (SELECT list(Z ORDER BY ID) FROM n)) AS a FROM inv),
+s AS (SELECT sum(a) / sum(b) AS mu, sum(b) AS total FROM one),
+v AS (SELECT CELL, cx, cy, list({_cov_sql('h')} ORDER BY ID) AS k
+      FROM (SELECT a.CELL, a.X AS cx, a.Y AS cy, b.ID, {_PAIR} AS h FROM cells a, n b) t, m GROUP BY CELL, cx, cy),
+q AS (SELECT CELL, cx, cy, sum(k[i] * list_dot_product(inv, k)) AS kk, sum(k[i] * b) AS k1, sum(k[i] * a) AS kz
+      FROM v, inv JOIN one USING (i) GROUP BY CELL, cx, cy)
+SELECT CELL, cx AS X, cy AS Y, {fx('(mu + kz - mu * k1)', 3)} AS TEMPERATURE,
+  {fx('greatest(m.NUGGET + m.PSILL - kk + (1.0::DOUBLE - k1) * (1.0::DOUBLE - k1) / total, 0.0::DOUBLE)', 3)} AS VARIANCE FROM q, s, m"""
+
+ORACLE["temp_local"] = f"""
+WITH RECURSIVE {_FIT_CTES}, {_cells_sql(5 * K.GRID_RES_M)},
+near AS (SELECT CELL, cx, cy, X, Y, Z, {_cov_sql('sqrt(h2)')} AS k0,
+           row_number() OVER (PARTITION BY CELL ORDER BY h2, X, Y) AS i
+         FROM (SELECT c.CELL, c.X AS cx, c.Y AS cy, n.X, n.Y, n.Z, (c.X - n.X) * (c.X - n.X) + (c.Y - n.Y) * (c.Y - n.Y) AS h2 FROM cells c, n) t, m
+         QUALIFY i <= 16),
+last AS (SELECT CELL, max(i) + 1 AS size FROM near GROUP BY CELL),
+sys AS (SELECT CELL, i, list_concat(list({_cov_sql('h')} ORDER BY j), [1.0::DOUBLE, any_value(k0)]) AS row
+        FROM (SELECT a.CELL, a.i, b.i AS j, a.k0, {_PAIR} AS h FROM near a JOIN near b USING (CELL)) t, m GROUP BY CELL, i),
+a0 AS (SELECT * FROM sys UNION ALL
+       SELECT CELL, size, list_concat(list_transform(range(1, size), lambda k: 1.0::DOUBLE), [0.0::DOUBLE, 1.0::DOUBLE]) FROM last),
+g AS ({_eliminated("a0", "CELL")}),
+w AS (SELECT g.CELL, g.i, row[len(row)] AS w FROM g JOIN last ON last.CELL = g.CELL AND g.step = last.size)
+SELECT near.CELL, cx AS X, cy AS Y, {fx('sum(w.w * near.Z)', 3)} AS TEMPERATURE,
+  {fx('greatest(any_value(m.NUGGET + m.PSILL) - sum(w.w * k0) - any_value(mu.w), 0.0::DOUBLE)', 3)} AS VARIANCE
+FROM near JOIN w ON w.CELL = near.CELL AND w.i = near.i JOIN last ON last.CELL = near.CELL
+  JOIN w mu ON mu.CELL = near.CELL AND mu.i = last.size, m GROUP BY near.CELL, cx, cy"""

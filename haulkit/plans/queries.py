@@ -425,6 +425,7 @@ QUERIES.update({
 
 VARIO_CUTOFF = 150_000.0
 VARIO_WIDTH = 10_000.0
+COARSE_RES_M = 5 * K.GRID_RES_M
 
 
 def _projected_stations(spark, d):
@@ -457,6 +458,21 @@ def outside_areas(spark: SparkSession, d: str) -> DataFrame:
     return outside(_projected_stations(spark, d), _layers(spark), "STATION").select("STATION", "X", "Y")
 
 
+def nearest_area(spark: SparkSession, d: str) -> DataFrame:
+    """Stations outside every area layer, the layer with the nearest edge and the distance to it."""
+    from ..operators.spatial import nearest_area as near
+    r = near(_projected_stations(spark, d), _layers(spark), "STATION")
+    return r.select("STATION", "X", "Y", F.col("poly_id").alias("POLY_ID"), fix("METRES", 2).alias("METRES"))
+
+
+def mask(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of 5 km over the stations' extent whose centres lie inside each area layer, by scan lines."""
+    from ..operators.spatial import extent_of, make_grid, mask_cells
+    cells = make_grid(extent_of(_projected_stations(spark, d)), COARSE_RES_M, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return mask_cells(_layers(spark), COARSE_RES_M).join(cells.select("IX", "IY"), ["IX", "IY"], "left_semi").select(
+        "IX", "IY", F.col("poly_id").alias("POLY_ID"))
+
+
 def grid(spark: SparkSession, d: str) -> DataFrame:
     """1 km cells over the projected extent of the stations."""
     from ..operators.spatial import extent_of, make_grid
@@ -476,36 +492,78 @@ def empirical_variogram(spark: SparkSession, d: str) -> DataFrame:
     return v.select("BIN", "NP", fix("DIST", 2).alias("DIST"), fix("GAMMA", 6).alias("GAMMA"))
 
 
-def variogram_fit(spark: SparkSession, d: str) -> DataFrame:
-    """Bessel model (nugget, partial sill, range) by weighted least squares."""
+def variogram_tree(spark: SparkSession, d: str) -> DataFrame:
+    """The same pairs and semivariances from a tree of tiles, which opens only pairs of tiles that straddle bins."""
+    from ..operators.krige import tree_variogram
+    v = tree_variogram(_samples(spark, d), VARIO_CUTOFF, VARIO_WIDTH)
+    return v.select("BIN", "NP", fix("GAMMA", 6).alias("GAMMA"))
+
+
+def variogram_fit_newton(spark: SparkSession, d: str) -> DataFrame:
+    """The fit refined by damped Gauss-Newton steps: whether it converged, met a bound, and is no worse than the grid's."""
+    from ..operators.krige import empirical_variogram as ev
+    from ..operators.krige import fit_variogram, newton_fit
+    from ..session import cut_lineage
+    v = cut_lineage(ev(_samples(spark, d), VARIO_CUTOFF, VARIO_WIDTH))      # a bin a row, read three times
+    grid_fit = fit_variogram(v)
+    m = newton_fit(v, grid_fit).select("CONVERGED", F.col("SSE").alias("__sse"), F.lit(1).alias("__one"))
+    g = grid_fit.select("SSE", "RANGE_AT_BOUND", F.lit(1).alias("__one"))
+    return m.join(g, "__one").select("CONVERGED", (F.col("__sse") <= F.col("SSE") * (1 + 1e-9)).alias("NO_WORSE"), "RANGE_AT_BOUND",
+                                     fix(F.col("SSE") * F.lit(1e9), 3).alias("GRID_SSE_E9"))
+
+
+def _model(spark, d) -> DataFrame:
+    """One row: nugget, partial sill, range, weighted error and whether the range lies on a bound."""
     from ..operators.krige import empirical_variogram as ev
     from ..operators.krige import fit_variogram
     return fit_variogram(ev(_samples(spark, d), VARIO_CUTOFF, VARIO_WIDTH))
 
 
+def variogram_fit(spark: SparkSession, d: str) -> DataFrame:
+    """Bessel model (nugget, partial sill, range) by weighted least squares, and whether the range lies on a bound."""
+    m = _model(spark, d)
+    return m.select(fix("NUGGET", 6).alias("NUGGET"), fix("PSILL", 6).alias("PSILL"), fix("RANGE", 3).alias("RANGE"), "RANGE_AT_BOUND")
+
+
 def variogram_fit_rounded(spark: SparkSession, d: str) -> DataFrame:
-    """`variogram_fit` with outputs rounded for the oracle comparison."""
-    m = variogram_fit(spark, d)
+    """The fit with its weighted error."""
+    m = _model(spark, d)
     return m.select(fix("NUGGET", 6).alias("NUGGET"), fix("PSILL", 6).alias("PSILL"),
                     fix("RANGE", 3).alias("RANGE"), fix(F.col("SSE") * F.lit(1e9), 3).alias("SSE_E9"))
 
 
+SURFACE_TOL = 1e-12      # relative residual of the solver under the surfaces
+
+
+def _surface(spark, d, res: float, **options) -> DataFrame:
+    """Kriged bottom temperature on cells of `res` metres inside the survey boundary."""
+    from ..operators.krige import krige
+    from ..operators.spatial import TEST_LAYERS, extent_of, make_grid, mask_cells, polygon_vertices
+    m = _model(spark, d).first()
+    cells = make_grid(extent_of(_projected_stations(spark, d)), res, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    inside = mask_cells(polygon_vertices(spark, {"boundary": TEST_LAYERS["strata"]}), res).select("IX", "IY")
+    cells = cells.join(inside, ["IX", "IY"], "left_semi").withColumn("CELL", F.col("IX") * F.lit(1 << 32) + F.col("IY"))
+    return krige(_samples(spark, d), cells, m["NUGGET"], m["PSILL"], m["RANGE"], target_id="CELL", tol=SURFACE_TOL, **options)
+
+
 def temp_surface(spark: SparkSession, d: str) -> DataFrame:
     """Kriged bottom temperature on the 1 km grid inside the
     survey boundary, with its temperature band."""
     from ..functions.scalar import temp_band
-    from ..operators.krige import krige
-    from ..operators.spatial import extent_of, make_grid, points_in_polygon as pip, polygon_vertices, TEST_LAYERS
-    m = variogram_fit(spark, d).first()
-    samples = _samples(spark, d)
-    cells = make_grid(extent_of(_projected_stations(spark, d)), K.GRID_RES_M,
-                      int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cells = cells.withColumn("CELL", F.col("IX") * F.lit(1 << 32) + F.col("IY"))
-    boundary = polygon_vertices(spark, {"boundary": TEST_LAYERS["strata"]})
-    inside = pip(cells, boundary, "CELL").select("CELL")
-    cells = cells.join(inside, "CELL", "left_semi")
-    pred = krige(samples, cells, m["NUGGET"], m["PSILL"], m["RANGE"], target_id="CELL")
-    return pred.select("CELL", "X", "Y", F.col("PRED").alias("TEMPERATURE"), temp_band("PRED").alias("BAND"))
+    pred = _surface(spark, d, K.GRID_RES_M)
+    return pred.select("CELL", "X", "Y", fix("PRED", 3).alias("TEMPERATURE"), temp_band("PRED").alias("BAND"))
+
+
+def temp_variance(spark: SparkSession, d: str) -> DataFrame:
+    """Kriged temperature and its variance from all loggers, on 5 km cells."""
+    pred = _surface(spark, d, COARSE_RES_M, variance=True)
+    return pred.select("CELL", "X", "Y", fix("PRED", 3).alias("TEMPERATURE"), fix("PRED_VAR", 3).alias("VARIANCE"))
+
+
+def temp_local(spark: SparkSession, d: str) -> DataFrame:
+    """Kriged temperature and its variance from the 16 nearest loggers of each 5 km cell."""
+    pred = _surface(spark, d, COARSE_RES_M, variance=True, max_points=16)
+    return pred.select("CELL", "X", "Y", fix("PRED", 3).alias("TEMPERATURE"), fix("PRED_VAR", 3).alias("VARIANCE"))
 
 
 QUERIES.update({
@@ -517,6 +575,12 @@ QUERIES.update({
     "empirical_variogram": empirical_variogram,
     "variogram_fit": variogram_fit,
     "temp_surface": temp_surface,
+    "nearest_area": nearest_area,
+    "mask": mask,
+    "variogram_tree": variogram_tree,
+    "variogram_fit_newton": variogram_fit_newton,
+    "temp_variance": temp_variance,
+    "temp_local": temp_local,
 })
 
 
