@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulkit.llm.grouping import groups
-from haulkit.llm.shared import Powers, Words, blocks, filter_array, has, materialise, mix, runs_hash, spans_hash, text_of, whole, words_of
+from haulkit.llm.shared import SMALL, Powers, Words, blocks, filter_array, has, materialise, mix, runs_hash, small_batches, spans_hash, text_of, whole, words_of
 
 STEP_BITS = 44  # a value of the signature: the step above these bits, a random fraction in them
 
@@ -85,7 +85,7 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str
     """(id, mark, n, set_a, set_b, bands): xxhash64 of the text, the size of each text's set, two hashes of the set, and the keys of its bands."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", SMALL):
             n_docs = batch.num_rows
             of, hashes = shingles(words_of(batch.column(1), powers, fold=True), shingle, powers)
             n = np.bincount(of, minlength=n_docs)
@@ -109,7 +109,7 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, filter_bits: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, items): the sorted shingle hashes of the wanted ids (column id), made again from their texts.
+    """(id, items): the shingle hashes of the wanted ids (column id), made again from their texts.
 
     Texts are passed over by a key filter on the id, so none is shuffled; ids that
     the filter lets pass by chance are dropped by the joins that follow.
@@ -120,43 +120,29 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, filter_bits: int,
         powers = Powers()
         for batch in batches:
             passed = pa.array(has(keys.value, batch.column(2).to_numpy()))
-            for part in blocks([batch.filter(passed)], "text"):
+            for part in blocks([batch.filter(passed)], "text", SMALL):
                 of, hashes = shingles(words_of(part.column(1), powers, fold=True), shingle, powers)
-                order = np.lexsort((hashes, of))
-                of, hashes = of[order], hashes[order]
-                ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=part.num_rows)))) * 8
-                items = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(hashes.tobytes())])
+                order = np.argsort(of, kind="stable")
+                ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=part.num_rows)))).astype(np.int32)
+                items = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[order].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), items], ["id", "items"])
 
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
-    return read.withColumn("h", F.xxhash64("id")).mapInArrow(task, "id long, items binary")
+    return read.withColumn("h", F.xxhash64("id")).mapInArrow(task, "id long, items array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) with 100 * intersection >= percent * union of their whole sets."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sure = np.zeros(batch.num_rows, bool)
-            for i, (a, b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                sure[i] = 100 * common >= percent * (len(a) + len(b) - common)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(sure))
-
     left = pairs.join(sets.select(F.col("id").alias("v"), F.col("items").alias("items_v")), "v")
     both = left.join(sets.select(F.col("id").alias("u"), F.col("items").alias("items_u")), "u")
-    return both.select("u", "v", "items_u", "items_v").mapInArrow(task, "u long, v long")
+    common = F.size(F.array_intersect("items_u", "items_v"))
+    union = F.size("items_u") + F.size("items_v") - F.col("common")
+    return both.withColumn("common", common).filter(100 * F.col("common") >= percent * union).select("u", "v")
 
 
 def between_groups(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of ids in different groups that may be linked; left: (id, n, g).  No linked pair is missing."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            items = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(3)]
-            of = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in items]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in range(3)), pa.array(np.concatenate(items))], ["id", "n", "g", "item"])
-
-    item = materialise(left.join(sets, "id").select("id", "n", "g", "items").mapInArrow(task, "id long, n long, g long, item long"), "items")
+    item = materialise(left.join(sets, "id").select("id", "n", "g", F.explode("items").alias("item")), "items")
     for _ in range(2):  # texts that go take their shingles with them, so a second time drops more
         common = item.groupBy("item").agg(F.count("*").alias("df"), F.min("g").alias("g0"), F.max("g").alias("g1")).filter("g0 <> g1").select("item", "df")
         shared = item.select("id", "n", "g", "item").join(common, "item")
@@ -182,8 +168,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     component_id is the smallest id a row reaches, and that row stays.  A pair at
     exactly 80 % shares no band with probability (1 - 0.8^rows)^bands, 3e-6 by default.
     Rows that repeat an id are one document for links, and one of them stays; a row
-    without id is linked with nothing and stays (component_id null).
+    without id is linked with nothing and stays (component_id null).  Ids are whole
+    numbers that a long holds.
     """
+    small_batches(docs.sparkSession)
     signed = materialise(signatures(docs, shingle, bands, rows, id_col, text_col), "signatures")
     classes = materialise(signed.filter("n > 0 and id is not null").groupBy("set_a", "set_b")
                           .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
@@ -210,9 +198,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     whose = classes.select("set_a", "set_b", F.col("rep").alias("cid")).join(
         grouped.withColumnRenamed("id", "cid"), "cid", "left").select("set_a", "set_b", F.coalesce("group", "cid").alias("component_id"))
     full = signed.filter("n > 0 and id is not null").join(whose, ["set_a", "set_b"]).select("id", "mark", "n", "component_id")
-    rest = signed.filter("not (n > 0 and id is not null)").select("id", "mark", "n", F.col("id").alias("component_id"))
+    rest = signed.filter("n = 0 and id is not null").select("id", "mark", "n", F.col("id").alias("component_id"))
     nth = F.row_number().over(Window.partitionBy("id").orderBy("component_id", "mark"))
-    out = full.unionByName(rest).withColumn("nth", F.when(F.col("id").isNotNull(), nth).otherwise(1))
+    nameless = signed.filter("id is null").select("id", "mark", "n", F.col("id").alias("component_id"), F.lit(1).alias("nth"))
+    out = full.unionByName(rest).withColumn("nth", nth).unionByName(nameless)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                       (F.col("id").eqNullSafe(F.col("component_id")) & (F.col("nth") == 1)).alias("kept"), "mark")
 
