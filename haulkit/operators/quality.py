@@ -95,6 +95,28 @@ def violations(specimens: DataFrame, rule: Rule) -> DataFrame:
     return specimens.where(cond)
 
 
+def all_violations(specimens: DataFrame, rules: Sequence[Rule] | None = None, keys: Sequence[str] | None = None) -> DataFrame:
+    """Every violation of every rule in one pass: RULE_ID and the row's columns (or `keys`).
+
+    A row's violations are a mask with a bit per rule, computed where the row is read; rows
+    with an empty mask go, and the others are listed once per bit.  No shuffle, one scan.
+    """
+    rules = list(rules or specimen_rules())
+    if len(rules) > 63:
+        raise ValueError("a mask has room for 63 rules")
+    mask = F.lit(0).cast("bigint")
+    for i, r in enumerate(rules):
+        hit = F.coalesce(r.violation, F.lit(False))
+        if r.applies is not None:
+            hit = hit & F.coalesce(r.applies, F.lit(False))
+        mask = mask.bitwiseOR(F.when(hit, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
+    named = F.array(*[F.struct(F.lit(1 << i).cast("bigint").alias("bit"), F.lit(r.rule_id).alias("rule")) for i, r in enumerate(rules)])
+    found = specimens.withColumn("__mask", mask).where("__mask <> 0")
+    broken = F.filter(named, lambda x: x["bit"].bitwiseAND(F.col("__mask")) != 0)
+    return found.withColumn("__rule", F.explode(broken)).select(
+        F.col("__rule.rule").alias("RULE_ID"), *(keys if keys is not None else specimens.columns))
+
+
 INVENTORY_SETS = {
     1: ["VESSEL", "CRUISE"],
     2: ["VESSEL", "CRUISE", "SPECIES_CODE", "SEX"],
@@ -157,5 +179,5 @@ def reconcile_totals(spec_sum: DataFrame, catch_sum: DataFrame, keys: Sequence[s
     return j.where(differ)
 
 
-__all__ = ["Rule", "specimen_rules", "quality_report", "violations", "inventories", "ranges",
+__all__ = ["Rule", "specimen_rules", "quality_report", "violations", "all_violations", "inventories", "ranges",
            "orphan_units", "reconcile_totals"]

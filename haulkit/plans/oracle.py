@@ -704,8 +704,10 @@ def _fit_sql(cands: str) -> str:
                     FROM ({cands}) c CROSS JOIN bins b GROUP BY c.RANGE)))) s"""
 
 
-_FIT_CTES = f"""
-pts AS (SELECT X, Y, avg(TEMP) AS Z FROM (SELECT DISTINCT X, Y, TEMP FROM ({_stations_xy()})) GROUP BY X, Y),
+def _fit_ctes(where: str = "true") -> str:
+    """CTEs of the samples of some stations (n), their pairs, bins and fitted model (m)."""
+    return f"""
+pts AS (SELECT X, Y, avg(TEMP) AS Z FROM (SELECT DISTINCT X, Y, TEMP FROM ({_stations_xy()}) WHERE {where}) GROUP BY X, Y),
 n AS (SELECT *, row_number() OVER (ORDER BY X, Y) AS ID FROM pts),
 pr AS (SELECT sqrt((a.X - b.X) ** 2 + (a.Y - b.Y) ** 2) AS DIST, 0.5::DOUBLE * (a.Z - b.Z) ** 2 AS G
        FROM n a JOIN n b ON a.ID < b.ID),
@@ -718,6 +720,9 @@ best AS (SELECT arg_min(RANGE, SSE) AS b FROM coarse),
 fine AS ({_fit_sql("SELECT b / r.ratio + ((b * r.ratio - b / r.ratio) / 59.0::DOUBLE) * t.i::DOUBLE AS RANGE FROM best, r, range(0, 60) t(i)")}),
 m AS (SELECT arg_min(NUGGET, SSE) AS NUGGET, arg_min(PSILL, SSE) AS PSILL, arg_min(RANGE, SSE) AS RANGE, min(SSE) AS SSE FROM fine)"""
 
+
+_FIT_CTES = _fit_ctes()
+
 ORACLE["variogram_fit_rounded"] = f"""
 WITH {_FIT_CTES}
 SELECT {fx('NUGGET', 6)} AS NUGGET, {fx('PSILL', 6)} AS PSILL, {fx('RANGE', 3)} AS RANGE, {fx('SSE * 1e9::DOUBLE', 3)} AS SSE_E9 FROM m"""
@@ -776,16 +781,21 @@ def _band_sql(x: str) -> str:
     return f"CASE {cases} END"
 
 
-ORACLE["temp_surface"] = f"""
-WITH RECURSIVE {_FIT_CTES}, {_cells_sql(K.GRID_RES_M)}, {_MATRIX},
+def _surface_sql(res: float, where: str = "true") -> str:
+    """CELL, X, Y, PRED of the cells inside the boundary, from the loggers of some stations."""
+    return f"""
+WITH RECURSIVE {_fit_ctes(where)}, {_cells_sql(res)}, {_MATRIX},
 a0 AS (SELECT i, list_concat(c, [Z, 1.0::DOUBLE]) AS row FROM cov JOIN n ON n.ID = i),
 g AS ({_eliminated("a0")}),
 w0 AS (SELECT i, row[len(row) - 1] AS a, row[len(row)] AS b FROM g WHERE step = (SELECT count(*) FROM n)),
 mean AS (SELECT sum(a) / sum(b) AS mu FROM w0),
-w AS (SELECT n.X, n.Y, a - mu * b AS w, mu FROM w0 JOIN n ON n.ID = i, mean),
-p AS (SELECT CELL, cx, cy, mu + sum(({_cov_sql('h')}) * w) AS PRED
-      FROM (SELECT a.CELL, a.X AS cx, a.Y AS cy, b.w, b.mu, {_PAIR} AS h FROM cells a, w b) t, m GROUP BY CELL, cx, cy, mu)
-SELECT CELL, cx AS X, cy AS Y, {fx('PRED', 3)} AS TEMPERATURE, {_band_sql('PRED')} AS BAND FROM p"""
+w AS (SELECT n.X, n.Y, a - mu * b AS w, mu FROM w0 JOIN n ON n.ID = i, mean)
+SELECT CELL, cx AS X, cy AS Y, mu + sum(({_cov_sql('h')}) * w) AS PRED
+FROM (SELECT a.CELL, a.X AS cx, a.Y AS cy, b.w, b.mu, {_PAIR} AS h FROM cells a, w b) t, m GROUP BY CELL, cx, cy, mu"""
+
+
+ORACLE["temp_surface"] = f"""
+SELECT CELL, X, Y, {fx('PRED', 3)} AS TEMPERATURE, {_band_sql('PRED')} AS BAND FROM ({_surface_sql(K.GRID_RES_M)})"""
 
 ORACLE["temp_variance"] = f"""
 WITH RECURSIVE {_FIT_CTES}, {_cells_sql(5 * K.GRID_RES_M)}, {_MATRIX},

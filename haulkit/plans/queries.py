@@ -480,9 +480,9 @@ def grid(spark: SparkSession, d: str) -> DataFrame:
                      int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _samples(spark, d):
+def _samples(spark, d, where: str = "true"):
     from ..operators.krige import dedupe_samples
-    return dedupe_samples(_projected_stations(spark, d).select("X", "Y", F.col("TEMP").alias("Z")))
+    return dedupe_samples(_projected_stations(spark, d).where(where).select("X", "Y", F.col("TEMP").alias("Z")))
 
 
 def empirical_variogram(spark: SparkSession, d: str) -> DataFrame:
@@ -512,11 +512,11 @@ def variogram_fit_newton(spark: SparkSession, d: str) -> DataFrame:
                                      fix(F.col("SSE") * F.lit(1e9), 3).alias("GRID_SSE_E9"))
 
 
-def _model(spark, d) -> DataFrame:
+def _model(spark, d, where: str = "true") -> DataFrame:
     """One row: nugget, partial sill, range, weighted error and whether the range lies on a bound."""
     from ..operators.krige import empirical_variogram as ev
     from ..operators.krige import fit_variogram
-    return fit_variogram(ev(_samples(spark, d), VARIO_CUTOFF, VARIO_WIDTH))
+    return fit_variogram(ev(_samples(spark, d, where), VARIO_CUTOFF, VARIO_WIDTH))
 
 
 def variogram_fit(spark: SparkSession, d: str) -> DataFrame:
@@ -535,15 +535,15 @@ def variogram_fit_rounded(spark: SparkSession, d: str) -> DataFrame:
 SURFACE_TOL = 1e-12      # relative residual of the solver under the surfaces
 
 
-def _surface(spark, d, res: float, **options) -> DataFrame:
-    """Kriged bottom temperature on cells of `res` metres inside the survey boundary."""
+def _surface(spark, d, res: float, where: str = "true", **options) -> DataFrame:
+    """Kriged bottom temperature on cells of `res` metres inside the survey boundary, from the loggers of some stations."""
     from ..operators.krige import krige
     from ..operators.spatial import TEST_LAYERS, extent_of, make_grid, mask_cells, polygon_vertices
-    m = _model(spark, d).first()
+    m = _model(spark, d, where).first()
     cells = make_grid(extent_of(_projected_stations(spark, d)), res, int(spark.conf.get("spark.sql.shuffle.partitions")))
     inside = mask_cells(polygon_vertices(spark, {"boundary": TEST_LAYERS["strata"]}), res).select("IX", "IY")
     cells = cells.join(inside, ["IX", "IY"], "left_semi").withColumn("CELL", F.col("IX") * F.lit(1 << 32) + F.col("IY"))
-    return krige(_samples(spark, d), cells, m["NUGGET"], m["PSILL"], m["RANGE"], target_id="CELL", tol=SURFACE_TOL, **options)
+    return krige(_samples(spark, d, where), cells, m["NUGGET"], m["PSILL"], m["RANGE"], target_id="CELL", tol=SURFACE_TOL, **options)
 
 
 def temp_surface(spark: SparkSession, d: str) -> DataFrame:
@@ -628,26 +628,31 @@ def compare_surveys(spark: SparkSession, d: str, first: int = 1998, second: int
     return compare(a, b, str(first), str(second), "COUNT").select("SURVEY", "SPN", "COUNT", "SCALE_LIMIT")
 
 
+DROP_COLUMNS = ["HAUL", "HAUL_ID", "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SHELL_CONDITION",
+                "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "DISEASE_CODE", "DISEASE_DORSAL"]
+
+
+def write_specimen_drops(spark: SparkSession, d: str, folder: str) -> None:
+    """Specimen drops as CSV files whose headers differ: half lack WIDTH and order columns differently."""
+    sp = B.specimens(spark, d)
+    rows = sp.select(F.col("SPN").alias("HAUL"), F.concat(F.lit("H"), F.col("SPN")).alias("HAUL_ID"), *DROP_COLUMNS[2:])
+    opts = {"header": "true", "nullValue": "NA"}
+    even = F.coalesce(F.col("HAUL") % 2 == 0, F.lit(False))      # NULL and negative odd hauls go with the rest
+    rows.where(even).write.options(**opts).mode("append").csv(folder)
+    drift = rows.where(~even).drop("WIDTH")
+    drift.select(*reversed(drift.columns)).write.options(**opts).mode("append").csv(folder)
+
+
 def csv_drop_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """A1 A2 A3 A5: specimen drops written as CSV files whose headers differ
+    """A1 A2: specimen drops written as CSV files whose headers differ
     (half lack WIDTH and order columns differently), read back aligned by name."""
     import uuid
     from ..session import scratch_path
     from ..sources.drops import read_drop
     from ..sources.schemas import SPECIMEN
-    sp = B.specimens(spark, d)
-    rows = sp.select(F.col("SPN").alias("HAUL"), F.concat(F.lit("H"), F.col("SPN")).alias("HAUL_ID"),
-                     "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SHELL_CONDITION", "EGG_COLOR", "EGG_CONDITION",
-                     "CLUTCH_SIZE", "DISEASE_CODE", "DISEASE_DORSAL")
     folder = scratch_path(spark, f"drops-{uuid.uuid4().hex}")
-    opts = {"header": "true", "nullValue": "NA"}
-    even = F.coalesce(F.col("HAUL") % 2 == 0, F.lit(False))      # NULL and negative odd hauls go with the rest
-    rows.where(even).write.options(**opts).mode("append").csv(folder)
-    drift = rows.where(~even).drop("WIDTH")
-    drift.select(*reversed(drift.columns)).write.options(**opts).mode("append").csv(folder)
-    back = read_drop(spark, folder, r"\.csv$", SPECIMEN, by_header=True, lineage=False)
-    return back.select("HAUL", "HAUL_ID", "SPECIES_CODE", "SEX", "LENGTH", "WIDTH", "SHELL_CONDITION",
-                       "EGG_COLOR", "EGG_CONDITION", "CLUTCH_SIZE", "DISEASE_CODE", "DISEASE_DORSAL")
+    write_specimen_drops(spark, d, folder)
+    return read_drop(spark, folder, r"\.csv$", SPECIMEN, by_header=True, lineage=False).select(*DROP_COLUMNS)
 
 
 def cpue_stream(spark: SparkSession, d: str) -> DataFrame:
