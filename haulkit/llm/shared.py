@@ -48,14 +48,33 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Tables that this process has written, in order.
+_written: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read that: later steps neither
     repeat the work above nor lose it with an executor."""
     path = f"{shared_dir(df.sparkSession)}/haulkit/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """How many tables this process has written: a mark for ``discard``."""
+    return len(_written)
+
+
+def discard(spark: SparkSession, since: int) -> None:
+    """Delete the tables written after ``since`` but for the last one: call it when nothing lazy reads the others any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _written[since:-1]:
+        path = jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(conf).delete(path, True)
+    del _written[since:-1]
+
+
 def text_of(name: str = "text") -> Column:
     """The text, null as the empty one."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -1,3 +1,5 @@
+import os
+
 import duckdb
 import pytest
 from brute import components, quality_counts
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from haulkit.llm import quality as Q
+from haulkit.llm import shared as S
 from haulkit.llm.queries import ORACLE, QUERIES
 from haulkit.llm.sentencepiece_nbest import decode
 from haulkit.llm.shared import WORD, text_of
@@ -68,9 +71,13 @@ def test_stages_against_brute_force(spark, small):
     assert sorted((r.doc_id, r.text) for r in decode(found[4]).collect()) == sorted((r.doc_id, r.text) for r in found[3].collect())
 
 
-def test_run_writes_between_stages_and_matches(spark, small):
+def test_run_writes_between_stages_and_keeps_the_last(spark, small):
+    folder = f"{S.shared_dir(spark).removeprefix('file:')}/haulkit"
+    before, lazy = set(os.listdir(folder)) if os.path.isdir(folder) else set(), QUERIES["op12_shards"](spark, SF)
+    mine = set(os.listdir(folder))
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "ids", "score", "others"} <= set(out.columns)
+    assert len(set(os.listdir(folder)) - mine) == 1 and mine - before and lazy.count() == len(small[1])  # others' tables stay
 
 
 def test_stages_of_edge_rows_and_no_rows(spark, edge, empty):
