@@ -16,7 +16,7 @@ from haulkit.llm.minhash import near_duplicates
 from haulkit.llm.mixing import clean_share, mix_sources
 from haulkit.llm.quality import quality_rules
 from haulkit.llm.sentencepiece_nbest import encode
-from haulkit.llm.shared import WORD, materialise, text_of, with_copies
+from haulkit.llm.shared import WORD, discard, materialise, text_of, with_copies, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -66,8 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder and read again by the next.
+
+    When a stage is written, the tables that it and the stages before it used are deleted.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), written()
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(spark, before)
     return docs
