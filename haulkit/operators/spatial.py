@@ -95,11 +95,10 @@ def cover(vertices: DataFrame, cell: float) -> DataFrame:
     ends = [F.when(slope.isNull(), F.col(end)).otherwise(F.col("x1") + (at - F.col("y1")) * slope) for at, end in ((low, "x1"), (high, "x2"))]
     reach = F.lit(1e-9) * r  # rounding of the ends
     span = F.sequence(F.floor((F.least(*ends) - reach) / r).cast("bigint"), F.floor((F.greatest(*ends) + reach) / r).cast("bigint"))
-    touched = (e.withColumn("cx", F.explode(span)).groupBy("poly_id", "cx", "cy")
-               .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")))
-    centres = mask_cells(vertices, cell, MIDDLE).select("poly_id", F.col("IX").alias("cx"), F.col("IY").alias("cy"), F.lit(True).alias("inside"))
-    return touched.join(centres, ["poly_id", "cx", "cy"], "full").select(
-        "poly_id", "cx", "cy", F.coalesce("inside", F.lit(False)).alias("inside"), "edges")
+    touched = e.select("poly_id", F.explode(span).alias("cx"), "cy", F.struct("x1", "y1", "x2", "y2").alias("edge"), F.lit(False).alias("inside"))
+    middles = mask_cells(vertices, cell, MIDDLE).select("poly_id", F.col("IX").alias("cx"), F.col("IY").alias("cy"), F.lit(True).alias("inside"))
+    return (touched.unionByName(middles, allowMissingColumns=True).groupBy("poly_id", "cx", "cy")
+            .agg(F.max("inside").alias("inside"), F.collect_list("edge").alias("edges")))
 
 
 def points_in_polygon(points: DataFrame, vertices: DataFrame, id_col: str, x: str = "X", y: str = "Y",
@@ -121,7 +120,7 @@ def points_in_polygon(points: DataFrame, vertices: DataFrame, id_col: str, x: st
     def crossed(e):
         between = left(px, py, mx, my, e["x1"], e["y1"]) != left(px, py, mx, my, e["x2"], e["y2"])
         return between & (left(e["x1"], e["y1"], e["x2"], e["y2"], px, py) != left(e["x1"], e["y1"], e["x2"], e["y2"], mx, my))
-    odd = F.coalesce(F.size(F.filter("edges", crossed)) % 2 == 1, F.lit(False))
+    odd = F.size(F.filter("edges", crossed)) % 2 == 1
     return p.join(cover(vertices, band), ["cx", "cy"]).where(F.col("inside") != odd).select(id_col, "poly_id")
 
 
