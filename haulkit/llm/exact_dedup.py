@@ -8,7 +8,7 @@ A false "maybe" of the filter costs one more hash; groups come from the full has
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulkit.llm.shared import filter_pages, materialise, maybe_in, text_of
@@ -40,20 +40,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     rows = materialise(started.select(
         F.col(id_col), F.when(F.col("__whole"), F.sha2(text.cast("binary"), 256)).alias("full_hash"),
+        F.monotonically_increasing_id().alias("__place"),
         *(column.alias(name) for name, column in (extra or {}).items())), "exact-hashes")
-    groups = (rows.filter("full_hash is not null").groupBy("full_hash")
-              .agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size")))
-    # rows without a hash get keys of their own, else all would meet in one task
-    key = F.coalesce("full_hash", F.concat(F.lit("unique "), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    numbered = rows.withColumn("__nth", F.row_number().over(
-        Window.partitionBy(id_col, "full_hash").orderBy(F.lit(1)))).withColumn("__key", key)
-    out = numbered.join(groups.withColumnRenamed("full_hash", "__key"), "__key", "left")
-    alone = F.col("group_size").isNull()
-    return out.select(
-        F.col(id_col), F.when(alone, F.col(id_col)).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.when(alone, True).otherwise(F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col("__nth") == 1)).alias("kept"),
-        "full_hash", *(extra or {}))
+    # one row of each group, the copies of which are joined with it: that join Spark splits where a group is large
+    stays = F.max(F.struct(F.col(id_col).alias("id"), F.col("__place").alias("place")))
+    groups = materialise(rows.filter("full_hash is not null").groupBy("full_hash").agg(stays.alias("__stays"), F.count("*").alias("group_size")), "exact-groups")
+    grouped = rows.join(groups, "full_hash").select(
+        id_col, F.col("__stays.id").alias("keep_id"), F.col("group_size").cast("long").alias("group_size"),
+        (F.col("__place") == F.col("__stays.place")).alias("kept"), "full_hash", *(extra or {}))
+    alone = rows.filter("full_hash is null").select(
+        id_col, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "full_hash", *(extra or {}))
+    return grouped.unionByName(alone)
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:
