@@ -20,6 +20,7 @@ import io
 import json
 import re
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -40,7 +41,9 @@ class Stretch(InputPartition):
 def _file_system(folder: str):
     """(Arrow file system, path in it) of a folder given as path or URI."""
     from pyarrow import fs
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), unquote("/" + folder[5:].lstrip("/"))
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
 def listed(folder: str, pattern: str) -> list[tuple[str, int, int]]:

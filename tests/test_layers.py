@@ -27,3 +27,12 @@ def test_scale_limits_with_override(spark):
     assert lim[("POT", 5)] == (15.0, 15.0) and lim[("POT", 1)] == (15.0, 3.0)      # 10 rounds strictly up to 15
     assert lim[("TRAWL", 5)] == (175.0, 175.0)
     assert len(rows) == 2 * 6
+
+
+def test_scale_limits_can_be_fixed_by_a_table(spark):
+    from haulkit.operators.layers import scale_limits
+    layer = spark.createDataFrame([("POT", "a", 12.0), ("POT", "b", 3.0), ("TRAWL", "a", 7.0)], "GEAR string, CATEGORY string, VALUE double")
+    fixed = spark.createDataFrame([("POT", "a", 100.0)], "GEAR string, CATEGORY string, SCALE_LIMIT double")
+    got = {(r.GEAR, r.CATEGORY): r.SCALE_LIMIT for r in scale_limits(layer, override=fixed).collect()}
+    plain = {(r.GEAR, r.CATEGORY): r.SCALE_LIMIT for r in scale_limits(layer).collect()}
+    assert got == plain | {("POT", "a"): 100.0} and plain[("POT", "a")] == 15.0
