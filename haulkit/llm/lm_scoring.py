@@ -41,8 +41,8 @@ ROOM = 1 << 20
 SEGMENT = 2 << 20
 #: Tokens of the texts that ask the segments together, or one longer block of texts.
 UNIT = 1 << 19
-#: Bits of a hash in the filter, its segment included.  Pairs of n-grams that share them are rarer than false answers.
-KEY_BITS = 48
+#: Bits of a hash within its segment.  Absent n-grams that share them with one of a million there are rarer than false answers.
+KEY_BITS = 32
 SCALE = np.array([1, 2, *(x << k for k in range(48) for x in (3, 4))], np.int64)
 #: Count that a step stands for: the middle of its range on a log scale.
 MEANT = np.sqrt(SCALE * (np.append(SCALE[1:], SCALE[-1] * 2) - 1.0).clip(SCALE))
@@ -84,14 +84,14 @@ def words_key(tokens: np.ndarray) -> np.ndarray:
     return mix(tokens)
 
 
-def short(keys: np.ndarray) -> np.ndarray:
-    """A hash as the filter has it."""
-    return keys >> np.uint64(64 - KEY_BITS)
+def short(keys: np.ndarray, cuts: int) -> np.ndarray:
+    """A hash as the filter has it: its segment and KEY_BITS more; cuts: the number of segments, a power of 2."""
+    return keys >> np.uint64(65 - KEY_BITS - cuts.bit_length())
 
 
-def segment_of(keys: np.ndarray, cuts: int) -> np.ndarray:
-    """The segment of each short key; cuts: their number, a power of 2."""
-    return (keys >> np.uint64(KEY_BITS + 1 - cuts.bit_length())).astype(np.int64)
+def segment_of(keys: np.ndarray) -> np.ndarray:
+    """The segment of each short key."""
+    return (keys >> np.uint64(KEY_BITS)).astype(np.int64)
 
 
 def step_of(counts: np.ndarray) -> np.ndarray:
@@ -185,17 +185,18 @@ def unplaned(data: bytes | memoryview, n: int) -> tuple[np.ndarray, int]:
 
 
 def packed(keys: np.ndarray, counts: np.ndarray | None = None) -> bytes:
-    """Ascending keys as differences, and their counts."""
-    gaps = np.diff(keys, prepend=np.uint64(0))
-    return len(keys).to_bytes(4, "little") + planes(gaps) + (b"" if counts is None else planes(counts))
+    """Ascending keys as their number, the first one and differences, and their counts."""
+    first = int(keys[0]) if len(keys) else 0
+    return len(keys).to_bytes(4, "little") + first.to_bytes(8, "little") + planes(np.diff(keys)) + (b"" if counts is None else planes(counts))
 
 
 def unpacked(data: pa.Scalar) -> tuple[np.ndarray, np.ndarray | None]:
     data = memoryview(data.as_buffer())
     n = int.from_bytes(data[:4], "little")
-    gaps, at = unplaned(data[4:], n)
-    rest = data[4 + at:]
-    return np.cumsum(gaps, dtype=np.uint64), unplaned(rest, n)[0].astype(np.int64) if len(rest) else None
+    gaps, at = unplaned(data[12:], max(0, n - 1))
+    rest = data[12 + at:]
+    keys = np.cumsum(np.concatenate((np.frombuffer(data[4:12], "<u8")[:n], gaps)), dtype=np.uint64)
+    return keys, unplaned(rest, n)[0].astype(np.int64) if len(rest) else None
 
 
 def by_segment(keys: np.ndarray, segment: np.ndarray, cuts: int) -> Iterator[tuple[int, slice]]:
@@ -223,15 +224,15 @@ def train(docs: DataFrame, training: Column | None = None, text_col: str = "text
 
         def emptied():
             keys, n = words.total()
-            yield sent(0, keys, n, segment_of(short(keys), cuts))
+            yield sent(0, keys, n, segment_of(short(keys, cuts)))
             keys, n = pairs.total()
-            yield sent(1, keys, n, segment_of(keys, cuts))
+            yield sent(1, keys, n, segment_of(keys))
 
         powers, words, pairs, room = Powers(), Counts(), Counts(), 2 * ROOM
         for batch in blocks(batches, size=SMALL):
             tokens, bounds = tokens_of(words_of(batch.column(0), powers, fold=True))
             words.add(*np.unique(words_key(tokens), return_counts=True))
-            pairs.add(*np.unique(short(pairs_of(tokens, bounds)), return_counts=True))
+            pairs.add(*np.unique(short(pairs_of(tokens, bounds), cuts), return_counts=True))
             if words.size + pairs.size > room:
                 words.parts, pairs.parts = [words.total()], [pairs.total()]
                 words.size, pairs.size = len(words.parts[0][0]), len(pairs.parts[0][0])
@@ -244,7 +245,7 @@ def train(docs: DataFrame, training: Column | None = None, text_col: str = "text
         def segment():
             keys, n = words.total()
             grams, m = pairs.total()
-            data = filled(np.concatenate((short(keys), grams)), np.concatenate((n, m)))
+            data = filled(np.concatenate((short(keys, cuts), grams)), np.concatenate((n, m)))
             own = [{"key": k, "n": c} for k, c in zip(keys.view(np.int64).tolist(), n.tolist())]
             return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([data.tobytes()], pa.binary()), pa.array([own], kind)],
                                               ["segment", "bits", "words"])
@@ -298,16 +299,20 @@ def probed(asks: DataFrame, segments: DataFrame) -> DataFrame:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, lookup = None, None
         for batch in batches:
-            rows = []
-            for k, unit, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if unit < 0:
-                    at, lookup = k, LogFrequencyFilter(np.frombuffer(data.as_buffer(), np.uint8))
+            segments = batch.column(0).to_numpy()
+            for rows in map(lambda cut: batch.slice(cut.start, cut.stop - cut.start), runs(segments)) if len(segments) else ():
+                k, data = rows.column(0)[0].as_py(), rows.column(2)
+                if rows.column(1)[0].as_py() < 0:
+                    at, lookup = k, LogFrequencyFilter(np.frombuffer(data[0].as_buffer(), np.uint8).copy())
+                    rows, data = rows.slice(1), data.slice(1)
+                if not rows.num_rows:
                     continue
-                keys = unpacked(data)[0]
-                found = lookup.steps(keys) if k == at else np.zeros(len(keys), np.uint8)
-                rows.append((unit, k, np.bitwise_xor.reduce(keys).tobytes() + found.tobytes()))
-            units, numbers, data = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(units, pa.int64()), pa.array(numbers, pa.int64()), pa.array(data, pa.binary())], ["unit", "segment", "data"])
+                keys = [unpacked(x)[0] for x in data]
+                ends = np.cumsum([0, *map(len, keys)])
+                asked, which = np.unique(np.concatenate(keys), return_inverse=True)  # units ask for the same n-grams
+                found = (lookup.steps(asked) if k == at else np.zeros(len(asked), np.uint8))[which]
+                told = [np.bitwise_xor.reduce(x).tobytes() + found[a:b].tobytes() for x, a, b in zip(keys, ends, ends[1:])]
+                yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(0), pa.array(told, pa.binary())], ["unit", "segment", "data"])
 
     met = asks.unionByName(segments.select("segment", F.lit(-1).cast("long").alias("unit"), F.col("bits").alias("data")))
     return met.repartition("segment").sortWithinPartitions("segment", "unit").mapInArrow(answer, "unit long, segment long, data binary")
@@ -337,8 +342,8 @@ def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", t
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit, (_, tokens, bounds) in numbered(batches):
-            asked = np.sort(np.concatenate([short(np.unique(grams)) for grams in (words_key(tokens), pairs_of(tokens, bounds))]))
-            sent = [(k, packed(asked[part])) for k, part in by_segment(asked, segment_of(asked, cuts), cuts)]
+            asked = np.sort(np.concatenate([short(np.unique(grams), cuts) for grams in (words_key(tokens), pairs_of(tokens, bounds))]))
+            sent = [(k, packed(asked[part])) for k, part in by_segment(asked, segment_of(asked), cuts)]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int64()), pa.array(np.full(len(sent), unit), pa.int64()),
                                               pa.array([x for _, x in sent], pa.binary())], ["segment", "unit", "data"])
 
@@ -356,7 +361,7 @@ def score(docs: DataFrame, model: Model, held: Column, id_col: str = "doc_id", t
                 tokens, bounds = tokens_of(words_of(texts.column("text").combine_chunks(), powers, fold=True))
                 own, which = np.unique(words_key(tokens), return_inverse=True)
                 pair, first, back = np.unique(pairs_of(tokens, bounds), return_index=True, return_inverse=True)
-                asked = short(np.concatenate((own, pair)))
+                asked = short(np.concatenate((own, pair)), cuts)
                 told = np.frombuffer(b"".join(x[8:] for x in answers), np.uint8)
                 seen = np.bitwise_xor.reduce(np.frombuffer(b"".join(x[:8] for x in answers), np.uint64))
                 if len(told) != len(asked) or seen != np.bitwise_xor.reduce(asked):
