@@ -53,8 +53,7 @@ def test_tiles_hold_every_point_once_and_boxes_cover_them(spark):
     assert none == 0 and empty.count() == 0
 
 
-@pytest.mark.parametrize("tile", [16, 64, 512])
-@pytest.mark.parametrize(("nugget", "psill", "rng"), [(0.3, 1.0, 9000.0), (0.0, 1.0, 3000.0)])
+@pytest.mark.parametrize(("tile", "nugget", "psill", "rng"), [(48, 0.3, 1.0, 9000.0), (512, 0.0, 1.0, 3000.0)])
 def test_value_and_variance_equal_the_dense_system(spark, tile, nugget, psill, rng):
     r = np.random.default_rng(tile)
     sx, sy, sz = r.uniform(0, 40000, 200), r.uniform(0, 40000, 200), r.normal(3, 1, 200)
@@ -70,7 +69,7 @@ def test_value_and_variance_equal_the_dense_system(spark, tile, nugget, psill, r
     assert [plain[i] for i in range(41)] == pytest.approx(list(want), abs=1e-6)
 
 
-def clustered(n_clusters=12, each=20, seed=5):
+def clustered(n_clusters=8, each=12, seed=5):
     r = np.random.default_rng(seed)
     cx, cy = r.uniform(0, 100000, (2, n_clusters))
     sx = np.concatenate([c + r.normal(0, 150, each) for c in cx])
@@ -81,10 +80,10 @@ def clustered(n_clusters=12, each=20, seed=5):
 def test_preconditioner_halves_the_rounds_on_clustered_loggers(spark):
     sx, sy, sz = clustered()
     rounds = {}
-    for tile in (1, 40):  # a tile of one sample is the plain method: the diagonal is constant
+    for tile in (1, 24):  # a tile of one sample is the plain method: the diagonal is constant
         tiles, n = TL.tiled(table(spark, sx, sy, sz), tile, values=("Z",))
         _, rounds[tile] = KR.solve(tiles, n, 0.02, 1.0, 8000.0, KR.cov_radius(8000.0, 1e-18), max_iter=400)
-    assert rounds[40] * 2 <= rounds[1], rounds
+    assert rounds[24] * 2 <= rounds[1], rounds
 
 
 def nearest_dense(sx, sy, sz, tx, ty, k, *model):
@@ -97,7 +96,7 @@ def nearest_dense(sx, sy, sz, tx, ty, k, *model):
     return value, spread
 
 
-@pytest.mark.parametrize("k", [1, 4, 16])
+@pytest.mark.parametrize("k", [1, 16])
 def test_local_neighbourhoods_equal_a_search_over_all_samples(spark, k):
     r = np.random.default_rng(k)
     sx, sy, sz = clustered(6, 30, k)
