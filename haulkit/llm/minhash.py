@@ -14,7 +14,9 @@ buckets that still hold two groups are left.  A link between groups needs texts
 count for nothing, and a text with too many of those is done (most edited copies
 are).  The others are joined by prefixes: with shingles in one order, the rarest first,
 two such texts share one among the first 20 % of each, and behind the first that they
-share enough must follow in both to make up 80 %.
+share enough must follow in both to make up 80 %.  Again members of a shingle are compared
+with two of them first and linked groups become one, round by round; pairs are made only of
+what no round joins.
 """
 
 from __future__ import annotations
@@ -141,7 +143,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def between_groups(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of ids in different groups that may be linked; left: (id, n, g).  No linked pair is missing."""
+    """Links (u, v) that join ids of different groups, enough to join all that any such links join; left: (id, n, g).
+
+    Members of a shingle are compared with those of its first and last group, and groups that are found to be
+    linked become one, until this finds no more: a family of linked texts takes rounds and not pairs.  What
+    is left are texts of groups that share shingles but no link with those; all their pairs are compared.
+    """
     item = materialise(left.join(sets, "id").select("id", "n", "g", F.explode("items").alias("item")), "items")
     for _ in range(2):  # texts that go take their shingles with them, so a second time drops more
         common = item.groupBy("item").agg(F.count("*").alias("df"), F.min("g").alias("g0"), F.max("g").alias("g1")).filter("g0 <> g1").select("item", "df")
@@ -153,9 +160,30 @@ def between_groups(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     prefix = item.withColumn("nth", rank).filter(f"nth <= s - ceil(n * {percent} / 100) + 1").selectExpr("id", "n", "g", "item", "s - nth as rest")
     prefix = materialise(prefix, "prefixes")
     # at the first item that two texts share, 1 + the smaller rest bounds what they share; later items may pass or not
+    near = f"g <> h and {100 + percent} * (1 + least(rest, rest_v)) >= {percent} * (n + m)"
+    pair = [F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")]
+    links, tried = None, None
+    while True:
+        end = F.struct(F.col("g").alias("h"), F.col("id").alias("v"), F.col("n").alias("m"), F.col("rest").alias("rest_v"))
+        ends = prefix.groupBy("item").agg(F.min(end).alias("low"), F.max(end).alias("high")).filter("low.h <> high.h")
+        stars = (prefix.join(ends, "item").withColumn("e", F.explode(F.array("low", "high"))).select("id", "n", "g", "rest", "e.*")
+                 .filter(near).select(*pair).distinct())
+        if tried is not None:
+            stars = stars.join(tried, ["u", "v"], "left_anti")
+        stars = materialise(stars, "stars")
+        found = materialise(confirmed(stars, sets, percent), "links")
+        tried = stars if tried is None else tried.unionByName(stars)
+        if found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        of = prefix.select("id", "g").distinct()
+        joined = found.join(of.withColumnsRenamed({"id": "u", "g": "gu"}), "u").join(of.withColumnsRenamed({"id": "v", "g": "gv"}), "v")
+        now = groups(joined.select(F.col("gu").alias("u"), F.col("gv").alias("v")).distinct()).withColumnsRenamed({"id": "g", "group": "new"})
+        prefix = materialise(prefix.join(now, "g", "left").withColumn("g", F.coalesce("new", "g")).drop("new"), "prefixes")
     other = prefix.selectExpr("item", "id as v", "n as m", "g as h", "rest as rest_v")
-    return (prefix.join(other, "item").filter(f"g < h and {100 + percent} * (1 + least(rest, rest_v)) >= {percent} * (n + m)")
-            .select(F.least("id", "v").alias("u"), F.greatest("id", "v").alias("v")).distinct())
+    pairs = prefix.join(other, "item").filter(f"g < h and {near}").select(*pair).distinct().join(tried, ["u", "v"], "left_anti")
+    rest = materialise(confirmed(pairs, sets, percent), "links")
+    return rest if links is None else rest.unionByName(links)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 24, rows: int = 4,
@@ -191,7 +219,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     labelled = buckets.join(grouped, "id", "left").select("key", "id", "n", F.coalesce("group", "id").alias("g"))
     mixed = labelled.groupBy("key").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).filter("g0 <> g1").select("key")
     left = materialise(labelled.join(mixed, "key", "left_semi").select("id", "n", "g").distinct(), "left")
-    more = materialise(confirmed(between_groups(left, sets, percent), sets, percent), "links-2")
+    more = between_groups(left, sets, percent)
     if not more.isEmpty():
         grouped = materialise(groups(grouped.select(F.col("id").alias("u"), F.col("group").alias("v")).unionByName(more)), "groups-2")
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from brute import components, sha, without_repeated_bytes, without_repeated_words
 from conftest import edge_texts
+from pyspark.sql import functions as F
 
 from haulkit.llm import exact_dedup as E
 from haulkit.llm import grouping as G
@@ -153,3 +154,54 @@ def test_digests_of_the_queries(spark, small):
     _, rows = small
     got = {r.doc_id: r.kept_sha256 for r in B.op8_suffix_dedup(spark, "/root/testdata/sf0.001").collect()}
     assert got == {i: sha(w[3]) for (i, _), w in zip(rows, without_repeated_bytes(rows, 100), strict=True)}
+
+
+def family(n, own, seed=9):
+    """n texts of one template, each with ``own`` of its 100 words changed in places of its own."""
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(300)]
+    out = []
+    for k in range(n):
+        words = list(template)
+        for at in rng.sample(range(300), own):
+            words[at] = f"own{k}x{at}"
+        out.append((k + 1, " ".join(words)))
+    return out
+
+
+def confirmed_pairs(monkeypatch):
+    seen = []
+    plain = M.confirmed
+
+    def counting(pairs, sets, percent):
+        seen.append(pairs.count())
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(M, "confirmed", counting)
+    return seen
+
+
+@pytest.mark.parametrize(("own", "linked"), [(2, True), (40, False)])
+def test_a_family_of_one_template_takes_rounds_and_not_pairs(spark, monkeypatch, own, linked):
+    """Texts that are each a group of their own at first, as no band has joined them."""
+    seen = confirmed_pairs(monkeypatch)
+    texts = family(120, own)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    signed = M.signatures(docs, 5, 24, 4, "doc_id", "text").cache()
+    sets = M.sets_of(docs, signed.select("id"), 5, 24, "doc_id", "text").cache()
+    links = M.between_groups(signed.select("id", "n", F.col("id").alias("g")), sets, 80).collect()
+    want = components(dict(texts), 5)
+    parent = {i: i for i, _ in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in links:
+        a, b = root(r.u), root(r.v)
+        parent[max(a, b)] = min(a, b)
+    assert {i: root(i) for i in parent} == {i: c for i, (_, c) in want.items()}
+    assert (len({c for _, c in want.values()}) == 1) is linked
+    if linked:
+        assert sum(seen) < 120 * 119 / 2 / 2, seen  # pairs compared, of all
