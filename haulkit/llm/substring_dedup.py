@@ -9,7 +9,7 @@ A first pass counts the minimisers alone.  A window can only be repeated if its
 minimiser is found at two places, so runs with a minimiser of their own stay at
 home (a key filter of fixed size tells; what it passes by chance is sorted out in
 the bucket).  Minimisers at more than HOT places are dealt to several buckets by
-position, and what these have found meets once more by window.
+position, as many as their own count asks for, and what these have found meets once more by window.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from haulkit.llm.shared import (Powers, Words, binaries, blocks, filter_array, f
 GRAM = 12
 #: Windows of a run at most; runs of one minimiser may be cut anywhere.
 LONGEST = 256
-#: Places of a minimiser that one bucket takes.
-HOT = 4096
+#: Places of a minimiser that one bucket takes; up to DEAL times as many are dealt to DEAL buckets, and so on.
+HOT, DEAL = 512, 4
 
 
 def super_kmers(w: Words, window: int, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -67,10 +67,11 @@ def repeated_stretches(docs: DataFrame, window: int = 50, id_col: str = "doc_id"
 
     counts = materialise(rows.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1"), "minimisers")
     most = counts.agg(F.max("n")).first()[0] or 0
-    salts = max(1, math.ceil(most / HOT))
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(filter_array(counts, "key", filter_bits))
-    hot = context.broadcast(filter_array(counts.filter(F.col("n") > HOT), "key", 20))
+    # one filter per power of DEAL: a key that is in k of them has DEAL ** k buckets
+    levels = range(math.ceil(math.log(most / HOT, DEAL))) if most > HOT else ()
+    hot = context.broadcast([filter_array(counts.filter(F.col("n") > HOT * DEAL ** k), "key", 20) for k in levels])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -82,7 +83,10 @@ def repeated_stretches(docs: DataFrame, window: int = 50, id_col: str = "doc_id"
             doc = w.doc[first]
             place = first - w.first[doc]
             turn = mix(batch.column(3).to_numpy().view(np.uint64)[doc] + place.astype(np.uint64))
-            salt = np.where(has(hot.value, key), (turn % np.uint64(salts)).astype(np.int64), -1)
+            buckets = np.ones(len(key), np.uint64)
+            for level in hot.value:
+                buckets[has(level, key)] *= np.uint64(DEAL)
+            salt = np.where(buckets > 1, (turn % buckets).astype(np.int64), -1)
             yield pa.RecordBatch.from_arrays([
                 pa.array(key.view(np.int64)), pa.array(salt, pa.int64()), batch.column(0).take(pa.array(doc)), batch.column(1).take(pa.array(doc)),
                 pa.array(place, pa.int64()), binaries(w.data, w.start[first], w.end[first + words - 1])], ["key", "salt", "id", "mark", "place", "packed"])
