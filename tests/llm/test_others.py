@@ -243,9 +243,26 @@ def test_automaton_finds_what_edit_distance_finds():
         assert lexicon.find(word)[0] == (exact or near), word
 
 
-def test_quotation_is_told_from_abuse():
-    assert TX.quoted(["she", "said"], "idiot", []) and TX.quoted(["the", "\"stupid"], "idiot\"", ["word"]) and TX.quoted([], "“idiot”", [])
-    assert not TX.quoted(["you", "are", "an"], "idiot", ["and", "more"]) and not TX.quoted(["\"no", "end"], "idiot", ["here"])
+def test_quotation_is_told_from_abuse_by_learnt_surroundings(spark):
+    """The same term in abuse and in quotation: only the words around it, as learnt, tell them apart."""
+    rng = random.Random(7)
+    plain = [f"{a}{b}" for a in "bcdfglmnprst" for b in ("ato", "ilen", "orux", "anty")] + "you utter shut reportedly claimed one".split()
+
+    def text(kind):
+        filler = [rng.choice(plain) for _ in range(30)]
+        if kind:
+            filler[10:10] = {"abuse": ["you", "utter", "gromble", "shut"], "quote": ["reportedly", '"gromble"', "claimed", "one"]}[kind]
+        return " ".join(filler)
+
+    kinds = ["abuse"] * 400 + ["quote"] * 60 + [None] * 6000
+    rows = [(k, text(kind)) for k, kind in enumerate(kinds)]
+    labels = [(k, int(kind == "abuse")) for k, kind in enumerate(kinds)]
+    out = {r.doc_id: r for r in TX.toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    held = {kind: [out[k] for k, x in enumerate(kinds) if x == kind and out[k].held_out] for kind in ("abuse", "quote")}
+    assert all(r.predicted == 1 for r in held["abuse"]) and all(r.predicted == 0 for r in held["quote"]) and len(held["quote"]) > 5
+    same = [r.exact for kind in held for r in held[kind]]
+    assert max(same) == min(same) > 0  # the term itself says the same in both
+    assert min(r.context for r in held["abuse"]) > 0 > max(r.context for r in held["quote"])
 
 
 def test_toxicity_learns_from_training_rows_only(spark):
@@ -372,12 +389,12 @@ def test_lm_empty_and_without_training_rows(spark, empty):
 
 def test_filter_holds_quantised_counts():
     rng = np.random.default_rng(3)
-    keys = LM.short(np.unique(rng.integers(0, (1 << 64) - 1, 4000, np.uint64)))
+    keys = LM.short(np.unique(rng.integers(0, (1 << 64) - 1, 4000, np.uint64)), 16)
     counts = rng.integers(1, 3000, len(keys))
     lookup = LM.LogFrequencyFilter(LM.filled(keys, counts))
     steps, got = LM.step_of(counts), lookup.count(keys)
     assert (got >= LM.MEANT[steps] - 1e-9).all() and (got == LM.MEANT[steps]).mean() > 0.95
-    others = LM.short(rng.integers(0, (1 << 64) - 1, 4000, np.uint64))
+    others = LM.short(rng.integers(0, (1 << 64) - 1, 4000, np.uint64), 16)
     assert (lookup.count(others) == 0).mean() > 0.95
     assert (np.abs(np.log2(LM.MEANT[LM.step_of(np.arange(1, 5000))] / np.arange(1, 5000))) <= 0.6).all()
 
