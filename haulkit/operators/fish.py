@@ -74,7 +74,7 @@ def flatfish_expand_summed(samples: DataFrame, summed: DataFrame, by: Sequence[s
 
 
 def estimate_counts(rows: DataFrame, keys: Sequence[str], weight: str = "SAMPLE_VALUE_WEIGHT",
-                    count: str = "SAMPLE_VALUE_COUNT", factor: str = "SAMPLING_FACTOR") -> DataFrame:
+                    count: str = "SAMPLE_VALUE_COUNT", factor: str = "SAMPLING_FACTOR", tasks: int | None = None) -> DataFrame:
     """D6 + D7 + H15 in one aggregation.
 
     Individual weight = mean of the distinct non-NULL weight/count values of
@@ -82,8 +82,12 @@ def estimate_counts(rows: DataFrame, keys: Sequence[str], weight: str = "SAMPLE_
     count is weight / that constant, so Σ count = Σ weight / individual weight
     and the per-row count never needs a join-back.  Sums are strict (N3).
     Expanded weight and count multiply by the group's sampling factor.
+
+    Most sample groups are a row or two, so the tables of groups that a task
+    holds are as long as its rows: `tasks` deals the rows by group to so many.
     """
     r = rows.withColumn("__iw", safe_div(F.col(weight), F.col(count)))
+    r = r.repartition(tasks, *keys) if tasks else r
     g = r.groupBy(*keys).agg(F.expr("avg(DISTINCT __iw)").alias("IND_WEIGHT"),
                              strict_sum(weight).alias("WEIGHT"))
     g = g.withColumn("COUNT", safe_div(F.col("WEIGHT"), F.col("IND_WEIGHT")))

@@ -99,3 +99,17 @@ def test_orphans_and_reconcile(spark):
     c = spark.createDataFrame([(1, 2.0, 2), (2, 1.0, 3), (4, 1.0, 1)], "K int, NUMBER_CRAB double, N_ENTRIES int")
     assert [r["K"] for r in QU.reconcile_totals(s, c, ["K"]).orderBy("K").collect()] == [2, 4]
 
+
+
+def test_sample_groups_are_dealt_by_rows_not_by_cores(spark, fish, monkeypatch):
+    from haulkit import session
+    keys = ["STATION", "CATCH_SAMPLE_ID", "SPECIES_CODE", "SPECIES_NAME", "SAMPLING_FACTOR"]
+    f = FI.flatfish_expand(fish)
+    assert rows(FI.estimate_counts(f, keys, tasks=37)) == rows(FI.estimate_counts(f, keys))
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    tasks = session.tasks_for(spark.range(1234))
+    assert tasks == 124
+    many = spark.range(5000).selectExpr("id AS STATION", "id AS CATCH_SAMPLE_ID", "CAST(id % 9 AS INT) AS SPECIES_CODE", "CAST(id % 3 AS STRING) AS SPECIES_NAME", "1.0D + id % 2 AS SAMPLING_FACTOR",
+                                        "2.0D AS SAMPLE_VALUE_WEIGHT", "1 AS SAMPLE_VALUE_COUNT")
+    dealt = FI.estimate_counts(many, keys, tasks=tasks).groupBy(F.spark_partition_id().alias("p")).count().agg(F.count("p"), F.max("count")).first()
+    assert dealt[0] == tasks and dealt[1] < 200
