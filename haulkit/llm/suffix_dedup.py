@@ -7,8 +7,8 @@ is small, and a task sorts a few buckets at a time (blockwise), which bounds its
 memory.  A gram that is smallest in one piece of the corpus only can't belong to
 a repeat; such pieces stay at home.
 
-Within a block, suffixes are first sorted by eight bytes.  Ties are long (copied
-text), so they are resolved by ranks: every position whose residue modulo COVER
+Within a block, suffixes are first sorted by a hash of their first and last bytes.
+Ties are long (copied text), so they are resolved by ranks: every position whose residue modulo COVER
 lies in the difference cover is ranked once by most of the length, by doubling.  For
 any two suffixes some shift below COVER puts both on ranked positions; there the
 rank decides, together with the few bytes before and after it (their 64-bit hash).
@@ -75,13 +75,44 @@ def words8(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def rank(*keys: np.ndarray) -> np.ndarray:
-    """Dense ranks of rows of keys, the first key first."""
-    if len(keys) == 1:
-        return np.unique(keys[0], return_inverse=True)[1].astype(np.uint64)
-    if len(keys[0]) < 1 << 31 and all(k.max(initial=0) < 1 << 32 for k in keys[:2]):
-        return rank(keys[0] << np.uint64(32) | keys[1], *keys[2:])
-    return rank(rank(keys[0]), rank(keys[1]), *keys[2:])
+def packed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, upper bits in that order) of keys sorted by their upper bits; an index takes the lower ones, so that plain numbers are sorted."""
+    bits = np.uint64(max(1, (len(keys) - 1).bit_length()))
+    both = np.sort(keys >> bits << bits | np.arange(len(keys), dtype=np.uint64))
+    return (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), both >> bits
+
+
+def shared_keys(keys: np.ndarray) -> np.ndarray:
+    """Which keys may occur twice: all that do, and a few that share their upper bits."""
+    order, upper = packed(keys)
+    same = upper[1:] == upper[:-1]
+    found = np.zeros(len(keys), bool)
+    found[order[1:][same]] = found[order[:-1][same]] = True
+    return found
+
+
+def gathered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that brings equal keys together, which of them begin a new key)."""
+    order, upper = packed(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    if (new[1:] & (upper[1:] == upper[:-1])).any():  # different keys with the same upper bits: they may alternate
+        order = np.argsort(keys)
+        new[1:] = keys[order[1:]] != keys[order[:-1]]
+    return order, new
+
+
+def rank(keys: np.ndarray) -> np.ndarray:
+    """Dense ranks of keys by place: equal keys have one rank."""
+    order, new = gathered(keys)
+    out = np.empty(len(keys), np.uint64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One key of each pair of numbers."""
+    return mix(mix(a) + b)
 
 
 def first_equal(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -89,57 +120,63 @@ def first_equal(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     sample = COVER
     while sample * 2 <= length - COVER + 1:
         sample *= 2
+    size = sample
     more = sample + COVER <= length - COVER + 1  # one more stretch of COVER bytes fits
+    if more:
+        size += COVER
     first = np.arange(len(at))
     if not len(at):
         return first
     eight = words8(data)
-    by_start = rank(eight[at]).astype(np.int64)
-    tied = np.bincount(by_start)[by_start] > 1
-    at, index = at[tied], first[tied]
+    # what a ranked stretch leaves out lies in the first COVER bytes and in the last length - size
+    outer = mix(eight[at]) + eight[at + 8]
+    for k in range(1, math.ceil((length - size) / 8) + 1):
+        outer = mix(outer) + eight[at + length - 8 * k]
+    outer = mix(outer)
+    tied = shared_keys(outer)
+    at, index, outer = at[tied], first[tied], outer[tied]
     if not len(at):
         return first
 
     # Ranks of the sampled positions by 16, 32, ... bytes.  Those of the last few of the data are not whole, nor asked for.
-    sampled = np.flatnonzero(np.isin(np.arange(len(data)) % COVER, RESIDUES))
+    rows_of = np.arange(0, len(data), COVER)
+    sampled = (rows_of[:, None] + np.array(RESIDUES)).ravel()
+    sampled = sampled[sampled < len(data)]
     slot = np.zeros(len(data), np.int64)
     slot[sampled] = np.arange(len(sampled))
 
     def ahead(ranks: np.ndarray, by: int) -> np.ndarray:
         return np.where(sampled + by < len(data), ranks[slot[np.minimum(sampled + by, len(data) - 1)]], np.uint64(0))
 
-    by16 = ranked = rank(eight[sampled], eight[np.minimum(sampled + 8, len(data) - 1)])
-    size = COVER
-    while size < sample:
-        ranked = rank(ranked, ahead(ranked, size))
-        size *= 2
+    by16 = ranked = rank(pairs(eight[sampled], eight[np.minimum(sampled + 8, len(data) - 1)]))
+    ranked_by = COVER
+    while ranked_by < sample:
+        ranked = rank(pairs(ranked, ahead(ranked, ranked_by)))
+        ranked_by *= 2
     if more:
-        ranked = rank(ranked, ahead(by16, size))
-        size += COVER
+        ranked = rank(pairs(ranked, ahead(by16, ranked_by)))
 
-    # what a ranked stretch leaves out lies in the first COVER bytes and in the last length - size
-    outer = mix(eight[at]) + eight[at + 8]
-    for k in range(1, math.ceil((length - size) / 8) + 1):
-        outer = mix(outer) + eight[at + length - 8 * k]
     whole_rank = np.zeros(len(data), np.uint64)
     whole_rank[sampled] = ranked * np.uint64(0x9E3779B97F4A7C15)
-    outer = mix(outer)
     residue = (at % COVER).astype(np.uint8)
     by_residue = np.argsort(residue, kind="stable")
     bounds = np.searchsorted(residue[by_residue], np.arange(COVER + 1))
-    best = np.arange(len(at))
+    best, open_ = np.arange(len(at)), np.ones(len(at), bool)
     for shift in range(COVER):
+        # a place equal to an earlier one needs no more shifts: whatever else equals it equals that one, which stays
         here = np.concatenate([by_residue[bounds[r]:bounds[r + 1]] for r in ((c - shift) % COVER for c in RESIDUES)])
+        here = here[open_[here]]
         if len(here) < 2:
             continue
-        key = outer[here] + whole_rank[at[here] + shift]
-        order = np.argsort(key)
-        key, here = key[order], here[order]
-        new = np.empty(len(key), bool)
-        new[0], new[1:] = True, key[1:] != key[:-1]
+        order, new = gathered(outer[here] + whole_rank[at[here] + shift])
+        here = here[order]
         starts = np.flatnonzero(new)
-        if len(starts) < len(key):
-            best[here] = np.minimum(best[here], np.minimum.reduceat(here, starts)[np.cumsum(new) - 1])
+        if len(starts) < len(here):
+            least = np.minimum.reduceat(here, starts)[np.cumsum(new) - 1]
+            best[here] = least
+            open_[here[here != least]] = False
+    while (best[best] != best).any():
+        best = best[best]
     first[index] = index[best]
     return first
 

@@ -205,3 +205,19 @@ def test_a_family_of_one_template_takes_rounds_and_not_pairs(spark, monkeypatch,
     assert (len({c for _, c in want.values()}) == 1) is linked
     if linked:
         assert sum(seen) < 120 * 119 / 2 / 2, seen  # pairs compared, of all
+
+
+def test_first_equal_drops_places_once_found():
+    """Places found equal to an earlier one leave the later shifts; hashes with equal upper bits may alternate."""
+    import numpy as np
+
+    from haulkit.llm.suffix_dedup import first_equal, gathered
+    rng = np.random.default_rng(0)
+    for length in (32, 33, 64, 100, 150):
+        base = rng.integers(97, 100, 400).astype(np.uint8)
+        data = np.concatenate([base[i:i + int(n)] for i, n in zip(rng.integers(0, 200, 12), rng.integers(length, 200 + length, 12), strict=True)])
+        at, seen = np.flatnonzero(rng.random(len(data) - length + 1) < 0.9), {}
+        want = [seen.setdefault(data[p:p + length].tobytes(), i) for i, p in enumerate(at)]
+        assert first_equal(data, at, length).tolist() == want
+    keys = np.array([5, 5, (1 << 60) + 1, (1 << 60) + 2, (1 << 60) + 1, (1 << 60) + 2] * 50, np.uint64)
+    assert gathered(keys)[1].sum() == 3
