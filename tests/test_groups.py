@@ -141,6 +141,12 @@ def test_split_keys_and_parts_are_dealt_once(spark):
         total = dealt.groupBy(P.PART, "HAUL_ID").count()
         assert total._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
         assert rows(dealt.select("HAUL_ID", "X", "Y")) == rows(spark.createDataFrame(want, "HAUL_ID string, X int, Y int"))
+        factor = C.sampling_factor(dealt, ["HAUL_ID"], "X", rows="Y", part=P.PART)
+        plan = factor._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 2 and plan.count("Sort [") == 2          # sorted for the join is sorted for the window
+        assert rows(factor.where("HAUL_ID = 'a'").select("X", "SAMPLING_FACTOR")) == [(3, 17 / 14), (3, 17 / 14), (4, 18 / 14), (4, 18 / 14)]
+        none = null_safe_join(left.withColumn("E", F.col("X") == 3), right, ["HAUL_ID"], "left", only="E")
+        assert rows(none.select("X", "Y")) == [(1, None), (2, None), (3, 3), (3, 4), (4, None)]
         parts = key_parts(["HAUL_ID"])
         split = split_nulls(left, ["HAUL_ID"]).groupBy(*parts).agg(F.count(F.lit(1)).alias("N")).join(split_nulls(right, ["HAUL_ID"]), parts)
         assert split._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
